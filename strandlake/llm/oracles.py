@@ -9,3 +9,51 @@ FROM k JOIN g USING (text_sha256)
 """
 
 SQL = {"op5_exact_dedup": OP5}
+
+_OP1_ROUND = r"""
+{p}e AS (
+  SELECT d.doc_id, d.source, d.h, d.size, b."left", sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto
+  FROM sized d JOIN {b} b ON d.source IS NOT DISTINCT FROM b.source
+  WHERE d.size > 0 AND b."left" > 0 AND d.h > b.floor_h AND (b.floor_h = -1 OR d.size <= b."left")),
+{p}x AS (SELECT source, min(h) FILTER (upto > "left") AS edge, max(h) AS top FROM {p}e GROUP BY source),
+{p}t AS (
+  SELECT e.doc_id, e.source, e.size FROM {p}e e JOIN {p}x x ON e.source IS NOT DISTINCT FROM x.source
+  WHERE x.edge IS NULL OR e.h < x.edge),
+{p}l AS (
+  SELECT b.source, b."left" - coalesce((SELECT sum(t.size) FROM {p}t t WHERE t.source IS NOT DISTINCT FROM b.source), 0) AS "left",
+         coalesce(x.edge, x.top, b.floor_h) AS floor_h
+  FROM {b} b LEFT JOIN {p}x x ON b.source IS NOT DISTINCT FROM x.source)"""
+
+OP1 = (
+    r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents),
+src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight
+  FROM sized GROUP BY source),
+lev AS (
+  SELECT *, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / weight AS ratio FROM src),
+lev2 AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lam
+  FROM lev),
+tgt AS (
+  SELECT source, source_size,
+         least(cap, weight * (SELECT min_by(lam, ratio) FROM lev2 WHERE lam <= ratio)) AS target FROM lev2),
+b0 AS (
+  SELECT source, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size)::BIGINT END AS whole FROM tgt),
+ba AS (SELECT source, floor(target - whole * source_size)::BIGINT AS "left", -1 AS floor_h FROM b0),"""
+    + ",".join(_OP1_ROUND.format(p=p, b=b) for p, b in (("p", "ba"), ("q", "pl"), ("r", "ql")))
+    + r""",
+last AS (
+  SELECT e.doc_id FROM pe e JOIN px x ON e.source IS NOT DISTINCT FROM x.source JOIN rl l ON l.source IS NOT DISTINCT FROM e.source
+  WHERE e.h = x.edge AND e.size < 2 * l."left"),
+extra AS (SELECT doc_id FROM pt UNION ALL SELECT doc_id FROM qt UNION ALL SELECT doc_id FROM rt UNION ALL SELECT doc_id FROM last)
+SELECT d.doc_id, d.size, b0.source_size, b0.target, (d.size * (b0.whole + (d.doc_id IN (SELECT doc_id FROM extra))::BIGINT))::BIGINT AS taken
+FROM sized d JOIN b0 ON d.source IS NOT DISTINCT FROM b0.source
+"""
+)
+
+SQL |= {"op1_source_mix": OP1}

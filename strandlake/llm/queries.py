@@ -9,12 +9,24 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import oracles
 from strandlake.llm.exact_dedup import exact_dedup
+from strandlake.llm.sharding import shard_documents
+from strandlake.llm.source_mix import mix_sources
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources share the words of the corpus by weights 1, 2, 3, repeating."""
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("source").withColumnRenamed("row_id", "doc_id")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes, as ranges of text hash and id."""
+    return shard_documents(_table(spark, sf_dir, "documents"), shards=16).withColumnRenamed("row_id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older half of the ids is the snapshot, the rest the batch that comes in."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -25,6 +37,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mix": op1_source_mix,
+        "op3_sharding": op3_sharding,
         "op5_exact_dedup": op5_exact_dedup,
     }
 
