@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm import oracles
+from strandlake.llm.bpe import bpe_encode, token_digests
 from strandlake.llm.exact_dedup import exact_dedup
+from strandlake.llm.minhash_dedup import near_duplicates
 from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
 
@@ -27,6 +30,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=16).withColumnRenamed("row_id", "doc_id")
 
 
+def vocabulary_path() -> str:
+    """The vocabulary file of the queries; STRANDLAKE_TOKENIZERS names another folder."""
+    return os.path.join(os.environ.get("STRANDLAKE_TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and the text they decode to, as digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe_encode(docs, vocabulary_path(), decoded_col="decoded").drop("text")
+    return token_digests(encoded, "ids", "decoded")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older half of the ids is the snapshot, the rest the batch that comes in."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,11 +50,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs.where(old), docs.where(~old)).drop("is_new").withColumnRenamed("row_id", "doc_id")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).withColumnRenamed("row_id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
         "op3_sharding": op3_sharding,
+        "op4_bpe": op4_bpe,
         "op5_exact_dedup": op5_exact_dedup,
+        "op8_minhash_dedup": op8_minhash_dedup,
     }
 
 
