@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import small_side, written
+from strandlake.llm._runtime import written
 
 MAX_STEPS = 60
 
@@ -21,7 +21,7 @@ def _star(edges: DataFrame) -> DataFrame:
     The least neighbours are written before the join, so the edges of a node with
     very many of them can be split over several tasks.
     """
-    return edges.join(small_side(_least(edges)), "u")
+    return edges.join(written(_least(edges)), "u")
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -36,7 +36,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     marks = None
     for _ in range(MAX_STEPS):
-        both = written(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = written(large)
         small = _star(large)

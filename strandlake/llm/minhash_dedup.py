@@ -3,10 +3,10 @@
 A document is the set of its distinct word shingles. Documents with equal sets
 are one node, named by a digest of the set, so copies cost nothing further.
 Each node has bands of minimum hashes; nodes that share a band's key are
-candidates. Candidates are not paired with each other but with centres: a
-group's least node, then, among those that are still not connected with it,
-more centres, until each group is connected or all its members have been
-centres. A pair's signatures are compared in batches; after each batch the pair
+candidates. At first they are not paired with each other but with a centre, the
+least node they meet; that connects most groups. Only groups that are then
+still in several components are compared further, and only across components:
+small ones by a join, large ones block by block. A pair's signatures are compared in batches; after each batch the pair
 is dropped if, by the posterior of its similarity, the chance that it reaches
 the threshold is below the miss probability. Survivors are decided on full sets.
 """
@@ -17,6 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,9 @@ BANDS, ROWS = 28, 6
 BATCH = 24
 #: Chance that the posterior leaves a dropped pair to reach the threshold.
 MISS = 1e-4
-#: Centres that a group gets in each round.
-CENTRES = (1, 1, 4, 16)
+#: Members up to which an unconnected group is paired by a join; larger ones are compared in blocks of BLOCK_NODES.
+JOINED_GROUP = 48
+BLOCK_NODES = 256
 
 _seeds = np.random.default_rng(77).integers(1, 1 << 63, (2, 1024), dtype=U64)
 
@@ -156,6 +158,50 @@ def _with_both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left_value", "right_value")
 
 
+def _across_small(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components within each group; groups are small, so is the fan-out."""
+    one = rows.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = rows.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
+    return one.join(two, "key").where("a < b and ca != cb").select("a", "b")
+
+
+def _across_large(rows: DataFrame, sizes: DataFrame, signatures: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
+    """Pairs (a, b) of different components in large groups that no batch of signatures drops.
+
+    The members of a group's largest component meet only the others, not each other. Both
+    kinds are dealt into blocks, and each pair of blocks is one group of rows of bounded size.
+    """
+    count = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    major = count.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("n_major"))
+    shape = written(sizes.join(major, "key"))
+    blocks_of = lambda n: F.greatest(F.ceil(n / BLOCK_NODES), F.lit(1)).cast("int")
+    dealt = rows.join(shape, "key").withColumns({"minors": blocks_of(F.col("n") - F.col("n_major")), "majors": blocks_of(F.col("n_major")), "is_major": F.col("component") == F.col("major")})
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors"))).cast("int"))
+    count_to = lambda n: F.sequence(F.lit(0), n - 1)
+    task = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("own")
+    of_major = F.transform(count_to(F.col("minors")), lambda i: task(1, i, own))
+    of_minor = F.concat(F.transform(count_to(F.col("minors")), lambda j: task(0, F.least(j, own), F.greatest(j, own))), F.transform(count_to(F.col("majors")), lambda j: task(1, own, j)))
+    dealt = dealt.select("key", "node", "component", F.explode(F.when(F.col("is_major"), of_major).otherwise(of_minor)).alias("task"))
+    dealt = dealt.join(signatures, "node").select("key", "task.*", "node", "component", "signature")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        signature = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(len(pdf), -1)
+        component, node = pdf["component"].to_numpy(), pdf["node"].to_numpy()
+        number = np.unique(component, return_inverse=True)[1]
+        out = []
+        for i in range(len(pdf) - 1):
+            alive, matches, seen = np.flatnonzero(number[i + 1 :] != number[i]) + i + 1, 0, 0
+            matches = np.zeros(len(alive), np.int64)
+            for n, least in steps:
+                matches = matches + (signature[alive, seen:n] == signature[i, seen:n]).sum(axis=1)
+                alive, matches, seen = alive[matches >= least], matches[matches >= least], n
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in alive]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return dealt.groupBy("key", "kind", "i", "j").applyInPandas(compare, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """row_id, n_shingles, component_id, kept: one row for each document.
 
@@ -183,42 +229,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(_full_sets(texts.select("node", "text"), id_col, "text", shingle_words).dropDuplicates(["node"]))
 
     steps = least_matches(bands * rows, BATCH, percent / 100, miss)
-    links = components = None
-    for round_ in range(100_000):
-        if not active.take(1):
-            break
-        count = CENTRES[min(round_, len(CENTRES) - 1)]
-        chosen = active.groupBy("key").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"] for k in range(round_ * 16, round_ * 16 + count)])).alias("centres"))
-        if round_ == 0:  # the least node over all its groups is one centre for most members of a large component
-            chosen = active.groupBy("key").agg(F.array(F.min("node")).alias("centres"))
-        chosen = written(chosen.select("key", F.explode("centres").alias("centre")))
-        met = active.join(chosen, "key").where("node != centre")
-        if components is not None:
-            met = met.join(written(components.select(F.col("node").alias("centre"), F.col("component").alias("other"))), "centre", "left")
-            met = met.where("component is null or other is null or component != other")
-        if round_ == 0:
-            pairs = met.groupBy("node").agg(F.min("centre").alias("centre"))
-        else:
-            pairs = met.select("node", "centre")
-        pairs = written(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-        likely = written(_prune(_with_both(pairs, signatures, "signature"), steps))
-        found = _exact(_with_both(likely, sets, "members"), percent)
-        links = written(found if links is None else links.union(found))
-        components = written(connected_components(links))
-        # a centre has met its whole group, unless this round only took the best centre of each node
-        left = active.select("key", "node")
-        if round_:
-            left = left.join(chosen.withColumnRenamed("centre", "node"), ["key", "node"], "left_anti")
-        left = left.join(components, "node", "left")
-        left = written(left.select("key", "node", "component"))
-        name = F.coalesce("component", "node")
-        open_ = left.groupBy("key").agg(F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo != hi").select("key")
-        active = written(left.join(small_side(open_, 1_000_000), "key"))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        likely = written(_prune(_with_both(written(pairs.distinct()), signatures, "signature"), steps))
+        return _exact(_with_both(likely, sets, "members"), percent)
+
+    # first each node with the least centre of its groups
+    centres = written(active.groupBy("key").agg(F.min("node").alias("centre")))
+    nearest = active.join(centres, "key").where("node != centre").groupBy("node").agg(F.min("centre").alias("centre"))
+    links = written(judged(nearest.select(F.col("centre").alias("a"), F.col("node").alias("b"))))
+    components = written(connected_components(links))
+    # then, in groups that are still in several components, everything across them
+    named = written(active.join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+    open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").select("key", "n")
+    open_ = written(open_)
+    small, large = (written(named.join(small_side(open_.where(x).select("key")), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
+    pairs = _across_small(small)
+    if large.take(1):
+        pairs = pairs.union(_across_large(large, open_, signatures, steps))
+    more = written(judged(pairs))
+    if more.take(1):
+        components = written(connected_components(links.union(more)))
 
     rows_out = all_rows.select("row_id", "n_shingles", "node")
-    if components is not None:
-        rows_out = rows_out.join(components, "node", "left").withColumn("node", F.coalesce("component", "node")).drop("component")
-        rows_out = written(rows_out)
+    rows_out = written(rows_out.join(components, "node", "left").withColumn("node", F.coalesce("component", "node")).drop("component"))
     names = rows_out.where("node is not null").groupBy("node").agg(F.min("row_id").alias("name"), F.count(F.lit(1)).alias("n")).where("n > 1")
     rows_out = rows_out.join(written(names.select("node", "name")), "node", "left")
     name = F.coalesce("name", "row_id").cast(kind)
