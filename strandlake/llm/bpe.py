@@ -35,7 +35,7 @@ MAX_VOCABULARY_BYTES = 64 << 20
 MEMO = 200_000
 BLOCK = 1 << 20
 
-_WHITE = r"\t-\r \x85\xa0  -     　"
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split pattern of the vocabulary file, with its white space spelled out, and the line feed that parts chunks here.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + _WHITE + r"\p{L}\p{N}]+|\n")
 

@@ -57,3 +57,18 @@ FROM sized d JOIN b0 ON d.source IS NOT DISTINCT FROM b0.source
 )
 
 SQL |= {"op1_source_mix": OP1}
+
+OP10 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(text, '\', '\\'), '<', '\<') AS t, replace(replace(replace(role, '\', '\\'), '<', '\<'), chr(10), '\' || chr(10)) AS r FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(t) + length(r) + 15)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+SQL |= {"op10_chat_format": OP10}

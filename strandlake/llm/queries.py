@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import oracles
 from strandlake.llm.bpe import bpe_encode, token_digests
+from strandlake.llm.chat_format import format_chats, read_back
 from strandlake.llm.exact_dedup import exact_dedup
 from strandlake.llm.minhash_dedup import near_duplicates
 from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
+from strandlake.llm.substring_dedup import repeated_passages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +57,29 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).withColumnRenamed("row_id", "doc_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document shares with another."""
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts hold control strings, read back from the output."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"))
+    back = read_back(format_chats(rows))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
@@ -62,6 +87,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_minhash_dedup": op8_minhash_dedup,
+        "op9_substring_dedup": op9_substring_dedup,
+        "op10_chat_format": op10_chat_format,
     }
 
 
