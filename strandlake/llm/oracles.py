@@ -72,3 +72,19 @@ FROM e GROUP BY conv_id
 """
 
 SQL |= {"op10_chat_format": OP10}
+
+OP7 = r"""
+WITH v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e,
+         embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok FROM embeddings),
+p AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.ok AND b.ok AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (WITH RECURSIVE w(x, y) AS (SELECT x, y FROM p UNION SELECT w.x, p.y FROM w JOIN p ON w.y = p.x) SELECT x, min(y) AS y FROM w GROUP BY x)
+SELECT v.vec_id, (SELECT count(*) FROM p WHERE p.x = v.vec_id) AS n_links, least(v.vec_id, coalesce(r.y, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(r.y, v.vec_id)) AS kept
+FROM v LEFT JOIN r ON r.x = v.vec_id
+"""
+
+SQL |= {"op7_embedding_dedup": OP7}

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from strandlake.llm import oracles
 from strandlake.llm.bpe import bpe_encode, token_digests
 from strandlake.llm.chat_format import format_chats, read_back
+from strandlake.llm.embedding_dedup import link_embeddings
 from strandlake.llm.exact_dedup import exact_dedup
+from strandlake.llm.language_id import identify_languages, page_evidence, train_languages
 from strandlake.llm.minhash_dedup import near_duplicates
+from strandlake.llm.quality import score_quality
 from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
 from strandlake.llm.substring_dedup import repeated_passages
@@ -27,6 +30,20 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source").withColumnRenamed("row_id", "doc_id")
 
 
+def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The languages of docs, by a model of `documents`, with the markup and address of their pages."""
+    languages, model = train_languages(_table(spark, sf_dir, "documents"))
+    evidence = page_evidence(_table(spark, sf_dir, "pages")).withColumnRenamed("doc_id", "_page_doc")
+    rows = docs.select("doc_id", "text", F.col("source").alias("_source")).join(evidence, F.col("doc_id") == F.col("_page_doc"), "left")
+    rows = rows.withColumn("host", F.coalesce("host", "_source"))
+    return identify_languages(rows, languages, model, declared_col="declared", host_col="host", suffix_col="suffix")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document from its text, its page's markup and its host."""
+    return languages_of(spark, _table(spark, sf_dir, "documents"), sf_dir).withColumnRenamed("row_id", "doc_id")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of nearly equal bytes, as ranges of text hash and id."""
     return shard_documents(_table(spark, sf_dir, "documents"), shards=16).withColumnRenamed("row_id", "doc_id")
@@ -44,12 +61,26 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encoded, "ids", "decoded")
 
 
-def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The older half of the ids is the snapshot, the rest the batch that comes in."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with ids up to the middle of their range, and the rest (null ids too)."""
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
     old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(False))
-    return exact_dedup(docs.where(old), docs.where(~old)).drop("is_new").withColumnRenamed("row_id", "doc_id")
+    return docs.where(old), docs.where(~old)
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older half of the ids is the snapshot, the rest the batch that comes in."""
+    return exact_dedup(*halves(_table(spark, sf_dir, "documents"))).drop("is_new").withColumnRenamed("row_id", "doc_id")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labels that are not held out."""
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).withColumnRenamed("row_id", "doc_id")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.93."""
+    return link_embeddings(_table(spark, sf_dir, "embeddings")).withColumnRenamed("row_id", "vec_id")
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,15 +111,26 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mix": op1_source_mix,
+        "op2_language_id": op2_language_id,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_quality": op6_quality,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_chat_format": op10_chat_format,
+        "pipeline": pipeline,
     }
 
 

@@ -84,19 +84,8 @@ def _thresholds(sized: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
             return found
 
 
-def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_passes: int = MAX_PASSES, fill_rounds: int = 2) -> DataFrame:
-    """Every document with the words the mix takes of it: row_id, source, size, source_size, target, taken.
-
-    weights: (source, weight) with weight > 0, one row a source; a source it lacks gets none.
-    Without it, sources in code point order (null last) weigh 1, 2, 3, repeating. Together the
-    sources share the sum of all sizes. Documents are taken whole: `taken` is a multiple of
-    `size`, at most max_passes times it. A source first takes all documents below the hash at
-    which its budget would be passed; fill_rounds more thresholds then pass over the documents
-    above that fit into what is left; last, the document on the first edge is added if that
-    ends nearer to the target. A null or empty text has size 0 and takes 0. Rows with the same
-    id and text have one hash, so they are taken together or not at all. An empty table gives
-    an empty result; columns beside the three named are ignored.
-    """
+def _plan(docs: DataFrame, weights: DataFrame | None, id_col: str, text_col: str, source_col: str, max_passes: int, fill_rounds: int) -> tuple[DataFrame, DataFrame]:
+    """The sizes and hashes of all documents, and for each source its target, whole passes and hash rules."""
     sized = written(docs.select(F.col(id_col).alias("row_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), mix_hash(F.col(id_col), F.col(text_col)).alias("h")))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
@@ -130,8 +119,42 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
         plan = written(joined.withColumns(change).select(*plan.columns))
     edge_rule = F.array(F.struct((F.col("edge_a") - 1).alias("after"), F.col("edge_a").alias("upto"), F.lit(ANY_SIZE).cast("long").alias("most")))
     rules = F.when(F.coalesce(F.col("at_a") < 2 * F.col("left"), F.lit(False)), F.concat("rules", edge_rule)).otherwise(F.col("rules"))
-    plan = plan.select(F.col("source").alias("s"), "source_size", "target", "whole", rules.alias("rules"))
-    rows = sized.join(side(plan), F.col("source").eqNullSafe(F.col("s")), "left")
-    extra = F.exists("rules", lambda r: (F.col("h") > r["after"]) & (F.col("h") <= r["upto"]) & (F.col("size") <= r["most"]))
-    taken = F.coalesce(F.col("size") * (F.col("whole") + extra.cast("long")), F.lit(0)).cast("long")
-    return rows.select("row_id", "source", "size", F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), taken.alias("taken"))
+    plan = plan.select(F.col("source").alias("_mix_source"), F.col("source_size").alias("_mix_size"), F.col("target").alias("_mix_target"), F.col("whole").alias("_mix_whole"), rules.alias("_mix_rules"))
+    return sized, side(plan)
+
+
+def _passes(rows: DataFrame, plan: DataFrame, source: str, size: str, h: str) -> DataFrame:
+    """rows with _mix_passes, the number of times each is taken."""
+    met = rows.join(plan, F.col(source).eqNullSafe(F.col("_mix_source")), "left")
+    extra = F.exists("_mix_rules", lambda r: (F.col(h) > r["after"]) & (F.col(h) <= r["upto"]) & (F.col(size) <= r["most"]))
+    return met.withColumn("_mix_passes", F.when(F.col(size) > 0, F.coalesce(F.col("_mix_whole") + extra.cast("long"), F.lit(0))).otherwise(0))
+
+
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_passes: int = MAX_PASSES, fill_rounds: int = 2) -> DataFrame:
+    """Every document with the words the mix takes of it: row_id, source, size, source_size, target, taken.
+
+    weights: (source, weight) with weight > 0, one row a source; a source it lacks gets none.
+    Without it, sources in code point order (null last) weigh 1, 2, 3, repeating. Together the
+    sources share the sum of all sizes. Documents are taken whole: `taken` is a multiple of
+    `size`, at most max_passes times it. A source first takes all documents below the hash at
+    which its budget would be passed; fill_rounds more thresholds then pass over the documents
+    above that fit into what is left; last, the document on the first edge is added if that
+    ends nearer to the target. A null or empty text has size 0 and takes 0. Rows with the same
+    id and text have one hash, so they are taken together or not at all. An empty table gives
+    an empty result; columns beside the three named are ignored.
+    """
+    sized, plan = _plan(docs, weights, id_col, text_col, source_col, max_passes, fill_rounds)
+    rows = _passes(sized, plan, "source", "size", "h")
+    whole = {"source_size": F.coalesce("_mix_size", F.lit(0)).cast("long"), "target": F.coalesce("_mix_target", F.lit(0.0)), "taken": F.col("size") * F.col("_mix_passes")}
+    return rows.select("row_id", "source", "size", *[c.alias(k) for k, c in whole.items()])
+
+
+def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_passes: int = MAX_PASSES, fill_rounds: int = 2) -> DataFrame:
+    """docs themselves, each row as many times as mix_sources takes it, with all their columns.
+
+    The thresholds are applied to the rows where they lie: no text is shuffled.
+    """
+    _, plan = _plan(docs, weights, id_col, text_col, source_col, max_passes, fill_rounds)
+    rows = docs.withColumns({"_mix_words": word_count(F.col(text_col)), "_mix_h": mix_hash(F.col(id_col), F.col(text_col))})
+    rows = _passes(rows, plan, source_col, "_mix_words", "_mix_h").where("_mix_passes > 0")
+    return rows.withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), F.col("_mix_passes")))).select(*[F.col(f"`{c}`") for c in docs.columns])
