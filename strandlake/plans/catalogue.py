@@ -2,10 +2,568 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strandlake.functions import reads as R
+from strandlake.operators import counting as C
+from strandlake.operators import coverage as V
+from strandlake.operators import intervals as I
+from strandlake.operators import preprocess as P
+from strandlake.operators import stats as S
+from strandlake.plans import views
+from strandlake.plans.views import with_views
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_FOUND: dict[str, tuple[Query, str]] = {}
+CHROMOSOMES = [(f"chr{i}", 20100) for i in range(5)]
+LENGTHS_SQL = "lengths AS (SELECT 'chr' || i AS chrom, 20100::BIGINT AS length FROM range(5) t(i))"
+ADAPTER = "GATCGGAAGAGCACACGTCT"
+
+
+def _lengths(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CHROMOSOMES, "chrom string, length long")
+
+
+def query(name: str, views_: str, sql: str) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _FOUND[name] = (f, with_views(views_, sql))
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return {k: f for k, (f, _) in _FOUND.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: sql for k, (_, sql) in _FOUND.items()}
+
+
+# ------------------------------------------------------------------- reads
+
+
+@query("trim_reads", "reads", "SELECT id, substr(seq1, 6, 50) AS seq1, substr(qual1, 6, 50) AS qual1, substr(seq2, 6, 50) AS seq2, substr(qual2, 6, 50) AS qual2 FROM reads")
+def trim_reads(spark, d):
+    return P.trim_reads(views.reads(spark, d), 50, 5)
+
+
+_TAIL = "t AS (SELECT id, regexp_replace(qual1, '[!-#]+$', '') AS qual1, regexp_replace(qual2, '[!-#]+$', '') AS qual2, seq1, seq2 FROM reads),\ntt AS (SELECT id, substr(seq1, 1, length(qual1)) AS seq1, qual1, substr(seq2, 1, length(qual2)) AS seq2, qual2 FROM t)"
+
+
+@query("trim_quality_tail", "reads", f",\n{_TAIL} SELECT * FROM tt")
+def trim_quality_tail(spark, d):
+    return P.trim_tails(views.reads(spark, d), "#")
+
+
+@query("filter_length", "reads", "SELECT id, length(seq1) AS len1, length(seq2) AS len2 FROM reads WHERE length(seq1) >= 70 AND length(seq2) >= 70")
+def filter_length(spark, d):
+    return P.filter_length(views.reads(spark, d), 70).select("id", F.length("seq1").alias("len1"), F.length("seq2").alias("len2"))
+
+
+_GOOD = "length(regexp_replace({q}, '[^8-~]', '', 'g'))::DOUBLE / nullif(length({q}), 0) > 0.7"
+_HIGH = f"{_TAIL},\nhigh AS (SELECT * FROM tt WHERE length(seq1) >= 1 AND length(seq2) >= 1 AND {_GOOD.format(q='qual1')} AND {_GOOD.format(q='qual2')})"
+
+
+@query("filter_quality", "reads", f",\n{_HIGH} SELECT * FROM high")
+def filter_quality(spark, d):
+    return P.filter_quality(views.reads(spark, d), "illumina1.8", 23, 0.7)
+
+
+_ENC = ", ".join(f"({i}, '{n}', {lo}, {hi})" for i, (n, lo, hi) in enumerate(R.ENCODINGS))
+
+
+@query("quality_encoding", "reads", f""",
+c AS (SELECT unnest(string_split(qual1, '')) AS c FROM (SELECT * FROM reads ORDER BY id LIMIT 5000)),
+m AS (SELECT min(ascii(c)) AS lo, max(ascii(c)) AS hi FROM c WHERE c <> '')
+SELECT e.encoding, e.rank FROM (VALUES {_ENC}) e(rank, encoding, low, high), m WHERE m.lo >= e.low AND m.hi <= e.high""")
+def quality_encoding(spark, d):
+    return P.detect_encoding(views.reads(spark, d))
+
+
+@query("adapter_flag", "reads", f""",
+r AS (SELECT id, CASE WHEN id::BIGINT % 7 = 0 THEN substr(seq1, 1, 60) || substr('{ADAPTER}', 1, 15) ELSE seq1 END AS s FROM reads),
+p AS (SELECT id, s, unnest(generate_series(1 - {len(ADAPTER)}, length(s) - 1)) AS d FROM r),
+q AS (SELECT id, d, substr(s, (greatest(d, 0) + 1)::INT, (least(length(s), d + {len(ADAPTER)}) - greatest(d, 0))::INT) AS a,
+  substr('{ADAPTER}', (greatest(d, 0) - d + 1)::INT, (least(length(s), d + {len(ADAPTER)}) - greatest(d, 0))::INT) AS b FROM p),
+s AS (SELECT id, len(list_filter(generate_series(1, length(a)), lambda i: a[i] = b[i])) AS same, length(a) AS n FROM q),
+f AS (SELECT id, max(same * {R.MATCH} + (n - same) * ({R.MISMATCH})) > {R.ADAPTER_CUTOFF} AS adapter FROM s GROUP BY id)
+SELECT r.id, coalesce(f.adapter, false) AS adapter FROM r LEFT JOIN f USING (id)""")
+def adapter_flag(spark, d):
+    spiked = F.when(F.col("id").cast("long") % 7 == 0, F.concat(F.substring("seq1", 1, 60), F.lit(ADAPTER[:15]))).otherwise(F.col("seq1"))
+    return P.flag_adapters(views.reads(spark, d).withColumn("seq1", spiked), ADAPTER).select("id", "adapter")
+
+
+@query("rrna_filter", "reads", "SELECT id FROM reads WHERE id NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE toxic = 1)")
+def rrna_filter(spark, d):
+    bad = views.table(spark, d, "labels").where("toxic = 1").select(F.concat(F.col("doc_id").cast("string"), F.lit("/1")).alias("id"))
+    ids = bad.select(R.normal_id(F.col("id")).alias("id"))
+    named = views.reads(spark, d).select(F.concat("id", F.lit("/1 lane")).alias("id"))
+    return P.remove_contaminated(named.select(F.regexp_replace("id", " lane$", "").alias("id")), ids).select(R.normal_id(F.col("id")).alias("id"))
+
+
+@query("subsample_exact", "reads", "SELECT id, seq1 FROM (SELECT id, seq1, row_number() OVER (ORDER BY md5(id), id) AS n FROM reads) WHERE n <= 300")
+def subsample_exact(spark, d):
+    return P.subsample(views.reads(spark, d), 300).select("id", "seq1")
+
+
+_BY = "(id::BIGINT % 3)::VARCHAR"
+_SUM = f""",
+{_HIGH},
+b AS (SELECT {_BY} AS run, count(*) AS total_reads, min(length(seq1)) AS input_min_read_length, max(length(seq1)) AS input_max_read_length FROM reads GROUP BY 1),
+a AS (SELECT {_BY} AS run, count(*) AS highqual_reads, min(length(seq1)) AS processed_min_read_length, max(length(seq1)) AS processed_max_read_length FROM high GROUP BY 1),
+s AS (SELECT b.*, coalesce(highqual_reads, 0) AS highqual_reads, processed_min_read_length, processed_max_read_length FROM b LEFT JOIN a USING (run))
+"""
+
+
+def _summaries(spark, d):
+    rows = views.reads(spark, d).withColumn("run", (F.col("id").cast("long") % 3).cast("string"))
+    return P.summary(rows, P.filter_quality(rows, "illumina1.8", 23, 0.7), ["run"])
+
+
+@query("preprocess_summary", "reads", f"{_SUM} SELECT * FROM s")
+def preprocess_summary(spark, d):
+    return _summaries(spark, d)
+
+
+@query("merge_preprocess", "reads", f"""{_SUM} SELECT sum(total_reads)::BIGINT AS total_reads, min(input_min_read_length) AS input_min_read_length, max(input_max_read_length) AS input_max_read_length,
+sum(highqual_reads)::BIGINT AS highqual_reads, min(processed_min_read_length) AS processed_min_read_length, max(processed_max_read_length) AS processed_max_read_length FROM s""")
+def merge_preprocess(spark, d):
+    return P.merge_summaries(_summaries(spark, d))
+
+
+@query("read_funnel", "reads", f""",
+{_HIGH},
+n AS (SELECT 1 AS step, 'total' AS name, (SELECT count(*) FROM reads) AS n UNION ALL SELECT 2, 'highqual', (SELECT count(*) FROM high) UNION ALL SELECT 3, 'long', (SELECT count(*) FROM high WHERE length(seq1) >= 70))
+SELECT step, name, n, round(n * 100.0 / first_value(n) OVER (ORDER BY step), 2)::DOUBLE AS percent FROM n""")
+def read_funnel(spark, d):
+    rows = views.reads(spark, d)
+    high = P.filter_quality(rows, "illumina1.8", 23, 0.7).select("id", F.length("seq1").alias("len"), F.lit(True).alias("high"))
+    marked = rows.select("id").join(high, "id", "left").agg(F.count(F.lit(1)).alias("a"), F.count("high").alias("b"), F.count_if(F.col("len") >= 70).alias("c"))
+    long = marked.select("a", F.expr("stack(3, 1, 'total', a, 2, 'highqual', b, 3, 'long', c) as (step, name, n)"))
+    return long.select("step", "name", "n", F.round(F.col("n") * 100.0 / F.col("a"), 2).cast("double").alias("percent"))
+
+
+@query("per_cycle_qa", "reads", """,
+c AS (SELECT i AS cycle, seq1[i] AS base, ascii(qual1[i]) - 33 AS q FROM (SELECT seq1, qual1, unnest(generate_series(1, length(seq1)))::INT AS i FROM reads))
+SELECT cycle, count(*) AS n, avg(q) AS mean_quality, count(*) FILTER (base = 'A') AS "A", count(*) FILTER (base = 'C') AS "C", count(*) FILTER (base = 'G') AS "G", count(*) FILTER (base = 'T') AS "T" FROM c GROUP BY cycle""")
+def per_cycle_qa(spark, d):
+    return P.per_cycle(views.reads(spark, d))
+
+
+# -------------------------------------------------------------- alignments
+
+
+@query("category_unique_reads", "alignments", "SELECT category, count(DISTINCT qname) AS reads FROM alignments GROUP BY category")
+def category_unique_reads(spark, d):
+    return S.unique_reads(views.alignments(spark, d))
+
+
+@query("analyzed_reads", "alignments", "SELECT chrom, count(*) AS records FROM alignments WHERE category = 'concordant_uniq' GROUP BY chrom")
+def analyzed_reads(spark, d):
+    return S.analyzed(views.alignments(spark, d)).groupBy("chrom").agg(F.count(F.lit(1)).alias("records"))
+
+
+_NM = ", ".join(f"count(*) FILTER (nm = {i}) AS nm_{i}" for i in range(8))
+
+
+@query("bam_stats_nm", "alignments", f"SELECT run, count(*) AS total, sum(nm)::BIGINT AS nm_sum, sum(nm * nm)::BIGINT AS nm_sum2, {_NM}, count(*) FILTER (nm >= 8) AS nm_8 FROM alignments GROUP BY run")
+def bam_stats_nm(spark, d):
+    return S.edit_statistics(views.alignments(spark, d), ["run"])
+
+
+_MQ = ", ".join(f"count(*) FILTER (mapq = {i}) AS mapq_{i}" for i in range(37, 41))
+
+
+@query("bam_stats_mapq", "alignments", f"SELECT run, sum(mapq)::BIGINT AS mapq_sum, sum(mapq * mapq)::BIGINT AS mapq_sum2, count(*) FILTER (mapq <= 36) AS mapq_36, {_MQ}, count(*) FILTER (mapq >= 41) AS mapq_41 FROM alignments GROUP BY run")
+def bam_stats_mapq(spark, d):
+    return S.mapq_statistics(views.alignments(spark, d), ["run"])
+
+
+_OPS = ", ".join(f"sum(len(regexp_extract_all(cigar, '{v}')))::BIGINT AS ops_{k}, count(*) FILTER (regexp_matches(cigar, '{v}')) AS with_{k}" for k, v in (("s", "S"), ("n", "N"), ("id", "[ID]")))
+
+
+@query("bam_stats_cigar", "alignments", f"SELECT run, sum(length(cigar))::BIGINT AS cigar_sum, sum(length(cigar) * length(cigar))::BIGINT AS cigar_sum2, {_OPS} FROM alignments GROUP BY run")
+def bam_stats_cigar(spark, d):
+    return S.cigar_statistics(views.alignments(spark, d), ["run"])
+
+
+@query("bam_chrom_bins", "alignments", f",\n{LENGTHS_SQL} SELECT l.chrom, count(a.qname) AS records FROM lengths l LEFT JOIN alignments a USING (chrom) GROUP BY l.chrom")
+def bam_chrom_bins(spark, d):
+    return S.chromosome_counts(views.alignments(spark, d), _lengths(spark))
+
+
+@query("insert_size_bins", "alignments", """,
+b AS (SELECT (least(ceil((abs(isize) - 1) / 10.0) - 1, 59) * 10 + 1)::INT AS left_edge, count(*) AS records FROM alignments WHERE abs(isize) > 1 GROUP BY 1)
+SELECT (i * 10 + 1)::INT AS left_edge, coalesce(records, 0) AS records FROM range(60) t(i) LEFT JOIN b ON b.left_edge = i * 10 + 1""")
+def insert_size_bins(spark, d):
+    return S.insert_size_bins(views.alignments(spark, d))
+
+
+@query("flag_mate", "alignments", "SELECT CASE WHEN flag % 256 < 128 THEN 1 ELSE 2 END AS mate_number, count(*) AS records FROM alignments GROUP BY 1")
+def flag_mate(spark, d):
+    return views.alignments(spark, d).groupBy(R.mate_number(F.col("flag")).alias("mate_number")).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("cigar_blocks", "alignments", """
+SELECT qname, mate, pos AS start, pos + CASE WHEN cigar LIKE '%N%' THEN floor(width / 2)::INT ELSE width END - 1 AS "end" FROM alignments
+UNION ALL SELECT qname, mate, pos + floor(width / 2)::INT + 100, pos + width + 99 FROM alignments WHERE cigar LIKE '%N%'""")
+def cigar_blocks(spark, d):
+    return views.alignments(spark, d).select("qname", "mate", F.inline(R.cigar_blocks(F.col("pos"), F.col("cigar"))))
+
+
+@query("target_length_summary", "alignments", """,
+u AS (SELECT abs(isize) AS x FROM alignments WHERE flag & 512 = 0 AND flag & 1024 = 0),
+e AS (SELECT x, false AS trimmed FROM u UNION ALL SELECT x, true FROM u WHERE x < 600)
+SELECT trimmed, quantile_cont(x, 0.0) AS "min", quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3, quantile_cont(x, 1.0) AS "max", avg(x) AS mean FROM e GROUP BY trimmed""")
+def target_length_summary(spark, d):
+    return S.target_lengths(views.alignments(spark, d))
+
+
+@query("mark_duplicates", "alignments", """,
+m AS (SELECT qname, mate, chrom, row_number() OVER (PARTITION BY chrom, CASE WHEN strand = '-' THEN pos + width - 1 ELSE pos END, strand, mate ORDER BY mapq DESC, nm, qname) > 1 AS is_dup FROM alignments)
+SELECT qname, mate, is_dup FROM m""")
+def mark_duplicates(spark, d):
+    return S.mark_duplicates(views.alignments(spark, d)).select("qname", "mate", "is_dup")
+
+
+@query("sanity_check", "alignments", """SELECT sum(CASE WHEN category LIKE '%_uniq' THEN 1 ELSE 0 END)::BIGINT AS unique_records, sum(CASE WHEN category LIKE '%_mult' THEN 1 ELSE 0 END)::BIGINT AS multiple_records,
+count(*) AS processed, unique_records + multiple_records = processed AS complete, unique_records > multiple_records AS mostly_unique FROM alignments""")
+def sanity_check(spark, d):
+    a = views.alignments(spark, d).agg(F.count_if(F.col("category").endswith("_uniq")).alias("unique_records"), F.count_if(F.col("category").endswith("_mult")).alias("multiple_records"), F.count(F.lit(1)).alias("processed"))
+    return a.withColumns({"complete": F.col("unique_records") + F.col("multiple_records") == F.col("processed"), "mostly_unique": F.col("unique_records") > F.col("multiple_records")})
+
+
+# ----------------------------------------------------------------- counts
+
+_HITS = """hits AS (SELECT DISTINCT f.feature_set, f.name, b.groupid FROM features f JOIN blocks b ON f.chrom = b.chrom AND f.start <= b."end" AND b.start <= f."end")"""
+_COUNTS = f"""{_HITS},
+counts AS (SELECT f.feature_set, f.name, count(h.groupid) AS "count", any_value(f."end" - f.start + 1)::BIGINT AS width FROM features f LEFT JOIN hits h USING (feature_set, name) GROUP BY f.feature_set, f.name)"""
+
+
+def _counts(spark, d):
+    return C.count_features(views.features(spark, d), views.blocks(spark, d))
+
+
+@query("count_features", "alignments features", f",\n{_COUNTS} SELECT * FROM counts")
+def count_features(spark, d):
+    return _counts(spark, d)
+
+
+@query("count_features_nbreads", "alignments features", f",\n{_HITS} SELECT feature_set, count(DISTINCT groupid) AS nbreads FROM hits GROUP BY feature_set")
+def count_features_nbreads(spark, d):
+    return C.reads_by_set(views.features(spark, d), views.blocks(spark, d))
+
+
+@query("feature_width", "features", 'SELECT feature_set, name, ("end" - start + 1)::BIGINT AS width FROM features')
+def feature_width(spark, d):
+    return C.feature_widths(views.features(spark, d))
+
+
+@query("rpkm", "alignments features", f""",\n{_COUNTS} SELECT feature_set, name, "count", width, round(1e9 * "count" / ((SELECT count(DISTINCT groupid) FROM blocks) * width), 6) AS rpkm FROM counts""")
+def rpkm(spark, d):
+    blocks = views.blocks(spark, d)
+    counted = C.add_rpkm(_counts(spark, d), blocks.agg(F.countDistinct("groupid").alias("n")))
+    return counted.withColumn("rpkm", F.round("rpkm", 6))
+
+
+@query("count_stats", "alignments features", f""",\n{_COUNTS} SELECT feature_set, count(*) FILTER ("count" >= 1) AS at_least_1, count(*) FILTER ("count" >= 10) AS at_least_10, count(*) FILTER ("count" >= 100) AS at_least_100,
+round(avg("count"), 6) AS mean, quantile_cont("count", 0.0) AS "min", quantile_cont("count", 0.25) AS q25, quantile_cont("count", 0.5) AS median, quantile_cont("count", 0.75) AS q75, quantile_cont("count", 1.0) AS "max" FROM counts GROUP BY feature_set""")
+def count_stats(spark, d):
+    return C.count_statistics(_counts(spark, d)).withColumn("mean", F.round("mean", 6))
+
+
+@query("features_detected", "alignments features", f""",\n{_COUNTS} SELECT feature_set, count(*) FILTER ("count" > 0) AS detected, count(*) AS total, count(*) FILTER ("count" > 10) AS gt_10 FROM counts GROUP BY feature_set""")
+def features_detected(spark, d):
+    return C.detected(_counts(spark, d))
+
+
+@query("survival_curve", "alignments features", f""",\n{_COUNTS},
+n AS (SELECT "count" AS value, count(*) AS n FROM counts GROUP BY 1), s AS (SELECT value, sum(n) OVER (ORDER BY value DESC)::BIGINT AS num FROM n)
+SELECT value, num, round(num * 100.0 / max(num) OVER (), 6)::DOUBLE AS percent FROM s""")
+def survival_curve(spark, d):
+    return C.survival(_counts(spark, d)).withColumn("percent", F.round("percent", 6))
+
+
+def _counts_by_run(spark, d):
+    blocks, features = views.blocks(spark, d), views.features(spark, d)
+    pairs = I.overlap_join(I.left_side(features), I.right_side(blocks.select("groupid", "chrom", "start", "end", "run")))
+    hits = pairs.select("feature_set", "name", "run", "groupid").distinct().groupBy("feature_set", "name", "run").agg(F.count(F.lit(1)).alias("count"))
+    return hits.join(C.feature_widths(features), ["feature_set", "name"])
+
+
+@query("merge_counts", "alignments features", f",\n{_COUNTS} SELECT * FROM counts WHERE \"count\" > 0")
+def merge_counts(spark, d):
+    return C.merge_counts(_counts_by_run(spark, d)).select("feature_set", "name", "count", "width")
+
+
+@query("summary_counts", "alignments features", f""",\n{_COUNTS}
+SELECT 'counts_' || feature_set || '_nbfeatures' AS name, count(*) FILTER ("count" > 0) AS value FROM counts GROUP BY feature_set
+UNION ALL SELECT 'counts_' || feature_set || '_nbreads', count(DISTINCT groupid) FROM hits GROUP BY feature_set""")
+def summary_counts(spark, d):
+    one = C.detected(_counts(spark, d)).select(F.concat(F.lit("counts_"), "feature_set", F.lit("_nbfeatures")).alias("name"), F.col("detected").alias("value"))
+    two = C.reads_by_set(views.features(spark, d), views.blocks(spark, d)).select(F.concat(F.lit("counts_"), "feature_set", F.lit("_nbreads")).alias("name"), F.col("nbreads").alias("value"))
+    return one.union(two)
+
+
+# --------------------------------------------------------------- coverage
+
+
+def _runs_sql(source: str, name: str = "runs") -> str:
+    return f"""{name}_e AS (SELECT chrom, edge, sum(w) AS w FROM (SELECT chrom, start AS edge, 1 AS w FROM {source} UNION ALL SELECT chrom, "end" + 1, -1 FROM {source}) GROUP BY chrom, edge HAVING sum(w) <> 0),
+{name} AS (SELECT chrom, edge::BIGINT AS start, (lead(edge) OVER (PARTITION BY chrom ORDER BY edge) - 1)::BIGINT AS "end", (sum(w) OVER (PARTITION BY chrom ORDER BY edge))::BIGINT AS depth FROM {name}_e QUALIFY depth <> 0)"""
+
+
+@query("coverage_runs", "alignments", f",\n{_runs_sql('blocks')} SELECT * FROM runs")
+def coverage_runs(spark, d):
+    return V.coverage_runs(views.blocks(spark, d))
+
+
+@query("coverage_stats", "alignments", f""",\n{LENGTHS_SQL},\n{_runs_sql('blocks')},
+s AS (SELECT chrom, sum(depth * ("end" - start + 1)) AS b, sum("end" - start + 1) FILTER (depth >= 1) AS g1, coalesce(sum("end" - start + 1) FILTER (depth >= 2), 0) AS g2, coalesce(sum("end" - start + 1) FILTER (depth >= 5), 0) AS g5 FROM runs GROUP BY chrom),
+t AS (SELECT chrom, length, b, g1, g2, g5 FROM lengths JOIN s USING (chrom)), u AS (SELECT * FROM t UNION ALL SELECT 'genome', sum(length), sum(b), sum(g1), sum(g2), sum(g5) FROM t)
+SELECT chrom, round(b / length, 6)::DOUBLE AS mean, round(g1 / length, 6)::DOUBLE AS ge1, round(g2 / length, 6)::DOUBLE AS ge2, round(g5 / length, 6)::DOUBLE AS ge5 FROM u""")
+def coverage_stats(spark, d):
+    out = V.coverage_statistics(V.coverage_runs(views.blocks(spark, d)), _lengths(spark))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "ge1", "ge2", "ge5")})
+
+
+@query("coverage_extended_pairs", "alignments", f""",
+p AS (SELECT groupid, chrom, min(start) AS start, max("end") AS "end" FROM blocks GROUP BY groupid, chrom), q AS (SELECT * FROM p WHERE "end" - start + 1 < 5000),
+{_runs_sql('q')} SELECT * FROM runs""")
+def coverage_extended_pairs(spark, d):
+    return V.coverage_runs(V.extended_pairs(views.blocks(spark, d), 5000))
+
+
+@query("coverage_resized", "alignments", f""",
+p AS (SELECT chrom, greatest(CASE WHEN strand = '-' THEN "end" - 149 ELSE start END, 1) AS start, CASE WHEN strand = '-' THEN "end" ELSE start + 149 END AS "end" FROM blocks),
+{_runs_sql('p')} SELECT * FROM runs""")
+def coverage_resized(spark, d):
+    return V.coverage_runs(V.resized_blocks(views.blocks(spark, d), 150))
+
+
+@query("coverage_max_fragment", "alignments", f""",\np AS (SELECT * FROM blocks WHERE "end" - start + 1 < 30),\n{_runs_sql('p')} SELECT * FROM runs""")
+def coverage_max_fragment(spark, d):
+    return V.coverage_runs(views.blocks(spark, d).where(F.col("end") - F.col("start") + 1 < 30))
+
+
+@query("coverage_merge_lanes", "alignments", f",\n{_runs_sql('blocks')} SELECT * FROM runs")
+def coverage_merge_lanes(spark, d):
+    blocks = views.blocks(spark, d)
+    return V.merge_runs(I.sweep(blocks, ["run", "chrom"]).drop("run"))
+
+
+@query("coverage_sparsity", "alignments", f""",\n{_runs_sql('blocks')} SELECT count(*) AS n_runs, 100500::BIGINT AS length, count(*) / 100500.0 < 0.1 AS sparse FROM runs""")
+def coverage_sparsity(spark, d):
+    return V.sparsity(V.coverage_runs(views.blocks(spark, d)), _lengths(spark))
+
+
+@query("checksum_coverage", "alignments", f""",\n{_runs_sql('blocks')} SELECT sum(depth * (start + "end") * ("end" - start + 1) / 2)::BIGINT AS checksum FROM runs""")
+def checksum_coverage(spark, d):
+    return V.checksum(V.coverage_runs(views.blocks(spark, d)))
+
+
+@query("fragment_length_weighted", "alignments", """,
+e AS (SELECT chrom, count(*) AS n, round(avg(width)) AS length FROM alignments GROUP BY chrom) SELECT round(sum(length * n) / sum(n))::BIGINT AS fragment_length FROM e""")
+def fragment_length_weighted(spark, d):
+    return V.weighted_fragment_length(views.alignments(spark, d).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("width")).alias("length")))
+
+
+# -------------------------------------------------------- interval algebra
+
+
+def _reduce_sql(source: str, name: str, keys: str) -> str:
+    return f"""{name}_m AS (SELECT {keys}, start, "end", max("end") OVER (PARTITION BY {keys} ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {source}),
+{name}_i AS (SELECT *, sum(CASE WHEN start > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM {name}_m),
+{name} AS (SELECT {keys}, min(start)::BIGINT AS start, max("end")::BIGINT AS "end" FROM {name}_i GROUP BY {keys}, island)"""
+
+
+_KEYS = ["gene", "chrom", "strand"]
+
+
+@query("iv_range", "alignments", 'SELECT gene, chrom, strand, min(start) AS start, max("end") AS "end" FROM exons GROUP BY gene, chrom, strand')
+def iv_range(spark, d):
+    return I.span(views.exons(spark, d), _KEYS)
+
+
+@query("iv_reduce", "alignments", f",\n{_reduce_sql('exons', 'r', 'gene, chrom, strand')} SELECT * FROM r")
+def iv_reduce(spark, d):
+    return I.merge_adjacent(views.exons(spark, d), _KEYS).withColumns({c: F.col(c).cast("long") for c in ("start", "end")})
+
+
+_DISJOIN = """cuts AS (SELECT DISTINCT chrom, edge FROM (SELECT chrom, start AS edge FROM features UNION ALL SELECT chrom, "end" + 1 FROM features)),
+pieces AS (SELECT chrom, edge::BIGINT AS start, (lead(edge) OVER (PARTITION BY chrom ORDER BY edge) - 1)::BIGINT AS "end" FROM cuts),
+dis AS (SELECT p.chrom, p.start, p."end", count(*) AS depth FROM pieces p JOIN features f ON p.chrom = f.chrom AND p.start >= f.start AND p."end" <= f."end" GROUP BY ALL)"""
+
+
+@query("iv_disjoin", "features", f",\n{_DISJOIN} SELECT * FROM dis")
+def iv_disjoin(spark, d):
+    return I.disjoin(views.features(spark, d), ["chrom"])
+
+
+@query("iv_gaps", "features", f""",\n{LENGTHS_SQL},\n{_reduce_sql('features', 'r', 'chrom')},
+g AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY start), 0) + 1 AS start, start - 1 AS "end" FROM r
+  UNION ALL SELECT chrom, max("end") + 1, any_value(length) FROM r JOIN lengths USING (chrom) GROUP BY chrom)
+SELECT chrom, start::BIGINT AS start, "end"::BIGINT AS "end" FROM g WHERE start <= "end\"""")
+def iv_gaps(spark, d):
+    out = I.gaps(views.features(spark, d), ["chrom"], _lengths(spark))
+    return out.withColumns({c: F.col(c).cast("long") for c in ("start", "end")})
+
+
+def _set_sql(a: str, b: str, keys: str, test: str) -> str:
+    """Positions one by one: an oracle that shares nothing with the sweep."""
+    return f"""pa AS (SELECT DISTINCT {keys}, unnest(generate_series(start::BIGINT, "end"::BIGINT)) AS p FROM {a}),
+pb AS (SELECT DISTINCT {keys}, unnest(generate_series(start::BIGINT, "end"::BIGINT)) AS p FROM {b}),
+k AS (SELECT * FROM pa {test} SELECT * FROM pb),
+j AS (SELECT *, p - row_number() OVER (PARTITION BY {keys} ORDER BY p) AS island FROM k)
+SELECT {keys}, min(p)::BIGINT AS start, max(p)::BIGINT AS "end" FROM j GROUP BY {keys}, island"""
+
+
+@query("iv_setdiff", "alignments", f",\n{_set_sql('exons', 'coding', 'gene, chrom, strand', 'EXCEPT')}")
+def iv_setdiff(spark, d):
+    return I.set_difference(views.exons(spark, d), views.coding(spark, d), _KEYS)
+
+
+@query("iv_intersect", "alignments features", ",\nfx AS (SELECT chrom, start, \"end\" FROM features WHERE name::INT % 3 = 0), fy AS (SELECT chrom, start, \"end\" FROM features WHERE name::INT % 3 = 1),\n" + _set_sql("fx", "fy", "chrom", "INTERSECT"))
+def iv_intersect(spark, d):
+    f = views.features(spark, d)
+    return I.intersection(f.where("cast(name as int) % 3 = 0"), f.where("cast(name as int) % 3 = 1"), ["chrom"])
+
+
+@query("iv_tiles", "mask", f",\n{LENGTHS_SQL} SELECT chrom, s AS start, least(s + 999, length) AS \"end\" FROM (SELECT chrom, length, unnest(generate_series(1::BIGINT, length, 1000)) AS s FROM lengths)")
+def iv_tiles(spark, d):
+    return I.tiles(_lengths(spark), 1000)
+
+
+@query("single_gene_pieces", "alignments", """,
+cuts AS (SELECT DISTINCT chrom, edge FROM (SELECT chrom, start AS edge FROM coding UNION ALL SELECT chrom, "end" + 1 FROM coding)),
+pieces AS (SELECT chrom, edge::BIGINT AS start, (lead(edge) OVER (PARTITION BY chrom ORDER BY edge) - 1)::BIGINT AS "end" FROM cuts)
+SELECT p.chrom, p.start, p."end", min(c.gene) AS gene FROM pieces p JOIN coding c ON p.chrom = c.chrom AND p.start >= c.start AND p."end" <= c."end" GROUP BY p.chrom, p.start, p."end" HAVING count(DISTINCT c.gene) = 1""")
+def single_gene_pieces(spark, d):
+    return S.single_gene_pieces(views.coding(spark, d))
+
+
+@query("intron_regions", "alignments", """,
+tx AS (SELECT gene, chrom, strand, min(start) AS start, max("end") AS "end" FROM exons GROUP BY gene, chrom, strand),
+r0 AS (SELECT gene, chrom, strand, start, "end", max("end") OVER (PARTITION BY gene, chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons)
+SELECT gene, chrom, strand, (reach + 1)::BIGINT AS start, (start - 1)::BIGINT AS "end" FROM r0 WHERE start > reach + 1""")
+def intron_regions(spark, d):
+    exons = views.exons(spark, d)
+    return I.set_difference(I.span(exons, _KEYS), exons, _KEYS)
+
+
+# --------------------------------------------------------------- variants
+
+
+@query("variant_mask", "variants mask", "SELECT chrom, pos, ref, alt, sample FROM variants v WHERE NOT EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m.\"end\")")
+def variant_mask(spark, d):
+    return S.outside(views.variants(spark, d), views.mask(spark, d)).select("chrom", "pos", "ref", "alt", "sample")
+
+
+@query("variant_restrict", "variants mask", "SELECT chrom, pos, ref, alt, sample FROM variants v WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m.\"end\")")
+def variant_restrict(spark, d):
+    return S.inside(views.variants(spark, d), views.mask(spark, d)).select("chrom", "pos", "ref", "alt", "sample")
+
+
+_SNV = ", ".join(f"count(*) FILTER (ref = '{x}' AND alt = '{y}') AS \"{x}_{y}\"" for x in "ACGT" for y in "ACGT" if x != y)
+
+
+@query("vcf_stats", "variants", f"SELECT count(*) AS variants, count(*) FILTER (length(ref) = 1 AND length(alt) = 1) AS snvs, {_SNV} FROM variants")
+def vcf_stats(spark, d):
+    return S.variant_statistics(views.variants(spark, d))
+
+
+@query("snv_quantiles", "variants", """,
+p AS (SELECT i * 5 AS percent, i / 20.0 AS q FROM range(21) t(i))
+SELECT percent::INT AS percent, round((SELECT quantile_cont(nalt, [0,.05,.1,.15,.2,.25,.3,.35,.4,.45,.5,.55,.6,.65,.7,.75,.8,.85,.9,.95,1]) FROM variants)[(percent / 5 + 1)::INT], 6) AS nalt,
+round((SELECT quantile_cont(nalt / (nalt + nref)::DOUBLE, [0,.05,.1,.15,.2,.25,.3,.35,.4,.45,.5,.55,.6,.65,.7,.75,.8,.85,.9,.95,1]) FROM variants)[(percent / 5 + 1)::INT], 6) AS fraction FROM p""")
+def snv_quantiles(spark, d):
+    return S.variant_quantiles(views.variants(spark, d)).withColumns({c: F.round(c, 6) for c in ("nalt", "fraction")})
+
+
+_TALLY = "tal AS (SELECT chrom, pos, ref, alt, sum(nalt)::BIGINT AS alt_depth, sum(nref)::BIGINT AS ref_depth, count(*) AS records FROM variants GROUP BY chrom, pos, ref, alt)"
+
+
+@query("pileup_tally", "variants", f",\n{_TALLY} SELECT * FROM tal")
+def pileup_tally(spark, d):
+    return S.tally(views.variants(spark, d))
+
+
+_CALLS = f"{_TALLY},\ncalls AS (SELECT * FROM tal WHERE alt <> ref AND ref <> 'N' AND alt_depth >= 2 AND alt_depth * ln(0.2) + ref_depth * ln(0.8) > alt_depth * ln(0.001) + ref_depth * ln(0.999))"
+
+
+@query("calling_filters", "variants", f",\n{_CALLS} SELECT * FROM calls")
+def calling_filters(spark, d):
+    return S.call_variants(S.tally(views.variants(spark, d)))
+
+
+@query("neighbour_filter", "variants", f""",\n{_CALLS},
+n AS (SELECT *, count(*) OVER (PARTITION BY chrom ORDER BY pos RANGE BETWEEN 50 PRECEDING AND 50 FOLLOWING) - 1 AS n FROM calls) SELECT chrom, pos, ref, alt, alt_depth FROM n WHERE n <= 20""")
+def neighbour_filter(spark, d):
+    return S.neighbour_filter(S.call_variants(S.tally(views.variants(spark, d)))).select("chrom", "pos", "ref", "alt", "alt_depth")
+
+
+@query("genotypes", "variants", f""",\n{_CALLS},
+l AS (SELECT *, -10 * (alt_depth * log10(0.001) + ref_depth * log10(0.999)) AS a, -10 * (alt_depth + ref_depth) * log10(0.5) AS b, -10 * (alt_depth * log10(0.999) + ref_depth * log10(0.001)) AS c FROM calls)
+SELECT chrom, pos, ref, alt, CASE WHEN a <= b AND a <= c THEN '0/0' WHEN b <= c THEN '0/1' ELSE '1/1' END AS gt FROM l""")
+def genotypes(spark, d):
+    return S.genotypes(S.call_variants(S.tally(views.variants(spark, d)))).select("chrom", "pos", "ref", "alt", "gt")
+
+
+@query("variant_concordance", "variants", """,
+s AS (SELECT DISTINCT sample, chrom, pos, ref, alt FROM variants), n AS (SELECT sample, count(*) AS n FROM s GROUP BY sample),
+j AS (SELECT a.sample AS a, b.sample AS b, count(*) AS shared FROM s a JOIN s b ON a.chrom = b.chrom AND a.pos = b.pos AND a.ref = b.ref AND a.alt = b.alt AND a.sample < b.sample GROUP BY 1, 2)
+SELECT j.a, j.b, shared, round(shared / least(x.n, y.n)::DOUBLE, 6) AS concordance FROM j JOIN n x ON x.sample = j.a JOIN n y ON y.sample = j.b""")
+def variant_concordance(spark, d):
+    return S.concordance(views.variants(spark, d)).withColumn("concordance", F.round("concordance", 6))
+
+
+# ------------------------------------------------------- lanes and quality
+
+_LANE = "SELECT run, category, count(*) AS n FROM alignments GROUP BY run, category"
+
+
+def _lane_summary(spark, d):
+    return views.alignments(spark, d).groupBy("run", F.col("category").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+
+
+_CATEGORIES = ["concordant_uniq", "concordant_mult", "unpaired_uniq"]
+_MATRIX = "m AS (SELECT run, " + ", ".join(f"count(*) FILTER (category = '{c}')::DOUBLE AS {c}" for c in _CATEGORIES) + " FROM alignments GROUP BY run)"
+_RATIOS = f"{_MATRIX},\nr AS (SELECT run, " + ", ".join(f"round({c} * 100 / (concordant_uniq + concordant_mult + unpaired_uniq), 4) AS {c}_pct" for c in _CATEGORIES) + " FROM m)"
+
+
+@query("runs_matrix", "alignments", f",\n{_MATRIX} SELECT * FROM m")
+def runs_matrix(spark, d):
+    return S.runs_matrix(_lane_summary(spark, d), _CATEGORIES)
+
+
+def _ratios(spark, d):
+    matrix = S.runs_matrix(_lane_summary(spark, d), _CATEGORIES).withColumn("mapped", F.expr(" + ".join(_CATEGORIES)))
+    return S.run_ratios(matrix, _CATEGORIES, "mapped")
+
+
+@query("qc_ratios", "alignments", f",\n{_RATIOS} SELECT * FROM r")
+def qc_ratios(spark, d):
+    return _ratios(spark, d)
+
+
+@query("qc_calls", "alignments", f""",\n{_RATIOS}
+SELECT run, concordant_uniq_pct < 30 AS concordant_uniq_pct, concordant_mult_pct > 24.5 AS concordant_mult_pct,
+array_to_string(list_filter([CASE WHEN concordant_uniq_pct < 30 THEN 'concordant_uniq_pct' END, CASE WHEN concordant_mult_pct > 24.5 THEN 'concordant_mult_pct' END], lambda x: x IS NOT NULL), ',') AS failing,
+concordant_uniq_pct < 30 OR concordant_mult_pct > 24.5 AS final FROM r""")
+def qc_calls(spark, d):
+    return S.quality_calls(_ratios(spark, d), {"concordant_uniq_pct": ("<", 30.0), "concordant_mult_pct": (">", 24.5)})
+
+
+@query("merge_lanes", "alignments", "SELECT category AS name, count(*)::DOUBLE AS value FROM alignments GROUP BY category")
+def merge_lanes(spark, d):
+    return _lane_summary(spark, d).groupBy("name").agg(F.sum("value").alias("value"))
+
+
+@query("config_merge", "mask", "SELECT * FROM (VALUES ('aligner', 'a'), ('num_cores', '<merged>2 4</merged>'), ('paired', 'TRUE')) t(key, value)")
+def config_merge(spark, d):
+    rows = [("lane0", "aligner", "a"), ("lane1", "aligner", "a"), ("lane0", "num_cores", "4"), ("lane1", "num_cores", "2"), ("lane0", "paired", "TRUE"), ("lane1", "paired", "TRUE")]
+    return S.merge_settings(spark.createDataFrame(rows, "lane string, key string, value string"), ("num_cores",))
