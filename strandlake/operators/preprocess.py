@@ -77,8 +77,8 @@ def subsample(df: DataFrame, n: int, key: str = "id") -> DataFrame:
 
 def summary(df: DataFrame, kept: DataFrame, by: list[str]) -> DataFrame:
     """Totals and read lengths before and after filtering, for each key."""
-    before = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_reads"), F.min(F.length("seq1")).alias("input_min_read_length"), F.max(F.length("seq1")).alias("input_max_read_length"))
-    after = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("highqual_reads"), F.min(F.length("seq1")).alias("processed_min_read_length"), F.max(F.length("seq1")).alias("processed_max_read_length"))
+    before = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_reads"), F.min(F.length("seq1").cast("long")).alias("input_min_read_length"), F.max(F.length("seq1").cast("long")).alias("input_max_read_length"))
+    after = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("highqual_reads"), F.min(F.length("seq1").cast("long")).alias("processed_min_read_length"), F.max(F.length("seq1").cast("long")).alias("processed_max_read_length"))
     return before.join(after, by, "left").fillna(0, ["highqual_reads"])
 
 

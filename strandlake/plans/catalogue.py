@@ -61,7 +61,7 @@ def trim_quality_tail(spark, d):
 
 @query("filter_length", "reads", "SELECT id, length(seq1) AS len1, length(seq2) AS len2 FROM reads WHERE length(seq1) >= 70 AND length(seq2) >= 70")
 def filter_length(spark, d):
-    return P.filter_length(views.reads(spark, d), 70).select("id", F.length("seq1").alias("len1"), F.length("seq2").alias("len2"))
+    return P.filter_length(views.reads(spark, d), 70).select("id", F.length("seq1").cast("long").alias("len1"), F.length("seq2").cast("long").alias("len2"))
 
 
 _GOOD = "length(regexp_replace({q}, '[^8-~]', '', 'g'))::DOUBLE / nullif(length({q}), 0) > 0.7"
