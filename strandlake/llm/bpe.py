@@ -261,12 +261,11 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col
 
     vocabulary: the path of a tokenizer file on the driver. Null and empty texts have no ids and
     decode to an empty text. Special tokens are recognised where their strings stand in a text;
-    none is added. Rows are kept as they are, repeated ones too; a column that has the name of a
-    new one (in any case) is an error, since either would be lost. An empty table stays empty.
+    none is added. Rows are kept as they are, repeated ones too. Where the table has a column of a
+    new one's name (in any case), the new one's gets an underscore. An empty table stays empty.
     """
-    for name in filter(None, (ids_col, decoded_col)):
-        if fresh(docs, name) != name:
-            raise ValueError(f"the table has a column {name} already")
+    ids_col = fresh(docs, ids_col)
+    decoded_col = decoded_col and fresh(docs, decoded_col)
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     if decoded_col:
@@ -296,8 +295,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Add text_col, the text that the ids of each row decode to; null ids decode to an empty text."""
-    if fresh(encoded, text_col) != text_col:
-        raise ValueError(f"the table has a column {text_col} already")
+    text_col = fresh(encoded, text_col)
     sent = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     schema = T.StructType([*encoded.schema.fields, T.StructField(text_col, T.StringType())])
 
