@@ -2,7 +2,7 @@
 
 A snapshot is the table of distinct normalised texts (as SHA-256 digests) with
 the row that stands for each. Its digests are dealt into buckets by their first
-bits, and each bucket gets one static binary-fuse filter, about 9 bits a digest.
+bits, and each bucket gets one static binary-fuse filter, 9 to 12 bits a digest.
 An incoming batch is first grouped by digest on its own; its distinct digests
 then meet the filter of their bucket. What the filter turns away is new. What
 passes joins the exact digests of the snapshot, and for every match the two

@@ -88,7 +88,7 @@ def text_evidence(docs: DataFrame, languages: list[str], model: np.ndarray, id_c
                 n = last - first
                 gram, doc = _bins(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
                 grams = np.bincount(doc, minlength=n)
-                sums = np.stack([np.bincount(doc, weights=table[gram, k], minlength=n) for k in range(table.shape[1])], axis=1)
+                sums = np.stack([np.bincount(doc, weights=table[gram, k], minlength=n) for k in range(table.shape[1])], axis=1).astype(float)
                 sums *= (np.minimum(grams, EFFECTIVE) / np.maximum(grams, 1))[:, None]
                 sums -= sums.max(axis=1, keepdims=True)
                 likely = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * sums.shape[1]), pa.array(sums.ravel()))
