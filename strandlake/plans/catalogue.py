@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandlake.functions import reads as R
 from strandlake.operators import counting as C
 from strandlake.operators import coverage as V
+from strandlake.operators import features as G
 from strandlake.operators import intervals as I
 from strandlake.operators import preprocess as P
 from strandlake.operators import stats as S
@@ -455,6 +456,38 @@ def intron_regions(spark, d):
     return I.set_difference(I.span(exons, _KEYS), exons, _KEYS)
 
 
+_GENES = "genes AS (SELECT gene, chrom, strand, min(start) AS start, max(\"end\") AS \"end\" FROM exons GROUP BY gene, chrom, strand)"
+
+
+@query("intergenic_regions", "alignments", f""",\n{LENGTHS_SQL},\nlg AS (SELECT 'chr' || i AS chrom, 40000::BIGINT AS length FROM range(5) t(i)),\n{_GENES},
+few AS (SELECT * FROM genes WHERE gene % 50 = 0),\n{_reduce_sql('few', 'r', 'chrom')},
+g AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY start), 0) + 1 AS start, start - 1 AS "end" FROM r
+  UNION ALL SELECT chrom, max("end") + 1, any_value(length) FROM r JOIN lg USING (chrom) GROUP BY chrom)
+SELECT chrom, start::BIGINT AS start, "end"::BIGINT AS "end" FROM g WHERE start <= "end\"""")
+def intergenic_regions(spark, d):
+    # a genome of few genes, so that something lies between them
+    lengths = spark.createDataFrame([(c, 40000) for c, _ in CHROMOSOMES], "chrom string, length long")
+    out = G.intergenic(views.exons(spark, d).where("gene % 50 = 0"), lengths)
+    return out.withColumns({c: F.col(c).cast("long") for c in ("start", "end")})
+
+
+@query("feature_sets", "alignments", f""",\n{_GENES},
+intr AS (WITH r0 AS (SELECT gene, chrom, strand, start, max("end") OVER (PARTITION BY gene, chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons)
+  SELECT reach + 1 AS start, start - 1 AS "end" FROM r0 WHERE start > reach + 1),
+u AS (SELECT 'gene' AS feature_set, start, "end" FROM genes UNION ALL SELECT 'gene_exonic', start, "end" FROM exons UNION ALL SELECT 'gene_coding', start, "end" FROM coding
+  UNION ALL SELECT 'exon', start, "end" FROM (SELECT DISTINCT chrom, start, "end", strand FROM exons) UNION ALL SELECT 'intron', start, "end" FROM intr)
+SELECT feature_set, count(*) AS n, sum("end" - start + 1)::BIGINT AS width FROM u GROUP BY feature_set""")
+def feature_sets(spark, d):
+    built = G.build_features(I.span(views.exons(spark, d), _KEYS), views.exons(spark, d), views.coding(spark, d), _lengths(spark))
+    kept = built.where("feature_set not in ('exon_disjoint', 'intergenic')")
+    return kept.groupBy("feature_set").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start") + 1).alias("width"))
+
+
+@query("region_restriction", "features mask", "SELECT feature_set, name FROM features f WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = f.chrom AND m.start <= f.\"end\" AND f.start <= m.\"end\")")
+def region_restriction(spark, d):
+    return G.in_regions(views.features(spark, d), views.mask(spark, d)).select("feature_set", "name")
+
+
 # --------------------------------------------------------------- variants
 
 
