@@ -106,12 +106,14 @@ def _shares(counts: Column, above: Column) -> Column:
     return F.zip_with(counts, above, lambda c, p: (c + SMOOTH * p) / (total + SMOOTH))
 
 
-def identify_languages(docs: DataFrame, languages: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = None, host_col: str | None = None, suffix_col: str | None = None, least: float = 0.5) -> DataFrame:
+def identify_languages(docs: DataFrame, languages: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = None, host_col: str | None = None, suffix_col: str | None = None, addresses: DataFrame | None = None, least: float = 0.5) -> DataFrame:
     """row_id, lang, posterior, text_lang, declared, host, kept: one row for each document.
 
     declared_col, host_col and suffix_col name columns with the language the markup declares and
     the address's host and suffix; None or a null value is no evidence of that kind (a null host
-    takes its suffix's prior, a null suffix the corpus's). A document is kept if its text has a
+    takes its suffix's prior, a null suffix the corpus's). addresses: (doc_id, declared, host,
+    suffix), at most one row an id, goes before these columns where it is not null; it is joined
+    to the scored rows, so no text is shuffled for it. A document is kept if its text has a
     trigram around a letter and its posterior is at least `least`; a text that is null, empty or
     without letters has its language from the other evidence and is not kept. Ties go to the first language.
     Repeated rows count and are answered each. An empty table, or a model without a language,
@@ -123,6 +125,10 @@ def identify_languages(docs: DataFrame, languages: list[str], model: np.ndarray,
     if not languages:
         return plain.select(F.col("_id").alias("row_id"), null.alias("lang"), F.lit(0.0).alias("posterior"), null.alias("text_lang"), "declared", "host", F.lit(False).alias("kept"))
     rows = written(text_evidence(plain, languages, model, "_id", "_body", list(evidence)))
+    if addresses is not None:
+        known = addresses.select(F.col("doc_id").alias("_doc"), *[F.lower(c).alias(f"_{c}") for c in evidence])
+        found = rows.join(known, F.col("row_id") == F.col("_doc"), "left")
+        rows = written(found.select("row_id", *[F.coalesce(f"_{c}", c).alias(c) for c in evidence], "grams", "likelihoods"))
     k = len(languages)
     best = F.array_position("likelihoods", F.array_max("likelihoods")) - 1
     looks = rows.where("grams > 0").select(*evidence, best.cast("int").alias("l"))

@@ -33,10 +33,8 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The languages of docs, by a model of `documents`, with the markup and address of their pages."""
     languages, model = train_languages(_table(spark, sf_dir, "documents"))
-    evidence = page_evidence(_table(spark, sf_dir, "pages")).withColumnRenamed("doc_id", "_page_doc")
-    rows = docs.select("doc_id", "text", F.col("source").alias("_source")).join(evidence, F.col("doc_id") == F.col("_page_doc"), "left")
-    rows = rows.withColumn("host", F.coalesce("host", "_source"))
-    return identify_languages(rows, languages, model, declared_col="declared", host_col="host", suffix_col="suffix")
+    addresses = page_evidence(_table(spark, sf_dir, "pages"))
+    return identify_languages(docs, languages, model, host_col="source", addresses=addresses)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
