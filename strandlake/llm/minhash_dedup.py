@@ -3,8 +3,8 @@
 A document is the set of its distinct word shingles. Documents with equal sets
 are one node, named by a digest of the set, so copies cost nothing further.
 Each node has bands of minimum hashes; nodes that share a band's key are
-candidates. At first they are not paired with each other but with a centre, the
-least node they meet; that connects most groups. Only groups that are then
+candidates. At first they are not paired with each other but, in a few rounds,
+with one centre each; that connects most groups. Only groups that are then
 still in several components are compared further, and only across components:
 small ones by a join, large ones block by block. A pair's signatures are compared in batches; after each batch the pair
 is dropped if, by the posterior of its similarity, the chance that it reaches
@@ -32,6 +32,8 @@ BANDS, ROWS = 28, 6
 BATCH = 24
 #: Chance that the posterior leaves a dropped pair to reach the threshold.
 MISS = 1e-4
+#: Rounds in which each node of an unconnected group meets one centre.
+STAR_ROUNDS = 3
 #: Members up to which an unconnected group is paired by a join; larger ones are compared in blocks of BLOCK_NODES.
 JOINED_GROUP = 48
 BLOCK_NODES = 256
@@ -135,6 +137,14 @@ def _prune(pairs: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
+def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union; sizes alone may rule it out."""
+    if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
+        return False
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
 def _exact(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of (a, b, set_a, set_b) with 100 * intersection >= percent * union."""
 
@@ -142,9 +152,7 @@ def _exact(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                left, right = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
+                if _linked(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), percent):
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
@@ -165,11 +173,14 @@ def _across_small(rows: DataFrame) -> DataFrame:
     return one.join(two, "key").where("a < b and ca != cb").select("a", "b")
 
 
-def _across_large(rows: DataFrame, sizes: DataFrame, signatures: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
-    """Pairs (a, b) of different components in large groups that no batch of signatures drops.
+def _across_large(rows: DataFrame, sizes: DataFrame, values: DataFrame, steps: list[tuple[int, int]], percent: int) -> DataFrame:
+    """Links (a, b) that connect whatever different components of a large group have a link.
 
     The members of a group's largest component meet only the others, not each other. Both
     kinds are dealt into blocks, and each pair of blocks is one group of rows of bounded size.
+    Within it pairs that no batch of signatures drops are checked on full sets, the likeliest
+    first, unless their components have been connected meanwhile: at most one link is given
+    for each component, however many there are.
     """
     count = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     major = count.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("n_major"))
@@ -183,20 +194,23 @@ def _across_large(rows: DataFrame, sizes: DataFrame, signatures: DataFrame, step
     of_major = F.transform(count_to(F.col("minors")), lambda i: task(1, i, own))
     of_minor = F.concat(F.transform(count_to(F.col("minors")), lambda j: task(0, F.least(j, own), F.greatest(j, own))), F.transform(count_to(F.col("majors")), lambda j: task(1, own, j)))
     dealt = dealt.select("key", "node", "component", F.explode(F.when(F.col("is_major"), of_major).otherwise(of_minor)).alias("task"))
-    dealt = dealt.join(signatures, "node").select("key", "task.*", "node", "component", "signature")
+    dealt = dealt.join(values, "node").select("key", "task.*", "node", "component", "signature", "members")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         signature = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(len(pdf), -1)
-        component, node = pdf["component"].to_numpy(), pdf["node"].to_numpy()
-        number = np.unique(component, return_inverse=True)[1]
+        node, sets = pdf["node"].to_numpy(), [np.frombuffer(x, U64) for x in pdf["members"]]
+        number = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
         out = []
         for i in range(len(pdf) - 1):
-            alive, matches, seen = np.flatnonzero(number[i + 1 :] != number[i]) + i + 1, 0, 0
+            alive, seen = np.flatnonzero(number[i + 1 :] != number[i]) + i + 1, 0
             matches = np.zeros(len(alive), np.int64)
             for n, least in steps:
                 matches = matches + (signature[alive, seen:n] == signature[i, seen:n]).sum(axis=1)
                 alive, matches, seen = alive[matches >= least], matches[matches >= least], n
-            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in alive]
+            for j in alive[np.argsort(-matches, kind="stable")]:
+                if number[i] != number[j] and _linked(sets[i], sets[j], percent):
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+                    number[number == number[j]] = number[i]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return dealt.groupBy("key", "kind", "i", "j").applyInPandas(compare, "a binary, b binary")
@@ -234,20 +248,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         likely = written(_prune(_with_both(written(pairs.distinct()), signatures, "signature"), steps))
         return _exact(_with_both(likely, sets, "members"), percent)
 
-    # first each node with the least centre of its groups
-    centres = written(active.groupBy("key").agg(F.min("node").alias("centre")))
-    nearest = active.join(centres, "key").where("node != centre").groupBy("node").agg(F.min("centre").alias("centre"))
-    links = written(judged(nearest.select(F.col("centre").alias("a"), F.col("node").alias("b"))))
-    components = written(connected_components(links))
+    links, components = None, None
+    current = active.withColumn("component", F.col("node"))
+    for round_ in range(STAR_ROUNDS):
+        # each node with the first, in this round's order, of the centres of its groups
+        rank = F.xxhash64("node", F.lit(round_)) if round_ else F.lit(0)
+        centres = written(current.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("centre"), F.col("component").alias("other"))).alias("c")).select("key", "c.*"))
+        met = current.join(centres, "key").where("component != other")
+        nearest = met.groupBy("node").agg(F.min(F.struct("rank", "centre"))["centre"].alias("centre"))
+        found = written(judged(nearest.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))))
+        links = found if links is None else links.union(found)
+        components = written(connected_components(links))
+        # groups that are connected by now are done
+        named = written(current.drop("component").join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+        open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").select("key", "n")
+        open_ = written(open_)
+        current = written(named.join(small_side(open_.select("key"), 1_000_000), "key"))
+        if not open_.take(1):
+            break
     # then, in groups that are still in several components, everything across them
-    named = written(active.join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
-    open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").select("key", "n")
-    open_ = written(open_)
-    small, large = (written(named.join(small_side(open_.where(x).select("key")), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
-    pairs = _across_small(small)
+    small, large = (written(current.join(small_side(open_.where(x).select("key")), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
+    more = written(judged(_across_small(small)))
     if large.take(1):
-        pairs = pairs.union(_across_large(large, open_, signatures, steps))
-    more = written(judged(pairs))
+        more = more.union(written(_across_large(large, open_, signatures.join(sets, "node"), steps, percent)))
     if more.take(1):
         components = written(connected_components(links.union(more)))
 
