@@ -45,7 +45,8 @@ def test_mix_of_a_hot_source_comes_near_its_targets(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)).alias("source"), F.repeat(F.lit("w "), (F.pmod(F.hash("id"), F.lit(40)) + 1).cast("int")).alias("text"))
     weights = spark.createDataFrame([(f"s{i}", float(i + 1)) for i in range(7)], "source string, weight double")
     by = mix_sources(docs, weights).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size")).collect()
-    assert all(abs(r.taken - r.target) <= 2 and r.target <= 3 * r["size"] + 1e-6 for r in by)
+    assert not [r for r in by if abs(r.taken - r.target) > 20]  # half of the largest document
+    assert all(r.target <= 3 * r["size"] + 1e-6 for r in by)
 
 
 def test_shards_are_even_and_gapless(spark, odd):
@@ -90,8 +91,8 @@ def test_languages_are_told(spark, data, odd):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     languages, model = train_languages(docs.where("doc_id % 2 = 0"))
     told = identify_languages(docs.where("doc_id % 2 = 1"), languages, model, host_col="source")
-    both = told.join(docs.select("doc_id", F.col("lang").alias("true")), F.col("row_id") == F.col("doc_id"))
-    assert both.where("lang = true").count() >= 0.97 * both.count()
+    both = told.join(docs.select("doc_id", F.col("lang").alias("truth")), F.col("row_id") == F.col("doc_id"))
+    assert both.where("lang = truth").count() >= 0.97 * both.count()
     assert told.where("not kept").count() <= 0.02 * told.count()
     rows = identify_languages(odd, languages, model, declared_col="lang", host_col="source").collect()
     assert len(rows) == odd.count()
