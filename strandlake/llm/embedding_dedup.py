@@ -1,6 +1,8 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Reference points (pivots) are drawn from the vectors. Each vector is described by
+Reference points (pivots) are drawn from the vectors and thinned, so that a dense
+group doesn't hold many of them: among pivots that lie about equally near, noise
+would choose which are named. Each vector is described by
 its nearest pivots in order; near vectors have nearly the same description. Inverted
 lists hold, for each label and pivot, the vectors that name it. Vectors of a list
 that share enough pivots are candidates, and the cosine of each is then computed in
@@ -22,6 +24,8 @@ from strandlake.llm._runtime import small_side, written
 
 #: Pivots drawn for each vector length: the fixed sample the index is fitted on.
 PIVOTS = 256
+#: No two pivots are closer than this cosine; so many vectors are drawn for each pivot wanted.
+APART, DRAWN = 0.7, 16
 #: Nearest pivots that describe a vector, and how many of them a candidate pair shares at least.
 NAMED, SHARED = 8, 2
 #: A list is dealt into blocks of about so many vectors; every pair of blocks is one group of rows.
@@ -36,6 +40,17 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
     return rows.where(~odd & F.exists("vector", lambda x: x != 0)).withColumn("vector", F.transform("vector", lambda x: x + 0.0))
 
 
+def _thinned(points: np.ndarray, most: int) -> np.ndarray:
+    """The first `most` unit vectors, in order, of which no two are closer than APART."""
+    out, free = [], np.ones(len(points), bool)
+    while free.any() and len(out) < most:
+        at = int(np.argmax(free))
+        out.append(at)
+        free &= points @ points[at] <= APART
+        free[at] = False
+    return points[out]
+
+
 def _compare(pdf: pd.DataFrame, least: float, shared: int) -> pd.DataFrame:
     """For the rows of two blocks of one list: row_id, links (rows of the other vectors linked), root (the least id linked within)."""
     ids, copies = pdf["row_id"].to_numpy(), pdf["n"].to_numpy()
@@ -77,8 +92,8 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     their cosine is at least `least`. Vectors that are null, zero, or hold a null or non-finite
     component link with nothing, nor do rows with a null id. n_links counts the other rows linked
     directly, exact copies among them; component_id is the least id reachable. The index misses
-    a pair only if its vectors share fewer than `shared` of their `named` nearest pivots. An
-    empty table gives an empty result.
+    a pair only if its vectors share fewer than `shared` of their `named` nearest pivots, or
+    fewer than there are. An empty table gives an empty result.
     """
     if pivots > PIVOTS:
         raise ValueError(f"at most {PIVOTS} pivots")
@@ -88,11 +103,12 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     distinct = written(keyed.groupBy("label", "same").agg(F.min("row_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector")))
     dims = [r[0] for r in distinct.select(F.size("vector")).distinct().limit(1000).collect()]
     points = {}
-    for dim in dims:  # a bounded sample: the `pivots` vectors with the least hashes
-        drawn = distinct.where(F.size("vector") == dim).select("vector", F.xxhash64("same").alias("h")).orderBy("h").limit(pivots).collect()
+    for dim in dims:  # a bounded sample: the vectors with the least hashes
+        drawn = distinct.where(F.size("vector") == dim).select("vector", F.xxhash64("same").alias("h")).orderBy("h").limit(pivots * DRAWN).collect()
         p = np.array([r.vector for r in drawn])
         p /= np.abs(p).max(axis=1, keepdims=True)
-        points[dim] = (p / np.sqrt((p**2).sum(axis=1, keepdims=True))).astype(np.float32)
+        points[dim] = _thinned((p / np.sqrt((p**2).sum(axis=1, keepdims=True))).astype(np.float32), pivots)
+    needed = {dim: min(shared, len(p)) for dim, p in points.items()}
     sent = vectors.sparkSession.sparkContext.broadcast(points)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +131,7 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     sizes = small_side(lists.groupBy("label", "dim", "pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts")).where("parts >= 1"))
     dealt = lists.join(sizes, ["label", "dim", "pivot"]).withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    judge = dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(lambda pdf: _compare(pdf, least, shared), f"row_id {kind}, links long, root {kind}")
+    judge = dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(lambda pdf: _compare(pdf, least, needed[pdf["dim"].iloc[0]]), f"row_id {kind}, links long, root {kind}")
     judged = written(judge)
     links = written(judged.groupBy("row_id").agg(F.sum("links").alias("links")))
     components = written(connected_components(judged.where("row_id != root").select(F.col("row_id").alias("a"), F.col("root").alias("b"))))

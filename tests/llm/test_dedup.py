@@ -192,6 +192,19 @@ def test_embedding_links_equal_all_pairs(spark):
     assert link_embeddings(table.limit(0)).count() == 0
 
 
+def test_embedding_links_of_a_dense_group(spark):
+    rnd = np.random.default_rng(8)
+    unit = lambda x: x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+    dense = unit(rnd.normal(size=(1, 16))) + 0.2 * unit(rnd.normal(size=(500, 16)))
+    vectors = rnd.permutation(np.concatenate([dense, rnd.normal(size=(1000, 16))]))
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    cosines = unit(vectors) @ unit(vectors).T
+    want = (cosines >= 0.93).sum(axis=1) - 1
+    got = {r.row_id: r.n_links for r in link_embeddings(table).collect()}
+    assert want.sum() > 100_000 and all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
 def test_queries_on_the_smallest_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in Q.op8_minhash_dedup(spark, data).collect()}
