@@ -57,6 +57,11 @@ def _block_shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[
     return shingles(hashes, doc, len(offsets) - 1, words)
 
 
+def _nodes(value: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """The digest of each document's set, null without shingles; value holds the sets end to end."""
+    return [hashlib.blake2b(value[e - s : e].tobytes(), digest_size=16).digest() if s else None for s, e in zip(sizes, np.cumsum(sizes))]
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
     """row_id, n_shingles, node (16 bytes, null without shingles), keys (a 64-bit key a band), signature."""
 
@@ -68,8 +73,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
                 value, owner = _block_shingles(data[offsets[first] : offsets[last]], local, words)
                 n = last - first
                 sizes = np.bincount(owner, minlength=n)
-                ends = np.cumsum(sizes)
-                nodes = [hashlib.blake2b(value[e - s : e].tobytes(), digest_size=16).digest() if s else None for s, e in zip(sizes, ends)]
+                nodes = _nodes(value, sizes)
                 signature = _signatures(value, owner, n, bands * rows)
                 keys = np.zeros((n, bands), U64)
                 for b in range(bands):
@@ -88,7 +92,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
 
 
 def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """node, members: the sorted shingles of each document as bytes; docs has the column node."""
+    """row_id, node, members: the sorted shingles of each document as bytes, and their digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,11 +100,12 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
             for first, last in blocks(offsets):
                 local = offsets[first : last + 1] - offsets[first]
                 value, owner = _block_shingles(data[offsets[first] : offsets[last]], local, words)
-                ends = np.cumsum(np.bincount(owner, minlength=last - first))
+                sizes = np.bincount(owner, minlength=last - first)
+                ends = np.cumsum(sizes)
                 sets = [value[s:e].tobytes() for s, e in zip([0, *ends[:-1]], ends)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(sets, pa.binary())], ["node", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(_nodes(value, sizes), pa.binary()), pa.array(sets, pa.binary())], ["row_id", "node", "members"])
 
-    return docs.select("node", F.col(text_col).alias("text")).mapInArrow(run, "node binary, members binary")
+    return docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).mapInArrow(run, f"row_id {dict(docs.dtypes)[id_col]}, node binary, members binary")
 
 
 def least_matches(total: int, batch: int, threshold: float, miss: float) -> list[tuple[int, int]]:
@@ -225,7 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked if 100 * |intersection| >= percent * |union|; a component is what links connect,
     named by its smallest id. Rows that repeat an id are copies and get equal answers. A row
     with a null id is linked like others but never names a component unless all its ids are
-    null. Shingles are compared as 64-bit hashes. An empty table gives an empty result.
+    null. An id may stand for several texts; each is judged by its own set. Shingles are compared as 64-bit hashes. An empty table gives an empty result.
     """
     kind = dict(docs.dtypes)[id_col]
     all_rows = written(sketch(docs, id_col, text_col, shingle_words, bands, rows))
@@ -236,11 +241,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # what is compared later: signatures and texts of the nodes that have candidates, one document each
     involved = small_side(active.select("node").distinct(), 1_000_000)
-    held = all_rows.join(involved, "node").groupBy("node").agg(F.min("row_id").alias("row_id"))
+    held = all_rows.join(involved, "node").groupBy("node").agg(F.min("row_id").alias("held_id")).withColumnRenamed("node", "held_node")
     held = small_side(held, 1_000_000)
-    signatures = written(all_rows.join(held, ["node", "row_id"]).select("node", "signature").dropDuplicates(["node"]))
-    texts = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).join(held, "row_id")
-    sets = written(_full_sets(texts.select("node", "text"), id_col, "text", shingle_words).dropDuplicates(["node"]))
+    # ids may be null or stand for several texts, so the node decides which of an id's rows is meant
+    is_held = (F.col("node") == F.col("held_node")) & F.col("row_id").eqNullSafe(F.col("held_id"))
+    signatures = written(all_rows.join(held, is_held, "left_semi").select("node", "signature").dropDuplicates(["node"]))
+    texts = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).join(held.select("held_id"), F.col("row_id").eqNullSafe(F.col("held_id")), "left_semi")
+    sets = _full_sets(texts, "row_id", "text", shingle_words).join(held, is_held, "left_semi")
+    sets = written(sets.select("node", "members").dropDuplicates(["node"]))
 
     steps = least_matches(bands * rows, BATCH, percent / 100, miss)
 

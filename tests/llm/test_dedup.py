@@ -120,6 +120,17 @@ def test_odd_rows_near(odd):
     assert near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_links_of_rows_without_an_id_or_with_a_shared_one(spark):
+    text = lambda name, end: " ".join([*(f"{name}{i}" for i in range(60)), end])
+    rows = [(5, text("a", "x")), (None, text("a", "y")), (None, text("a", "y"))]
+    for k in range(8):  # one id for two texts, each with a near copy
+        rows += [(100 + k, text(f"b{k}_", "x")), (100 + k, text(f"c{k}_", "x")), (200 + k, text(f"b{k}_", "y")), (300 + k, text(f"c{k}_", "y"))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
+    want = [(i, 5 if i in (5, None) else 100 + i % 100) for i, _ in rows]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.row_id, r.component_id) for r in got), key=key) == sorted(want, key=key)
+
+
 def test_posterior_bounds_keep_similar_pairs():
     steps = least_matches(168, 24, 0.8, 1e-4)
     rnd = np.random.default_rng(2)
