@@ -30,11 +30,16 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source").withColumnRenamed("row_id", "doc_id")
 
 
-def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The languages of docs, by a model of `documents`, with the markup and address of their pages."""
+def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str, id_col: str = "doc_id") -> DataFrame:
+    """The languages of docs, by a model of `documents`, with the markup and address of their pages.
+
+    id_col may name another column, unique, by which the rows are told apart; pages go by doc_id.
+    """
     languages, model = train_languages(_table(spark, sf_dir, "documents"))
     addresses = page_evidence(_table(spark, sf_dir, "pages"))
-    return identify_languages(docs, languages, model, host_col="source", addresses=addresses)
+    if id_col != "doc_id":
+        addresses = docs.select("doc_id", F.col(id_col).alias("_row")).join(addresses, "doc_id").drop("doc_id").withColumnRenamed("_row", "doc_id")
+    return identify_languages(docs, languages, model, id_col=id_col, host_col="source", addresses=addresses)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,3 +176,23 @@ def test_stages_bear_odd_rows(spark, data, odd):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, columns.limit(0), data).count() == 0
         assert stage(spark, columns, data).count() <= 3 * columns.count()
+
+
+def test_stages_decide_row_by_row(spark, data):
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        got = stage(spark, docs, data)
+        assert got.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+
+    known = spark.read.parquet(f"{data}/documents.parquet")
+    sure = Q.languages_of(spark, known, data).where("kept and posterior > 0.999").join(known.select(F.col("doc_id").alias("row_id"), "text"), "row_id")
+    i, good = sure.orderBy(F.length("text").desc(), "row_id").select("row_id", "text").first()
+    assert left(corpus_pipeline.keep_identified, [(i, good), (i, "12 34"), (None, "12 34"), (None, good)]) == sorted([(i, good), (None, good)], key=str)
+
+    rows = [(None, "t one"), (None, "t one"), (3, "t  one"), (4, "u"), (4, "u"), (4, "v"), (9, "v"), (None, "w"), (None, "w")]
+    assert left(corpus_pipeline.drop_copies, rows) == sorted([(3, "t  one"), (4, "u"), (4, "v"), (None, "w")], key=str)
+
+    text = lambda name, end: " ".join([*(f"{name}{j}" for j in range(60)), end])
+    rows = [(None, text("a", "y")), (None, text("a", "x")), (7, text("a", "x")), (8, text("b", "x")), (8, text("c", "x")), (9, text("b", "y")), (8, text("b", "x")), (None, text("d", "x")), (None, text("d", "x"))]
+    assert left(corpus_pipeline.drop_near_copies, rows) == sorted([(7, text("a", "x")), (8, text("b", "x")), (8, text("c", "x")), (None, text("d", "x"))], key=str)
