@@ -173,7 +173,8 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
     columns = (id_col, text_col)
     old_keyed, new_keyed = (written(digests(x.select(*columns), id_col, text_col)) for x in (snapshot, incoming))
     old, new = written(_groups(old_keyed)), written(_groups(new_keyed))
-    buckets = max(1, -(-old.count() // bucket_keys))
+    # a bucket's incoming digests are in one task too, however few the snapshot has
+    buckets = max(1, -(-max(old.count(), new.count()) // bucket_keys))
     screened = written(screen(new, written(build_filters(old, buckets)), buckets))
     stored = old.select("digest", F.col("keep_id").alias("old_id"), F.col("n").alias("old_n"))
     positive = written(screened.where("maybe").join(stored, "digest").select("digest", "old_id", F.col("keep_id").alias("new_id"), "old_n", F.col("n").alias("new_n")))

@@ -38,6 +38,16 @@ def test_exact_groups(odd):
     assert exact_dedup(odd.limit(0), odd.limit(0)).count() == 0
 
 
+def test_a_batch_without_a_snapshot_is_dealt_out(spark, monkeypatch):
+    import strandlake.llm.exact_dedup as E
+
+    seen, screen = [], E.screen
+    monkeypatch.setattr(E, "screen", lambda new, filters, buckets: seen.append(buckets) or screen(new, filters, buckets))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 20).cast("string").alias("text"))
+    got = exact_dedup(docs.limit(0), docs, bucket_keys=5).collect()
+    assert seen == [4] and {r.row_id for r in got if r.kept} == set(range(20))
+
+
 def test_words_and_hashes_do_not_depend_on_blocks():
     import pyarrow as pa
 
