@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +20,15 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is set."""
+    """The checkpoint folder of the session; where none is set, the warehouse, or a temporary folder if all runs in one process."""
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
-        found = tempfile.mkdtemp(prefix="strandlake-")
+        local = spark.sparkContext.master.startswith("local")
+        found = tempfile.mkdtemp(prefix="strandlake-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/strandlake-scratch"
         spark.sparkContext.setCheckpointDir(found)
     return found
 
@@ -30,6 +37,28 @@ def written(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage and partitioning end here."""
     path = f"{shared_dir(df.sparkSession)}/strandlake-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (tables := _tables.get()) is not None:
+        tables.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are deleted on leaving; what is to stay must be written elsewhere before, or by an outer scope."""
+    token = _tables.set([])
+    try:
+        yield
+    finally:
+        paths = _tables.get() or []
+        _tables.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """Write df to a path of its own, which no scope deletes, and read it back."""
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,12 @@
 """Passages that documents share, by content-defined chunks.
 
-A gear hash rolls over the bytes of a text: h = 2 h + G[byte], in 32 bits, so it
-depends on the last 32 bytes only. A chunk ends where the hash is larger than at
+A gear hash rolls over the bytes of a text: h = 2 h + G[byte], in 16 bits, so it
+depends on the last 16 bytes only. A chunk ends where the hash is larger than at
 all places within WINDOW bytes before and after. Where chunks end thus depends on
 nearby bytes alone, and an insertion shifts no boundary beyond its neighbourhood.
-Chunks are compared by digest; those that occur in more than one document are
-marked, and neighbouring marked chunks of a document are joined to passages.
+Chunks are compared by digest. Neighbouring chunks that each occur at another place
+too are joined to passages, and a passage is then carried on byte by byte, on either
+end, as far as it agrees with the other place of its outermost chunk.
 """
 
 from __future__ import annotations
@@ -17,110 +18,280 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import written
-from strandlake.llm._text import BLOCK, U64, blocks, column_bytes, span_hashes, word_spans
+from strandlake.llm._runtime import fresh, text_of, written
+from strandlake.llm._text import BLOCK, IS_SPACE, blocks, column_bytes, span_hashes, word_spans
 
 #: A boundary's hash is the largest within so many bytes on either side: chunks of WINDOW + 1 bytes at least, about twice that on average.
 WINDOW = 24
+#: Bytes that a gear hash remembers.
+MEMORY = 16
 #: A chunk without such a place (a run of one letter) is cut here.
 MAX_CHUNK = 256
-#: Words that a passage needs at least.
-MIN_WORDS = 16
+#: Words that a passage has at least.
+MIN_WORDS = 50
+#: How far a passage may go on beyond its chunks: a chunk that differs, and the bytes that a boundary depends on.
+REACH = MAX_CHUNK + WINDOW + MEMORY
 
-_GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
+_GEAR = np.random.default_rng(5).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The gear hash at each byte: the sum of G[byte i back] << i over the last 32 bytes, by doubling."""
-    h = _GEAR[data]
-    for width in (1, 2, 4, 8, 16):
+    """The gear hash at each byte: the sum of G[byte i back] << i over the last MEMORY bytes, by doubling."""
+    h, width = _GEAR[data], 1
+    while width < MEMORY:
         moved = h.copy()
-        moved[width:] += h[:-width] << np.uint32(width) if len(h) > width else 0
-        h = moved
+        moved[width:] += h[:-width] << np.uint16(width) if len(h) > width else 0
+        h, width = moved, width * 2
     return h
 
 
-def chunk_ends(data: np.ndarray, window: int = WINDOW, most: int = MAX_CHUNK) -> np.ndarray:
-    """The end of each chunk of one text (or of texts laid end to end), in order; the last is len(data)."""
+def _natural_ends(data: np.ndarray, window: int) -> np.ndarray:
+    """Places after which the hash is the single largest of its neighbourhood."""
     n = len(data)
-    if not n:
-        return np.zeros(0, np.int64)
-    h = gear_hashes(data).astype(np.int64)
-    padded = np.full(n + 2 * window, -1, np.int64)
+    h = gear_hashes(data).astype(np.int32)
+    padded = np.full(n + 2 * window, -1, np.int32)
     padded[window : window + n] = h
     top, width = padded, 1  # top[i]: the largest of padded[i : i + width]
     while width * 2 <= window:
         top, width = np.maximum(top[: len(top) - width], top[width:]), width * 2
     before = np.maximum(top[:n], top[window - width : window - width + n])
     after = np.maximum(top[window + 1 : window + 1 + n], top[2 * window - width + 1 : 2 * window - width + 1 + n])
-    ends = np.append(np.flatnonzero((h > before) & (h > after)) + 1, n)
-    ends = ends[np.append(ends[:-1] < n, True)]
+    return np.flatnonzero((h > before) & (h > after)) + 1
+
+
+def chunk_ends(data: np.ndarray, window: int = WINDOW, most: int = MAX_CHUNK, block: int = BLOCK) -> np.ndarray:
+    """The end of each chunk of one text, in order; the last is len(data).
+
+    A long text is worked block by block, with the bytes around that its boundaries depend on,
+    so they are those of the whole text.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    found = []
+    for at in range(0, n, block):
+        low, high = max(0, at - window - MEMORY), min(n, at + block + window)
+        ends = _natural_ends(data[low:high], window) + low
+        found.append(ends[(ends > at) & (ends <= at + block)])
+    ends = np.concatenate(found)
+    ends = np.append(ends[ends < n], n)
     gaps = np.diff(np.append(0, ends))
     if (gaps > most).any():
         ends = np.concatenate([np.append(np.arange(e - g + most, e, most), e) if g > most else [e] for e, g in zip(ends, gaps)])
-    return ends
+    return ends.astype(np.int64)
+
+
+def _measured(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words that start in each chunk, and its 128-bit digest in two halves; worked in parts of about a block."""
+    starts = np.append(0, ends[:-1])
+    words, one, two = [], [], []
+    first = 0
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + BLOCK, side="right")))
+        low, high = starts[first], ends[last - 1]
+        part, a, b = text[low:high], starts[first:last] - low, ends[first:last] - low
+        begins = word_spans(part, np.array([0, len(part)]))[0]
+        if low and not IS_SPACE[text[low - 1]]:
+            begins = begins[begins > 0]  # a word that goes on from the part before
+        words.append(np.searchsorted(begins, b) - np.searchsorted(begins, a))
+        one.append(span_hashes(part, a, b))
+        two.append(span_hashes(part ^ np.uint8(0xA5), a, b))
+        first = last
+    return np.concatenate(words), np.concatenate(one), np.concatenate(two)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, h, text: a document is told by its id and the hash of its text."""
+    text = text_of(F.col(text_col))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, seq, start, stop (bytes), words, digest: one row for each chunk."""
+    """doc_id, h, seq, start, stop (bytes), words, d1, d2: one row for each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
+            data, offsets = column_bytes(batch.column(2))
             for first, last in blocks(offsets):
-                part = data[offsets[first] : offsets[last]]
-                rows = []
-                for i in range(first, last):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    # a very long text is cut block by block, with the bytes before for the rolling hash
-                    ends = [chunk_ends(text[a : a + BLOCK]) + a for a in range(0, len(text), BLOCK)]
-                    rows.append(np.concatenate(ends) if ends else np.zeros(0, np.int64))
-                counts = np.array([len(r) for r in rows])
+                ends = [chunk_ends(data[offsets[i] : offsets[i + 1]]) for i in range(first, last)]
+                counts = np.array([len(e) for e in ends])
                 if not counts.sum():
                     continue
-                base = np.repeat(offsets[first:last] - offsets[first], counts)
-                ends = np.concatenate(rows)
-                starts = np.concatenate([np.append(0, r[:-1]) for r in rows if len(r)])
+                if last - first == 1:
+                    words, one, two = _measured(data[offsets[first] : offsets[last]], ends[0])
+                else:  # short texts, laid end to end
+                    part = data[offsets[first] : offsets[last]]
+                    base = np.repeat(offsets[first:last] - offsets[first], counts)
+                    b = np.concatenate(ends) + base
+                    a = np.concatenate([np.append(0, e[:-1]) for e in ends if len(e)]) + base
+                    begins = word_spans(part, offsets[first : last + 1] - offsets[first])[0]
+                    words = np.searchsorted(begins, b) - np.searchsorted(begins, a)
+                    one, two = span_hashes(part, a, b), span_hashes(part ^ np.uint8(0xA5), a, b)
+                stops = np.concatenate(ends)
+                starts = np.concatenate([np.append(0, e[:-1]) for e in ends if len(e)])
                 seq = np.concatenate([np.arange(c) for c in counts])
-                digest = span_hashes(part, starts + base, ends + base)
-                word_starts = word_spans(part, offsets[first : last + 1] - offsets[first])[0]
-                words = np.searchsorted(word_starts, ends + base) - np.searchsorted(word_starts, starts + base)
-                ids = batch.column(0).take(pa.array(np.repeat(np.arange(first, last), counts)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(seq, pa.int32()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(words, pa.int32()), pa.array(digest.view(np.int64))], ["doc_id", "seq", "start", "stop", "words", "digest"])
+                rows = pa.array(np.repeat(np.arange(first, last), counts))
+                arrays = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(seq, pa.int32()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64()), pa.array(words, pa.int32()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "h", "seq", "start", "stop", "words", "d1", "d2"])
+
+    kind = dict(docs.dtypes)[id_col]
+    return _keyed(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, h long, seq int, start long, stop long, words int, d1 long, d2 long")
+
+
+def _surroundings(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """doc_id, h, at, bytes: up to REACH bytes on both sides of each wanted (doc_id, h, at), with the number before `at`."""
+    # one row for each document and its places: a task holds the places of one text at a time
+    places = wanted.distinct().groupBy("doc_id", "h").agg(F.collect_list("at").alias("ats")).withColumnRenamed("doc_id", "_doc").withColumnRenamed("h", "_h")
+    rows = _keyed(docs, id_col, text_col).join(places, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h"))).select("doc_id", "h", "text", "ats")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(2))
+            for i, ats in enumerate(batch.column(3).to_pylist()):
+                text = data[offsets[i] : offsets[i + 1]]
+                before = [text[max(0, at - REACH) : at].tobytes() for at in ats]
+                after = [text[at : at + REACH].tobytes() for at in ats]
+                n = pa.array(np.full(len(ats), i))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(n), batch.column(1).take(n), pa.array(ats, pa.int64()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], ["doc_id", "h", "at", "before", "after"])
 
     kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(run, f"doc_id {kind}, seq int, start long, stop long, words int, digest long")
+    # repeated rows of one document give the same answer again
+    return rows.mapInArrow(run, f"doc_id {kind}, h long, at long, before binary, after binary").dropDuplicates(["doc_id", "h", "at"])
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """The length of the common start."""
+    n = min(len(a), len(b))
+    x = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(np.argmax(x)) if x.any() else n
+
+
+def _carried_on(edges: DataFrame, kind: str) -> DataFrame:
+    """doc_id, h, passage, left, left_words, right, right_words: bytes that a passage goes on by, and the words that start there."""
+
+    def starts(text: bytes, first: int) -> int:
+        """Words that start in text[first:]; the byte before tells whether one goes on."""
+        inside = ~IS_SPACE[np.frombuffer(text, np.uint8)]
+        new = inside.copy()
+        new[1:] &= ~inside[:-1]
+        return int(new[first:].sum())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select([3, 4, 5, 6, 7, 8]).to_pydict()
+            out = []
+            for lo, lp, ro, rp, room, last in zip(*rows.values()):
+                left = min(_common(lo[::-1], lp[::-1]), room)
+                right = _common(ro, rp)
+                # the byte before the extension, where there is one, tells whether its first word starts there
+                from_ = max(0, len(lo) - left - 1)
+                out.append((left, starts(lo[from_:], len(lo) - left - from_) if left else 0, right, starts((last or b" ") + ro[:right], 1) if right else 0))
+            cols = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, pa.int64()) for c in cols]], ["doc_id", "h", "passage", "left", "left_words", "right", "right_words"])
+
+    return edges.mapInArrow(run, f"doc_id {kind}, h long, passage long, left long, left_words long, right long, right_words long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, passage, start, stop, n_words, n_docs, first_doc_id, removed: one row for each repeated passage of a document.
-
-    A passage is a run of chunks that each occur in at least two documents, of min_words words or
-    more; start and stop are bytes of the UTF-8 text. first_doc_id is the smallest document with
-    the passage's first chunk, n_docs the least number of rows among its chunks. The passage is
-    kept where it occurs first (first_doc_id is its own document) and removed elsewhere.
-    Documents without such a passage have no row. Null and empty texts have no chunks; rows with a
-    null id are left out; rows that repeat an id are one document. Of a passage the words beyond
-    its first and last shared boundary, about WINDOW bytes each, are not in the span.
+    """doc_id, text_hash, passage, start, stop, n_words, passage_words, n_places, first_doc_id, removed: the repeated passages.
+
+    A passage is a run of chunks that each occur at two or more places (in other documents, or
+    elsewhere in this one), carried on at both ends over the bytes that still agree with the
+    other place of its outermost chunk, and of min_words words or more (those that start in
+    it, `passage_words`). Each chunk stays at its first place, by id (null last), hash of the
+    text and position, and is removed at all others; a passage has one row for each stretch of
+    chunks that are all kept or all removed, so whatever is removed here is kept in an earlier
+    place. start and stop are bytes of the UTF-8 text, n_places the least number of rows among
+    the places of the stretch's chunks, first_doc_id the document of the first place of its first chunk.
+
+    Rows of equal id (or without one) and equal text are one document. Null and empty texts have
+    no chunks; documents without such a passage, and an empty table, give no row. A text of
+    any length is read whole, with the boundaries it would have in one piece. A passage must
+    hold one whole chunk: boundaries need WINDOW + MEMORY bytes of it before and WINDOW after.
     """
+    kind = dict(docs.dtypes)[id_col]
     pieces = written(chunks(docs, id_col, text_col))
-    seen = pieces.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"), F.count(F.lit(1)).alias("n"))
-    repeated = written(seen.where("first_doc_id != last_doc_id").select("digest", "first_doc_id", "n"))
-    marked = pieces.join(repeated, "digest").select("doc_id", "seq", "start", "stop", "words", "first_doc_id", "n")
-    in_doc = Window.partitionBy("doc_id").orderBy("seq", "start")
-    step = F.when(F.col("seq") - F.lag("seq").over(in_doc) <= 1, 0).otherwise(1)
-    runs = marked.withColumn("new", step).withColumn("passage", F.sum("new").over(in_doc))
-    joined = runs.groupBy("doc_id", "passage").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").cast("long").alias("n_words"), F.min("n").alias("n_docs"), F.min_by("first_doc_id", "seq").alias("first_doc_id"))
-    joined = joined.where(F.col("n_words") >= min_words)
-    return joined.withColumn("removed", F.col("first_doc_id") != F.col("doc_id"))
+    counted = written(pieces.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    marked = written(pieces.join(counted, ["d1", "d2"]))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "start")
+    places = marked.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    hits = marked.join(written(places), ["d1", "d2"]).withColumn("kept", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "start").eqNullSafe(F.col("first")))
+    hits = hits.withColumn("other", F.when(F.col("kept"), F.col("last")).otherwise(F.col("first")))
+    in_doc = Window.partitionBy("doc_id", "h").orderBy("seq")
+    # a document that was given twice has each chunk twice: one of each is enough
+    hits = hits.withColumn("again", F.coalesce(F.lag("seq").over(in_doc) == F.col("seq"), F.lit(False))).where("not again")
+    gap = F.coalesce(F.col("seq") - F.lag("seq").over(in_doc) != 1, F.lit(True))
+    turn = gap | F.coalesce(F.col("kept") != F.lag("kept").over(in_doc), F.lit(True))
+    runs = hits.withColumns({"gap": gap.cast("long"), "turn": turn.cast("long")}).withColumns({"passage": F.sum("gap").over(in_doc), "part": F.sum("turn").over(in_doc)})
+    parts = runs.groupBy("doc_id", "h", "passage", "part").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").cast("long").alias("n_words"), F.min("n").cast("long").alias("n_places"), F.first("kept").alias("kept"),
+        F.min_by(F.struct("first", "other"), "seq").alias("l"), F.max_by(F.struct("other", (F.col("stop") - F.col("start")).alias("size")), "seq").alias("r"),
+    )
+    parts = written(parts)
+    whole = parts.groupBy("doc_id", "h", "passage").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n_words").alias("words"), F.min_by("l.other", "part").alias("l"), F.max_by("r", "part").alias("r"))
+    before = Window.partitionBy("doc_id", "h").orderBy("passage")
+    whole = whole.select("doc_id", "h", "passage", "start", "stop", "words", (F.col("start") - F.coalesce(F.lag("stop").over(before), F.lit(0))).alias("room"), F.col("l.doc_id").alias("l_doc"), F.col("l.h").alias("l_h"), F.col("l.start").alias("l_at"), F.col("r.other.doc_id").alias("r_doc"), F.col("r.other.h").alias("r_h"), (F.col("r.other.start") + F.col("r.size")).alias("r_at"))
+    whole = written(whole)
+    wanted = [whole.select("doc_id", "h", F.col(c).alias("at")) for c in ("start", "stop")] + [whole.select(F.col(f"{s}_doc").alias("doc_id"), F.col(f"{s}_h").alias("h"), F.col(f"{s}_at").alias("at")) for s in "lr"]
+    around = written(_surroundings(docs, id_col, text_col, wanted[0].union(wanted[1]).union(wanted[2]).union(wanted[3])))
+
+    def near(side: str, column: str, doc: str, h: str, at: str, last: bool = False) -> DataFrame:
+        cols = [F.col("doc_id").alias(f"{side}_d"), F.col("h").alias(f"{side}_k"), F.col("at").alias(f"{side}_a"), F.col(column).alias(side)]
+        if last:
+            cols.append(F.expr("right_byte").alias("last"))
+        return around.withColumn("right_byte", F.substring("before", -1, 1)).select(*cols), F.col(doc).eqNullSafe(F.col(f"{side}_d")) & (F.col(h) == F.col(f"{side}_k")) & (F.col(at) == F.col(f"{side}_a"))
+
+    edges = whole
+    for args in (("lo", "before", "doc_id", "h", "start"), ("lp", "before", "l_doc", "l_h", "l_at"), ("ro", "after", "doc_id", "h", "stop", True), ("rp", "after", "r_doc", "r_h", "r_at")):
+        edges = edges.join(*near(*args))
+    more = written(_carried_on(edges.select("doc_id", "h", "passage", "lo", "lp", "ro", "rp", "room", "last"), kind))
+    same = ["doc_id", "h", "passage"]
+    ends = whole.select(*same, F.col("start").alias("w_start"), F.col("stop").alias("w_stop"), "words").withColumnsRenamed({c: f"w_{c}" for c in same})
+    ends = ends.join(more, F.col("w_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("w_h") == F.col("h")) & (F.col("w_passage") == F.col("passage"))).drop(*same)
+    ends = ends.withColumn("passage_words", F.col("words") + F.col("left_words") + F.col("right_words")).where(F.col("passage_words") >= min_words)
+    out = parts.join(ends, F.col("w_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("w_h") == F.col("h")) & (F.col("w_passage") == F.col("passage")))
+    on_left, on_right = F.col("start") == F.col("w_start"), F.col("stop") == F.col("w_stop")
+    extra = lambda on, c: F.when(on, F.col(c)).otherwise(0)
+    return out.select(
+        "doc_id", F.col("h").alias("text_hash"), "passage", (F.col("start") - extra(on_left, "left")).alias("start"), (F.col("stop") + extra(on_right, "right")).alias("stop"),
+        (F.col("n_words") + extra(on_left, "left_words") + extra(on_right, "right_words")).alias("n_words"), "passage_words", "n_places", F.col("l.first.doc_id").alias("first_doc_id"), (~F.col("kept")).alias("removed"),
+    )
+
+
+def _without(text: np.ndarray, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the whole words within the spans, which may overlap."""
+    out, at, n = [], 0, len(text)
+    for start, stop in spans:
+        # inwards to where a word starts, and to where one ends
+        while 0 < start < min(stop, n) and not IS_SPACE[text[start - 1]]:
+            start += 1
+        while start < stop < n and not IS_SPACE[text[stop]]:
+            stop -= 1
+        if stop > max(start, at):
+            out.append(text[at : max(start, at)].tobytes())
+            at = stop
+    return b"".join([*out, text[at:].tobytes()])
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the removed passages cut out of text_col; the other columns stay."""
-    spans = passages.where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_spans")).withColumnRenamed("doc_id", "_doc")
-    body = F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")
-    state = F.aggregate("_spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").cast("binary").alias("out")), lambda s, x: F.struct(x["stop"].alias("at"), F.concat(s["out"], body.substr((s["at"] + 1).cast("int"), F.greatest(x["start"] - s["at"], F.lit(0)).cast("int"))).alias("out")))
-    cut = F.try_validate_utf8(F.decode(F.concat(state["out"], body.substr((state["at"] + 1).cast("int"), F.lit(1 << 30))), "utf-8"))
-    joined = docs.join(spans, docs[id_col] == spans["_doc"], "left")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut)).drop("_spans", "_doc")
+    """docs with the removed passages cut out of text_col, word by whole word; all rows and the other columns stay.
+
+    A row's passages are those of its id and text, so rows that repeat an id are each cut by their
+    own, and a null id is like any other. Null and empty texts stay as they are; an empty table of
+    either kind changes nothing. Columns of docs may have any names.
+    """
+    names = {c: fresh(docs, c) for c in ("spans_", "doc_", "hash_")}
+    spans = passages.where("removed").groupBy(F.col("doc_id").alias(names["doc_"]), F.col("text_hash").alias(names["hash_"])).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias(names["spans_"]))
+    mine = docs[id_col].eqNullSafe(spans[names["doc_"]]) & (F.xxhash64(text_of(docs[text_col])) == spans[names["hash_"]])
+    joined = docs.join(spans, mine, "left").select(*[docs[c] for c in docs.columns], spans[names["spans_"]])
+    where = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(where))
+            kept = [_without(data[offsets[i] : offsets[i + 1]], [(s["start"], s["stop"]) for s in spans]).decode() if spans else text.as_py() for i, (spans, text) in enumerate(zip(batch.column(batch.num_columns - 1).to_pylist(), batch.column(where)))]
+            columns = list(batch.columns[:-1])
+            columns[where] = pa.array(kept, batch.schema.field(where).type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return joined.mapInArrow(run, docs.schema)
