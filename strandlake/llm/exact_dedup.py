@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm._runtime import small_side, text_of, written
@@ -103,14 +103,14 @@ class FuseFilter:
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row_id, digest (SHA-256 of the normalised text, hex), bytes (its length): one row a document."""
-    text = F.regexp_replace(text_of(F.col(text_col)), WHITE, " ")
-    return docs.select(F.col(id_col).alias("row_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("bytes"))
+    """row_id, digest (SHA-256 of the normalised text, hex), bytes (its length), raw (a hash of the text): one row a document."""
+    text = _normal(text_col)
+    return docs.select(F.col(id_col).alias("row_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("bytes"), F.xxhash64(text_of(F.col(text_col))).alias("raw"))
 
 
 def _groups(keyed: DataFrame) -> DataFrame:
     """One row for each distinct digest; Spark sums on the map side, so copies never meet in one task."""
-    return keyed.groupBy("digest", "bytes").agg(F.min("row_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    return keyed.groupBy("digest", "bytes").agg(F.min("row_id").alias("keep_id"), F.min("raw").alias("raw"), F.count(F.lit(1)).alias("n"))
 
 
 def _bucket(digest: str, buckets: int):
@@ -134,31 +134,36 @@ def build_filters(snapshot: DataFrame, buckets: int) -> DataFrame:
 
 
 def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
-    """The incoming groups with `maybe`: whether the filter of their bucket may hold the digest."""
+    """digest: those of the incoming groups that the filter of their bucket may hold. Only digests go through Python."""
 
     def probe(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        maybe = np.zeros(len(new), bool)
-        if len(old) and len(new):
-            row = old.iloc[0]
-            made = FuseFilter(int(row["seed"]), int(row["segment"]), int(row["segments"]), np.frombuffer(row["table"], np.uint8))
-            maybe = made.holds(_key64(new["digest"].to_numpy()))
-        return new[["digest", "bytes", "keep_id", "n"]].assign(maybe=maybe)
+        if not len(old) or not len(new):
+            return new[["digest"]].iloc[:0]
+        row = old.iloc[0]
+        made = FuseFilter(int(row["seed"]), int(row["segment"]), int(row["segments"]), np.frombuffer(row["table"], np.uint8))
+        return new.loc[made.holds(_key64(new["digest"].to_numpy())), ["digest"]]
 
-    keyed = incoming.select("digest", "bytes", "keep_id", "n", _bucket("digest", buckets).alias("bucket"))
-    return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest string, bytes long, keep_id long, n long, maybe boolean")
+    keyed = incoming.select("digest", _bucket("digest", buckets).alias("bucket"))
+    return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest string")
 
 
-def _same_bytes(pairs: DataFrame, old: DataFrame, new: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (old_id, new_id) whose normalised texts are equal byte by byte.
+def _normal(text_col: str) -> Column:
+    return F.regexp_replace(text_of(F.col(text_col)), WHITE, " ")
 
-    Only the texts of pairs are shuffled while the pairs are few enough to be broadcast.
+
+def _same_bytes(pairs: DataFrame, old: DataFrame, new: DataFrame, text_col: str) -> DataFrame:
+    """digest: those of the pairs (digest, old_raw, new_raw) whose normalised texts are equal byte by byte.
+
+    Only texts with the hashes of pairs are normalised again and shuffled, one for each digest and task.
     """
-    text = F.encode(F.regexp_replace(text_of(F.col(text_col)), WHITE, " "), "utf-8")
-    ids = small_side(pairs)
-    one = old.select(F.col(id_col).alias("old_id"), text.alias("old_text")).join(ids, "old_id")
-    two = new.select(F.col(id_col).alias("new_id"), text.alias("new_text")).join(ids, "new_id")
-    met = one.join(two, ["old_id", "new_id"])
-    return met.where(F.col("old_text") == F.col("new_text")).select("old_id", "new_id").distinct()
+
+    def side(docs: DataFrame, name: str) -> DataFrame:
+        wanted = small_side(pairs.select(F.col(f"{name}_raw").alias("raw"), F.col("digest").alias("_digest")))
+        found = docs.select(F.xxhash64(text_of(F.col(text_col))).alias("raw"), F.col(text_col).alias("text")).join(wanted, "raw")
+        found = found.select("_digest", _normal("text").alias(f"{name}_text")).where(F.sha2(f"{name}_text", 256) == F.col("_digest"))
+        return found.groupBy(F.col("_digest").alias("digest")).agg(F.first(F.col(f"{name}_text")).alias(f"{name}_text"))
+
+    return side(old, "old").join(side(new, "new"), "digest").where(F.col("old_text") == F.col("new_text")).select("digest")
 
 
 def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS) -> DataFrame:
@@ -168,7 +173,8 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
     become one space; a null text counts as empty. The document of the smallest
     id among equal ones stays. Rows that repeat an id are copies like others and
     carry the same answer; a null id is larger than any other and stays only if
-    all ids of its group are null. Either table may be empty.
+    all ids of its group are null. Ids may be of any type Spark can order, and go through
+    Spark alone. Either table may be empty; other columns are ignored.
     """
     columns = (id_col, text_col)
     old_keyed, new_keyed = (written(digests(x.select(*columns), id_col, text_col)) for x in (snapshot, incoming))
@@ -176,11 +182,10 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
     # a bucket's incoming digests are in one task too, however few the snapshot has
     buckets = max(1, -(-max(old.count(), new.count()) // bucket_keys))
     screened = written(screen(new, written(build_filters(old, buckets)), buckets))
-    stored = old.select("digest", F.col("keep_id").alias("old_id"), F.col("n").alias("old_n"))
-    positive = written(screened.where("maybe").join(stored, "digest").select("digest", "old_id", F.col("keep_id").alias("new_id"), "old_n", F.col("n").alias("new_n")))
-    checked = _same_bytes(positive.select("old_id", "new_id"), snapshot, incoming, id_col, text_col)
-    # an id that is null can't be looked up again; its digest decides
-    both = positive.join(checked, ["old_id", "new_id"], "left_semi").unionByName(positive.where("old_id is null or new_id is null"))
+    stored = old.select("digest", F.col("keep_id").alias("old_id"), F.col("raw").alias("old_raw"), F.col("n").alias("old_n"))
+    arrived = new.join(screened, "digest").select("digest", F.col("keep_id").alias("new_id"), F.col("raw").alias("new_raw"), F.col("n").alias("new_n"))
+    positive = written(arrived.join(stored, "digest"))
+    both = positive.join(_same_bytes(positive, snapshot, incoming, text_col), "digest", "left_semi")
     both = both.select("digest", F.least("old_id", "new_id").alias("keep_id"), (F.col("old_n") + F.col("new_n")).alias("n"))
     one_side = old.select("digest", "bytes", "keep_id", "n").unionByName(new.select("digest", "bytes", "keep_id", "n"))
     copies = one_side.where("n > 1").join(both, "digest", "left_anti").select("digest", "keep_id", "n").union(both)
