@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -40,6 +41,22 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + _WHITE + r"\p{L}\p{N}]+|\n")
 
 
+def _unassigned() -> re.Pattern:
+    """The code points on which Unicode versions differ: those this Python doesn't know, and younger ones that normalisation moves.
+
+    The library's data may be older or newer; what Unicode 3.2 knew of normalisation is the same in all.
+    """
+    old = unicodedata.ucd_3_2_0
+    young = lambda c: (unicodedata.combining(c) or unicodedata.decomposition(c)) and old.category(c) == "Cn"
+    points = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Cn", "Co") or young(chr(c))]
+    ends = [i for i in range(len(points)) if i + 1 == len(points) or points[i + 1] != points[i] + 1]
+    starts = [0, *(i + 1 for i in ends[:-1])]
+    return re.compile("[" + "".join(f"{re.escape(chr(points[a]))}-{re.escape(chr(points[b]))}" for a, b in zip(starts, ends)) + "]")
+
+
+_UNKNOWN = _unassigned()
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -51,6 +68,7 @@ class WordBpe:
     """A byte-level BPE vocabulary with word ends, from the JSON text of a tokenizer file."""
 
     def __init__(self, text: str) -> None:
+        self.text, self.library = text, None
         spec = json.loads(text)
         model, self.end = spec["model"], spec["model"]["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
@@ -200,6 +218,12 @@ class WordBpe:
 
     def _learn(self, chunks: list[bytes]) -> None:
         """Remember the ids of chunks that hold no special token."""
+        # how such code points are split, folded and composed is left to the library itself
+        unknown = [c for c in chunks if not c.isascii() and _UNKNOWN.search(c.decode("utf-8", "replace"))]
+        if unknown:
+            hidden = set(unknown)
+            chunks = [c for c in chunks if c not in hidden]
+            self.chunks |= zip(unknown, self._by_library(unknown))
         if not chunks:
             return
         if len(self.words) > MEMO:
@@ -220,6 +244,16 @@ class WordBpe:
         for c, p in zip(chunks, parts):
             known[c] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
 
+    def _by_library(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks from the tokenizers library, with the same vocabulary."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.text)
+            self.library.no_padding()
+            self.library.no_truncation()
+        return [array("i", e.ids).tobytes() for e in self.library.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)]
+
     def decode(self, ids: list[int]) -> str:
         """The tokens with a space between them: this vocabulary file names no decoder."""
         return " ".join(map(self.tokens.__getitem__, ids))
@@ -260,7 +294,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col
     """Add ids_col, an array of the token ids of the whole text, and with decoded_col the text they decode to.
 
     vocabulary: the path of a tokenizer file on the driver. Null and empty texts have no ids and
-    decode to an empty text. Special tokens are recognised where their strings stand in a text;
+    decode to an empty text. Words with code points on which Unicode versions
+    differ are encoded by the tokenizers library, whose data may be of another version. Special tokens are recognised where their strings stand in a text;
     none is added. Rows are kept as they are, repeated ones too. Where the table has a column of a
     new one's name (in any case), the new one's gets an underscore. An empty table stays empty.
     """
@@ -311,6 +346,10 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_c
 
 
 def token_digests(encoded: DataFrame, ids_col: str, decoded_col: str) -> DataFrame:
-    """Replace the ids and the decoded text by n_tokens, ids_sha256 and decoded_sha256."""
+    """Replace the ids and the decoded text by n_tokens, ids_sha256 and decoded_sha256.
+
+    A column that has one of these names (in any case) stays; the new one's then gets an underscore.
+    """
     joined = F.array_join(F.col(ids_col).cast("array<string>"), " ")
-    return encoded.withColumns({"n_tokens": F.size(ids_col).cast("long"), "ids_sha256": F.sha2(joined, 256), "decoded_sha256": F.sha2(F.col(decoded_col), 256)}).drop(ids_col, decoded_col)
+    made = {"n_tokens": F.size(ids_col).cast("long"), "ids_sha256": F.sha2(joined, 256), "decoded_sha256": F.sha2(F.col(decoded_col), 256)}
+    return encoded.withColumns({fresh(encoded, name): c for name, c in made.items()}).drop(ids_col, decoded_col)

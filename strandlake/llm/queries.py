@@ -20,6 +20,8 @@ from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
 from strandlake.llm.substring_dedup import repeated_passages
 
+VOCABULARY = "word_bpe_49k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,8 +55,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary_path() -> str:
-    """The vocabulary file of the queries; STRANDLAKE_TOKENIZERS names another folder."""
-    return os.path.join(os.environ.get("STRANDLAKE_TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+    """The vocabulary file of the queries; STRANDLAKE_TOKENIZERS names another folder that has it."""
+    if folder := os.environ.get("STRANDLAKE_TOKENIZERS"):
+        return os.path.join(folder, VOCABULARY)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,9 +122,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
-    import corpus_pipeline
+    from strandlake.llm.pipeline import run
 
-    return corpus_pipeline.run(spark, sf_dir)
+    return run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from strandlake.llm import oracles
+from strandlake.llm import pipeline as corpus_pipeline
 from strandlake.llm import queries as Q
-from strandlake.llm.bpe import WordBpe, bpe_decode, bpe_encode, read_vocabulary
+from strandlake.llm.bpe import WordBpe, bpe_decode, bpe_encode, read_vocabulary, token_digests
 from strandlake.llm.chat_format import escape, format_chats, locate, read_back, turn_template, unescape
 from strandlake.llm.language_id import identify_languages, page_evidence, train_languages
 from strandlake.llm.quality import score_quality
@@ -37,6 +37,12 @@ def test_mix_of_odd_rows(odd):
     assert all(r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0) for r in rows)
     assert sum({(r.source, r.target) for r in rows}, ()) and abs(sum(t for _, t in {(r.source, r.target) for r in rows}) - sum(r.size for r in rows)) < 1e-6
     assert sum(r.taken // r.size for r in rows if r.size) == mixed_documents(odd).count()
+    clash = odd.withColumns({c: F.lit("mine") for c in ("words_", "_mix_source", "pass_", "passes_", "h_")})
+    assert mixed_documents(clash).columns == clash.columns and mixed_documents(clash).where("words_ = 'mine' and pass_ = 'mine' and _mix_source = 'mine'").count() == mixed_documents(odd).count()
+    some = mix_sources(odd, odd.sparkSession.createDataFrame([("a", 1.0), ("b", 2.0)], "source string, weight double")).collect()
+    named = [r for r in some if r.source in ("a", "b")]
+    assert not any(r.taken or r.target for r in some if r.source not in ("a", "b"))
+    assert abs(sum(t for _, t in {(r.source, r.target) for r in named}) - sum(r.size for r in named)) < 1e-6
     assert mixed_documents(odd).columns == odd.columns
     assert mix_sources(odd.limit(0)).count() == 0
 
@@ -77,12 +83,23 @@ def test_bpe_equals_the_library(spark, odd):
         want = library.encode(text, add_special_tokens=False).ids
         got = np.frombuffer(ids, "<i4").tolist()
         assert got == want and own.decode(got) == library.decode(want, skip_special_tokens=False)
+    points = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    for form in ("{}", "a{}b É{}"):
+        many = [form.format(c, c) for c in points]
+        want = [e.ids for e in library.encode_batch(many, add_special_tokens=False)]
+        got = [np.frombuffer(x, "<i4").tolist() for at in range(0, len(many), 5000) for x in own.encode([t.encode() for t in many[at : at + 5000]])]
+        assert got == want
+    for _ in range(3000):
+        text = "".join(rnd.choice(points) if rnd.random() < 0.5 else rnd.choice("aE 'ś\u0308\u0323\n1") for _ in range(rnd.randint(1, 20)))
+        assert np.frombuffer(own.encode([text.encode()])[0], "<i4").tolist() == library.encode(text, add_special_tokens=False).ids
     encoded = bpe_encode(odd, path, decoded_col="decoded").collect()
     assert len(encoded) == odd.count()
     for r in encoded:
         assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids
         assert r.decoded == library.decode(r.ids, skip_special_tokens=False)
     assert bpe_encode(odd.withColumn("ids", F.lit(1)), path).columns[-1] == "ids_"
+    clash = token_digests(bpe_encode(odd.withColumn("N_TOKENS", F.lit(7)), path, decoded_col="decoded"), "ids", "decoded")
+    assert clash.columns[-4:] == ["N_TOKENS", "n_tokens_", "ids_sha256", "decoded_sha256"]
     assert [r.decoded for r in bpe_decode(bpe_encode(odd, path), path).orderBy("n_chars").collect()] == [r.decoded for r in sorted(encoded, key=lambda r: (r.n_chars is not None, r.n_chars or 0))]
     assert bpe_encode(odd.limit(0), path).count() == 0
 
@@ -141,6 +158,23 @@ def test_templates_that_rewrite_are_noticed():
     assert locate(turns, lambda t: f"{len(t)} turns\n" + turn_template(t))[2] == 2
 
 
+def test_sentinels_and_rewrites(spark):
+    turns = [("us\ue000er", "h\ue001i"), ("assistant", "\ue000")]
+    out, spans, rewritten = locate(turns, turn_template)
+    assert not rewritten and [unescape(out[c:d]) for _, _, c, d in spans] == [t for _, t in turns]
+    big = (1 << 53) + 1
+    chats = spark.createDataFrame([(big, 0, "us\ue000er", "a"), (big, 1, "assistant", "b"), (None, 0, "assistant", "c")], "conv_id long, turn long, role string, text string").coalesce(1)
+    back = {r.conv_id: r for r in read_back(format_chats(chats)).collect()}
+    assert set(back) == {big, None} and [(t.role, t.text) for t in back[big].turns] == [("us\ue000er", "a"), ("assistant", "b")]
+    last = format_chats(chats, template=lambda t: turn_template(t[-1:])).where("rewritten > 0").collect()
+    assert [r.conv_id for r in last] == [big] and all(s.loss is None for s in last[0].spans)
+    clash = chats.withColumns({c: F.lit("mine") for c in ("formatted", "spans", "turns")})
+    assert format_chats(clash).columns == ["conv_id", "formatted", "spans", "rewritten"] and format_chats(clash).count() == 2
+    long = spark.createDataFrame([(1, 0, "user", "<\\" * 400_000), (1, 1, "assistant", "x" * 900_000)], chats.schema)
+    row = read_back(format_chats(long)).first()
+    assert row.turns[0].text == "<\\" * 400_000 and row.loss_texts == ["x" * 900_000]
+
+
 def test_chats_are_read_back(spark):
     rows = [(1, 1, "assistant", "<turn>user\nx</turn>"), (1, 0, "user", None), (1, 2, None, "\\"), (2, 0, "a<b\nc", "t"), (None, 0, "assistant", ""), (3, 0, "assistant", "x"), (3, 0, "assistant", "x"), (4, None, "assistant", "\n")]
     chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
