@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,22 @@ ENCODINGS = (("solexa", 59, 104), ("illumina1.3", 64, 104), ("illumina1.5", 66,
 TAILS = {"illumina1.5": "B", "illumina1.8": "#", "GATK-rescaled": "#"}
 #: Scores of a matching and a mismatching base under errors of 10^-2.2 on both sides, and the cutoff.
 MATCH, MISMATCH, ADAPTER_CUTOFF = 1.981756130572634, -5.899285635529426, 13.87229
+#: The protocol name of each encoding for the aligner.
+PROTOCOLS = {"sanger": "sanger", "solexa": "illumina", "illumina1.3": "illumina", "illumina1.5": "illumina", "illumina1.8": "sanger", "GATK-rescaled": "sanger"}
+#: The adapters of paired reads, mate 1 and mate 2, and of single reads.
+PAIRED_1, PAIRED_2, SINGLE = "AGATCGGAAGAGCGGTTCAGCAGGAATGCCGAGACCG", "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT", "AGATCGGAAGAGCTCGTATGCCGTCTTCTGCTTG"
+
+
+def choose_adapter(paired: bool, force_paired: bool = False, mate: int = 1) -> str:
+    """The adapter of a mate: single reads have their own, unless that of paired reads is asked for."""
+    if paired:
+        return {1: PAIRED_1, 2: PAIRED_2}[mate]
+    return PAIRED_1 if force_paired else SINGLE
+
+
+def protocol(encoding: Column) -> Column:
+    """The aligner's name for a quality encoding; null for one that is not known."""
+    return F.create_map(*[F.lit(x) for pair in PROTOCOLS.items() for x in pair])[encoding]
 
 
 def quality_offset(encoding: str) -> int:
@@ -38,19 +56,36 @@ def normal_id(c: Column, paired: bool = True) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "/[12]$", "") if paired else c, " .*$", "")
 
 
+def adapter_scores(reads: list[str | None], adapter: str) -> np.ndarray:
+    """The best ungapped overlap of each read with the adapter, over all diagonals; N matches nothing. 0 for no bases.
+
+    Reads are rows of one byte matrix; each base of the adapter is compared with all of it at
+    once, and its matches are added to the diagonals they lie on.
+    """
+    m, sizes = len(adapter), np.array([len(r or "") for r in reads], np.int64)
+    width = int(sizes.max(initial=0))
+    if not width:
+        return np.zeros(len(reads))
+    bases = np.frombuffer("".join((r or "").ljust(width, "N") for r in reads).encode("latin-1", "replace"), np.uint8).reshape(len(reads), width)
+    same = np.zeros((len(reads), width + m - 1), np.int32)  # column d + m - 1: the adapter starts at base d
+    for j, base in enumerate(adapter.encode()):
+        if base != ord("N"):
+            same[:, m - 1 - j : m - 1 - j + width] += bases == base
+    d = np.arange(1 - m, width)
+    overlap = np.minimum(sizes[:, None], d + m) - np.maximum(d, 0)
+    scores = np.where(overlap > 0, same * MATCH + (overlap - same) * MISMATCH, -np.inf)
+    return np.where(sizes > 0, scores.max(axis=1), 0.0)
+
+
 def adapter_score(seq: Column, adapter: str) -> Column:
-    """The best ungapped overlap of the read with the adapter, over all diagonals; N matches nothing. 0 for no bases."""
-    m, n = len(adapter), F.length(seq)
-    a = F.lit(adapter)
+    """adapter_scores of a column, by Arrow batches: as an expression every base of every diagonal would be a call."""
 
-    def diagonal(d: Column) -> Column:
-        left, size = F.greatest(d, F.lit(0)), F.least(n, d + m) - F.greatest(d, F.lit(0))
-        mine, theirs = F.substr(seq, left + 1, size), F.substr(a, left - d + 1, size)
-        at = F.sequence(F.lit(1), size)
-        same = F.aggregate(at, F.lit(0), lambda s, i: s + F.when((F.substr(mine, i, F.lit(1)) == F.substr(theirs, i, F.lit(1))) & (F.substr(mine, i, F.lit(1)) != "N"), 1).otherwise(0))
-        return same * MATCH + (size - same) * MISMATCH
+    @F.pandas_udf("double")
+    def score(reads: pd.Series) -> pd.Series:
+        step = 4096
+        return pd.Series(np.concatenate([adapter_scores(reads.iloc[i : i + step].tolist(), adapter) for i in range(0, len(reads), step)] or [np.zeros(0)]))
 
-    return F.when(n > 0, F.array_max(F.transform(F.sequence(F.lit(1 - m), n - 1), diagonal))).otherwise(0.0)
+    return score(seq)
 
 
 def is_first(flag: Column) -> Column:
@@ -84,6 +119,19 @@ def cigar_blocks(pos: Column, cigar: Column) -> Column:
     return F.aggregate(steps, begin, step, last)
 
 
+def cigar_steps(cigar: Column) -> Column:
+    """The operations in order as (kind, size, read, ref): where each begins in the read's bases and on the reference, from 0."""
+    steps = F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHPX=])"), F.lit(0))
+    start = F.struct(F.lit(0).alias("read"), F.lit(0).alias("ref"), F.array().cast("array<struct<kind:string,size:int,read:int,ref:int>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        kind, size = F.right(x, F.lit(1)), F.regexp_extract(x, r"\d+", 0).cast("int")
+        one = F.struct(kind.alias("kind"), size.alias("size"), s["read"].alias("read"), s["ref"].alias("ref"))
+        return F.struct((s["read"] + F.when(kind.isin("M", "I", "S", "=", "X"), size).otherwise(0)).alias("read"), (s["ref"] + F.when(kind.isin("M", "D", "N", "=", "X"), size).otherwise(0)).alias("ref"), F.concat(s["out"], F.array(one)).alias("out"))
+
+    return F.aggregate(steps, start, step, lambda s: s["out"])
+
+
 def resize(start: Column, end: Column, strand: Column, width: int) -> tuple[Column, Column]:
     """The range set to a width, held at its 5' end."""
     back = strand == "-"

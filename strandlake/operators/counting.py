@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.operators.intervals import left_side, merge_adjacent, overlap_join, right_side
+from strandlake.operators.intervals import running, left_side, merge_adjacent, overlap_join, right_side
 
 
 def feature_hits(features: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -36,10 +36,35 @@ def add_rpkm(counts: DataFrame, analyzed: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(analyzed.limit(1))).withColumn("rpkm", F.lit(1e9) * F.col("count") / (F.col("n") * F.col("width"))).drop("n")
 
 
-def merge_counts(parts: DataFrame) -> DataFrame:
-    """One row a feature over all runs. A width that differs between runs fails the task."""
-    merged = parts.groupBy("feature_set", "name").agg(F.sum("count").alias("count"), F.max("width").alias("width"), F.min("width").alias("_least"))
-    return merged.withColumn("width", F.when(F.col("_least") != F.col("width"), F.raise_error(F.lit("widths differ"))).otherwise(F.col("width"))).drop("_least")
+def merge_counts(parts: DataFrame, analyzed: DataFrame | None = None, run: str = "run") -> DataFrame:
+    """feature_set, name, count, width over all runs, features without reads too; with rpkm for `analyzed` (one row, n).
+
+    A feature that some run lacks, or whose width differs between runs, fails the task.
+    """
+    runs = parts.agg(F.countDistinct(run).alias("_runs"))
+    merged = parts.groupBy("feature_set", "name").agg(F.sum("count").cast("long").alias("count"), F.max("width").alias("width"), F.min("width").alias("_least"), F.countDistinct(run).alias("_in")).join(F.broadcast(runs))
+    fault = F.when(F.col("_in") != F.col("_runs"), F.lit("feature names differ")).when(F.col("_least") != F.col("width"), F.lit("feature widths differ"))
+    merged = merged.withColumn("width", F.when(fault.isNotNull(), F.raise_error(fault).cast("long")).otherwise(F.col("width"))).drop("_least", "_in", "_runs")
+    return merged if analyzed is None else add_rpkm(merged, analyzed)
+
+
+def class_shares(reads: DataFrame, analyzed: DataFrame) -> DataFrame:
+    """feature_class, reads, percent from reads by set (feature_set, nbreads): shares of the analyzed reads; introns are genes without exons."""
+    n = lambda kind: F.coalesce(F.sum(F.when(F.col("feature_set") == kind, F.col("nbreads"))), F.lit(0))
+    one = reads.agg(n("gene").alias("g"), n("exon").alias("e"), n("gene_coding").alias("c"), n("intergenic").alias("i")).join(F.broadcast(analyzed.limit(1)))
+    rows = one.select("n", F.expr("stack(5, 'Genes', g, 'Exons', e, 'CDS', c, 'Introns', g - e, 'Intergenic', i) as (feature_class, reads)"))
+    return rows.select("feature_class", "reads", F.round(F.col("reads") * 100.0 / F.col("n"), 2).alias("percent"))
+
+
+def restricted(rows: DataFrame, names: DataFrame, key: str = "gene") -> DataFrame:
+    """rows whose key is among the names."""
+    return rows.join(names.select(key).distinct(), key, "left_semi").select(*rows.columns)
+
+
+def side_by_side(one: DataFrame, two: DataFrame, symbols: DataFrame, key: str = "name") -> DataFrame:
+    """key, symbol, count_1, count_2: two samples' counts next to each other, with the features' symbols (null if unknown)."""
+    both = one.select(key, F.col("count").alias("count_1")).join(two.select(key, F.col("count").alias("count_2")), key)
+    return both.join(symbols.select(key, "symbol").dropDuplicates([key]), key, "left").select(key, "symbol", "count_1", "count_2")
 
 
 def count_statistics(counts: DataFrame) -> DataFrame:
@@ -56,11 +81,10 @@ def detected(counts: DataFrame) -> DataFrame:
 
 def survival(counts: DataFrame, value: str = "count") -> DataFrame:
     """value, num, percent: how many rows have at least each value. An empty input gives (1, 1, 100)."""
-    from pyspark.sql import Window
-
     seen = counts.groupBy(F.col(value).cast("long").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    seen = seen.withColumn("num", F.sum("n").over(Window.orderBy(F.col("value").desc())))  # one row a distinct value
-    out = seen.withColumn("percent", F.col("num") * 100.0 / F.max("num").over(Window.partitionBy())).select("value", "num", "percent")
-    spark = counts.sparkSession
-    none = spark.createDataFrame([(1, 1, 100.0)], "value long, num long, percent double").join(seen.limit(1).select(F.lit(1).alias("_x")), F.lit(True), "left_anti")
+    # from the largest value down, in tiles of values
+    run = running(seen.select(F.lit(0).alias("all"), (-F.col("value")).alias("at"), "n"), ["all"], ["n"], 1024)
+    total = counts.agg(F.count(F.lit(1)).alias("rows"))
+    out = run.join(F.broadcast(total)).select((-F.col("at")).alias("value"), F.col("sum_n").alias("num"), (F.col("sum_n") * 100.0 / F.col("rows")).alias("percent"))
+    none = total.where("rows = 0").select(F.lit(1).cast("long").alias("value"), F.lit(1).cast("long").alias("num"), F.lit(100.0).alias("percent"))
     return out.unionByName(none)

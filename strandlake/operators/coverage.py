@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
-from strandlake.operators.intervals import span, sweep
+from strandlake.operators.intervals import left_side, overlap_join, right_side, span, sweep
+
+
+def aligned_blocks(alignments: DataFrame, keep: tuple[str, ...] = ("run",)) -> DataFrame:
+    """groupid, chrom, start, end, strand and `keep`: the gap-free blocks of usable records; mates share the groupid (the read's name)."""
+    a = alignments.where(R.usable(F.col("flag")) & F.col("chrom").isNotNull())
+    return a.select(F.col("qname").alias("groupid"), "chrom", F.inline(R.cigar_blocks(F.col("pos"), F.col("cigar"))), "strand", *keep)
 
 
 def coverage_runs(blocks: DataFrame) -> DataFrame:
@@ -54,6 +60,34 @@ def weighted_fragment_length(estimates: DataFrame) -> DataFrame:
     return estimates.agg(F.round(F.sum(F.col("length") * F.col("n")) / F.sum("n")).cast("long").alias("fragment_length"))
 
 
+def estimate_fragment_length(blocks: DataFrame, most: int = 1000, by: str = "chrom") -> DataFrame:
+    """by, n, length: the shift at which the 5' ends of the two strands agree most, plus 1, for each chromosome.
+
+    Our own rule for an estimator that is delegated elsewhere: every 5' end of the plus strand is
+    paired with those of the minus strand up to `most` positions on, by positions and their
+    counts, and the distance with the most pairs is taken (the least of ties).
+    """
+    five = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start")).cast("long")
+    ends = blocks.groupBy(by, (F.col("strand") == "-").alias("minus"), five.alias("at")).agg(F.count(F.lit(1)).alias("k"))
+    tile = F.floor(F.col("at") / most)
+    plus = ends.where("not minus").select(by, F.col("at").alias("p"), F.col("k").alias("kp"), F.explode(F.array(tile, tile + 1)).alias("tile"))
+    minus = ends.where("minus").select(by, F.col("at").alias("m"), F.col("k").alias("km"), tile.alias("tile"))
+    far = plus.join(minus, [by, "tile"]).where((F.col("m") >= F.col("p")) & (F.col("m") < F.col("p") + most))
+    pairs = far.groupBy(by, (F.col("m") - F.col("p") + 1).alias("length")).agg(F.sum(F.col("kp") * F.col("km")).alias("pairs"))
+    best = pairs.groupBy(by).agg(F.max_by("length", F.struct("pairs", -F.col("length"))).alias("length"))
+    return blocks.groupBy(by).agg(F.count(F.lit(1)).alias("n")).join(best, by)
+
+
+def minimum_depth(places: DataFrame, runs: DataFrame) -> DataFrame:
+    """places (chrom, start, end and more) with min_depth: the least depth over their positions, 0 where a part is not covered."""
+    key = ["chrom", "start", "end"]
+    met = overlap_join(left_side(places.select(*key).distinct()), right_side(runs.select("chrom", "start", "end", "depth")))
+    inside = F.least("l_end", "r_end") - F.greatest("l_start", "r_start") + 1
+    found = met.groupBy("chrom", F.col("l_start").alias("start"), F.col("l_end").alias("end")).agg(F.min("depth").alias("_least"), F.sum(inside).alias("_covered"))
+    full = F.col("_covered") == F.col("end") - F.col("start") + 1
+    return places.join(found, key, "left").withColumn("min_depth", F.when(full, F.col("_least")).otherwise(0).cast("long")).drop("_least", "_covered")
+
+
 def checksum(runs: DataFrame) -> DataFrame:
     """checksum: positions times depth, summed over all positions."""
     first, last = F.col("start").cast("long"), F.col("end").cast("long")

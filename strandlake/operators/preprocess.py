@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
@@ -58,16 +58,30 @@ def flag_adapters(df: DataFrame, adapter1: str, adapter2: str | None = None, cut
     return df.withColumn("adapter", one & (R.adapter_score(F.col("seq2"), adapter2) > cutoff) if adapter2 else one)
 
 
+def flag_contaminated(df: DataFrame, ids: DataFrame, paired: bool = True) -> DataFrame:
+    """Add `rrna`: the read's normalised id is among ids(id)."""
+    bad = ids.select(F.col("id").alias("_bad")).distinct()
+    met = df.withColumn("_key", R.normal_id(F.col("id"), paired)).join(bad, F.col("_key") == F.col("_bad"), "left")
+    return met.withColumn("rrna", F.col("_bad").isNotNull()).drop("_key", "_bad")
+
+
 def remove_contaminated(df: DataFrame, ids: DataFrame, paired: bool = True) -> DataFrame:
     """Reads whose normalised id is not among ids(id)."""
-    bad = ids.select(F.col("id").alias("_bad")).distinct()
-    return df.join(bad, R.normal_id(F.col("id"), paired) == F.col("_bad"), "left_anti")
+    return flag_contaminated(df, ids, paired).where("not rrna").drop("rrna")
+
+
+def assert_all_matched(df: DataFrame, ids: DataFrame, paired: bool = True) -> DataFrame:
+    """ids; a task fails on one that no read has."""
+    have = df.select(R.normal_id(F.col("id"), paired).alias("_have")).distinct()
+    met = ids.join(have, F.col("id") == F.col("_have"), "left")
+    return met.select(F.when(F.col("_have").isNotNull(), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("no read has the id "), F.col("id"))).cast("string")).alias("id"))
 
 
 def assert_unique_ids(df: DataFrame) -> DataFrame:
     """df; a task fails on an id that occurs twice."""
-    twice = df.groupBy("id").count().where("count > 1").select(F.raise_error(F.concat(F.lit("duplicated read id "), F.col("id"))).cast("string").alias("id"))
-    return df.join(twice, "id", "left_anti")
+    counted = df.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+    checked = counted.select(F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("duplicated read id "), F.col("id"))).cast("string")).otherwise(F.col("id")).alias("id"))
+    return df.join(checked, "id", "left_semi")
 
 
 def subsample(df: DataFrame, n: int, key: str = "id") -> DataFrame:
@@ -75,16 +89,69 @@ def subsample(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     return df.withColumn("_h", F.md5(F.col(key).cast("string"))).orderBy("_h", key).limit(n).drop("_h")
 
 
-def summary(df: DataFrame, kept: DataFrame, by: list[str]) -> DataFrame:
-    """Totals and read lengths before and after filtering, for each key."""
-    before = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_reads"), F.min(F.length("seq1").cast("long")).alias("input_min_read_length"), F.max(F.length("seq1").cast("long")).alias("input_max_read_length"))
-    after = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("highqual_reads"), F.min(F.length("seq1").cast("long")).alias("processed_min_read_length"), F.max(F.length("seq1").cast("long")).alias("processed_max_read_length"))
-    return before.join(after, by, "left").fillna(0, ["highqual_reads"])
+def preprocess(df: DataFrame, encoding: str = "sanger", least: int = 23, share: float = 0.7, min_length: int = 1, trim: tuple[int | None, int] | None = None, adapters: tuple[str, str | None] | None = None, contaminated: DataFrame | None = None, paired: bool = True) -> DataFrame:
+    """Every read, trimmed, with what each step says of it: input_shortest, input_longest, first_length, highqual, adapter, rrna, processed.
+
+    The order is: cut to length (trim: length, trim5), tails and quality, adapters among the good
+    ones (flagged, not removed), contaminated ids among the good ones (removed). A step that is
+    left out flags nothing, but without a quality step (encoding None) all reads go on and none is
+    counted as of high quality.
+    """
+    lengths = [F.length(f"seq{m}").cast("long") for m in _mates(df)]
+    shortest, longest = (F.least(*lengths), F.greatest(*lengths)) if len(lengths) > 1 else (lengths[0], lengths[0])
+    df = df.withColumns({"input_shortest": shortest, "input_longest": longest, "first_length": lengths[0]})
+    if trim:
+        df = trim_reads(df, *trim)
+    if encoding:
+        if encoding in R.TAILS:
+            df = trim_tails(df, R.TAILS[encoding])
+        good = every_mate(df, lambda m: (F.length(f"seq{m}") >= min_length) & (R.good_share(F.col(f"qual{m}"), R.quality_offset(encoding), least) > share))
+        df = df.withColumns({"highqual": good, "processed": good})
+    else:
+        df = df.withColumns({"highqual": F.lit(False), "processed": F.lit(True)})
+    df = flag_adapters(df, *adapters) if adapters else df.withColumn("adapter", F.lit(False))
+    df = df.withColumn("adapter", F.col("adapter") & F.col("processed"))
+    df = flag_contaminated(df, contaminated, paired) if contaminated is not None else df.withColumn("rrna", F.lit(False))
+    return df.withColumn("rrna", F.col("rrna") & F.col("processed")).withColumn("processed", F.col("processed") & ~F.col("rrna"))
+
+
+#: The rows of a preprocessing summary, in order.
+SUMMARY = ["total_reads", "read_length", "input_min_read_length", "input_max_read_length", "highqual_reads", "adapter_contam", "rRNA_contam_reads", "processed_min_read_length", "processed_max_read_length", "processed_reads"]
+
+
+def summary(marked: DataFrame, by: list[str]) -> DataFrame:
+    """by and SUMMARY, from the rows of `preprocess`, in one pass; read_length is that of the read of the least id. No reads: no row."""
+    lengths = [F.length(f"seq{m}").cast("long") for m in _mates(marked)]
+    shortest, longest = (F.least(*lengths), F.greatest(*lengths)) if len(lengths) > 1 else (lengths[0], lengths[0])
+    kept = lambda c: F.when(F.col("processed"), c)
+    out = marked.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("total_reads"), F.min_by("first_length", "id").alias("read_length"), F.min("input_shortest").alias("input_min_read_length"), F.max("input_longest").alias("input_max_read_length"),
+        F.count_if("highqual").alias("highqual_reads"), F.count_if("adapter").alias("adapter_contam"), F.count_if("rrna").alias("rRNA_contam_reads"),
+        F.min(kept(shortest)).alias("processed_min_read_length"), F.max(kept(longest)).alias("processed_max_read_length"), F.count_if("processed").alias("processed_reads"),
+    )
+    return out.select(*by, *SUMMARY)
+
+
+def merge_summaries(parts: DataFrame, order: str = "run") -> DataFrame:
+    """One row for all lanes: counts add up, the least and the largest lengths stay, read_length is that of the first lane that has one."""
+    how = lambda c: F.min(c) if "_min_" in c else F.max(c) if "_max_" in c else F.sum(c)
+    return parts.agg(*[(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))) if c == "read_length" else how(c)).alias(c) for c in SUMMARY])
+
+
+def effective_length(read_length: Column, trim_length: Column | None) -> Column:
+    """The read length after trimming; without a trim length it stays."""
+    return read_length if trim_length is None else F.least(read_length, trim_length)
+
+
+def length_table(df: DataFrame, c: str) -> DataFrame:
+    """The values of a column with their counts and shares in percent."""
+    counts, total = df.groupBy(c).agg(F.count(F.lit(1)).alias("n")), df.agg(F.count(F.lit(1)).alias("_all"))
+    return counts.join(F.broadcast(total)).select(c, "n", (F.col("n") * 100.0 / F.col("_all")).alias("percent"))
 
 
-def merge_summaries(parts: DataFrame) -> DataFrame:
-    """One row for all lanes: counts add up, the least and the largest lengths stay."""
-    return parts.agg(*[(F.min if "_min_" in c else F.max if "_max_" in c else F.sum)(c).alias(c) for c in parts.columns if c.endswith(("_reads", "_length"))])
+def first_chunks(df: DataFrame, chunk_size: int, most: int, record: str = "record") -> DataFrame:
+    """The reads of the first `most` chunks of chunk_size records, by record number from 0: a filter, no sort."""
+    return df.where(F.col(record) < chunk_size * most)
 
 
 def per_cycle(df: DataFrame, offset: int = 33) -> DataFrame:
@@ -94,7 +161,8 @@ def per_cycle(df: DataFrame, offset: int = 33) -> DataFrame:
     return at.groupBy("cycle").agg(F.count(F.lit(1)).alias("n"), F.avg("q").alias("mean_quality"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGT"])
 
 
-def running_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+def first_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of the least `order` for each key; rows are reduced on the map side, so a hot key is no hot task."""
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+    return first.select(*keys, "_first.*").select(*df.columns)

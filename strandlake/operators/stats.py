@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
-from strandlake.operators.intervals import left_side, overlap_join, right_side
+from strandlake.operators.intervals import TILE, left_side, merge_adjacent, overlap_join, right_side, sweep
 
 
 def unique_reads(alignments: DataFrame) -> DataFrame:
@@ -99,6 +99,41 @@ def tally(v: DataFrame) -> DataFrame:
     return v.groupBy("chrom", "pos", "ref", "alt").agg(F.sum("nalt").alias("alt_depth"), F.sum("nref").alias("ref_depth"), F.count(F.lit(1)).alias("records"))
 
 
+def bases(alignments: DataFrame, offset: int = 33, indels: bool = True) -> DataFrame:
+    """chrom, pos, base, quality: each aligned base of usable records (chrom, pos, cigar, seq, qual, flag).
+
+    With indels, an insertion is `+` and its bases at the position before it, a deletion `-` and
+    its length at its first position; their quality is that of the read's base before them.
+    """
+    a = alignments.where(R.usable(F.col("flag"))).select("chrom", F.col("pos").alias("at"), "seq", "qual", F.explode(R.cigar_steps(F.col("cigar"))).alias("s")).select("chrom", "at", "seq", "qual", "s.*")
+    quality = lambda i: (F.ascii(F.substr("qual", i, F.lit(1))) - offset).alias("quality")
+    run = a.where(F.col("kind").isin("M", "=", "X")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    at = F.col("read") + F.col("i") + 1
+    out = run.select("chrom", (F.col("at") + F.col("ref") + F.col("i")).cast("long").alias("pos"), F.substr("seq", at, F.lit(1)).alias("base"), quality(at))
+    if not indels:
+        return out
+    ins = a.where("kind = 'I' and read > 0").select("chrom", (F.col("at") + F.col("ref") - 1).cast("long").alias("pos"), F.concat(F.lit("+"), F.substr("seq", F.col("read") + 1, F.col("size"))).alias("base"), quality(F.col("read")))
+    gone = a.where("kind = 'D' and read > 0").select("chrom", (F.col("at") + F.col("ref")).cast("long").alias("pos"), F.concat(F.lit("-"), F.col("size").cast("string")).alias("base"), quality(F.col("read")))
+    return out.unionByName(ins).unionByName(gone)
+
+
+def pileup(alignments: DataFrame, reference: DataFrame, least_quality: int = 23, indels: bool = True, mask: DataFrame | None = None, which: DataFrame | None = None) -> DataFrame:
+    """chrom, pos, ref, alt, alt_depth, ref_depth, records: other bases than the reference's (chrom, pos, ref), of quality least_quality at least.
+
+    records is the depth of all bases of that quality. Positions in the mask are left out; with
+    `which` only positions in those regions count. Bases are added up before anything is joined.
+    """
+    counted = bases(alignments, indels=indels).where(F.col("quality") >= least_quality).groupBy("chrom", "pos", "base").agg(F.count(F.lit(1)).alias("n"))
+    if mask is not None:
+        counted = outside(counted, mask)
+    if which is not None:
+        counted = inside(counted, which)
+    met = counted.join(reference.select("chrom", "pos", "ref"), ["chrom", "pos"])
+    plain = ~F.substr("base", F.lit(1), F.lit(1)).isin("+", "-")
+    depth = met.groupBy("chrom", "pos").agg(F.sum(F.when(F.col("base") == F.col("ref"), F.col("n")).otherwise(0)).alias("ref_depth"), F.sum(F.when(plain, F.col("n")).otherwise(0)).alias("records"))
+    return met.where(F.col("base") != F.col("ref")).join(depth, ["chrom", "pos"]).select("chrom", "pos", "ref", F.col("base").alias("alt"), F.col("n").alias("alt_depth"), "ref_depth", "records")
+
+
 def _likelihood_ratio() -> Column:
     k, n = F.col("alt_depth"), F.col("alt_depth") + F.col("ref_depth")
     log = lambda p: k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(1 - p))
@@ -114,9 +149,15 @@ def call_variants(tallied: DataFrame, filters: tuple[str, ...] = tuple(CALLING_F
 
 
 def neighbour_filter(calls: DataFrame, reach: int = 50, most: int = 20, whitelist: DataFrame | None = None) -> DataFrame:
-    """Calls with at most `most` others within `reach` positions; whitelisted sites (chrom, pos, alt) stay."""
-    near = Window.partitionBy("chrom").orderBy("pos").rangeBetween(-reach, reach)
-    marked = calls.withColumn("_n", F.count(F.lit(1)).over(near) - 1)
+    """Calls with at most `most` others within `reach` positions; whitelisted sites (chrom, pos, alt) stay.
+
+    A chromosome is dealt into tiles; calls within reach of a tile's edge are counted in the next tile too.
+    """
+    width = max(TILE, 4 * reach)
+    own, pos = F.floor(F.col("pos") / width), F.col("pos")
+    dealt = calls.withColumn("_own", own).withColumn("_tile", F.explode(F.array_distinct(F.array(own, F.floor((pos - reach) / width), F.floor((pos + reach) / width)))))
+    near = Window.partitionBy("chrom", "_tile").orderBy("pos").rangeBetween(-reach, reach)
+    marked = dealt.withColumn("_n", F.count(F.lit(1)).over(near) - 1).where("_own = _tile").drop("_own", "_tile")
     if whitelist is None:
         return marked.where(F.col("_n") <= most).drop("_n")
     known = whitelist.select("chrom", "pos", "alt").distinct().withColumn("_known", F.lit(True))
@@ -133,40 +174,41 @@ def genotypes(calls: DataFrame, error: float = 0.001) -> DataFrame:
     return calls.withColumns({"pl": pl, "gt": F.element_at(F.array(F.lit("0/0"), F.lit("0/1"), F.lit("1/1")), best), "gq": F.array_sort(pl)[1]})
 
 
-def concordance(v: DataFrame, key: str = "sample") -> DataFrame:
-    """a, b, shared, concordance: for each pair of samples the sites in common over those of the smaller one."""
-    sites = v.select(key, "chrom", "pos", "ref", "alt").distinct()
-    sizes = sites.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    one, two = sites.withColumnRenamed(key, "a"), sites.withColumnRenamed(key, "b")
-    shared = one.join(two, ["chrom", "pos", "ref", "alt"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    n = lambda x: F.broadcast(sizes.select(F.col(key).alias(x), F.col("n").alias(f"n_{x}")))
-    return shared.join(n("a"), "a").join(n("b"), "b").select("a", "b", "shared", (F.col("shared") / F.least("n_a", "n_b")).alias("concordance"))
-
-
-def runs_matrix(summary: DataFrame, names: list[str]) -> DataFrame:
-    """One row a run, one column a name of (run, name, value)."""
-    return summary.groupBy("run").pivot("name", names).agg(F.sum("value"))
+def concordance(v: DataFrame, key: str = "sample", least: float = 0.8) -> DataFrame:
+    """a, b, shared, concordance, concordant: for each pair of samples the sites in common over those of the smaller one.
 
-
-def run_ratios(matrix: DataFrame, parts: list[str], whole: str) -> DataFrame:
-    return matrix.select("run", *[F.round(F.col(c) * 100 / F.col(whole), 4).alias(f"{c}_pct") for c in parts])
-
-
-def quality_calls(ratios: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame:
-    """run, each test (true: failed), failing (names joined by commas) and final (any failed)."""
-    tests = {c: (F.col(c) < x if way == "<" else F.col(c) > x) for c, (way, x) in limits.items()}
-    failing = F.array_join(F.array_compact(F.array(*[F.when(t, F.lit(c)) for c, t in tests.items()])), ",")
-    return ratios.select("run", *[t.alias(c) for c, t in tests.items()], failing.alias("failing"), reduce(lambda a, b: a | b, tests.values()).alias("final"))
+    Sites are grouped once and the samples of a site paired there: their number bounds the pairs.
+    """
+    sites = v.select(key, "chrom", "pos", "ref", "alt").distinct()
+    sizes = sites.groupBy(F.col(key).alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    pair = F.struct(F.col("x").alias("a"), F.col("y").alias("b"))
+    one, two = (sites.withColumnRenamed(key, c) for c in "xy")
+    shared = one.join(two, ["chrom", "pos", "ref", "alt"]).where("x < y").groupBy(pair.alias("pair")).agg(F.count(F.lit(1)).alias("shared")).select("pair.*", "shared")
+    every = sizes.select(F.col("of").alias("a"), F.col("n").alias("n_a")).join(sizes.select(F.col("of").alias("b"), F.col("n").alias("n_b")), F.col("a") < F.col("b"))  # samples, not sites
+    ratio = F.coalesce("shared", F.lit(0)) / F.least("n_a", "n_b")
+    return every.join(shared, ["a", "b"], "left").select("a", "b", F.coalesce("shared", F.lit(0)).cast("long").alias("shared"), ratio.alias("concordance"), (ratio >= least).alias("concordant"))
 
 
 def single_gene_pieces(coding: DataFrame) -> DataFrame:
-    """chrom, start, end, gene: disjoint pieces of coding exons that touch exactly one gene, strands ignored."""
-    from strandlake.operators.intervals import disjoin
-
-    pieces = disjoin(coding.select("chrom", "start", "end"), ["chrom"]).select("chrom", "start", "end")
-    met = overlap_join(left_side(pieces), right_side(coding.select("chrom", "gene", "start", "end")))
-    one = met.groupBy("chrom", "l_start", "l_end").agg(F.min("gene").alias("gene"), F.max("gene").alias("_last"))
-    return one.where("gene = _last").select("chrom", F.col("l_start").alias("start"), F.col("l_end").alias("end"), "gene")
+    """chrom, start, end, gene: disjoint pieces of coding exons that touch exactly one gene, strands ignored.
+
+    One sweep: each gene's merged ranges add 1 and a code of the gene, so where one gene is, the
+    sum of codes is its code; the exons themselves only cut.
+    """
+    genes = coding.select("gene").distinct().withColumn("code", F.xxhash64("gene").cast("decimal(20,0)"))
+    merged = merge_adjacent(coding.select("gene", "chrom", "start", "end"), ["gene", "chrom"]).join(genes, "gene").select("chrom", "start", "end", F.lit(1).alias("one"), "code")
+    cuts = coding.select("chrom", F.col("start").cast("long"), F.col("end").cast("long"), F.lit(0).alias("one"), F.lit(0).cast("decimal(20,0)").alias("code"))
+    pieces = sweep(merged.unionByName(cuts), ["chrom"], {"genes": F.col("one"), "code": F.col("code")}, cut=True).where("genes = 1")
+    return pieces.join(genes, "code").select("chrom", "start", "end", "gene")
+
+
+def assert_same_keys(settings: DataFrame, version: str = "version") -> DataFrame:
+    """settings (lane, key, value); a task fails if a lane lacks a key that another has, or if versions differ."""
+    lanes = settings.agg(F.countDistinct("lane").alias("_lanes"))
+    keys = settings.groupBy("key").agg(F.countDistinct("lane").alias("_in"), F.countDistinct("value").alias("_values")).join(F.broadcast(lanes))
+    fault = F.when(F.col("_in") != F.col("_lanes"), F.concat(F.lit("some lane lacks "), F.col("key"))).when((F.col("key") == version) & (F.col("_values") > 1), F.lit("lanes of different versions"))
+    checked = keys.select(F.when(fault.isNotNull(), F.raise_error(fault).cast("string")).otherwise(F.col("key")).alias("key"))
+    return settings.join(checked, "key", "left_semi").select(*settings.columns)
 
 
 def merge_settings(settings: DataFrame, ignored: tuple[str, ...] = ()) -> DataFrame:

@@ -13,14 +13,15 @@ from strandlake.operators import coverage as V
 from strandlake.operators import features as G
 from strandlake.operators import intervals as I
 from strandlake.operators import preprocess as P
+from strandlake.operators import runs as Q
 from strandlake.operators import stats as S
 from strandlake.plans import views
 from strandlake.plans.views import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str]] = {}
-CHROMOSOMES = [(f"chr{i}", 20100) for i in range(5)]
-LENGTHS_SQL = "lengths AS (SELECT 'chr' || i AS chrom, 20100::BIGINT AS length FROM range(5) t(i))"
+CHROMOSOMES = [(f"chr{i}", views.LENGTH) for i in range(5)]
+LENGTHS_SQL = f"lengths AS (SELECT 'chr' || i AS chrom, {views.LENGTH}::BIGINT AS length FROM range(5) t(i))"
 ADAPTER = "GATCGGAAGAGCACACGTCT"
 
 
@@ -85,25 +86,46 @@ def quality_encoding(spark, d):
     return P.detect_encoding(views.reads(spark, d))
 
 
-@query("adapter_flag", "reads", f""",
-r AS (SELECT id, CASE WHEN id::BIGINT % 7 = 0 THEN substr(seq1, 1, 60) || substr('{ADAPTER}', 1, 15) ELSE seq1 END AS s FROM reads),
-p AS (SELECT id, s, unnest(generate_series(1 - {len(ADAPTER)}, length(s) - 1)) AS d FROM r),
-q AS (SELECT id, d, substr(s, (greatest(d, 0) + 1)::INT, (least(length(s), d + {len(ADAPTER)}) - greatest(d, 0))::INT) AS a,
-  substr('{ADAPTER}', (greatest(d, 0) - d + 1)::INT, (least(length(s), d + {len(ADAPTER)}) - greatest(d, 0))::INT) AS b FROM p),
-s AS (SELECT id, len(list_filter(generate_series(1, length(a)), lambda i: a[i] = b[i])) AS same, length(a) AS n FROM q),
-f AS (SELECT id, max(same * {R.MATCH} + (n - same) * ({R.MISMATCH})) > {R.ADAPTER_CUTOFF} AS adapter FROM s GROUP BY id)
-SELECT r.id, coalesce(f.adapter, false) AS adapter FROM r LEFT JOIN f USING (id)""")
+def _adapter_sql(mate: int, adapter: str, name: str) -> str:
+    n = len(adapter)
+    return f"""{name}r AS (SELECT id, CASE WHEN id::BIGINT % 7 = 0 THEN substr(seq{mate}, 1, 60) || substr('{adapter}', 1, 15) ELSE seq{mate} END AS s FROM reads),
+{name}p AS (SELECT id, s, unnest(generate_series(1 - {n}, length(s) - 1)) AS d FROM {name}r),
+{name}q AS (SELECT id, d, substr(s, (greatest(d, 0) + 1)::INT, (least(length(s), d + {n}) - greatest(d, 0))::INT) AS a,
+  substr('{adapter}', (greatest(d, 0) - d + 1)::INT, (least(length(s), d + {n}) - greatest(d, 0))::INT) AS b FROM {name}p),
+{name}s AS (SELECT id, len(list_filter(generate_series(1, length(a)), lambda i: a[i] = b[i])) AS same, length(a) AS n FROM {name}q),
+{name} AS (SELECT id, max(same * {R.MATCH} + (n - same) * ({R.MISMATCH})) > {R.ADAPTER_CUTOFF} AS adapter FROM {name}s GROUP BY id)"""
+
+
+def _spiked(rows, mate, adapter):
+    """Reads with the start of the adapter at the end of every seventh."""
+    spiked = F.when(F.col("id").cast("long") % 7 == 0, F.concat(F.substring(f"seq{mate}", 1, 60), F.lit(adapter[:15]))).otherwise(F.col(f"seq{mate}"))
+    return rows.withColumn(f"seq{mate}", spiked)
+
+
+@query("adapter_flag", "reads", f",\n{_adapter_sql(1, ADAPTER, 'f')} SELECT r.id, coalesce(f.adapter, false) AS adapter FROM reads r LEFT JOIN f USING (id)")
 def adapter_flag(spark, d):
-    spiked = F.when(F.col("id").cast("long") % 7 == 0, F.concat(F.substring("seq1", 1, 60), F.lit(ADAPTER[:15]))).otherwise(F.col("seq1"))
-    return P.flag_adapters(views.reads(spark, d).withColumn("seq1", spiked), ADAPTER).select("id", "adapter")
+    return P.flag_adapters(_spiked(views.reads(spark, d), 1, ADAPTER), ADAPTER).select("id", "adapter")
+
+
+@query("adapter_flag_paired", "reads", f""",\n{_adapter_sql(1, R.PAIRED_1, 'f')},\n{_adapter_sql(2, R.PAIRED_2, 'g')}
+SELECT r.id, coalesce(f.adapter, false) AND coalesce(g.adapter, false) AS adapter FROM reads r LEFT JOIN f USING (id) LEFT JOIN g USING (id)""")
+def adapter_flag_paired(spark, d):
+    rows = _spiked(_spiked(views.reads(spark, d), 1, R.choose_adapter(True)), 2, R.choose_adapter(True, mate=2))
+    return P.flag_adapters(rows, R.choose_adapter(True), R.choose_adapter(True, mate=2)).select("id", "adapter")
 
 
-@query("rrna_filter", "reads", "SELECT id FROM reads WHERE id NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE toxic = 1)")
+_BAD = "bad AS (SELECT (doc_id * 1000000)::VARCHAR AS id FROM labels WHERE toxic = 1)"
+
+
+def _contaminated(spark, d):
+    """The first read of every document labelled toxic."""
+    return views.table(spark, d, "labels").where("toxic = 1").select((F.col("doc_id") * 1_000_000).cast("string").alias("id"))
+
+
+@query("rrna_filter", "reads", f",\n{_BAD} SELECT id FROM reads WHERE id NOT IN (SELECT id FROM bad)")
 def rrna_filter(spark, d):
-    bad = views.table(spark, d, "labels").where("toxic = 1").select(F.concat(F.col("doc_id").cast("string"), F.lit("/1")).alias("id"))
-    ids = bad.select(R.normal_id(F.col("id")).alias("id"))
-    named = views.reads(spark, d).select(F.concat("id", F.lit("/1 lane")).alias("id"))
-    return P.remove_contaminated(named.select(F.regexp_replace("id", " lane$", "").alias("id")), ids).select(R.normal_id(F.col("id")).alias("id"))
+    named = views.reads(spark, d).select(F.concat("id", F.lit("/1")).alias("id"))
+    return P.remove_contaminated(named, _contaminated(spark, d)).select(R.normal_id(F.col("id")).alias("id"))
 
 
 @query("subsample_exact", "reads", "SELECT id, seq1 FROM (SELECT id, seq1, row_number() OVER (ORDER BY md5(id), id) AS n FROM reads) WHERE n <= 300")
@@ -111,41 +133,46 @@ def subsample_exact(spark, d):
     return P.subsample(views.reads(spark, d), 300).select("id", "seq1")
 
 
-_BY = "(id::BIGINT % 3)::VARCHAR"
-_SUM = f""",
-{_HIGH},
-b AS (SELECT {_BY} AS run, count(*) AS total_reads, min(length(seq1)) AS input_min_read_length, max(length(seq1)) AS input_max_read_length FROM reads GROUP BY 1),
-a AS (SELECT {_BY} AS run, count(*) AS highqual_reads, min(length(seq1)) AS processed_min_read_length, max(length(seq1)) AS processed_max_read_length FROM high GROUP BY 1),
-s AS (SELECT b.*, coalesce(highqual_reads, 0) AS highqual_reads, processed_min_read_length, processed_max_read_length FROM b LEFT JOIN a USING (run))
-"""
+_LANES = "'lane' || (id::BIGINT % 3)"
+_MARKED = f""",
+{_TAIL},
+{_adapter_sql(1, ADAPTER, 'f').replace('FROM reads)', 'FROM tt)')},
+{_BAD},
+m AS (SELECT r.id, {_LANES} AS run, length(r.seq1) AS a1, length(r.seq2) AS a2, length(tt.seq1) AS b1, length(tt.seq2) AS b2,
+  length(tt.seq1) >= 1 AND length(tt.seq2) >= 1 AND coalesce({_GOOD.format(q='tt.qual1')}, false) AND coalesce({_GOOD.format(q='tt.qual2')}, false) AS good, coalesce(f.adapter, false) AS adapter,
+  r.id IN (SELECT id FROM bad) AS rrna FROM reads r JOIN tt USING (id) LEFT JOIN f USING (id)),
+s AS (SELECT run, count(*) AS total_reads, min_by(a1, id) AS read_length, min(least(a1, a2)) AS input_min_read_length, max(greatest(a1, a2)) AS input_max_read_length, count(*) FILTER (good) AS highqual_reads,
+  count(*) FILTER (good AND adapter) AS adapter_contam, count(*) FILTER (good AND rrna) AS "rRNA_contam_reads", min(least(b1, b2)) FILTER (good AND NOT rrna) AS processed_min_read_length,
+  max(greatest(b1, b2)) FILTER (good AND NOT rrna) AS processed_max_read_length, count(*) FILTER (good AND NOT rrna) AS processed_reads FROM m GROUP BY run)"""
+
+
+def _marked(spark, d):
+    rows = views.reads(spark, d).withColumn("run", F.concat(F.lit("lane"), (F.col("id").cast("long") % 3).cast("string")))
+    high = P.preprocess(rows, "illumina1.8", 23, 0.7, contaminated=_contaminated(spark, d))
+    # adapters are looked for in reads with a planted one, so that some are found
+    return P.flag_adapters(_spiked(high, 1, ADAPTER), ADAPTER).withColumns({"adapter": F.col("adapter") & F.col("highqual"), "seq1": F.substr("seq1", F.lit(1), F.length("qual1"))})
 
 
 def _summaries(spark, d):
-    rows = views.reads(spark, d).withColumn("run", (F.col("id").cast("long") % 3).cast("string"))
-    return P.summary(rows, P.filter_quality(rows, "illumina1.8", 23, 0.7), ["run"])
+    return P.summary(_marked(spark, d), ["run"])
 
 
-@query("preprocess_summary", "reads", f"{_SUM} SELECT * FROM s")
+@query("preprocess_summary", "reads", f"{_MARKED} SELECT * FROM s")
 def preprocess_summary(spark, d):
     return _summaries(spark, d)
 
 
-@query("merge_preprocess", "reads", f"""{_SUM} SELECT sum(total_reads)::BIGINT AS total_reads, min(input_min_read_length) AS input_min_read_length, max(input_max_read_length) AS input_max_read_length,
-sum(highqual_reads)::BIGINT AS highqual_reads, min(processed_min_read_length) AS processed_min_read_length, max(processed_max_read_length) AS processed_max_read_length FROM s""")
+@query("merge_preprocess", "reads", f"""{_MARKED} SELECT sum(total_reads)::BIGINT AS total_reads, min_by(read_length, run) AS read_length, min(input_min_read_length) AS input_min_read_length, max(input_max_read_length) AS input_max_read_length,
+sum(highqual_reads)::BIGINT AS highqual_reads, sum(adapter_contam)::BIGINT AS adapter_contam, sum("rRNA_contam_reads")::BIGINT AS "rRNA_contam_reads",
+min(processed_min_read_length) AS processed_min_read_length, max(processed_max_read_length) AS processed_max_read_length, sum(processed_reads)::BIGINT AS processed_reads FROM s""")
 def merge_preprocess(spark, d):
     return P.merge_summaries(_summaries(spark, d))
 
 
-@query("read_funnel", "reads", f""",
-{_HIGH},
-n AS (SELECT 1 AS step, 'total' AS name, (SELECT count(*) FROM reads) AS n UNION ALL SELECT 2, 'highqual', (SELECT count(*) FROM high) UNION ALL SELECT 3, 'long', (SELECT count(*) FROM high WHERE length(seq1) >= 70))
-SELECT step, name, n, round(n * 100.0 / first_value(n) OVER (ORDER BY step), 2)::DOUBLE AS percent FROM n""")
-def read_funnel(spark, d):
-    rows = views.reads(spark, d)
-    high = P.filter_quality(rows, "illumina1.8", 23, 0.7).select("id", F.length("seq1").alias("len"), F.lit(True).alias("high"))
-    marked = rows.select("id").join(high, "id", "left").agg(F.count(F.lit(1)).alias("a"), F.count("high").alias("b"), F.count_if(F.col("len") >= 70).alias("c"))
-    long = marked.select("a", F.expr("stack(3, 1, 'total', a, 2, 'highqual', b, 3, 'long', c) as (step, name, n)"))
-    return long.select("step", "name", "n", F.round(F.col("n") * 100.0 / F.col("a"), 2).cast("double").alias("percent"))
+@query("read_lengths", "reads", ",\nx AS (SELECT least(length(seq1), 60) AS length FROM reads) SELECT length, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6)::DOUBLE AS percent FROM x GROUP BY length")
+def read_lengths(spark, d):
+    rows = views.reads(spark, d).select(P.effective_length(F.length("seq1").cast("long"), F.lit(60).cast("long")).alias("length"))
+    return P.length_table(rows, "length").withColumn("percent", F.round("percent", 6))
 
 
 @query("per_cycle_qa", "reads", """,
@@ -290,15 +317,18 @@ def survival_curve(spark, d):
 
 
 def _counts_by_run(spark, d):
+    """Counts of every feature in every run, zero where a run has none."""
     blocks, features = views.blocks(spark, d), views.features(spark, d)
     pairs = I.overlap_join(I.left_side(features), I.right_side(blocks.select("groupid", "chrom", "start", "end", "run")))
     hits = pairs.select("feature_set", "name", "run", "groupid").distinct().groupBy("feature_set", "name", "run").agg(F.count(F.lit(1)).alias("count"))
-    return hits.join(C.feature_widths(features), ["feature_set", "name"])
+    every = C.feature_widths(features).withColumn("run", F.explode(F.array(*[F.lit(f"lane{i}") for i in range(3)])))
+    return every.join(hits, ["feature_set", "name", "run"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
-@query("merge_counts", "alignments features", f",\n{_COUNTS} SELECT * FROM counts WHERE \"count\" > 0")
+@query("merge_counts", "alignments features", f""",\n{_COUNTS} SELECT feature_set, name, "count", width, round(1e9 * "count" / ((SELECT count(DISTINCT groupid) FROM blocks) * width), 6) AS rpkm FROM counts""")
 def merge_counts(spark, d):
-    return C.merge_counts(_counts_by_run(spark, d)).select("feature_set", "name", "count", "width")
+    analyzed = views.blocks(spark, d).agg(F.countDistinct("groupid").alias("n"))
+    return C.merge_counts(_counts_by_run(spark, d), analyzed).select("feature_set", "name", "count", "width", F.round("rpkm", 6).alias("rpkm"))
 
 
 @query("summary_counts", "alignments features", f""",\n{_COUNTS}
@@ -357,7 +387,7 @@ def coverage_merge_lanes(spark, d):
     return V.merge_runs(I.sweep(blocks, ["run", "chrom"]).drop("run"))
 
 
-@query("coverage_sparsity", "alignments", f""",\n{_runs_sql('blocks')} SELECT count(*) AS n_runs, 100500::BIGINT AS length, count(*) / 100500.0 < 0.1 AS sparse FROM runs""")
+@query("coverage_sparsity", "alignments", f""",\n{_runs_sql('blocks')} SELECT count(*) AS n_runs, {5 * views.LENGTH}::BIGINT AS length, count(*) / {5 * views.LENGTH}.0 < 0.1 AS sparse FROM runs""")
 def coverage_sparsity(spark, d):
     return V.sparsity(V.coverage_runs(views.blocks(spark, d)), _lengths(spark))
 
@@ -373,6 +403,15 @@ def fragment_length_weighted(spark, d):
     return V.weighted_fragment_length(views.alignments(spark, d).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("width")).alias("length")))
 
 
+@query("fragment_length_estimate", "alignments", """,
+five AS (SELECT chrom, strand = '-' AS minus, CASE WHEN strand = '-' THEN "end" ELSE start END AS at, count(*) AS k FROM blocks GROUP BY 1, 2, 3),
+shift AS (SELECT p.chrom, m.at - p.at + 1 AS length, sum(p.k * m.k) AS pairs FROM five p JOIN five m ON p.chrom = m.chrom AND NOT p.minus AND m.minus AND m.at >= p.at AND m.at < p.at + 300 GROUP BY 1, 2),
+best AS (SELECT chrom, length FROM shift QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY pairs DESC, length) = 1)
+SELECT b.chrom, count(*) AS n, any_value(best.length)::BIGINT AS length FROM blocks b JOIN best USING (chrom) GROUP BY b.chrom""")
+def fragment_length_estimate(spark, d):
+    return V.estimate_fragment_length(views.blocks(spark, d), 300)
+
+
 # -------------------------------------------------------- interval algebra
 
 
@@ -428,10 +467,9 @@ def iv_setdiff(spark, d):
     return I.set_difference(views.exons(spark, d), views.coding(spark, d), _KEYS)
 
 
-@query("iv_intersect", "alignments features", ",\nfx AS (SELECT chrom, start, \"end\" FROM features WHERE name::INT % 3 = 0), fy AS (SELECT chrom, start, \"end\" FROM features WHERE name::INT % 3 = 1),\n" + _set_sql("fx", "fy", "chrom", "INTERSECT"))
+@query("iv_intersect", "alignments features", ",\n" + _set_sql("exons", "features", "chrom", "INTERSECT"))
 def iv_intersect(spark, d):
-    f = views.features(spark, d)
-    return I.intersection(f.where("cast(name as int) % 3 = 0"), f.where("cast(name as int) % 3 = 1"), ["chrom"])
+    return I.intersection(views.exons(spark, d), views.features(spark, d), ["chrom"])
 
 
 @query("iv_tiles", "mask", f",\n{LENGTHS_SQL} SELECT chrom, s AS start, least(s + 999, length) AS \"end\" FROM (SELECT chrom, length, unnest(generate_series(1::BIGINT, length, 1000)) AS s FROM lengths)")
@@ -457,30 +495,55 @@ def intron_regions(spark, d):
 
 
 _GENES = "genes AS (SELECT gene, chrom, strand, min(start) AS start, max(\"end\") AS \"end\" FROM exons GROUP BY gene, chrom, strand)"
+#: Exons of one lane of genes stretched over a long chromosome, so that something lies between the genes.
+_SPARSE = f"""sparse AS (SELECT tx AS gene, chrom, strand, start + (tx % 397) * 1000000::BIGINT AS start, "end" + (tx % 397) * 1000000::BIGINT AS "end" FROM exons)"""
 
 
-@query("intergenic_regions", "alignments", f""",\n{LENGTHS_SQL},\nlg AS (SELECT 'chr' || i AS chrom, 40000::BIGINT AS length FROM range(5) t(i)),\n{_GENES},
-few AS (SELECT * FROM genes WHERE gene % 50 = 0),\n{_reduce_sql('few', 'r', 'chrom')},
+def _sparse(spark, d):
+    shift = (F.col("tx") % 397) * 1_000_000
+    return views.exons(spark, d).withColumns({"gene": F.col("tx"), "start": F.col("start") + shift, "end": F.col("end") + shift})
+
+
+@query("intergenic_regions", "alignments", f""",\nlg AS (SELECT 'chr' || i AS chrom, 397000000::BIGINT AS length FROM range(5) t(i)),\n{_SPARSE},
+few AS (SELECT gene, chrom, strand, min(start) AS start, max("end") AS "end" FROM sparse GROUP BY gene, chrom, strand),\n{_reduce_sql('few', 'r', 'chrom')},
 g AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY start), 0) + 1 AS start, start - 1 AS "end" FROM r
   UNION ALL SELECT chrom, max("end") + 1, any_value(length) FROM r JOIN lg USING (chrom) GROUP BY chrom)
 SELECT chrom, start::BIGINT AS start, "end"::BIGINT AS "end" FROM g WHERE start <= "end\"""")
 def intergenic_regions(spark, d):
-    # a genome of few genes, so that something lies between them
-    lengths = spark.createDataFrame([(c, 40000) for c, _ in CHROMOSOMES], "chrom string, length long")
-    out = G.intergenic(views.exons(spark, d).where("gene % 50 = 0"), lengths)
+    lengths = spark.createDataFrame([(c, 397_000_000) for c, _ in CHROMOSOMES], "chrom string, length long")
+    out = G.intergenic(_sparse(spark, d), lengths)
     return out.withColumns({c: F.col(c).cast("long") for c in ("start", "end")})
 
 
-@query("feature_sets", "alignments", f""",\n{_GENES},
-intr AS (WITH r0 AS (SELECT gene, chrom, strand, start, max("end") OVER (PARTITION BY gene, chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons)
-  SELECT reach + 1 AS start, start - 1 AS "end" FROM r0 WHERE start > reach + 1),
-u AS (SELECT 'gene' AS feature_set, start, "end" FROM genes UNION ALL SELECT 'gene_exonic', start, "end" FROM exons UNION ALL SELECT 'gene_coding', start, "end" FROM coding
-  UNION ALL SELECT 'exon', start, "end" FROM (SELECT DISTINCT chrom, start, "end", strand FROM exons) UNION ALL SELECT 'intron', start, "end" FROM intr)
-SELECT feature_set, count(*) AS n, sum("end" - start + 1)::BIGINT AS width FROM u GROUP BY feature_set""")
+_INTRONS = f"""intr0 AS (SELECT gene, chrom, strand, start, max("end") OVER (PARTITION BY gene, chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM exons),
+intr AS (SELECT gene, chrom, strand, (reach + 1)::BIGINT AS start, (start - 1)::BIGINT AS "end" FROM intr0 WHERE start > reach + 1)"""
+_PIECES = """cuts AS (SELECT DISTINCT chrom, edge FROM (SELECT chrom, start AS edge FROM coding UNION ALL SELECT chrom, "end" + 1 FROM coding)),
+cut_pieces AS (SELECT chrom, edge::BIGINT AS start, (lead(edge) OVER (PARTITION BY chrom ORDER BY edge) - 1)::BIGINT AS "end" FROM cuts),
+der AS (SELECT p.chrom, p.start, p."end", min(c.gene) AS gene FROM cut_pieces p JOIN coding c ON p.chrom = c.chrom AND p.start >= c.start AND p."end" <= c."end" GROUP BY p.chrom, p.start, p."end" HAVING count(DISTINCT c.gene) = 1)"""
+
+
+@query("feature_sets", "alignments", f""",\n{LENGTHS_SQL},\n{_GENES},\n{_INTRONS},\n{_PIECES},\n{_reduce_sql('genes', 'gr', 'chrom')},
+gg AS (SELECT chrom, coalesce(lag("end") OVER (PARTITION BY chrom ORDER BY start), 0) + 1 AS start, start - 1 AS "end" FROM gr
+  UNION ALL SELECT chrom, max("end") + 1, any_value(length) FROM gr JOIN lengths USING (chrom) GROUP BY chrom),
+u AS (SELECT 'gene' AS feature_set, gene::VARCHAR AS name, chrom, start, "end", strand FROM genes UNION ALL SELECT 'gene_exonic', gene::VARCHAR, chrom, start, "end", strand FROM exons
+  UNION ALL SELECT 'gene_coding', gene::VARCHAR, chrom, start, "end", strand FROM coding
+  UNION ALL SELECT DISTINCT 'exon', chrom || ':' || start || '-' || "end", chrom, start, "end", strand FROM exons
+  UNION ALL SELECT 'exon_disjoint', chrom || ':' || start || '-' || "end", chrom, start, "end", '*' FROM der
+  UNION ALL SELECT 'intergenic', chrom || ':' || start || '..' || "end", chrom, start, "end", '*' FROM gg WHERE start <= "end"
+  UNION ALL SELECT 'intron', gene || '.' || chrom || ':' || start || '-' || "end", chrom, start, "end", strand FROM intr)
+SELECT feature_set, name, chrom, start::BIGINT AS start, "end"::BIGINT AS "end", strand FROM u""")
 def feature_sets(spark, d):
-    built = G.build_features(I.span(views.exons(spark, d), _KEYS), views.exons(spark, d), views.coding(spark, d), _lengths(spark))
-    kept = built.where("feature_set not in ('exon_disjoint', 'intergenic')")
-    return kept.groupBy("feature_set").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start") + 1).alias("width"))
+    return G.build_features(I.span(views.exons(spark, d), _KEYS), views.exons(spark, d), views.coding(spark, d), _lengths(spark))
+
+
+@query("interval_checks", "alignments features", f""",\n{_reduce_sql('features', 'r', 'chrom')}
+SELECT (SELECT count(*) FROM r a JOIN r b ON a.chrom = b.chrom AND a.start < b.start AND a."end" >= b.start) = 0 AS merged_disjoint,
+  (SELECT count(*) FROM features a JOIN features b ON a.chrom = b.chrom AND a.name < b.name AND a.start <= b."end" AND b.start <= a."end") = 0 AS features_disjoint,
+  NOT EXISTS (SELECT 1 FROM coding c WHERE NOT EXISTS (SELECT 1 FROM exons e WHERE e.gene = c.gene AND e.chrom = c.chrom AND e.strand = c.strand AND e.start <= c.start AND e."end" >= c."end")) AS coding_within""")
+def interval_checks(spark, d):
+    f = views.features(spark, d)
+    found = (I.is_disjoint(I.merge_adjacent(f, ["chrom"]), ["chrom"]), I.is_disjoint(f, ["chrom"]), I.is_within(views.coding(spark, d), views.exons(spark, d), _KEYS))
+    return spark.createDataFrame([found], "merged_disjoint boolean, features_disjoint boolean, coding_within boolean")
 
 
 @query("region_restriction", "features mask", "SELECT feature_set, name FROM features f WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = f.chrom AND m.start <= f.\"end\" AND f.start <= m.\"end\")")
@@ -539,43 +602,63 @@ def neighbour_filter(spark, d):
     return S.neighbour_filter(S.call_variants(S.tally(views.variants(spark, d)))).select("chrom", "pos", "ref", "alt", "alt_depth")
 
 
-@query("genotypes", "variants", f""",\n{_CALLS},
-l AS (SELECT *, -10 * (alt_depth * log10(0.001) + ref_depth * log10(0.999)) AS a, -10 * (alt_depth + ref_depth) * log10(0.5) AS b, -10 * (alt_depth * log10(0.999) + ref_depth * log10(0.001)) AS c FROM calls)
-SELECT chrom, pos, ref, alt, CASE WHEN a <= b AND a <= c THEN '0/0' WHEN b <= c THEN '0/1' ELSE '1/1' END AS gt FROM l""")
+@query("genotypes", "alignments variants", f""",\n{_CALLS},\n{_runs_sql('blocks')},
+l AS (SELECT *, -10 * (alt_depth * log10(0.001) + ref_depth * log10(0.999)) AS a, -10 * (alt_depth * log10(0.5) + ref_depth * log10(0.5)) AS b, -10 * (alt_depth * log10(0.999) + ref_depth * log10(0.001)) AS c FROM calls),
+g AS (SELECT *, round(a - least(a, b, c))::BIGINT AS x, round(b - least(a, b, c))::BIGINT AS y, round(c - least(a, b, c))::BIGINT AS z FROM l)
+SELECT g.chrom, pos, ref, alt, CASE WHEN a <= b AND a <= c THEN '0/0' WHEN b <= c THEN '0/1' ELSE '1/1' END AS gt, x || ',' || y || ',' || z AS pl, list_sort([x, y, z])[2] AS gq, coalesce(runs.depth, 0) AS min_depth
+FROM g LEFT JOIN runs ON runs.chrom = g.chrom AND g.pos BETWEEN runs.start AND runs."end\"""")
 def genotypes(spark, d):
-    return S.genotypes(S.call_variants(S.tally(views.variants(spark, d)))).select("chrom", "pos", "ref", "alt", "gt")
+    called = S.genotypes(S.call_variants(S.tally(views.variants(spark, d)))).withColumns({"start": F.col("pos"), "end": F.col("pos")})
+    deep = V.minimum_depth(called, V.coverage_runs(views.blocks(spark, d)))
+    return deep.select("chrom", "pos", "ref", "alt", "gt", F.array_join(F.col("pl").cast("array<string>"), ",").alias("pl"), "gq", "min_depth")
+
+
+_PILEUP = """clip AS (SELECT *, CASE WHEN cigar LIKE '2S%' THEN 2 ELSE 0 END AS skip, floor(width / 2)::INT AS half, cigar LIKE '%N%' AS gap FROM aligned WHERE flag & 1536 = 0),
+each AS (SELECT *, unnest(range(width)) AS i FROM clip),
+base AS (SELECT chrom, pos + i + CASE WHEN gap AND i >= half THEN 100 ELSE 0 END AS pos, substr(seq, (skip + i + 1)::INT, 1) AS base, ascii(substr(qual, (skip + i + 1)::INT, 1)) - 33 AS q FROM each),
+cnt AS (SELECT chrom, pos, base, count(*) AS n FROM base WHERE q >= 23 GROUP BY chrom, pos, base),
+met AS (SELECT c.*, r.ref FROM cnt c JOIN reference r USING (chrom, pos)),
+dep AS (SELECT chrom, pos, coalesce(sum(n) FILTER (base = ref), 0)::BIGINT AS ref_depth, sum(n)::BIGINT AS records FROM met GROUP BY chrom, pos),
+pile AS (SELECT chrom, pos, ref, base AS alt, n AS alt_depth, ref_depth, records FROM met JOIN dep USING (chrom, pos) WHERE base <> ref)"""
+
+
+@query("pileup_bases", "alignments aligned mask", f",\n{_PILEUP} SELECT * FROM pile v WHERE NOT EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m.\"end\")")
+def pileup_bases(spark, d):
+    return S.pileup(views.aligned_reads(spark, d), views.reference(spark), 23, mask=views.mask(spark, d))
+
+
+@query("pileup_regions", "alignments aligned mask", f",\n{_PILEUP} SELECT * FROM pile v WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m.\"end\")")
+def pileup_regions(spark, d):
+    return S.pileup(views.aligned_reads(spark, d), views.reference(spark), 23, which=views.mask(spark, d))
 
 
 @query("variant_concordance", "variants", """,
 s AS (SELECT DISTINCT sample, chrom, pos, ref, alt FROM variants), n AS (SELECT sample, count(*) AS n FROM s GROUP BY sample),
 j AS (SELECT a.sample AS a, b.sample AS b, count(*) AS shared FROM s a JOIN s b ON a.chrom = b.chrom AND a.pos = b.pos AND a.ref = b.ref AND a.alt = b.alt AND a.sample < b.sample GROUP BY 1, 2)
-SELECT j.a, j.b, shared, round(shared / least(x.n, y.n)::DOUBLE, 6) AS concordance FROM j JOIN n x ON x.sample = j.a JOIN n y ON y.sample = j.b""")
+SELECT x.sample AS a, y.sample AS b, coalesce(shared, 0) AS shared, round(coalesce(shared, 0) / least(x.n, y.n)::DOUBLE, 6) AS concordance, coalesce(shared, 0) / least(x.n, y.n)::DOUBLE >= 0.8 AS concordant FROM n x JOIN n y ON x.sample < y.sample LEFT JOIN j ON j.a = x.sample AND j.b = y.sample""")
 def variant_concordance(spark, d):
     return S.concordance(views.variants(spark, d)).withColumn("concordance", F.round("concordance", 6))
 
 
 # ------------------------------------------------------- lanes and quality
 
-_LANE = "SELECT run, category, count(*) AS n FROM alignments GROUP BY run, category"
+_CATEGORIES = ["concordant_uniq", "concordant_mult", "unpaired_uniq"]
+_MATRIX = "m AS (SELECT run, " + ", ".join(f"count(*) FILTER (category = '{c}')::DOUBLE AS {c}" for c in _CATEGORIES) + " FROM alignments GROUP BY run)"
+_RATIOS = f"{_MATRIX},\nr AS (SELECT run, " + ", ".join(f"round({c} * 100 / (concordant_uniq + concordant_mult + unpaired_uniq), 4) AS {c}_pct" for c in _CATEGORIES) + " FROM m)"
 
 
 def _lane_summary(spark, d):
     return views.alignments(spark, d).groupBy("run", F.col("category").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
-_CATEGORIES = ["concordant_uniq", "concordant_mult", "unpaired_uniq"]
-_MATRIX = "m AS (SELECT run, " + ", ".join(f"count(*) FILTER (category = '{c}')::DOUBLE AS {c}" for c in _CATEGORIES) + " FROM alignments GROUP BY run)"
-_RATIOS = f"{_MATRIX},\nr AS (SELECT run, " + ", ".join(f"round({c} * 100 / (concordant_uniq + concordant_mult + unpaired_uniq), 4) AS {c}_pct" for c in _CATEGORIES) + " FROM m)"
-
-
 @query("runs_matrix", "alignments", f",\n{_MATRIX} SELECT * FROM m")
 def runs_matrix(spark, d):
-    return S.runs_matrix(_lane_summary(spark, d), _CATEGORIES)
+    return Q.runs_matrix(_lane_summary(spark, d), _CATEGORIES)
 
 
 def _ratios(spark, d):
-    matrix = S.runs_matrix(_lane_summary(spark, d), _CATEGORIES).withColumn("mapped", F.expr(" + ".join(_CATEGORIES)))
-    return S.run_ratios(matrix, _CATEGORIES, "mapped")
+    matrix = Q.runs_matrix(_lane_summary(spark, d), _CATEGORIES).withColumn("mapped", F.expr(" + ".join(_CATEGORIES)))
+    return Q.run_ratios(matrix, _CATEGORIES, "mapped")
 
 
 @query("qc_ratios", "alignments", f",\n{_RATIOS} SELECT * FROM r")
@@ -588,7 +671,153 @@ SELECT run, concordant_uniq_pct < 30 AS concordant_uniq_pct, concordant_mult_pct
 array_to_string(list_filter([CASE WHEN concordant_uniq_pct < 30 THEN 'concordant_uniq_pct' END, CASE WHEN concordant_mult_pct > 24.5 THEN 'concordant_mult_pct' END], lambda x: x IS NOT NULL), ',') AS failing,
 concordant_uniq_pct < 30 OR concordant_mult_pct > 24.5 AS final FROM r""")
 def qc_calls(spark, d):
-    return S.quality_calls(_ratios(spark, d), {"concordant_uniq_pct": ("<", 30.0), "concordant_mult_pct": (">", 24.5)})
+    return Q.quality_calls(_ratios(spark, d), {"concordant_uniq_pct": ("<", 30.0), "concordant_mult_pct": (">", 24.5)})
+
+
+def _alignment_matrix(spark, d):
+    """Reads by category for each lane; those that passed preprocessing but have no record are not mapped."""
+    a = views.alignments(spark, d)
+    return a.groupBy("run").agg(*[F.count_if(F.col("category") == c).cast("double").alias(c) for c in _CATEGORIES], F.count_if(F.col("category") == "concordant_uniq").cast("double").alias("analyzed"), F.count_if(F.col("mapq") < 36).cast("double").alias("nomapping"))
+
+
+def _lane_reads(spark, d):
+    """A preprocessing summary that fits the alignments: every record is a read that went in."""
+    a = views.alignments(spark, d)
+    n, c = F.count(F.lit(1)), lambda test: F.count_if(test)
+    return a.groupBy("run").agg((n + 100).alias("total_reads"), (n + 20).alias("highqual_reads"), c(F.col("nm") == 9).alias("adapter_contam"), F.lit(20).cast("long").alias("rRNA_contam_reads"), n.alias("processed_reads"), F.min("width").cast("long").alias("processed_min_read_length"), F.max("width").cast("long").alias("processed_max_read_length"))
+
+
+_READS_SQL = """pre AS (SELECT run, count(*) + 100 AS total_reads, count(*) + 20 AS highqual_reads, count(*) FILTER (nm = 9) AS adapter_contam, 20 AS "rRNA_contam_reads", count(*) AS processed_reads,
+  min(width) AS lo, max(width) AS hi FROM alignments GROUP BY run),
+cat AS (SELECT run, count(*) FILTER (category = 'concordant_uniq') AS concordant_uniq, count(*) FILTER (category = 'concordant_mult') AS concordant_mult, count(*) FILTER (category = 'unpaired_uniq') AS unpaired_uniq,
+  count(*) FILTER (category = 'concordant_uniq') AS analyzed, count(*) FILTER (mapq < 36) AS nomapping FROM alignments GROUP BY run)"""
+
+
+@query("read_funnel", "alignments", f""",\n{_READS_SQL},
+b AS (SELECT * FROM pre JOIN cat USING (run)),
+u AS (SELECT run, total_reads AS t, unnest([1,2,3,4,5,6,7,8,9,10,11]) AS step, unnest(['Total','High-Qual','Adapter contam','rRNA reads','Post-preprocess','Mapped','Uniquely','Multiple','Translocation','Unmapped','Analyzed']) AS name,
+  unnest([total_reads, highqual_reads, adapter_contam, "rRNA_contam_reads", processed_reads, processed_reads - nomapping, concordant_uniq + unpaired_uniq, concordant_mult, 0, nomapping, analyzed]) AS n FROM b)
+SELECT run, step::INT AS step, name, n::BIGINT AS n, round(n * 100.0 / t, 2)::DOUBLE AS percent FROM u""")
+def read_funnel(spark, d):
+    return Q.read_funnel(_lane_reads(spark, d), _alignment_matrix(spark, d))
+
+
+@query("run_sanity", "alignments", f""",\n{_READS_SQL}
+SELECT run, concordant_uniq + concordant_mult + unpaired_uniq + nomapping = processed_reads AS complete, concordant_uniq + unpaired_uniq > concordant_mult AS more_unique FROM pre JOIN cat USING (run)""")
+def run_sanity(spark, d):
+    return Q.sanity_checks(_lane_reads(spark, d), _alignment_matrix(spark, d))
+
+
+def _bam_matrix(spark, d):
+    """Alignment statistics of each lane; chr4 stands for the mitochondrial chromosome."""
+    size = F.abs("isize")
+    edge = F.least(F.ceil((size - 1) / 10) - 1, F.lit(59)) * 10 + 1
+    a = views.alignments(spark, d).withColumn("edge", F.when(size > 1, edge))
+    return a.groupBy("run").agg(F.count(F.lit(1)).alias("mapped"), *[F.count_if(F.col("nm") == i).alias(f"nm_{i}") for i in range(8)], F.count_if(F.col("nm") >= 8).alias("nm_8"), F.count_if(F.col("cigar").contains("N")).alias("with_n"), F.count_if(F.col("cigar").contains("S")).alias("with_s"),
+        F.count_if(F.col("chrom") == "chr4").alias("chromosome_bin_MT"), *[F.count_if(F.col("edge") == i).alias(f"target_length_bin_{i}") for i in range(1, 592, 10)])
+
+
+_BAM_SQL = """bam AS (SELECT run, count(*) FILTER (nm >= 2) * 100.0 / count(*) AS nm2plus, count(*) FILTER (abs(isize) > 591) * 100.0 / count(*) FILTER (abs(isize) > 1) AS bin591, count(*) FILTER (cigar LIKE '%N%') * 100.0 / count(*) AS junction,
+  round(count(*) FILTER (cigar LIKE '%S%') * 100.0 / count(*), 2) AS s, round(count(*) FILTER (chrom = 'chr4') * 100.0 / count(*), 2) AS mt FROM alignments GROUP BY run)"""
+
+
+@query("bam_shares", "alignments", f",\n{_BAM_SQL} SELECT run, round(nm2plus, 6)::DOUBLE AS nm2plus, round(bin591, 6)::DOUBLE AS target_length_bin_591, round(junction, 6)::DOUBLE AS junction_reads, s::DOUBLE AS with_s_pct, mt::DOUBLE AS mt_pct FROM bam")
+def bam_shares(spark, d):
+    out = Q.bam_shares(_bam_matrix(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("nm2plus", "target_length_bin_591", "junction_reads")})
+
+
+@query("selected_bam_stats", "alignments", """,
+x AS (SELECT run, count(*) AS mapped, count(*) FILTER (cigar LIKE '%N%') AS n, count(*) FILTER (cigar LIKE '%S%') AS s, count(*) FILTER (nm = 0) AS z FROM alignments GROUP BY run),
+y AS (SELECT run, mapped, unnest(['with_n', 'with_s', 'nm_0']) AS name, unnest([n, s, z]) AS value FROM x) SELECT run, name, value::DOUBLE AS value, round(value * 100.0 / mapped, 2)::DOUBLE AS percent FROM y""")
+def selected_bam_stats(spark, d):
+    return Q.selected_stats(_bam_matrix(spark, d), ["with_n", "with_s", "nm_0"])
+
+
+def _gene_reads(spark, d, by):
+    """Reads by feature set of the gene model for each lane, `gene` and `exon` and so on standing for brands of features."""
+    kinds = {"Brand#11": "gene", "Brand#12": "exon", "Brand#13": "gene_coding", "Brand#14": "gene_exonic", "Brand#15": "intergenic"}
+    names = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    features = views.features(spark, d).withColumn("feature_set", F.coalesce(names[F.col("feature_set")], F.col("feature_set")))
+    pairs = I.overlap_join(I.left_side(features.select("feature_set", "chrom", "start", "end")), I.right_side(views.blocks(spark, d).select("groupid", "chrom", "start", "end", "run")))
+    return pairs.groupBy(*by, "feature_set").agg(F.countDistinct("groupid").alias("nbreads"))
+
+
+_KINDS_SQL = """kinds AS (SELECT *, CASE feature_set WHEN 'Brand#11' THEN 'gene' WHEN 'Brand#12' THEN 'exon' WHEN 'Brand#13' THEN 'gene_coding' WHEN 'Brand#14' THEN 'gene_exonic' WHEN 'Brand#15' THEN 'intergenic' ELSE feature_set END AS kind FROM features),
+kr AS (SELECT b.run, k.kind, b.groupid FROM kinds k JOIN blocks b ON k.chrom = b.chrom AND k.start <= b."end" AND b.start <= k."end")"""
+
+
+@query("class_shares", "alignments features", f""",\n{_KINDS_SQL},
+c AS (SELECT kind, count(DISTINCT groupid) AS n FROM kr GROUP BY kind), o AS (SELECT coalesce(sum(n) FILTER (kind = 'gene'), 0) AS g, coalesce(sum(n) FILTER (kind = 'exon'), 0) AS e, coalesce(sum(n) FILTER (kind = 'gene_coding'), 0) AS c, coalesce(sum(n) FILTER (kind = 'intergenic'), 0) AS i, (SELECT count(DISTINCT groupid) FROM blocks) AS t FROM c),
+u AS (SELECT t, unnest(['Genes', 'Exons', 'CDS', 'Introns', 'Intergenic']) AS feature_class, unnest([g, e, c, g - e, i]) AS reads FROM o)
+SELECT feature_class, reads::BIGINT AS reads, round(reads * 100.0 / t, 2)::DOUBLE AS percent FROM u""")
+def class_shares(spark, d):
+    return C.class_shares(_gene_reads(spark, d, []), views.blocks(spark, d).agg(F.countDistinct("groupid").alias("n")))
+
+
+def _read_matrix(spark, d):
+    """Everything counted of each lane in one row, from the summary matrices."""
+    counts = _gene_reads(spark, d, ["run"]).where("feature_set in ('gene', 'gene_exonic')").select("run", F.concat("feature_set", F.lit("_nbreads")).alias("name"), F.col("nbreads").cast("double").alias("value"))
+    names = {"counts": ["gene_nbreads", "gene_exonic_nbreads"], "alignment": [*_CATEGORIES, "analyzed", "nomapping"], "preprocess": ["total_reads", "highqual_reads", "processed_reads"]}
+    found = Q.summary_matrices({"preprocess": Q.as_summary(_lane_reads(spark, d)), "alignment": Q.as_summary(_alignment_matrix(spark, d)), "counts": counts}, names)
+    return Q.with_totals(found["preprocess"].join(found["alignment"], "run").join(found["counts"], "run"))
+
+
+_READ_MATRIX = f"""{_READS_SQL},\n{_KINDS_SQL},
+kn AS (SELECT run, count(DISTINCT groupid) FILTER (kind = 'gene') AS g, count(DISTINCT groupid) FILTER (kind = 'gene_exonic') AS x FROM kr GROUP BY run),
+rm AS (SELECT run, total_reads::DOUBLE AS total_reads, highqual_reads::DOUBLE AS highqual_reads, processed_reads::DOUBLE AS processed_reads, concordant_uniq::DOUBLE AS concordant_uniq, concordant_mult::DOUBLE AS concordant_mult, unpaired_uniq::DOUBLE AS unpaired_uniq,
+  analyzed::DOUBLE AS analyzed, nomapping::DOUBLE AS nomapping, g::DOUBLE AS gene_nbreads, x::DOUBLE AS gene_exonic_nbreads, concordant_mult::DOUBLE AS mult_mapping, unpaired_uniq::DOUBLE AS unpaired_mapping, 0.0::DOUBLE AS half_mapping FROM pre JOIN cat USING (run) JOIN kn USING (run))"""
+_NAMES = ["total_reads", "highqual_reads", "processed_reads", *_CATEGORIES, "analyzed", "nomapping", "gene_nbreads", "gene_exonic_nbreads", "mult_mapping", "unpaired_mapping", "half_mapping"]
+
+
+@query("summary_matrix", "alignments features", f",\n{_READ_MATRIX} SELECT * FROM rm")
+def summary_matrix(spark, d):
+    m = _read_matrix(spark, d)
+    return m.select("run", *[F.col(c).cast("double").alias(c) for c in m.columns if c != "run"])
+
+
+_NORMALISED = ", ".join(f'round({c} / {w} * 100, 6) AS "{c}/{k}"' for k, w in (("total", "total_reads"), ("processed", "processed_reads"), ("analyzed", "analyzed")) for c in _NAMES)
+
+
+@query("normalised_matrix", "alignments features", f",\n{_READ_MATRIX} SELECT run, {_NORMALISED} FROM rm")
+def normalised_matrix(spark, d):
+    out = Q.normalised(_read_matrix(spark, d))
+    return out.select("run", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in out.columns if c != "run"])
+
+
+_LIMITS = {"goodReads": 500.0, "analyzed": 100.0, "concordantUniq": 5000.0, "analyzedPerc": 24.8, "concordantUniqPerc": 25.1, "geneReadsPerc": 120.0, "geneExonicReadsPerc": 10.0, "junctionReads": 28.0, "targetBin591": 15.5, "cigarWithS": 30.0, "mtReads": 20.0, "nonMappingPct": 0.5, "highQualPct": 99.0}
+
+
+def _calls(spark, d, technology):
+    reads = _read_matrix(spark, d)
+    qc = reads.join(Q.normalised(reads), "run").join(Q.bam_shares(_bam_matrix(spark, d)), "run").join(Q.lengths_equal(_lane_reads(spark, d)), "run")
+    return Q.final_calls(Q.threshold_calls(qc, _LIMITS, technology), technology)
+
+
+def _calls_sql(technology: str) -> str:
+    """Every test as SQL; those that fail a run are listed in their own order, the others by name."""
+    tests = {
+        "goodReads": "total_reads < {}", "analyzed": "analyzed < {}", "analyzedPerc": "analyzed * 100 / total_reads < {}", "geneReadsPerc": "gene_nbreads * 100 / analyzed < {}", "geneExonicReadsPerc": "gene_exonic_nbreads * 100 / analyzed < {}",
+        "highQualPct": "highqual_reads * 100 / total_reads < {}", "cigarWithS": "s > {}", "mtReads": "mt > {}", "nonMappingPct": "nomapping * 100 / processed_reads > {}", "concordantUniq": "concordant_uniq < {}",
+        "concordantUniqPerc": "concordant_uniq * 100 / processed_reads < {}", "inOutLenEqual": "NOT (lo = hi AND lo = (SELECT median(lo) FROM pre))", "junctionReads": "junction < {}" if technology == "RNASeq" else "junction > {}",
+    }
+    if technology != "RNASeq":
+        tests["targetBin591"] = "bin591 > {}"
+    columns = ", ".join(f'{t.format(_LIMITS.get(n))} AS "{n}"' for n, t in tests.items())
+    matter = [t for t in (Q.FAIL_RNA if technology == "RNASeq" else Q.FAIL_OTHER) if t in tests]
+    listed = lambda names: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN \"{n}\" THEN '{n}' END" for n in names) + "], lambda x: x IS NOT NULL), ',')"
+    final = " OR ".join(f'"{n}"' for n in matter)
+    return f"{_READ_MATRIX},\n{_BAM_SQL},\nct AS (SELECT rm.run, {columns} FROM rm JOIN bam USING (run) JOIN pre USING (run)) SELECT *, {final} AS final, {listed(matter)} AS failed, {listed(sorted(set(tests) - set(matter)))} AS warnings FROM ct".replace("total_reads <", "rm.total_reads <").replace("* 100 / total_reads", "* 100 / rm.total_reads").replace("highqual_reads * 100", "rm.highqual_reads * 100").replace("/ processed_reads", "/ rm.processed_reads")
+
+
+@query("qc_final_rna", "alignments features", f",\n{_calls_sql('RNASeq')}")
+def qc_final_rna(spark, d):
+    return _calls(spark, d, "RNASeq")
+
+
+@query("qc_final_exome", "alignments features", f",\n{_calls_sql('Exome')}")
+def qc_final_exome(spark, d):
+    return _calls(spark, d, "Exome")
 
 
 @query("merge_lanes", "alignments", "SELECT category AS name, count(*)::DOUBLE AS value FROM alignments GROUP BY category")
@@ -599,4 +828,4 @@ def merge_lanes(spark, d):
 @query("config_merge", "mask", "SELECT * FROM (VALUES ('aligner', 'a'), ('num_cores', '<merged>2 4</merged>'), ('paired', 'TRUE')) t(key, value)")
 def config_merge(spark, d):
     rows = [("lane0", "aligner", "a"), ("lane1", "aligner", "a"), ("lane0", "num_cores", "4"), ("lane1", "num_cores", "2"), ("lane0", "paired", "TRUE"), ("lane1", "paired", "TRUE")]
-    return S.merge_settings(spark.createDataFrame(rows, "lane string, key string, value string"), ("num_cores",))
+    return S.merge_settings(S.assert_same_keys(spark.createDataFrame(rows, "lane string, key string, value string")), ("num_cores",))

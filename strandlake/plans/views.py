@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.operators.coverage import aligned_blocks
+
+#: Length of each of the five chromosomes.
+LENGTH = 20_200
 _FROM = "abcdefghijklmnopqrstuvwxyz"
 _BASES = "ACGTACGTACGTACGTACGTACGTAC"
 _QUALS = "JIHGFEDCBA@?>=<;:9876543#!"
@@ -15,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, seq1, qual1, seq2, qual2: one row a read pair."""
-    letters = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.substring(letters, 1, 150).alias("l"))
+    """id, seq1, qual1, seq2, qual2: every 150 letters of a text are a read pair; id is doc_id * 1000000 + the pair's number."""
+    pairs = F.regexp_extract_all(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), F.lit(".{1,150}"), F.lit(0))
+    docs = table(spark, sf_dir, "documents").select("doc_id", pairs.alias("pairs"))
+    rows = docs.select("doc_id", F.posexplode(F.when(F.size("pairs") > 0, F.col("pairs")).otherwise(F.array(F.lit("")))).alias("n", "l"))
     cut = lambda to, at: F.substring(F.translate("l", _FROM, to), at, 75)
-    return docs.select("id", cut(_BASES, 1).alias("seq1"), cut(_QUALS, 1).alias("qual1"), cut(_BASES, 76).alias("seq2"), cut(_QUALS, 76).alias("qual2"))
+    return rows.select((F.col("doc_id") * 1_000_000 + F.col("n")).cast("string").alias("id"), cut(_BASES, 1).alias("seq1"), cut(_QUALS, 1).alias("qual1"), cut(_BASES, 76).alias("seq2"), cut(_QUALS, 76).alias("qual2"))
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +53,24 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """groupid, chrom, start, end, strand, run: one row an aligned block, without gaps."""
-    a = alignments(spark, sf_dir)
-    return a.select(F.col("qname").alias("groupid"), "chrom", F.col("pos").alias("start"), (F.col("pos") + F.col("width") - 1).alias("end"), "strand", "run")
+    """groupid, chrom, start, end, strand, run: one row for each gap-free block of a usable record."""
+    return aligned_blocks(alignments(spark, sf_dir))
+
+
+_HEX, _TO_BASES, _TO_QUALS = "0123456789abcdef", "ACGTACGTACGTACGT", "#+27:=@ABCDEFGHI"
+
+
+def aligned_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """alignments with seq and qual: letters of hashes of the record's key."""
+    key = F.concat_ws(":", F.col("qname").cast("string"), F.col("mate").cast("string"))
+    letters = lambda salt, to: F.translate(F.concat(F.md5(F.concat(key, F.lit(f"{salt}1"))), F.md5(F.concat(key, F.lit(f"{salt}2")))), _HEX, to)
+    return alignments(spark, sf_dir).withColumns({"seq": letters("s", _TO_BASES), "qual": letters("q", _TO_QUALS)})
+
+
+def reference(spark: SparkSession) -> DataFrame:
+    """chrom, pos, ref: a base for every position of five chromosomes."""
+    places = spark.range(5).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("chrom"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(LENGTH).cast("long"))).alias("pos"))
+    return places.withColumn("ref", F.translate(F.substring(F.md5(F.concat_ws(":", "chrom", F.col("pos").cast("string"))), 1, 1), _HEX, _TO_BASES))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,9 +112,11 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same views as DuckDB common table expressions.
 SQL = {
-    "reads": f"""letters AS (SELECT doc_id::VARCHAR AS id, substr(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 1, 150) AS l FROM documents),
+    "reads": f"""letters AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), '.{{1,150}}') AS p FROM documents),
+pairs AS (SELECT doc_id, unnest(generate_series(0, greatest(len(p), 1) - 1)) AS n, p FROM letters),
+cutting AS (SELECT (doc_id * 1000000 + n)::VARCHAR AS id, coalesce(p[n + 1], '') AS l FROM pairs),
 reads AS (SELECT id, substr(translate(l, '{_FROM}', '{_BASES}'), 1, 75) AS seq1, substr(translate(l, '{_FROM}', '{_QUALS}'), 1, 75) AS qual1,
-  substr(translate(l, '{_FROM}', '{_BASES}'), 76, 75) AS seq2, substr(translate(l, '{_FROM}', '{_QUALS}'), 76, 75) AS qual2 FROM letters)""",
+  substr(translate(l, '{_FROM}', '{_BASES}'), 76, 75) AS seq2, substr(translate(l, '{_FROM}', '{_QUALS}'), 76, 75) AS qual2 FROM cutting)""",
     "alignments": """al0 AS (SELECT *, l_quantity::INT AS width, floor(l_quantity / 2)::INT AS half FROM lineitem),
 alignments AS (SELECT l_orderkey AS qname, l_linenumber AS mate,
   CASE WHEN l_linenumber = 1 THEN 64 WHEN l_linenumber = 2 THEN 128 ELSE 0 END + CASE WHEN l_returnflag = 'R' AND l_linenumber = 5 THEN 1024 ELSE 0 END AS flag,
@@ -103,9 +125,14 @@ alignments AS (SELECT l_orderkey AS qname, l_linenumber AS mate,
   (floor(l_extendedprice)::BIGINT % 700)::INT AS isize,
   CASE WHEN width >= 2 AND l_linenumber % 3 = 0 THEN half || 'M100N' || (width - half) || 'M' WHEN l_linenumber % 3 = 1 THEN width || 'M' ELSE '2S' || width || 'M' END AS cigar,
   CASE l_returnflag WHEN 'A' THEN 'concordant_uniq' WHEN 'R' THEN 'concordant_mult' ELSE 'unpaired_uniq' END AS category, 'lane' || (l_orderkey % 3) AS run FROM al0),
-blocks AS (SELECT qname AS groupid, chrom, pos AS start, pos + width - 1 AS "end", strand, run FROM alignments),
+good AS (SELECT *, floor(width / 2)::INT AS half, cigar LIKE '%N%' AS gap FROM alignments WHERE flag & 1536 = 0),
+blocks AS (SELECT qname AS groupid, chrom, pos AS start, pos + CASE WHEN gap THEN half ELSE width END - 1 AS "end", strand, run FROM good
+  UNION ALL SELECT qname, chrom, pos + half + 100, pos + width + 99, strand, run FROM good WHERE gap),
 exons AS (SELECT qname % 1000 AS gene, qname AS tx, chrom, pos AS start, pos + width + 9 AS "end", strand FROM alignments),
 coding AS (SELECT gene, tx, chrom, start + 2 AS start, "end" - 2 AS "end", strand FROM exons)""",
+    "aligned": f"""aligned AS (SELECT *, translate(md5(qname || ':' || mate || 's1') || md5(qname || ':' || mate || 's2'), '{_HEX}', '{_TO_BASES}') AS seq,
+  translate(md5(qname || ':' || mate || 'q1') || md5(qname || ':' || mate || 'q2'), '{_HEX}', '{_TO_QUALS}') AS qual FROM alignments),
+reference AS (SELECT chrom, pos, translate(substr(md5(chrom || ':' || pos), 1, 1), '{_HEX}', '{_TO_BASES}') AS ref FROM (SELECT 'chr' || c AS chrom, p AS pos FROM range(5) a(c), range(1, {LENGTH + 1}) b(p)))""",
     "features": """features AS (SELECT p_brand AS feature_set, p_partkey::VARCHAR AS name, 'chr' || (p_partkey % 5) AS chrom,
   ((p_partkey * 37) % 20000 + 1)::INT AS start, ((p_partkey * 37) % 20000 + 1 + p_size * 3)::INT AS "end", '*' AS strand FROM part)""",
     "mask": """mask AS (SELECT 'chr' || (s_suppkey % 5) AS chrom, ((s_suppkey * 199) % 20000 + 1)::INT AS start, ((s_suppkey * 199) % 20000 + 40)::INT AS "end" FROM supplier)""",

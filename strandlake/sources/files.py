@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -106,9 +109,65 @@ def write_runs(runs: DataFrame, path: str) -> None:
 
 def write_alignments(a: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Parquet with a folder for each category, sorted by place within files."""
-    a.repartition("category", "chrom").sortWithinPartitions("chrom", "pos").write.mode(mode).partitionBy("category").parquet(path)
+    a.repartition("category", "chrom").sortWithinPartitions("category", "chrom", "pos").write.mode(mode).partitionBy("category").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, start, end, depth as write_runs wrote them, from 1 and closed."""
+    rows = spark.read.csv(path, sep="\t", schema="chrom string, start0 long, end long, depth long")
+    return rows.select("chrom", (F.col("start0") + 1).alias("start"), "end", "depth")
+
+
+def count_fastq(spark: SparkSession, path: str) -> int:
+    """The number of records; a file whose lines are no multiple of four is an error."""
+    lines = spark.read.text(path).count()
+    if lines % 4:
+        raise ValueError(f"{path} ends within a record")
+    return lines // 4
+
+
+def concatenate_fastq(spark: SparkSession, paths: list[str], path: str) -> None:
+    """The records of several files, as pairs with one mate, written to one folder."""
+    parts = [read_fastq(spark, p).select("id", F.col("seq").alias("seq1"), F.col("qual").alias("qual1")) for p in paths]
+    write_fastq(reduce(DataFrame.unionByName, parts), path)
+
+
+def write_fasta(sequences: DataFrame, path: str, width: int = 60) -> None:
+    """(name, seq) as records with lines of `width` letters."""
+    lines = F.array_join(F.regexp_extract_all("seq", F.lit(f".{{1,{width}}}"), F.lit(0)), "\n")
+    sequences.select(F.concat(F.lit(">"), "name", F.lit("\n"), lines).alias("value")).write.mode("errorifexists").text(path)
+
+
+def only_path(spark: SparkSession, folder: str, pattern: str) -> str:
+    """The path of the one file or folder in `folder` whose name holds the pattern; none or several are an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    found = sorted(n for n in names if re.search(pattern, n))
+    if len(found) != 1:
+        raise FileNotFoundError(f"{len(found)} names in {folder} match {pattern}")
+    return f"{folder.rstrip('/')}/{found[0]}"
+
+
+def read_named(spark: SparkSession, folder: str, pattern: str, schema: str) -> DataFrame:
+    """The tab-separated table whose name alone in the folder holds the pattern."""
+    return spark.read.csv(only_path(spark, folder, pattern), sep="\t", header=True, schema=schema)
+
+
+def merge_alignments(parts: list[DataFrame], sort: bool = True) -> DataFrame:
+    """Records of several files as one table, by place if asked for."""
+    merged = reduce(DataFrame.unionByName, parts)
+    return merged.orderBy("chrom", "pos") if sort else merged
 
 
-def latest(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))).where("_n = 1").drop("_n")
+def prepare_folder(spark: SparkSession, folder: str, policy: str = "never") -> str:
+    """The save mode for writing into `folder`: `never` fails if it exists, `erase` deletes it first, `overwrite` writes over single tables."""
+    modes = {"never": "errorifexists", "erase": "errorifexists", "overwrite": "overwrite"}
+    if policy not in modes:
+        raise ValueError(f"unknown policy {policy}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if policy == "never" and system.exists(place):
+        raise FileExistsError(folder)
+    if policy == "erase":
+        system.delete(place, True)
+    return modes[policy]

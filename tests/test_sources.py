@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +39,61 @@ def test_other_files(spark, tmp_path):
     assert not files.write_vcf(variants.limit(0), str(tmp_path / "none"))
 
 
+def test_broken_gzip_fails_and_records_are_counted(spark, tmp_path):
+    text = "".join(f"@r{i}\nACGT\n+\nIIII\n" for i in range(3000))
+    packed = gzip.compress(text.encode())
+    (tmp_path / "a.fastq.gz").write_bytes(packed)
+    (tmp_path / "b.fastq.gz").write_bytes(packed[: len(packed) // 2])
+    assert files.read_fastq(spark, str(tmp_path / "a.fastq.gz")).count() == files.count_fastq(spark, str(tmp_path / "a.fastq.gz")) == 3000
+    with pytest.raises(Exception, match="(?i)unexpected end|bad FASTQ"):
+        files.read_fastq(spark, str(tmp_path / "b.fastq.gz")).collect()
+    (tmp_path / "c.fastq").write_text(text[:-5])
+    with pytest.raises(ValueError):
+        (tmp_path / "d.fastq").write_text("@a\nA\n+\n")
+        files.count_fastq(spark, str(tmp_path / "d.fastq"))
+    files.concatenate_fastq(spark, [str(tmp_path / "a.fastq.gz")] * 2, str(tmp_path / "both"))
+    assert spark.read.text(str(tmp_path / "both")).count() == 24000
+    empty = files.read_fastq_pair(spark, str(tmp_path / "a.fastq.gz")).limit(0)
+    files.write_fastq(empty, str(tmp_path / "empty"))
+    assert spark.read.text(str(tmp_path / "empty")).count() == 0
+
+
+def test_tables_runs_and_alignments(spark, tmp_path):
+    rows = spark.createDataFrame([("total", 26.0), ("kept", 25.0)], "name string, value double")
+    files.write_table(rows, str(tmp_path / "x.summary.tab"), "tab")
+    assert {(r.name, r.value) for r in files.read_name_value(spark, str(tmp_path / "x.summary.tab")).collect()} == {("total", 26.0), ("kept", 25.0)}
+    assert files.read_named(spark, str(tmp_path), r"\.summary", "name string, value double").count() == 2
+    with pytest.raises(FileNotFoundError):
+        files.only_path(spark, str(tmp_path), "nothing")
+    files.write_table(rows, str(tmp_path / "x.csv"), "csv")
+    assert spark.read.csv(str(tmp_path / "x.csv"), header=True).count() == 2
+    with pytest.raises(Exception, match="(?i)exists"):
+        files.write_table(rows, str(tmp_path / "x.csv"), "csv")
+    files.write_table(rows, str(tmp_path / "x.csv"), "csv", mode="overwrite")
+    with pytest.raises(ValueError):
+        files.write_table(rows, str(tmp_path / "y"), "xlsx")
+    runs = spark.createDataFrame([("x", 1, 10, 3), ("x", 11, 12, 1)], "chrom string, start long, end long, depth long")
+    files.write_runs(runs, str(tmp_path / "runs"))
+    assert sorted(files.read_runs(spark, str(tmp_path / "runs")).collect()) == sorted(runs.collect())
+    a = spark.createDataFrame([("x", 5, "uniq"), ("x", 1, "uniq"), ("y", 2, "mult")], "chrom string, pos int, category string")
+    files.write_alignments(files.merge_alignments([a, a.limit(0)], sort=False), str(tmp_path / "al"))
+    assert sorted(p.name for p in (tmp_path / "al").glob("category=*")) == ["category=mult", "category=uniq"]
+    assert [r.pos for r in spark.read.parquet(str(tmp_path / "al" / "category=uniq")).collect()] == [1, 5]
+    assert [r.pos for r in files.merge_alignments([a, a]).collect()] == [1, 1, 5, 5, 2, 2]
+    (tmp_path / "x.dict").write_text("@HD\tVN:1.0\n@SQ\tSN:one\tLN:12\n")
+    assert files.read_lengths(spark, str(tmp_path / "x.dict")).first()[:] == ("one", 12)
+    files.write_fasta(spark.createDataFrame([("s", "ACGT" * 40)], "name string, seq string"), str(tmp_path / "fa"))
+    assert files.read_fasta(spark, str(tmp_path / "fa")).first()[:] == ("s", "ACGT" * 40)
+    folder = tmp_path / "kept"
+    folder.mkdir()
+    with pytest.raises(FileExistsError):
+        files.prepare_folder(spark, str(folder))
+    assert files.prepare_folder(spark, str(folder), "overwrite") == "overwrite" and folder.exists()
+    assert files.prepare_folder(spark, str(folder), "erase") == "errorifexists" and not folder.exists()
+    with pytest.raises(ValueError):
+        files.prepare_folder(spark, str(folder), "perhaps")
+
+
 def test_settings(tmp_path):
     (tmp_path / "base.txt").write_text("a: 1\nb: 2 # note\n\n# all\n")
     (tmp_path / "own.txt").write_text("template_config: base.txt\nb: 3\nflag: true\nlist: x, y,z\n")
