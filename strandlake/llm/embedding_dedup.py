@@ -2,42 +2,63 @@
 
 Reference points (pivots) are drawn from the vectors and thinned, so that a dense
 group doesn't hold many of them: among pivots that lie about equally near, noise
-would choose which are named. Each vector is described by
-its nearest pivots in order; near vectors have nearly the same description. Inverted
-lists hold, for each label and pivot, the vectors that name it. Vectors of a list
-that share enough pivots are candidates, and the cosine of each is then computed in
-double precision. A pair is judged only in the list of its smallest shared pivot.
+would choose which are named. Each vector is described by its nearest pivots in
+order; near vectors have nearly the same description. Inverted lists hold, for each
+label and two pivots, the vectors that name both: who shares a list shares two pivots.
+There are more pivots the more vectors there are, so a list stays short.
+
+A list holds ids and sketches (the signs of fixed random projections), no vectors.
+Pairs that meet in lists, share enough pivots and differ in few signs are verified:
+their vectors are fetched and the cosine is computed in double precision. A list that
+is long all the same, as of a dense group, is dealt into blocks instead, and pairs of
+blocks with their vectors give sums for each vector, never a row for each pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm._components import connected_components
 from strandlake.llm._runtime import small_side, written
 
-#: Pivots drawn for each vector length: the fixed sample the index is fitted on.
-PIVOTS = 256
+#: Pivots for each vector length: PIVOT_SHARE times the root of the number of vectors, within these bounds.
+PIVOTS, PIVOT_SHARE = (256, 4096), 4.0
 #: No two pivots are closer than this cosine; so many vectors are drawn for each pivot wanted.
 APART, DRAWN = 0.7, 16
-#: Nearest pivots that describe a vector, and how many of them a candidate pair shares at least.
-NAMED, SHARED = 8, 2
-#: A list is dealt into blocks of about so many vectors; every pair of blocks is one group of rows.
-BLOCK_ROWS = 256
+#: Numbers that the drawn vectors of one length hold at most: the sample that the driver fits the index on.
+SAMPLE_NUMBERS = 4_000_000
+#: Vector lengths that get pivots, the commonest first; vectors of other lengths are all in one list, which is exact.
+LENGTHS = 16
+#: Nearest pivots that describe a vector; a candidate pair shares two of them.
+NAMED = 6
+#: Signs of a sketch, in two words. Signs differ with the chance angle / pi; a pair may differ in its mean and so many standard deviations more.
+SIGNS, SLACK = 128, 5.0
+#: Rows up to which a list is joined with itself; longer ones are dealt into blocks of about BLOCK_ROWS.
+JOINED, BLOCK_ROWS = 128, 256
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """row_id, label, dim, vector: rows that can be linked, one for each label and exact vector, with its copies counted."""
+    """row_id, label, vector: rows that can be linked."""
     fit = F.col(vector_col).isNotNull() & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
-    rows = vectors.where(fit).select(F.col(id_col).alias("row_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.where(fit).select(F.col(id_col).alias("row_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     odd = F.exists("vector", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(True)))
-    return rows.where(~odd & F.exists("vector", lambda x: x != 0)).withColumn("vector", F.transform("vector", lambda x: x + 0.0))
+    kind = dict(rows.dtypes)["vector"]
+    # -0.0 and 0.0 are one number
+    return rows.where(~odd & F.exists("vector", lambda x: x != 0)).withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, 0.0).otherwise(x)).cast(kind))
+
+
+def _unit(vectors: list) -> np.ndarray:
+    """The vectors, all of one length, scaled to length 1 in double precision."""
+    v = np.array(vectors, float)
+    v /= np.abs(v).max(axis=1, keepdims=True)
+    return v / np.sqrt((v**2).sum(axis=1, keepdims=True))
 
 
 def _thinned(points: np.ndarray, most: int) -> np.ndarray:
@@ -51,27 +72,101 @@ def _thinned(points: np.ndarray, most: int) -> np.ndarray:
     return points[out]
 
 
-def _compare(pdf: pd.DataFrame, least: float, shared: int) -> pd.DataFrame:
-    """For the rows of two blocks of one list: row_id, links (rows of the other vectors linked), root (the least id linked within)."""
-    ids, copies = pdf["row_id"].to_numpy(), pdf["n"].to_numpy()
-    # sums of squares and products, component by component, in double precision
-    unit = np.array(pdf["vector"].tolist(), float)
-    unit /= np.abs(unit).max(axis=1, keepdims=True)
-    unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
-    named = np.zeros((len(pdf), PIVOTS), np.float32)
-    pivots = np.array(pdf["pivots"].tolist())
-    np.put_along_axis(named, pivots, 1, axis=1)
-    pivot, kind = pdf["pivot"].iloc[0], pdf["block"].to_numpy()
-    one, two = np.flatnonzero(kind == pdf["i"].iloc[0]), np.flatnonzero(kind == pdf["j"].iloc[0])
-    common = named[one] @ named[two].T
-    lower = named[:, :pivot]
-    first = (lower[one] @ lower[two].T) == 0
-    ok = (common >= shared) & first & (unit[one] @ unit[two].T >= least - 1e-9)
+def _draw_pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
+    """Pivots for the LENGTHS commonest vector lengths, from a bounded sample: the vectors with the least hashes."""
+    points = {}
+    for dim, n in distinct.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "dim").limit(LENGTHS).collect():
+        wanted = int(np.clip(PIVOT_SHARE * n**0.5, *PIVOTS))
+        most = max(wanted, min(wanted * DRAWN, SAMPLE_NUMBERS // dim))
+        drawn = distinct.where(F.size("vector") == dim).select("vector", F.xxhash64("same").alias("h")).orderBy("h", "node").limit(most).collect()
+        points[dim] = _thinned(_unit([r.vector for r in drawn]).astype(np.float32), wanted)
+    return points
+
+
+def _sketches(unit: np.ndarray) -> np.ndarray:
+    """SIGNS signs of each vector as two 64-bit words."""
+    planes = np.random.default_rng(unit.shape[1]).normal(size=(unit.shape[1], SIGNS)).astype(np.float32)
+    return np.packbits(unit.astype(np.float32) @ planes > 0, axis=1).view(np.int64)
+
+
+def _described(distinct: DataFrame, points: dict[int, np.ndarray], columns: list[str]) -> DataFrame:
+    """columns (vector last) with dim, pivots (the NAMED nearest, in order) and the sketch's words."""
+    sent = distinct.sparkSession.sparkContext.broadcast(points)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 2000):
+                batch = whole.slice(at, 2000)
+                rows = batch.column(batch.num_columns - 1).to_pylist()
+                size = np.array([len(r) for r in rows], np.int32)
+                near, words = [[]] * len(rows), np.zeros((len(rows), SIGNS // 64), np.int64)
+                for dim in np.unique(size):
+                    of = np.flatnonzero(size == dim)
+                    unit = _unit([rows[i] for i in of])
+                    words[of] = _sketches(unit)
+                    if dim in sent.value:
+                        order = np.argsort(-(unit.astype(np.float32) @ sent.value[dim].T), axis=1, kind="stable")[:, :NAMED]
+                        for i, row in zip(of, order.tolist()):
+                            near[i] = row
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size), pa.array(near, pa.list_(pa.int32())), pa.array(words[:, 0].copy()), pa.array(words[:, 1].copy())], [*batch.schema.names, "dim", "pivots", "s1", "s2"])
+
+    rows = distinct.select(*columns)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(describe, f"{kinds}, dim int, pivots array<int>, s1 long, s2 long")
+
+
+def _alone(points: dict[int, np.ndarray], pivots: str) -> Column:
+    """Whether vectors of this length share one list: there are no more pivots than a vector names."""
+    few = [dim for dim, p in points.items() if len(p) <= NAMED]
+    return (F.size(pivots) < NAMED) | F.col("dim").isin(few or [-1])
+
+
+def _lists(points: dict[int, np.ndarray]) -> Column:
+    """The lists of a vector: two named pivots each, the smaller first."""
+    pair = lambda a, b: F.struct(F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
+    every = F.array(*[pair(F.col("pivots")[i], F.col("pivots")[j]) for i, j in combinations(range(NAMED), 2)])
+    one = F.array(F.struct(F.lit(-1).alias("p"), F.lit(-1).alias("q")))
+    return F.when(_alone(points, "pivots"), one).otherwise(every)
+
+
+def _verify(pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b, na, nb) of (a, b, na, nb, va, vb) whose cosine is at least `least`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(len(batch), bool)
+            one, two = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            size = np.array([len(v) for v in one], int)
+            for dim in np.unique(size):
+                of = np.flatnonzero(size == dim)
+                keep[of] = np.einsum("ij,ij->i", _unit([one[i] for i in of]), _unit([two[i] for i in of])) >= least
+            yield batch.select([0, 1, 2, 3]).take(pa.array(np.flatnonzero(keep)))
+
+    return pairs.mapInArrow(run, "a long, b long, na long, nb long")
+
+
+def _compare(pdf: pd.DataFrame, least: float) -> pd.DataFrame:
+    """For the rows of two blocks of one list: node, links (rows of the other vectors linked), root (the least node linked within).
+
+    A pair is judged in the list of the two smallest pivots it shares, and nowhere else.
+    """
+    ids, copies, unit = pdf["node"].to_numpy(), pdf["n"].to_numpy(), _unit(pdf["vector"].tolist())
+    kind, i, j, q = pdf["block"].to_numpy(), pdf["i"].iloc[0], pdf["j"].iloc[0], pdf["q"].iloc[0]
+    one, two = np.flatnonzero(kind == i), np.flatnonzero(kind == j)
+    if q >= 0:  # of the pivots below q both name p alone
+        near = np.array(pdf["pivots"].tolist())
+        known = np.unique(near[near < q])
+        named = (near[:, :, None] == known).any(axis=1).astype(np.float32)
+        ok = named[one] @ named[two].T == 1
+    else:
+        ok = np.ones((len(one), len(two)), bool)
+    if i == j:
+        ok &= one[:, None] < two
+    if ok.mean() > 0.2:
+        ok &= unit[one] @ unit[two].T >= least - 1e-9
     a, b = np.nonzero(ok)
     a, b = one[a], two[b]
-    keep = a < b if kind[0] == kind[-1] and (kind == kind[0]).all() else a != b
-    a, b = a[keep], b[keep]
-    exact = np.einsum("ij,ij->i", unit[a], unit[b]) >= least
+    exact = np.concatenate([np.einsum("ij,ij->i", unit[a[s : s + 8192]], unit[b[s : s + 8192]]) >= least for s in range(0, len(a), 8192)] or [np.zeros(0, bool)])
     a, b = a[exact], b[exact]
     links = np.bincount(a, weights=copies[b], minlength=len(ids)) + np.bincount(b, weights=copies[a], minlength=len(ids))
     root = ids.copy()
@@ -82,64 +177,68 @@ def _compare(pdf: pd.DataFrame, least: float, shared: int) -> pd.DataFrame:
         if (root == was).all():
             break
     hit = links > 0
-    return pd.DataFrame({"row_id": ids[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+    return pd.DataFrame({"node": ids[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
 
 
-def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", pivots: int = PIVOTS, named: int = NAMED, shared: int = SHARED) -> DataFrame:
+def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """row_id, n_links, component_id, kept: one row for each vector.
 
     Vectors are linked if their labels are equal and not null, they have the same length and
     their cosine is at least `least`. Vectors that are null, zero, or hold a null or non-finite
     component link with nothing, nor do rows with a null id. n_links counts the other rows linked
-    directly, exact copies among them; component_id is the least id reachable. The index misses
-    a pair only if its vectors share fewer than `shared` of their `named` nearest pivots, or
-    fewer than there are. An empty table gives an empty result.
+    directly, exact copies among them; component_id is the least id reachable. Rows that repeat an
+    id are vectors of their own. Links found are exact; the index misses a pair only if its vectors
+    share fewer than two of their NAMED nearest pivots (or, with a chance of some 1e-6, differ in
+    too many signs). Columns beside the three named are ignored, whatever their names. An empty
+    table gives an empty result.
     """
-    if pivots > PIVOTS:
-        raise ValueError(f"at most {PIVOTS} pivots")
     kind = dict(vectors.dtypes)[id_col]
-    rows = written(_usable(vectors, id_col, vector_col, label_col))
-    keyed = rows.withColumn("same", F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256))
-    distinct = written(keyed.groupBy("label", "same").agg(F.min("row_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector")))
-    dims = [r[0] for r in distinct.select(F.size("vector")).distinct().limit(1000).collect()]
-    points = {}
-    for dim in dims:  # a bounded sample: the vectors with the least hashes
-        drawn = distinct.where(F.size("vector") == dim).select("vector", F.xxhash64("same").alias("h")).orderBy("h").limit(pivots * DRAWN).collect()
-        p = np.array([r.vector for r in drawn])
-        p /= np.abs(p).max(axis=1, keepdims=True)
-        points[dim] = _thinned((p / np.sqrt((p**2).sum(axis=1, keepdims=True))).astype(np.float32), pivots)
-    needed = {dim: min(shared, len(p)) for dim, p in points.items()}
-    sent = vectors.sparkSession.sparkContext.broadcast(points)
-
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [[]] * len(pdf)
-            size = pdf["vector"].str.len().to_numpy()
-            for dim in np.unique(size):
-                at = np.flatnonzero(size == dim)
-                v = np.array(pdf["vector"].iloc[at].tolist(), float)
-                v /= np.abs(v).max(axis=1, keepdims=True)
-                v /= np.sqrt((v**2).sum(axis=1, keepdims=True))
-                near = np.argsort(-(v.astype(np.float32) @ sent.value[dim].T), axis=1, kind="stable")[:, :named]
-                for i, row in zip(at, near):
-                    out[i] = row.tolist()
-            yield pdf.assign(pivots=out)
-
-    schema = f"row_id {kind}, label {dict(vectors.dtypes)[label_col]}, n long, vector array<double>, pivots array<int>"
-    described = written(distinct.select(F.col("least_id").alias("row_id"), "label", "n", "vector").mapInPandas(describe, schema))
-    lists = described.withColumn("dim", F.size("vector")).withColumn("pivot", F.explode("pivots"))
-    sizes = small_side(lists.groupBy("label", "dim", "pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts")).where("parts >= 1"))
-    dealt = lists.join(sizes, ["label", "dim", "pivot"]).withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    judge = dealt.groupBy("label", "dim", "pivot", "i", "j").applyInPandas(lambda pdf: _compare(pdf, least, needed[pdf["dim"].iloc[0]]), f"row_id {kind}, links long, root {kind}")
-    judged = written(judge)
-    links = written(judged.groupBy("row_id").agg(F.sum("links").alias("links")))
-    components = written(connected_components(judged.where("row_id != root").select(F.col("row_id").alias("a"), F.col("root").alias("b"))))
-    classes = distinct.select("label", "same", F.col("least_id").alias("node"), "n").join(links.withColumnRenamed("row_id", "node"), "node", "left").join(components, "node", "left")
-    classes = written(classes.select("label", "same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")))
+    rows = _usable(vectors, id_col, vector_col, label_col)
+    keyed = written(rows.withColumn("same", F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256)))
+    grouped = keyed.groupBy("label", "same").agg(F.min("row_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))
+    distinct = written(grouped.withColumn("node", F.monotonically_increasing_id()))
+    points = _draw_pivots(distinct)
+    described = written(_described(distinct, points, ["node", "label", "n", "vector"]).withColumn("lists", _lists(points)))
+    held = described.select("node", "n", "vector", "pivots", "label", "dim")
+    posted = described.select("node", "label", "dim", "s1", "s2", F.explode("lists").alias("l")).select("node", "label", "dim", "l.p", "l.q", "s1", "s2")
+    key = ["label", "dim", "p", "q"]
+    sizes = posted.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    long = small_side(sizes.where(F.col("size") > JOINED))
+
+    # short lists: pairs that share a list and nearly all signs, then their vectors
+    short = posted.join(long, key, "left_anti")
+    angle = np.arccos(least) / np.pi
+    most = int(SIGNS * angle + SLACK * (SIGNS * angle * (1 - angle)) ** 0.5) + 1
+    one = short.select(*key, F.col("node").alias("a"), F.col("s1").alias("a1"), F.col("s2").alias("a2"))
+    two = short.select(*key, F.col("node").alias("b"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
+    differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
+    likely = written(one.join(two, key).where((F.col("a") < F.col("b")) & (differ <= most)).select("a", "b").distinct())
+    left = held.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("vector").alias("va"), F.col("pivots").alias("pa"), "label", "dim")
+    right = held.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("vector").alias("vb"), F.col("pivots").alias("pb"))
+    shared = F.array_sort(F.array_intersect("pa", "pb"))
+    of = {c: F.when(_alone(points, "pa"), F.lit(-1)).otherwise(F.get(shared, F.lit(i))) for i, c in enumerate(("p", "q"))}
+    # a pair belongs to the list of the two smallest pivots it shares, which may be a long one
+    met = likely.join(left, "a").join(right, "b").withColumns(of).join(long, key, "left_anti")
+    linked = written(_verify(met.select("a", "b", "na", "nb", "va", "vb"), least))
+    judged = linked.select(F.col("a").alias("node"), F.col("nb").alias("links"), F.col("a").alias("root"))
+    judged = judged.union(linked.select(F.col("b").alias("node"), F.col("na").alias("links"), F.col("a").alias("root")))
+
+    # long lists: pairs of blocks, with their vectors
+    if long.take(1):
+        dealt = described.select("node", "n", "label", "dim", "pivots", "vector", F.explode("lists").alias("l")).select("node", "n", "label", "dim", "pivots", "vector", "l.p", "l.q")
+        dealt = dealt.join(long.withColumn("parts", F.ceil(F.col("size") / BLOCK_ROWS).cast("int")), key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        compared = dealt.groupBy(*key, "i", "j").applyInPandas(lambda pdf: _compare(pdf, least), "node long, links long, root long")
+        judged = judged.union(written(compared))
+
+    links = written(judged.groupBy("node").agg(F.sum("links").alias("links")))
+    components = written(connected_components(judged.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    classes = distinct.select("node", "label", "same", "least_id", "n").join(links, "node", "left").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = written(classes.select("label", "same", "component", "least_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")))
+    names = written(classes.groupBy("component").agg(F.min("least_id").alias("component_id")))
+    classes = written(classes.join(names, "component").select("label", "same", "n_links", "component_id"))
     # the rows of a very common vector meet its one class row; the join may be split
-    linked = keyed.select("row_id", "label", "same").join(classes, ["label", "same"]).select("row_id", "n_links", "component_id")
-    fit = written(linked)
+    fit = written(keyed.select("row_id", "label", "same").join(classes, ["label", "same"]).select("row_id", "n_links", "component_id"))
     unfit = vectors.select(F.col(id_col).alias("row_id")).exceptAll(fit.select("row_id"))
     every = fit.unionByName(unfit.select("row_id", F.lit(0).cast("long").alias("n_links"), F.col("row_id").alias("component_id")))
-    return every.select("row_id", F.col("n_links").cast("long"), "component_id", F.col("component_id").eqNullSafe(F.col("row_id")).alias("kept"))
+    return every.select("row_id", F.col("n_links").cast("long"), F.col("component_id").cast(kind), F.col("component_id").eqNullSafe(F.col("row_id")).alias("kept"))
