@@ -178,12 +178,23 @@ def _across_small(rows: DataFrame) -> DataFrame:
     return one.join(two, "key").where("a < b and ca != cb").select("a", "b")
 
 
-def _across_large(rows: DataFrame, sizes: DataFrame, values: DataFrame, steps: list[tuple[int, int]], percent: int) -> DataFrame:
+def _likely(signature: np.ndarray, number: np.ndarray, i: int, steps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The later rows of other components that no batch of signatures drops for row i, and their matches."""
+    alive, seen = np.flatnonzero(number[i + 1 :] != number[i]) + i + 1, 0
+    matches = np.zeros(len(alive), np.int64)
+    for n, least in steps:
+        matches = matches + (signature[alive, seen:n] == signature[i, seen:n]).sum(axis=1)
+        alive, matches, seen = alive[matches >= least], matches[matches >= least], n
+    return alive, matches
+
+
+def _across_large(rows: DataFrame, sizes: DataFrame, signatures: DataFrame, sets: DataFrame, steps: list[tuple[int, int]], percent: int) -> DataFrame:
     """Links (a, b) that connect whatever different components of a large group have a link.
 
     The members of a group's largest component meet only the others, not each other. Both
     kinds are dealt into blocks, and each pair of blocks is one group of rows of bounded size.
-    Within it pairs that no batch of signatures drops are checked on full sets, the likeliest
+    Signatures alone tell which members of a pair of blocks have a likely partner there; only
+    for these the full sets are fetched. Likely pairs are then checked on full sets, the likeliest
     first, unless their components have been connected meanwhile: at most one link is given
     for each component, however many there are.
     """
@@ -198,8 +209,19 @@ def _across_large(rows: DataFrame, sizes: DataFrame, values: DataFrame, steps: l
     own = F.col("own")
     of_major = F.transform(count_to(F.col("minors")), lambda i: task(1, i, own))
     of_minor = F.concat(F.transform(count_to(F.col("minors")), lambda j: task(0, F.least(j, own), F.greatest(j, own))), F.transform(count_to(F.col("majors")), lambda j: task(1, own, j)))
-    dealt = dealt.select("key", "node", "component", F.explode(F.when(F.col("is_major"), of_major).otherwise(of_minor)).alias("task"))
-    dealt = dealt.join(values, "node").select("key", "task.*", "node", "component", "signature", "members")
+    # the block of signatures goes along: joined before the rows are copied to their blocks
+    dealt = dealt.join(signatures, "node").select("key", "node", "component", "signature", F.explode(F.when(F.col("is_major"), of_major).otherwise(of_minor)).alias("task"))
+    key = ["key", "kind", "i", "j"]
+    dealt = dealt.select("key", "task.*", "node", "component", "signature")
+
+    def partners(pdf: pd.DataFrame) -> pd.DataFrame:
+        signature = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(len(pdf), -1)
+        number, hit = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1], np.zeros(len(pdf), bool)
+        for i in range(len(pdf) - 1):
+            alive, _ = _likely(signature, number, i, steps)
+            hit[alive] = True
+            hit[i] |= len(alive) > 0
+        return pdf[hit]
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         signature = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(len(pdf), -1)
@@ -207,18 +229,15 @@ def _across_large(rows: DataFrame, sizes: DataFrame, values: DataFrame, steps: l
         number = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
         out = []
         for i in range(len(pdf) - 1):
-            alive, seen = np.flatnonzero(number[i + 1 :] != number[i]) + i + 1, 0
-            matches = np.zeros(len(alive), np.int64)
-            for n, least in steps:
-                matches = matches + (signature[alive, seen:n] == signature[i, seen:n]).sum(axis=1)
-                alive, matches, seen = alive[matches >= least], matches[matches >= least], n
+            alive, matches = _likely(signature, number, i, steps)
             for j in alive[np.argsort(-matches, kind="stable")]:
                 if number[i] != number[j] and _linked(sets[i], sets[j], percent):
                     out.append((min(node[i], node[j]), max(node[i], node[j])))
                     number[number == number[j]] = number[i]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return dealt.groupBy("key", "kind", "i", "j").applyInPandas(compare, "a binary, b binary")
+    likely = written(dealt.groupBy(*key).applyInPandas(partners, dealt.schema))
+    return likely.join(sets, "node").groupBy(*key).applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
@@ -236,13 +255,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_rows = written(sketch(docs, id_col, text_col, shingle_words, bands, rows))
     banded = all_rows.where("node is not null").select("node", F.explode("keys").alias("key"))
     ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    shared = small_side(ends.select("key"), 1_000_000)
+    shared = small_side(ends.select("key"))
     active = written(banded.join(shared, "key").select("key", "node").distinct())
 
     # what is compared later: signatures and texts of the nodes that have candidates, one document each
-    involved = small_side(active.select("node").distinct(), 1_000_000)
+    involved = small_side(active.select("node").distinct())
     held = all_rows.join(involved, "node").groupBy("node").agg(F.min("row_id").alias("held_id")).withColumnRenamed("node", "held_node")
-    held = small_side(held, 1_000_000)
+    held = small_side(held)
     # ids may be null or stand for several texts, so the node decides which of an id's rows is meant
     is_held = (F.col("node") == F.col("held_node")) & F.col("row_id").eqNullSafe(F.col("held_id"))
     signatures = written(all_rows.join(held, is_held, "left_semi").select("node", "signature").dropDuplicates(["node"]))
@@ -271,14 +290,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = written(current.drop("component").join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
         open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").select("key", "n")
         open_ = written(open_)
-        current = written(named.join(small_side(open_.select("key"), 1_000_000), "key"))
+        current = written(named.join(small_side(open_.select("key")), "key"))
         if not open_.take(1):
             break
     # then, in groups that are still in several components, everything across them
     small, large = (written(current.join(small_side(open_.where(x).select("key")), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
     more = written(judged(_across_small(small)))
     if large.take(1):
-        more = more.union(written(_across_large(large, open_, signatures.join(sets, "node"), steps, percent)))
+        more = more.union(written(_across_large(large, open_, signatures, sets, steps, percent)))
     if more.take(1):
         components = written(connected_components(links.union(more)))
 

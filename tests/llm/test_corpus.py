@@ -185,25 +185,6 @@ def test_chats_are_read_back(spark):
     assert format_chats(chats.limit(0)).count() == 0
 
 
-@needs_vocabulary
-def test_pipeline_equals_its_operators_one_by_one(spark, data):
-    from tests.llm.test_dedup import brute
-
-    docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
-    languages = {r.row_id for r in Q.languages_of(spark, spark.read.parquet(f"{data}/documents.parquet"), data).where("kept").collect()}
-    docs = [d for d in docs if d[0] in languages]
-    seen: dict = {}
-    for i, text, _ in sorted(docs):
-        seen.setdefault(" ".join(__import__("re").split(r"[\x20\x09-\x0D]+", text)), i)
-    docs = [d for d in docs if d[0] in set(seen.values())]
-    names = brute([d[:2] for d in docs], 5, 80)
-    docs = [d for d in docs if names[d[0]][1] == d[0]]
-    mixed = mix_sources(spark.createDataFrame(docs, "doc_id long, text string, source string")).where("taken > 0").collect()
-    want = sorted(r.row_id for r in mixed for _ in range(r.taken // r.size))
-    got = corpus_pipeline.run(spark, data)
-    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == want and want
-
-
 @needs_vocabulary
 def test_stages_bear_odd_rows(spark, data, odd):
     columns = odd.select("doc_id", "text", "lang", "source", "n_chars")

@@ -296,6 +296,32 @@ def test_embedding_links_of_a_dense_group(spark):
     assert sum(got.values()) >= 0.99 * want.sum()
 
 
+@pytest.mark.parametrize("dim", [64, 256])
+def test_planted_pairs_at_the_threshold_are_found(spark, dim):
+    rnd = np.random.default_rng(dim)
+    unit = lambda x: x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+    base = unit(rnd.normal(size=(5000, dim)))
+    ends = unit(rnd.normal(size=(1000, dim)))
+    ends = unit(ends - (ends * base[:1000]).sum(axis=1, keepdims=True) * base[:1000])
+    cosine = rnd.uniform(0.9301, 0.95, (1000, 1))
+    near = cosine * base[:1000] + np.sqrt(1 - cosine**2) * ends
+    vectors = np.concatenate([base, near])
+    table = spark.createDataFrame([(i, v.tolist(), i % 1000 % 2) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {r.row_id: (r.n_links, r.component_id) for r in link_embeddings(table).collect()}
+    found = sum(got[5000 + i] == (1, i) for i in range(1000))
+    assert found >= 950 and sum(n for n, _ in got.values()) == 2 * found
+
+
+def test_embedding_rows_with_shared_ids_and_odd_columns(spark):
+    v, w = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
+    rows = [(1, v, 1, "x", 2, 3), (1, w, 1, "x", 2, 3), (2, [2.0, 0.0, 0.4], 1, "x", 2, 3), (3, [0.0, 3.0, 0.3], 1, "x", 2, 3), (3, [-0.0, 3.0, 0.3], 1, "x", 2, 3), (None, v, 1, "x", 2, 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string, same int, n int")
+    got = sorted(((r.row_id, r.n_links, r.component_id) for r in link_embeddings(table).collect()), key=str)
+    assert got == sorted([(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (3, 2, 1), (None, 0, None)], key=str)
+    many = spark.createDataFrame([(i, [float(i % 7 + 1)] * (i % 40 + 1), 1) for i in range(120)], "vec_id long, embedding array<double>, label int")
+    assert {(r.n_links, r.component_id) for r in link_embeddings(many).collect()} == {(2, i) for i in range(40)}  # more lengths than get pivots
+
+
 def test_queries_on_the_smallest_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in Q.op8_minhash_dedup(spark, data).collect()}
