@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import fresh, text_of, written
+from strandlake.llm._runtime import BROADCAST_ROWS, fresh, text_of, written
 from strandlake.llm._text import BLOCK, IS_SPACE, blocks, column_bytes, span_hashes, word_spans
 
 #: A boundary's hash is the largest within so many bytes on either side: chunks of WINDOW + 1 bytes at least, about twice that on average.
@@ -100,13 +100,24 @@ def _measured(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(words), np.concatenate(one), np.concatenate(two)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, h, text: a document is told by its id and the hash of its text."""
+def _shared_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """shared_id: the ids (null too) that stand for different texts; None if they are too many to be sent to every task."""
+    hashes = docs.select(F.col(id_col).alias("shared_id"), F.xxhash64(text_of(F.col(text_col))).alias("h"))
+    found = written(hashes.groupBy("shared_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("shared_id"))
+    return F.broadcast(found) if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else None
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, shared: DataFrame | None) -> DataFrame:
+    """doc_id, h, text: a document is told by its id and, where that stands for different texts, the hash of its text (else 0)."""
     text = text_of(F.col(text_col))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    if shared is None:
+        return rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    met = rows.join(shared.withColumn("again", F.lit(True)), F.col("doc_id").eqNullSafe(F.col("shared_id")), "left")
+    return met.select("doc_id", F.when(F.col("again"), F.xxhash64("text")).otherwise(0).cast("long").alias("h"), "text")
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def chunks(docs: DataFrame, id_col: str, text_col: str, shared: DataFrame | None = None) -> DataFrame:
     """doc_id, h, seq, start, stop (bytes), words, d1, d2: one row for each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,28 +146,46 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "h", "seq", "start", "stop", "words", "d1", "d2"])
 
     kind = dict(docs.dtypes)[id_col]
-    return _keyed(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, h long, seq int, start long, stop long, words int, d1 long, d2 long")
+    return _keyed(docs, id_col, text_col, shared).mapInArrow(run, f"doc_id {kind}, h long, seq int, start long, stop long, words int, d1 long, d2 long")
+
+
+def _surroundings(keyed: DataFrame, kind: str, passages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What stands around passages: (passages with lo, ro, last) and (doc_id, h, at, left, bytes) at their other places.
 
+    lo and ro are up to REACH bytes before and after a passage, last is the byte at its end; bytes
+    are those before (left) or after the outermost chunk's other place. The texts are read once:
+    each document meets the list of its own passages and of the places that others ask for.
+    """
+    own = passages.select("doc_id", "h", F.struct(*passages.columns[2:]).alias("own"), F.lit(None).cast("struct<at:bigint,left:boolean>").alias("place"))
+    asked = [passages.select(F.col(f"{s}_doc").alias("doc_id"), F.col(f"{s}_h").alias("h"), F.struct(F.col(f"{s}_at").alias("at"), F.lit(s == "l").alias("left")).alias("place")) for s in "lr"]
+    places = asked[0].union(asked[1]).distinct().select("doc_id", "h", F.lit(None).cast(own.schema["own"].dataType).alias("own"), "place")
+    lists = own.union(places).groupBy(F.col("doc_id").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_list("own").alias("owns"), F.collect_list("place").alias("places"))
+    rows = keyed.join(lists, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h"))).select("doc_id", "h", "text", "owns", "places")
 
-def _surroundings(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """doc_id, h, at, bytes: up to REACH bytes on both sides of each wanted (doc_id, h, at), with the number before `at`."""
-    # one row for each document and its places: a task holds the places of one text at a time
-    places = wanted.distinct().groupBy("doc_id", "h").agg(F.collect_list("at").alias("ats")).withColumnRenamed("doc_id", "_doc").withColumnRenamed("h", "_h")
-    rows = _keyed(docs, id_col, text_col).join(places, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h"))).select("doc_id", "h", "text", "ats")
+    kind_of_own = own.schema["own"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = column_bytes(batch.column(2))
-            for i, ats in enumerate(batch.column(3).to_pylist()):
-                text = data[offsets[i] : offsets[i + 1]]
-                before = [text[max(0, at - REACH) : at].tobytes() for at in ats]
-                after = [text[at : at + REACH].tobytes() for at in ats]
-                n = pa.array(np.full(len(ats), i))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(n), batch.column(1).take(n), pa.array(ats, pa.int64()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], ["doc_id", "h", "at", "before", "after"])
-
-    kind = dict(docs.dtypes)[id_col]
+            before, after = (lambda i, at: data[max(offsets[i], offsets[i] + at - REACH) : offsets[i] + at].tobytes()), (lambda i, at: data[offsets[i] + at : min(offsets[i + 1], offsets[i] + at + REACH)].tobytes())
+            for column, owned in ((3, True), (4, False)):
+                flat, of = batch.column(column).flatten(), np.repeat(np.arange(len(batch)), batch.column(column).value_lengths().to_numpy(zero_copy_only=False))
+                for at in range(0, len(flat), 4096):
+                    part, doc = flat.slice(at, 4096), of[at : at + 4096]
+                    place = lambda name: part.field(name).to_pylist()  # noqa: B023, E731
+                    null = lambda t: pa.nulls(len(doc), t)  # noqa: B023, E731
+                    if owned:
+                        ends = list(zip(doc, place("start"), place("stop")))
+                        made = [part, null(pa.int64()), null(pa.bool_()), [before(i, a) for i, a, _ in ends], [after(i, b) for i, _, b in ends], [before(i, b)[-1:] for i, _, b in ends]]
+                    else:
+                        made = [null(batch.column(3).type.value_type), part.field("at"), part.field("left"), [before(i, a) if left else after(i, a) for i, a, left in zip(doc, place("at"), place("left"))], null(pa.binary()), null(pa.binary())]
+                    rows = pa.array(doc)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *[pa.array(x, pa.binary()) if isinstance(x, list) else x for x in made]], ["doc_id", "h", "own", "at", "left", "one", "two", "last"])
+
+    found = written(rows.mapInArrow(run, f"doc_id {kind}, h long, own {kind_of_own}, at long, left boolean, one binary, two binary, last binary"))
     # repeated rows of one document give the same answer again
-    return rows.mapInArrow(run, f"doc_id {kind}, h long, at long, before binary, after binary").dropDuplicates(["doc_id", "h", "at"])
+    mine = found.where("own is not null").select("doc_id", "h", "own.*", F.col("one").alias("lo"), F.col("two").alias("ro"), "last").dropDuplicates(["doc_id", "h", "passage"])
+    return mine, found.where("at is not null").select("doc_id", "h", "at", "left", "one").dropDuplicates(["doc_id", "h", "at", "left"])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -167,7 +196,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def _carried_on(edges: DataFrame, kind: str) -> DataFrame:
-    """doc_id, h, passage, left, left_words, right, right_words: bytes that a passage goes on by, and the words that start there."""
+    """doc_id, h, passage, start, stop, words, left, left_words, right, right_words: bytes that a passage goes on by, and the words that start there."""
 
     def starts(text: bytes, first: int) -> int:
         """Words that start in text[first:]; the byte before tells whether one goes on."""
@@ -178,7 +207,7 @@ def _carried_on(edges: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.select([3, 4, 5, 6, 7, 8]).to_pydict()
+            rows = batch.select([6, 7, 8, 9, 10, 11]).to_pydict()
             out = []
             for lo, lp, ro, rp, room, last in zip(*rows.values()):
                 left = min(_common(lo[::-1], lp[::-1]), room)
@@ -187,9 +216,9 @@ def _carried_on(edges: DataFrame, kind: str) -> DataFrame:
                 from_ = max(0, len(lo) - left - 1)
                 out.append((left, starts(lo[from_:], len(lo) - left - from_) if left else 0, right, starts((last or b" ") + ro[:right], 1) if right else 0))
             cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, pa.int64()) for c in cols]], ["doc_id", "h", "passage", "left", "left_words", "right", "right_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], *[pa.array(c, pa.int64()) for c in cols]], ["doc_id", "h", "passage", "start", "stop", "words", "left", "left_words", "right", "right_words"])
 
-    return edges.mapInArrow(run, f"doc_id {kind}, h long, passage long, left long, left_words long, right long, right_words long")
+    return edges.mapInArrow(run, f"doc_id {kind}, h long, passage long, start long, stop long, words long, left long, left_words long, right long, right_words long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -202,21 +231,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text and position, and is removed at all others; a passage has one row for each stretch of
     chunks that are all kept or all removed, so whatever is removed here is kept in an earlier
     place. start and stop are bytes of the UTF-8 text, n_places the least number of rows among
-    the places of the stretch's chunks, first_doc_id the document of the first place of its first chunk.
+    the places of the stretch's chunks, first_doc_id the document of the first place of its first chunk. text_hash
+    is 0 but for ids that stand for several texts (where there are very many of these, for all ids).
 
     Rows of equal id (or without one) and equal text are one document. Null and empty texts have
     no chunks; documents without such a passage, and an empty table, give no row. A text of
     any length is read whole, with the boundaries it would have in one piece. A passage must
     hold one whole chunk: boundaries need WINDOW + MEMORY bytes of it before and WINDOW after.
     """
-    kind = dict(docs.dtypes)[id_col]
-    pieces = written(chunks(docs, id_col, text_col))
-    counted = written(pieces.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    marked = written(pieces.join(counted, ["d1", "d2"]))
+    kind, shared = dict(docs.dtypes)[id_col], _shared_ids(docs, id_col, text_col)
+    pieces = written(chunks(docs, id_col, text_col, shared))
+    # half of the digest is enough to set most chunks aside
+    counted = written(pieces.groupBy("d1").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("d1"))
+    marked = written(pieces.join(counted, "d1"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "start")
-    places = marked.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    places = marked.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")).where("first != last")
     hits = marked.join(written(places), ["d1", "d2"]).withColumn("kept", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "start").eqNullSafe(F.col("first")))
-    hits = hits.withColumn("other", F.when(F.col("kept"), F.col("last")).otherwise(F.col("first")))
+    other = F.when(F.col("kept"), F.col("last")).otherwise(F.col("first"))
+    hits = hits.select("doc_id", "h", "seq", "start", "stop", "words", "n", "kept", F.struct(other["doc_id"].alias("doc_id"), other["h"].alias("h"), other["start"].alias("start")).alias("other"))
     in_doc = Window.partitionBy("doc_id", "h").orderBy("seq")
     # a document that was given twice has each chunk twice: one of each is enough
     hits = hits.withColumn("again", F.coalesce(F.lag("seq").over(in_doc) == F.col("seq"), F.lit(False))).where("not again")
@@ -225,36 +257,26 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs = hits.withColumns({"gap": gap.cast("long"), "turn": turn.cast("long")}).withColumns({"passage": F.sum("gap").over(in_doc), "part": F.sum("turn").over(in_doc)})
     parts = runs.groupBy("doc_id", "h", "passage", "part").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").cast("long").alias("n_words"), F.min("n").cast("long").alias("n_places"), F.first("kept").alias("kept"),
-        F.min_by(F.struct("first", "other"), "seq").alias("l"), F.max_by(F.struct("other", (F.col("stop") - F.col("start")).alias("size")), "seq").alias("r"),
+        F.min_by("other", "seq").alias("l"), F.max_by(F.struct("other", (F.col("stop") - F.col("start")).alias("size")), "seq").alias("r"),
     )
     parts = written(parts)
-    whole = parts.groupBy("doc_id", "h", "passage").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n_words").alias("words"), F.min_by("l.other", "part").alias("l"), F.max_by("r", "part").alias("r"))
+    whole = parts.groupBy("doc_id", "h", "passage").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n_words").alias("words"), F.min_by("l", "part").alias("l"), F.max_by("r", "part").alias("r"))
     before = Window.partitionBy("doc_id", "h").orderBy("passage")
-    whole = whole.select("doc_id", "h", "passage", "start", "stop", "words", (F.col("start") - F.coalesce(F.lag("stop").over(before), F.lit(0))).alias("room"), F.col("l.doc_id").alias("l_doc"), F.col("l.h").alias("l_h"), F.col("l.start").alias("l_at"), F.col("r.other.doc_id").alias("r_doc"), F.col("r.other.h").alias("r_h"), (F.col("r.other.start") + F.col("r.size")).alias("r_at"))
-    whole = written(whole)
-    wanted = [whole.select("doc_id", "h", F.col(c).alias("at")) for c in ("start", "stop")] + [whole.select(F.col(f"{s}_doc").alias("doc_id"), F.col(f"{s}_h").alias("h"), F.col(f"{s}_at").alias("at")) for s in "lr"]
-    around = written(_surroundings(docs, id_col, text_col, wanted[0].union(wanted[1]).union(wanted[2]).union(wanted[3])))
-
-    def near(side: str, column: str, doc: str, h: str, at: str, last: bool = False) -> DataFrame:
-        cols = [F.col("doc_id").alias(f"{side}_d"), F.col("h").alias(f"{side}_k"), F.col("at").alias(f"{side}_a"), F.col(column).alias(side)]
-        if last:
-            cols.append(F.expr("right_byte").alias("last"))
-        return around.withColumn("right_byte", F.substring("before", -1, 1)).select(*cols), F.col(doc).eqNullSafe(F.col(f"{side}_d")) & (F.col(h) == F.col(f"{side}_k")) & (F.col(at) == F.col(f"{side}_a"))
-
-    edges = whole
-    for args in (("lo", "before", "doc_id", "h", "start"), ("lp", "before", "l_doc", "l_h", "l_at"), ("ro", "after", "doc_id", "h", "stop", True), ("rp", "after", "r_doc", "r_h", "r_at")):
-        edges = edges.join(*near(*args))
-    more = written(_carried_on(edges.select("doc_id", "h", "passage", "lo", "lp", "ro", "rp", "room", "last"), kind))
-    same = ["doc_id", "h", "passage"]
-    ends = whole.select(*same, F.col("start").alias("w_start"), F.col("stop").alias("w_stop"), "words").withColumnsRenamed({c: f"w_{c}" for c in same})
-    ends = ends.join(more, F.col("w_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("w_h") == F.col("h")) & (F.col("w_passage") == F.col("passage"))).drop(*same)
-    ends = ends.withColumn("passage_words", F.col("words") + F.col("left_words") + F.col("right_words")).where(F.col("passage_words") >= min_words)
+    room = F.col("start") - F.coalesce(F.lag("stop").over(before), F.lit(0))
+    whole = whole.select("doc_id", "h", "passage", "start", "stop", "words", room.alias("room"), F.col("l.doc_id").alias("l_doc"), F.col("l.h").alias("l_h"), F.col("l.start").alias("l_at"), F.col("r.other.doc_id").alias("r_doc"), F.col("r.other.h").alias("r_h"), (F.col("r.other.start") + F.col("r.size")).alias("r_at"))
+    edges, around = _surroundings(_keyed(docs, id_col, text_col, shared), kind, written(whole))
+    for side, name in (("l", "lp"), ("r", "rp")):
+        near = around.where(F.col("left") == (side == "l")).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("at").alias("_a"), F.col("one").alias(name))
+        edges = edges.join(near, F.col(f"{side}_doc").eqNullSafe(F.col("_d")) & (F.col(f"{side}_h") == F.col("_h")) & (F.col(f"{side}_at") == F.col("_a"))).drop("_d", "_h", "_a")
+    more = _carried_on(edges.select("doc_id", "h", "passage", "start", "stop", "words", "lo", "lp", "ro", "rp", "room", "last"), kind)
+    more = written(more.withColumn("passage_words", F.col("words") + F.col("left_words") + F.col("right_words")).where(F.col("passage_words") >= min_words))
+    ends = more.withColumnsRenamed({c: f"w_{c}" for c in ("doc_id", "h", "passage", "start", "stop")})
     out = parts.join(ends, F.col("w_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("w_h") == F.col("h")) & (F.col("w_passage") == F.col("passage")))
     on_left, on_right = F.col("start") == F.col("w_start"), F.col("stop") == F.col("w_stop")
     extra = lambda on, c: F.when(on, F.col(c)).otherwise(0)
     return out.select(
         "doc_id", F.col("h").alias("text_hash"), "passage", (F.col("start") - extra(on_left, "left")).alias("start"), (F.col("stop") + extra(on_right, "right")).alias("stop"),
-        (F.col("n_words") + extra(on_left, "left_words") + extra(on_right, "right_words")).alias("n_words"), "passage_words", "n_places", F.col("l.first.doc_id").alias("first_doc_id"), (~F.col("kept")).alias("removed"),
+        (F.col("n_words") + extra(on_left, "left_words") + extra(on_right, "right_words")).alias("n_words"), "passage_words", "n_places", F.when(F.col("kept"), F.col("doc_id")).otherwise(F.col("l.doc_id")).alias("first_doc_id"), (~F.col("kept")).alias("removed"),
     )
 
 
@@ -282,7 +304,8 @@ def remove_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
     """
     names = {c: fresh(docs, c) for c in ("spans_", "doc_", "hash_")}
     spans = passages.where("removed").groupBy(F.col("doc_id").alias(names["doc_"]), F.col("text_hash").alias(names["hash_"])).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias(names["spans_"]))
-    mine = docs[id_col].eqNullSafe(spans[names["doc_"]]) & (F.xxhash64(text_of(docs[text_col])) == spans[names["hash_"]])
+    of_text = spans[names["hash_"]]
+    mine = docs[id_col].eqNullSafe(spans[names["doc_"]]) & ((of_text == 0) | (F.xxhash64(text_of(docs[text_col])) == of_text))
     joined = docs.join(spans, mine, "left").select(*[docs[c] for c in docs.columns], spans[names["spans_"]])
     where = docs.columns.index(text_col)
 
