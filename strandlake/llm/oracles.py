@@ -88,3 +88,20 @@ FROM v LEFT JOIN r ON r.x = v.vec_id
 """
 
 SQL |= {"op7_embedding_dedup": OP7}
+
+OP8 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM s GROUP BY doc_id),
+r AS (SELECT k, min(doc_id) AS node, any_value(n) AS n FROM n GROUP BY k),
+t AS (SELECT r.node, r.n, s.s FROM r JOIN s ON s.doc_id = r.node),
+p AS (SELECT a.node AS x, b.node AS y FROM t a JOIN t b ON a.s = b.s AND a.node < b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+l AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+c(x, y) AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x),
+m AS (SELECT x, least(x, min(y)) AS name FROM c GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.name, r.node, w.doc_id) AS component_id, w.doc_id = coalesce(m.name, r.node, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.k = n.k LEFT JOIN m ON m.x = r.node
+"""
+
+SQL |= {"op8_minhash_dedup": OP8}

@@ -12,6 +12,7 @@ ranges, cut where the bytes reach the next multiple of the shard's share.
 from __future__ import annotations
 
 import json
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,6 @@ RANGES = 1024
 OVERSAMPLE = 12
 #: A range with more than this many shares is subdivided.
 OVERFULL = 2.0
-MAX_ROUNDS = 6
 
 
 def _splitters(sample: DataFrame, pieces: Column) -> DataFrame:
@@ -62,8 +62,9 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     may differ from an equal share by what one range on either end holds: about
     1 / ranges of the whole, or one document where that is larger. `slot` numbers a
     shard's documents from 0 in key order. grown_shard is null under this law. Copies of a
-    text lie in one shard or in neighbouring ones, at any number of copies. Rows that repeat
-    an id and text have equal keys and lie in one range; their slots differ. An empty table
+    text lie in one shard or in neighbouring ones, at any number of copies. Ties: rows that repeat
+    an id and text have equal keys and lie in one range, which nothing can part; their slots differ.
+    Other columns are ignored. An empty table
     gives an empty result.
     """
     text = text_of(F.col(text_col))
@@ -84,19 +85,19 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     mass_of = lambda rate: F.greatest(F.lit(1.0), F.col("size") * rate)
     sample = keyed.where(draw < F.col("size") * (OVERSAMPLE / share)).select(F.lit(0).alias("range"), "k1", "k2", mass_of(OVERSAMPLE / share).alias("mass"))
     keys = sorted({(r.k1, r.k2) for r in _splitters(sample, F.lit(float(ranges))).collect()})
-    for round_ in range(MAX_ROUNDS):
+    for round_ in count():
         ranged = keyed.withColumn("range", _range_of(keys))
         measured = ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2")).alias("least"), F.max(F.struct("k1", "k2")).alias("most"))
         measured = measured.collect()  # one row a range: at most a few times `ranges`
         overfull = {r["range"]: r.bytes for r in measured if r.bytes > OVERFULL * share and r.least != r.most}
-        if not overfull or round_ == MAX_ROUNDS - 1 or len(keys) > 8 * ranges:
+        if not overfull:
             break
         pieces = F.create_map(*[x for k, b in overfull.items() for x in (F.lit(k), F.lit(float(-(-b // share) + 1)))])
-        rate = OVERSAMPLE / share * 2.0 ** round_
+        rate = OVERSAMPLE / share * 2.0 ** min(round_, 60)
         inside = ranged.where(F.col("range").isin(list(overfull)))
         drawn = inside.where(draw < F.col("size") * rate).select("range", "k1", "k2", mass_of(rate).alias("mass"))
         more = {(r.k1, r.k2) for r in _splitters(drawn.withColumn("pieces", pieces[F.col("range")]), F.col("pieces")).collect()}
-        # a key at either end of a full range parts it from the rest, should the sample hold none
+        # the least key of a full range parts it from the rest, should the sample hold none: each round gets on
         more |= {(r.least.k1, r.least.k2) for r in measured if r["range"] in overfull}
         if more <= set(keys):
             break
