@@ -48,6 +48,11 @@ def merge_counts(parts: DataFrame, analyzed: DataFrame | None = None, run: str =
     return merged if analyzed is None else add_rpkm(merged, analyzed)
 
 
+def capped(rows: DataFrame, most: float, value: str = "count") -> DataFrame:
+    """Rows whose value is not null and at most `most`, as for a plot."""
+    return rows.where(F.col(value) <= most)
+
+
 def class_shares(reads: DataFrame, analyzed: DataFrame) -> DataFrame:
     """feature_class, reads, percent from reads by set (feature_set, nbreads): shares of the analyzed reads; introns are genes without exons."""
     n = lambda kind: F.coalesce(F.sum(F.when(F.col("feature_set") == kind, F.col("nbreads"))), F.lit(0))

@@ -154,13 +154,19 @@ def first_chunks(df: DataFrame, chunk_size: int, most: int, record: str = "recor
     return df.where(F.col(record) < chunk_size * most)
 
 
-def per_cycle(df: DataFrame, offset: int = 33) -> DataFrame:
-    """cycle, n, mean_quality, A, C, G, T: base counts and quality by position of the first mate."""
-    at = df.select(F.posexplode(F.split("seq1", "")).alias("p", "base"), "qual1").where("base != ''")
-    at = at.select((F.col("p") + 1).alias("cycle"), "base", (F.ascii(F.substr("qual1", F.col("p") + 1, F.lit(1))) - offset).alias("q"))
+def per_cycle(df: DataFrame, offset: int = 33, mate: int = 1) -> DataFrame:
+    """cycle, n, mean_quality, A, C, G, T: base counts and quality by position of a mate."""
+    at = df.select(F.posexplode(F.split(f"seq{mate}", "")).alias("p", "base"), F.col(f"qual{mate}").alias("qual")).where("base != ''")
+    at = at.select((F.col("p") + 1).alias("cycle"), "base", (F.ascii(F.substr("qual", F.col("p") + 1, F.lit(1))) - offset).alias("q"))
     return at.groupBy("cycle").agg(F.count(F.lit(1)).alias("n"), F.avg("q").alias("mean_quality"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGT"])
 
 
+def top_sequences(df: DataFrame, n: int = 20, mate: int = 1) -> DataFrame:
+    """seq, reads: the n commonest sequences of a mate, ties in order of the sequence."""
+    counted = df.where(F.length(f"seq{mate}") > 0).groupBy(F.col(f"seq{mate}").alias("seq")).agg(F.count(F.lit(1)).alias("reads"))
+    return counted.orderBy(F.col("reads").desc(), "seq").limit(n)
+
+
 def first_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of the least `order` for each key; rows are reduced on the map side, so a hot key is no hot task."""
     rest = [c for c in df.columns if c not in keys]

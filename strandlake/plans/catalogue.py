@@ -182,6 +182,20 @@ def per_cycle_qa(spark, d):
     return P.per_cycle(views.reads(spark, d))
 
 
+@query("per_cycle_qa_mates", "reads", """,
+m AS (SELECT 1 AS mate, seq1 AS s, qual1 AS q FROM reads UNION ALL SELECT 2, seq2, qual2 FROM reads),
+c AS (SELECT mate, i AS cycle, s[i] AS base, ascii(q[i]) - 33 AS q FROM (SELECT mate, s, q, unnest(generate_series(1, length(s)))::INT AS i FROM m))
+SELECT mate, cycle, count(*) AS n, round(avg(q), 6) AS mean_quality, count(*) FILTER (base = 'A') AS "A", count(*) FILTER (base = 'C') AS "C", count(*) FILTER (base = 'G') AS "G", count(*) FILTER (base = 'T') AS "T" FROM c GROUP BY mate, cycle""")
+def per_cycle_qa_mates(spark, d):
+    one, two = (P.per_cycle(views.reads(spark, d), mate=m).withColumn("mate", F.lit(m)) for m in (1, 2))
+    return one.unionByName(two).withColumn("mean_quality", F.round("mean_quality", 6))
+
+
+@query("top_sequences", "reads", "SELECT seq1 AS seq, count(*) AS reads FROM reads WHERE length(seq1) > 0 GROUP BY seq1 ORDER BY reads DESC, seq LIMIT 50")
+def top_sequences(spark, d):
+    return P.top_sequences(views.reads(spark, d), 50)
+
+
 # -------------------------------------------------------------- alignments
 
 
@@ -331,6 +345,15 @@ def merge_counts(spark, d):
     return C.merge_counts(_counts_by_run(spark, d), analyzed).select("feature_set", "name", "count", "width", F.round("rpkm", 6).alias("rpkm"))
 
 
+@query("counts_side_by_side", "alignments features", f""",\n{_HITS.replace('f.feature_set, f.name, b.groupid', 'f.feature_set, f.name, b.groupid, b.run')},
+l AS (SELECT f.name, r.run, count(h.groupid) AS n FROM features f CROSS JOIN (SELECT 'lane0' AS run UNION ALL SELECT 'lane1') r LEFT JOIN hits h ON h.feature_set = f.feature_set AND h.name = f.name AND h.run = r.run GROUP BY f.name, r.run)
+SELECT a.name, p.p_name AS symbol, a.n AS count_1, b.n AS count_2 FROM l a JOIN l b ON a.name = b.name AND a.run = 'lane0' AND b.run = 'lane1' LEFT JOIN part p ON p.p_partkey::VARCHAR = a.name""")
+def counts_side_by_side(spark, d):
+    counts = _counts_by_run(spark, d)
+    symbols = views.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("name"), F.col("p_name").alias("symbol"))
+    return C.side_by_side(counts.where("run = 'lane0'"), counts.where("run = 'lane1'"), symbols)
+
+
 @query("summary_counts", "alignments features", f""",\n{_COUNTS}
 SELECT 'counts_' || feature_set || '_nbfeatures' AS name, count(*) FILTER ("count" > 0) AS value FROM counts GROUP BY feature_set
 UNION ALL SELECT 'counts_' || feature_set || '_nbreads', count(DISTINCT groupid) FROM hits GROUP BY feature_set""")

@@ -3,7 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators.align import best_hits, categories
+from strandlake.operators.align import best_hits, categories, contaminated_ids
 from strandlake.sources import config, files
 from strandlake.streaming.lanes import merged, summarise_arriving
 
@@ -106,6 +106,17 @@ def test_settings(tmp_path):
     assert config.unknown(got, {"a": "", "b": ""}) == ["flag", "list", "template_config"]
 
 
+def test_faults_of_settings():
+    good = {"num_cores": "4", "paired_ends": "TRUE", "input_file": "a", "input_file2": "b", "trimReads.do": "FALSE", "trimReads.trim5": "0", "filterQuality.minFrac": "0.7", "analyzeVariants.callingFilters": "nonRef, readCount"}
+    known = ("nonRef", "readCount")
+    assert config.faults(good, known) == []
+    bad = [
+        {"num_cores": "0"}, {"filterQuality.minFrac": "1.5"}, {"filterQuality.minQuality": "x"}, {"overwrite_save_dir": "maybe"}, {"paired_ends": "yes"}, {"input_file2": ""}, {"input_file2": "a"}, {"save_dir": "a b"},
+        {"trimReads.do": "TRUE"}, {"trimReads.length": "50"}, {"coverage.fragmentLength": "100"}, {"analyzeVariants.callingFilters": "other"}, {"paired_ends": "FALSE"},
+    ]
+    assert all(config.faults(good | b, known) for b in bad)
+
+
 def test_lanes_that_arrive_add_up(spark, tmp_path):
     for i in range(2):
         spark.range(10 * (i + 1)).withColumn("run", F.lit(i)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
@@ -125,5 +136,11 @@ def test_reads_find_their_place(spark):
     refs = spark.createDataFrame([("x", ref)], "chrom string, ref string")
     h1, h2 = (best_hits(spark.createDataFrame(x, "id string, seq string"), refs) for x in (one, two))
     assert h1.where("id = 'p'").select("pos", "strand", "nm").first() == (101, "+", 0)
+    pairs = spark.createDataFrame([(f"{a}/1", x, y) for (a, x), (_, y) in zip(one, two)], "id string, seq1 string, seq2 string")
+    assert {r.id for r in contaminated_ids(pairs, refs).collect()} == {"p", "q"}
+    long = "".join(rnd.choice("ACGT") for _ in range(9000))
+    far = [(str(p), long[p : p + 50]) for p in (0, 4070, 4090, 8180, 8950)]  # over the edges of tiles
+    placed = best_hits(spark.createDataFrame(far, "id string, seq string"), spark.createDataFrame([("y", long)], "chrom string, ref string"))
+    assert {(r.id, r.pos, r.nm) for r in placed.collect()} == {(str(p), p + 1, 0) for p in (0, 4070, 4090, 8180, 8950)}
     ids = spark.createDataFrame([(x,) for x in "pqr"], "id string")
     assert {r.id: r.category for r in categories(h1, h2, ids, 40).collect()} == {"p": "concordant_uniq", "q": "halfmapping_uniq", "r": "nomapping"}
