@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import small_side, written
+from strandlake.llm._runtime import BROADCAST_ROWS, small_side, written
 from strandlake.llm._text import LOWER, blocks, column_bytes
 
 BINS = 1 << 13
@@ -44,7 +44,9 @@ def _bins(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def train_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """The languages in code point order and log probabilities, BINS rows of one column each.
 
-    Counts cover every document with a language. More than MAX_LANGUAGES is an error.
+    Counts cover every document with a language, rows that repeat an id each; rows without a
+    language are left out, null and empty texts add nothing. More than MAX_LANGUAGES is an error;
+    an empty table gives no languages.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +148,8 @@ def identify_languages(docs: DataFrame, languages: list[str], model: np.ndarray,
     sums = F.array(*[F.lit(float(n) + 1.0) for n in whole])
     by_declared = by_declared.select("declared", F.zip_with("n", sums, lambda c, t: F.log((c + 1.0 / k) / t)).alias("declares"))
     joined = rows.withColumn("_suffix", F.coalesce("suffix", F.lit("")))
-    joined = joined.join(small_side(by_declared), "declared", "left").join(small_side(by_suffix), "suffix", "left").join(small_side(by_host), ["host", "_suffix"], "left")
+    few = BROADCAST_ROWS * 100 // (60 + 8 * k)  # rows hold k numbers
+    joined = joined.join(small_side(by_declared, few), "declared", "left").join(small_side(by_suffix, few), "suffix", "left").join(small_side(by_host, few), ["host", "_suffix"], "left")
     prior = F.transform(F.coalesce("host_prior", "suffix_prior", corpus), lambda p: F.log(p))
     nothing = F.array(*[F.lit(0.0)] * k)
     log = F.zip_with(F.zip_with("likelihoods", prior, lambda a, b: a + b), F.coalesce("declares", nothing), lambda a, b: a + b)
