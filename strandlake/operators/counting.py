@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.operators.intervals import running, left_side, merge_adjacent, overlap_join, right_side
+from strandlake.operators.intervals import left_side, merge_adjacent, overlap_join, right_side, running
 
 
 def feature_hits(features: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -20,10 +20,41 @@ def feature_widths(features: DataFrame) -> DataFrame:
     return merged.groupBy("feature_set", "name").agg(F.sum(F.col("end") - F.col("start") + 1).cast("long").alias("width"))
 
 
+def _at_least_one(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
+    """feature_set, name, count: reads that overlap each range, for features of one range; those without reads may be missing.
+
+    Blocks that overlap a range are those that start up to its end, less those that end before its
+    start: two running sums, looked up at the ends of ranges. Of a read's blocks, sorted and apart,
+    a range overlaps neighbours; so a read counts once if each neighbouring pair that the range
+    overlaps takes one away. Only such pairs meet ranges in a join.
+    """
+    of_read = Window.partitionBy("groupid", "chrom").orderBy("start", "end")
+    reach = F.max("end").over(of_read.rowsBetween(Window.unboundedPreceding, -1))
+    islands = blocks.select("groupid", "chrom", "start", "end", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int").alias("new")).withColumn("island", F.sum("new").over(of_read))
+    apart = islands.groupBy("groupid", "chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    apart = apart.withColumn("following", F.lead("start").over(Window.partitionBy("groupid", "chrom").orderBy("start")))
+    event = lambda df, at, s, e: df.select("chrom", F.col(at).cast("long").alias("at"), F.lit(s).alias("starts"), F.lit(e).alias("ends"))
+    ends = ranges.select("chrom", F.col("end").cast("long").alias("end"), (F.col("start") - 1).cast("long").alias("before"))
+    events = event(apart, "start", 1, 0).union(event(apart, "end", 0, 1)).union(event(ends, "end", 0, 0)).union(event(ends, "before", 0, 0))
+    sums = running(events.groupBy("chrom", "at").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends")), ["chrom"], ["starts", "ends"])
+    upto = sums.select("chrom", F.col("at").alias("_end"), F.col("sum_starts").alias("_started"))
+    past = sums.select("chrom", F.col("at").alias("_before"), F.col("sum_ends").alias("_ended"))
+    met = ranges.withColumns({"_end": F.col("end").cast("long"), "_before": (F.col("start") - 1).cast("long")}).join(upto, ["chrom", "_end"]).join(past, ["chrom", "_before"])
+    hit = met.select("feature_set", "name", (F.col("_started") - F.col("_ended")).alias("count"))
+    pairs = apart.where("following is not null").select("chrom", F.col("end").alias("l_start"), F.col("end").alias("l_end"), "following")
+    twice = overlap_join(pairs, right_side(ranges)).where(F.col("following") <= F.col("r_end")).groupBy("feature_set", "name").agg((-F.count(F.lit(1))).alias("count"))
+    return hit.unionByName(twice).groupBy("feature_set", "name").agg(F.sum("count").alias("count"))
+
+
 def count_features(features: DataFrame, blocks: DataFrame) -> DataFrame:
-    """feature_set, name, count, width: features without reads have 0."""
-    counts = feature_hits(features, blocks).groupBy("feature_set", "name").agg(F.count(F.lit(1)).alias("count"))
-    return feature_widths(features).join(counts, ["feature_set", "name"], "left").select("feature_set", "name", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "width")
+    """feature_set, name, count, width: reads (groupid) that overlap each feature, strands ignored; features without reads have 0."""
+    rows = features.select("feature_set", "name", "chrom", "start", "end")
+    key = ["feature_set", "name"]
+    shape = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("chrom").alias("chrom"), F.min("start").alias("start"), F.min("end").alias("end"))
+    one = _at_least_one(shape.where("_n = 1").drop("_n"), blocks)
+    several = feature_hits(rows.join(shape.where("_n > 1").select(*key), key, "left_semi"), blocks).groupBy(*key).agg(F.count(F.lit(1)).alias("count"))
+    counts = one.unionByName(several)
+    return feature_widths(features).join(counts, key, "left").select(*key, F.coalesce("count", F.lit(0)).cast("long").alias("count"), "width")
 
 
 def reads_by_set(features: DataFrame, blocks: DataFrame) -> DataFrame:

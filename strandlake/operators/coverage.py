@@ -43,6 +43,15 @@ def coverage_statistics(runs: DataFrame, lengths: DataFrame) -> DataFrame:
     return both.select("chrom", ratio("bases", "length").alias("mean"), *[ratio(c, "length").alias(c) for c in ("ge1", "ge2", "ge5")])
 
 
+def coverage_summary(statistics: DataFrame, fragment_length: DataFrame | None = None) -> DataFrame:
+    """name, value: the statistics of every chromosome as `chrom.statistic`, and estimated.fragmentLength, null where none was estimated."""
+    rows = F.array(*[F.struct(F.concat_ws(".", "chrom", F.lit(c)).alias("name"), F.col(c).cast("double").alias("value")) for c in ("mean", "ge1", "ge2", "ge5")])
+    out = statistics.select(F.inline(rows))
+    length = F.lit(None).cast("double") if fragment_length is None else F.col("fragment_length").cast("double")
+    source = statistics.sparkSession.range(1) if fragment_length is None else fragment_length
+    return out.unionByName(source.select(F.lit("estimated.fragmentLength").alias("name"), length.alias("value")))
+
+
 def merge_runs(parts: DataFrame) -> DataFrame:
     """The runs of several lanes added up."""
     return sweep(parts, ["chrom"], {"depth": F.col("depth")})

@@ -164,6 +164,16 @@ def neighbour_filter(calls: DataFrame, reach: int = 50, most: int = 20, whitelis
     return marked.join(known, ["chrom", "pos", "alt"], "left").where((F.col("_n") <= most) | F.col("_known")).drop("_n", "_known")
 
 
+#: Post-filters by name; each takes calls and a whitelist of sites (or None).
+POST_FILTERS = {"avgNborCount": lambda calls, whitelist: neighbour_filter(calls, whitelist=whitelist)}
+
+
+def post_filter(calls: DataFrame, filters: tuple[str, ...] = (), whitelist=None) -> DataFrame:
+    """Calls that pass the named filters; `whitelist` is a function that reads the known sites, called only if a filter is named."""
+    known = whitelist() if filters and whitelist else None
+    return reduce(lambda df, name: POST_FILTERS[name](df, known), filters, calls)
+
+
 def genotypes(calls: DataFrame, error: float = 0.001) -> DataFrame:
     """calls with gt, pl (0/0, 0/1, 1/1) and gq, from binomial likelihoods of the two depths."""
     k, n = F.col("alt_depth"), F.col("alt_depth") + F.col("ref_depth")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
+from strandlake.operators import align as A
 from strandlake.operators import counting as C
 from strandlake.operators import coverage as V
 from strandlake.operators import features as G
@@ -45,6 +46,10 @@ def oracle_sql() -> dict[str, str]:
     return {k: sql for k, (_, sql) in _FOUND.items()}
 
 
+_TALLY = "tal AS (SELECT chrom, pos, ref, alt, sum(nalt)::BIGINT AS alt_depth, sum(nref)::BIGINT AS ref_depth, count(*) AS records FROM variants GROUP BY chrom, pos, ref, alt)"
+_CALLS = f"{_TALLY},\ncalls AS (SELECT * FROM tal WHERE alt <> ref AND ref <> 'N' AND alt_depth >= 2 AND alt_depth * ln(0.2) + ref_depth * ln(0.8) > alt_depth * ln(0.001) + ref_depth * ln(0.999))"
+
+
 # ------------------------------------------------------------------- reads
 
 
@@ -279,6 +284,29 @@ def sanity_check(spark, d):
     return a.withColumns({"complete": F.col("unique_records") + F.col("multiple_records") == F.col("processed"), "mostly_unique": F.col("unique_records") > F.col("multiple_records")})
 
 
+@query("align_reads", "mask", """,
+p AS (SELECT p_partkey::VARCHAR AS id, p_partkey % 10 AS k, 'chr' || (p_partkey % 5) AS chrom, ((p_partkey * 37) % 19000 + 1)::INT AS pos FROM part)
+SELECT 1 AS mate, id, chrom, pos, '+' AS strand, 0 AS nm, 1::BIGINT AS hits FROM p WHERE k <> 1 UNION ALL SELECT 2, id, chrom, pos + 200, '-', 0, 1 FROM p WHERE k > 1""")
+def align_reads(spark, d):
+    pairs, references = views.placed_pairs(spark, d), views.sequences(spark)
+    one, two = (A.best_hits(pairs.select("id", F.col(f"seq{m}").alias("seq")), references).withColumn("mate", F.lit(m)) for m in (1, 2))
+    return one.unionByName(two).select("mate", "id", "chrom", F.col("pos").cast("int").alias("pos"), "strand", F.col("nm").cast("int").alias("nm"), "hits")
+
+
+@query("align_categories", "mask", """
+SELECT p_partkey::VARCHAR AS id, CASE WHEN p_partkey % 10 = 1 THEN 'nomapping' WHEN p_partkey % 10 = 0 THEN 'halfmapping_uniq' ELSE 'concordant_uniq' END AS category FROM part""")
+def align_categories(spark, d):
+    pairs, references = views.placed_pairs(spark, d), views.sequences(spark)
+    one, two = (A.best_hits(pairs.select("id", F.col(f"seq{m}").alias("seq")), references) for m in (1, 2))
+    return A.categories(one, two, pairs.select("id"), 40)
+
+
+@query("contaminated_ids", "mask", "SELECT p_partkey::VARCHAR AS id FROM part WHERE p_partkey % 10 <> 1 AND p_partkey % 5 = 2")
+def contaminated_ids(spark, d):
+    named = views.placed_pairs(spark, d).withColumn("id", F.concat("id", F.lit("/1")))
+    return A.contaminated_ids(named, views.sequences(spark).where("chrom = 'chr2'"))
+
+
 # ----------------------------------------------------------------- counts
 
 _HITS = """hits AS (SELECT DISTINCT f.feature_set, f.name, b.groupid FROM features f JOIN blocks b ON f.chrom = b.chrom AND f.start <= b."end" AND b.start <= f."end")"""
@@ -385,6 +413,27 @@ def coverage_stats(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "ge1", "ge2", "ge5")})
 
 
+@query("coverage_summary", "alignments", f""",\n{LENGTHS_SQL},\n{_runs_sql('blocks')},
+s AS (SELECT chrom, sum(depth * ("end" - start + 1)) AS b, sum("end" - start + 1) FILTER (depth >= 1) AS g1, coalesce(sum("end" - start + 1) FILTER (depth >= 2), 0) AS g2, coalesce(sum("end" - start + 1) FILTER (depth >= 5), 0) AS g5 FROM runs GROUP BY chrom),
+t AS (SELECT chrom, length, b, g1, g2, g5 FROM lengths JOIN s USING (chrom)), u AS (SELECT * FROM t UNION ALL SELECT 'genome', sum(length), sum(b), sum(g1), sum(g2), sum(g5) FROM t),
+e AS (SELECT chrom, count(*) AS n, round(avg(width)) AS length FROM alignments GROUP BY chrom)
+SELECT chrom || '.' || unnest(['mean', 'ge1', 'ge2', 'ge5']) AS name, round(unnest([b, g1, g2, g5]) / length, 6)::DOUBLE AS value FROM u
+UNION ALL SELECT 'estimated.fragmentLength', round(sum(length * n) / sum(n))::DOUBLE FROM e""")
+def coverage_summary(spark, d):
+    lengths = views.alignments(spark, d).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("width")).alias("length"))
+    out = V.coverage_summary(V.coverage_statistics(V.coverage_runs(views.blocks(spark, d)), _lengths(spark)), V.weighted_fragment_length(lengths))
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query("post_filters", "variants mask", f""",\n{_CALLS},
+n AS (SELECT *, count(*) OVER (PARTITION BY chrom ORDER BY pos RANGE BETWEEN 50 PRECEDING AND 50 FOLLOWING) - 1 AS n FROM calls),
+known AS (SELECT DISTINCT v.chrom, v.pos, v.alt FROM variants v JOIN mask m ON m.chrom = v.chrom AND v.pos BETWEEN m.start AND m."end")
+SELECT chrom, pos, ref, alt, alt_depth FROM n WHERE n <= 20 OR EXISTS (SELECT 1 FROM known k WHERE k.chrom = n.chrom AND k.pos = n.pos AND k.alt = n.alt)""")
+def post_filters(spark, d):
+    v = views.variants(spark, d)
+    return S.post_filter(S.call_variants(S.tally(v)), ("avgNborCount",), lambda: S.inside(v, views.mask(spark, d))).select("chrom", "pos", "ref", "alt", "alt_depth")
+
+
 @query("coverage_extended_pairs", "alignments", f""",
 p AS (SELECT groupid, chrom, min(start) AS start, max("end") AS "end" FROM blocks GROUP BY groupid, chrom), q AS (SELECT * FROM p WHERE "end" - start + 1 < 5000),
 {_runs_sql('q')} SELECT * FROM runs""")
@@ -603,17 +652,11 @@ def snv_quantiles(spark, d):
     return S.variant_quantiles(views.variants(spark, d)).withColumns({c: F.round(c, 6) for c in ("nalt", "fraction")})
 
 
-_TALLY = "tal AS (SELECT chrom, pos, ref, alt, sum(nalt)::BIGINT AS alt_depth, sum(nref)::BIGINT AS ref_depth, count(*) AS records FROM variants GROUP BY chrom, pos, ref, alt)"
-
-
 @query("pileup_tally", "variants", f",\n{_TALLY} SELECT * FROM tal")
 def pileup_tally(spark, d):
     return S.tally(views.variants(spark, d))
 
 
-_CALLS = f"{_TALLY},\ncalls AS (SELECT * FROM tal WHERE alt <> ref AND ref <> 'N' AND alt_depth >= 2 AND alt_depth * ln(0.2) + ref_depth * ln(0.8) > alt_depth * ln(0.001) + ref_depth * ln(0.999))"
-
-
 @query("calling_filters", "variants", f",\n{_CALLS} SELECT * FROM calls")
 def calling_filters(spark, d):
     return S.call_variants(S.tally(views.variants(spark, d)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.functions.reads import reverse_complement
 from strandlake.operators.coverage import aligned_blocks
 
 #: Length of each of the five chromosomes.
@@ -73,6 +74,21 @@ def reference(spark: SparkSession) -> DataFrame:
     return places.withColumn("ref", F.translate(F.substring(F.md5(F.concat_ws(":", "chrom", F.col("pos").cast("string"))), 1, 1), _HEX, _TO_BASES))
 
 
+def sequences(spark: SparkSession) -> DataFrame:
+    """chrom, ref: the reference's chromosomes as one text each."""
+    rows = reference(spark).groupBy("chrom").agg(F.sort_array(F.collect_list(F.struct("pos", "ref"))).alias("b"))
+    return rows.select("chrom", F.array_join(F.col("b.ref"), "").alias("ref"))
+
+
+def placed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, seq1, seq2: for each part two mates of 40 bases from its place on the reference and from 200 bases on, some of them blank."""
+    at, key = (F.col("p_partkey") * 37) % 19_000 + 1, F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), at.cast("int").alias("at"), (key % 10).alias("k"))
+    met = parts.join(sequences(spark), "chrom")
+    none = F.repeat(F.lit("N"), F.lit(40))
+    return met.select("id", F.when(F.col("k") == 1, none).otherwise(F.substr("ref", F.col("at"), F.lit(40))).alias("seq1"), F.when(F.col("k") <= 1, none).otherwise(reverse_complement(F.substr("ref", F.col("at") + 200, F.lit(40)))).alias("seq2"))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """feature_set, name, chrom, start, end, strand."""
     start = ((F.col("p_partkey") * 37) % 20000 + 1).cast("int")

@@ -111,3 +111,18 @@ def test_neighbours_across_tiles_and_known_sites(spark):
     assert [r.pos for r in S.neighbour_filter(calls, 50, 20).collect()] == [5]
     known = table(spark, [("x", edge, "G")], "chrom string, pos int, alt string")
     assert sorted(r.pos for r in S.neighbour_filter(calls, 50, 20, known).collect()) == [5, edge]
+
+
+def test_reads_are_counted_once_for_each_feature(spark):
+    import random
+
+    rnd = random.Random(6)
+    blocks = [(rnd.randint(0, 40), f"c{rnd.randint(0, 1)}", s := rnd.randint(1, 400), s + rnd.randint(0, 30)) for _ in range(200)]
+    ranges = [("one", str(i), f"c{i % 2}", s := rnd.randint(1, 400), s + rnd.choice([0, 5, 80, 20_000])) for i in range(60)]
+    ranges += [("many", str(i % 7), f"c{rnd.randint(0, 1)}", s := rnd.randint(1, 400), s + 20) for i in range(30)]
+    want = {}
+    for kind, name, chrom, start, end in ranges:
+        hit = {g for g, c, s, e in blocks if c == chrom and s <= end and e >= start}
+        want[kind, name] = want.get((kind, name), set()) | hit
+    got = C.count_features(table(spark, ranges, "feature_set string, name string, chrom string, start int, end int"), table(spark, blocks, "groupid long, chrom string, start int, end int"))
+    assert {(r.feature_set, r.name): r["count"] for r in got.collect()} == {k: len(v) for k, v in want.items()}
