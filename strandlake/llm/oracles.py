@@ -105,3 +105,40 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.k = n.k LEFT JOIN m O
 """
 
 SQL |= {"op8_minhash_dedup": OP8}
+
+OP2 = r"""
+WITH hexed AS (SELECT doc_id, lang, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS h FROM documents),
+bytes AS (SELECT doc_id, lang, generate_subscripts(h, 1) AS i, ('0x' || unnest(h))::BIGINT AS v FROM hexed),
+low AS (SELECT doc_id, lang, i, CASE WHEN v BETWEEN 65 AND 90 THEN v + 32 ELSE v END AS v FROM bytes),
+three AS (SELECT doc_id, lang, v AS a, lead(v) OVER w AS b, lead(v, 2) OVER w AS c FROM low WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+grams AS (SELECT doc_id, lang, ((a * 2654435761 + b * 2246822519 + c * 3266489917) & 4294967295) >> 19 AS bin FROM three WHERE c IS NOT NULL AND (b BETWEEN 97 AND 122 OR b >= 128)),
+counts AS (SELECT lang, bin, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY lang, bin),
+langs AS (SELECT l.lang, coalesce(sum(n), 0) + 4096.0::DOUBLE AS total FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL) l LEFT JOIN counts USING (lang) GROUP BY l.lang),
+each AS (SELECT doc_id, bin, count(*) AS k FROM grams GROUP BY doc_id, bin),
+said AS (SELECT e.doc_id, l.lang, sum(k) AS grams, sum(k * ln((coalesce(c.n, 0) + 0.5::DOUBLE) / l.total)::FLOAT::DOUBLE) AS s FROM each e CROSS JOIN langs l LEFT JOIN counts c ON c.lang = l.lang AND c.bin = e.bin GROUP BY e.doc_id, l.lang),
+likely AS (SELECT d.doc_id, l.lang, coalesce(grams, 0) AS grams, coalesce(s, 0) * (least(coalesce(grams, 0), 60) / greatest(coalesce(grams, 0), 1)::DOUBLE) AS s FROM documents d CROSS JOIN langs l LEFT JOIN said t ON t.doc_id = d.doc_id AND t.lang = l.lang),
+best AS (SELECT doc_id, arg_min(lang, (-s, lang)) AS look, max(s) AS top, any_value(grams) AS grams FROM likely GROUP BY doc_id),
+page AS (SELECT page_id, try_cast(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/(?:[^?#]*/)?(\d{1,18})(?:\.[a-z]+)?/?(?:[?#]|$)', 1) AS BIGINT) AS doc_id,
+  nullif(lower(regexp_extract(html, '<html[^>]*\blang=["'']?([A-Za-z-]+)', 1)), '') AS declared, nullif(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '') AS host FROM pages),
+address AS (SELECT doc_id, arg_min((declared, host), page_id) AS p FROM page WHERE doc_id IS NOT NULL GROUP BY doc_id),
+facts AS (SELECT d.doc_id, b.look, b.top, b.grams, a.p[1] AS declared, coalesce(a.p[2], lower(d.source)) AS host, nullif(lower(regexp_extract(a.p[2], '\.([A-Za-z]+)$', 1)), '') AS suffix
+  FROM documents d JOIN best b USING (doc_id) LEFT JOIN address a USING (doc_id)),
+k AS (SELECT count(*)::DOUBLE AS k FROM langs),
+looks AS (SELECT * FROM facts WHERE grams > 0),
+whole AS (SELECT l.lang, count(f.doc_id)::DOUBLE AS n FROM langs l LEFT JOIN looks f ON f.look = l.lang GROUP BY l.lang),
+corpus AS (SELECT lang, (n + 20 / k) / (sum(n) OVER () + 20) AS p FROM whole, k),
+suffixes AS (SELECT s.suffix, l.lang, (count(f.doc_id) FILTER (f.look = l.lang) + 20 * c.p) / (count(f.doc_id) + 20) AS p
+  FROM (SELECT DISTINCT suffix FROM looks WHERE suffix IS NOT NULL) s CROSS JOIN langs l JOIN corpus c USING (lang) JOIN looks f ON f.suffix = s.suffix GROUP BY s.suffix, l.lang, c.p),
+hosts AS (SELECT h.host, h.suffix, l.lang, (count(f.doc_id) FILTER (f.look = l.lang) + 20 * coalesce(s.p, c.p)) / (count(f.doc_id) + 20) AS p
+  FROM (SELECT DISTINCT host, suffix FROM looks WHERE host IS NOT NULL) h CROSS JOIN langs l JOIN corpus c USING (lang) LEFT JOIN suffixes s ON s.suffix = h.suffix AND s.lang = l.lang
+  JOIN looks f ON f.host = h.host AND f.suffix IS NOT DISTINCT FROM h.suffix GROUP BY h.host, h.suffix, l.lang, s.p, c.p),
+says AS (SELECT d.declared, w.lang, ln((count(f.doc_id) FILTER (f.look = w.lang) + 1 / k.k) / (w.n + 1)) AS p
+  FROM (SELECT DISTINCT declared FROM looks WHERE declared IS NOT NULL) d CROSS JOIN whole w CROSS JOIN k JOIN looks f ON f.declared = d.declared GROUP BY d.declared, w.lang, w.n, k.k),
+fused AS (SELECT f.doc_id, l.lang, (l.s - f.top) + ln(coalesce(h.p, s.p, c.p)) + coalesce(y.p, 0) AS x
+  FROM facts f JOIN likely l USING (doc_id) JOIN corpus c ON c.lang = l.lang LEFT JOIN hosts h ON h.host = f.host AND h.suffix IS NOT DISTINCT FROM f.suffix AND h.lang = l.lang
+  LEFT JOIN suffixes s ON s.suffix = f.suffix AND s.lang = l.lang LEFT JOIN says y ON y.declared = f.declared AND y.lang = l.lang),
+told AS (SELECT doc_id, arg_min(lang, (-x, lang)) AS lang, 1 / sum(exp(x - m)) AS posterior FROM (SELECT *, max(x) OVER (PARTITION BY doc_id) AS m FROM fused) GROUP BY doc_id)
+SELECT f.doc_id, t.lang, round(t.posterior, 6) AS posterior, CASE WHEN f.grams > 0 THEN f.look END AS text_lang, f.declared, f.host, f.grams > 0 AND t.posterior >= 0.5 AS kept FROM facts f JOIN told t USING (doc_id)
+"""
+
+SQL |= {"op2_language_id": OP2}

@@ -46,7 +46,8 @@ def languages_of(spark: SparkSession, docs: DataFrame, sf_dir: str, id_col: str
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document from its text, its page's markup and its host."""
-    return languages_of(spark, _table(spark, sf_dir, "documents"), sf_dir).withColumnRenamed("row_id", "doc_id")
+    told = languages_of(spark, _table(spark, sf_dir, "documents"), sf_dir).withColumnRenamed("row_id", "doc_id")
+    return told.withColumn("posterior", F.round("posterior", 6))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
