@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm._components import connected_components
-from strandlake.llm._runtime import small_side, written
+from strandlake.llm._runtime import small_batches, small_side, written
 from strandlake.llm._text import LOWER, U64, blocks, column_bytes, mix, shingles, word_hashes
 
 #: 28 bands of 6 rows: a pair of similarity 0.8 shares none with probability 2e-4, one of 0.9 with 5e-10.
@@ -36,6 +36,8 @@ MISS = 1e-4
 STAR_ROUNDS = 3
 #: Members up to which an unconnected group is paired by a join; larger ones are compared in blocks of BLOCK_NODES.
 JOINED_GROUP = 48
+#: Rows up to which a table of keys or nodes is broadcast here: some megabytes.
+FEW = 20_000
 BLOCK_NODES = 256
 
 _seeds = np.random.default_rng(77).integers(1, 1 << 63, (2, 1024), dtype=U64)
@@ -240,6 +242,11 @@ def _across_large(rows: DataFrame, sizes: DataFrame, signatures: DataFrame, sets
     return likely.join(sets, "node").groupBy(*key).applyInPandas(compare, "a binary, b binary")
 
 
+def _stars(components: DataFrame) -> DataFrame:
+    """Links (a, b) of each node with the one that names its component."""
+    return components.select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """row_id, n_shingles, component_id, kept: one row for each document.
 
@@ -251,17 +258,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with a null id is linked like others but never names a component unless all its ids are
     null. An id may stand for several texts; each is judged by its own set. Shingles are compared as 64-bit hashes. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     all_rows = written(sketch(docs, id_col, text_col, shingle_words, bands, rows))
     banded = all_rows.where("node is not null").select("node", F.explode("keys").alias("key"))
     ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    shared = small_side(ends.select("key"))
+    shared = small_side(ends.select("key"), FEW)
     active = written(banded.join(shared, "key").select("key", "node").distinct())
 
     # what is compared later: signatures and texts of the nodes that have candidates, one document each
-    involved = small_side(active.select("node").distinct())
+    involved = small_side(active.select("node").distinct(), FEW)
     held = all_rows.join(involved, "node").groupBy("node").agg(F.min("row_id").alias("held_id")).withColumnRenamed("node", "held_node")
-    held = small_side(held)
+    held = small_side(held, FEW)
     # ids may be null or stand for several texts, so the node decides which of an id's rows is meant
     is_held = (F.col("node") == F.col("held_node")) & F.col("row_id").eqNullSafe(F.col("held_id"))
     signatures = written(all_rows.join(held, is_held, "left_semi").select("node", "signature").dropDuplicates(["node"]))
@@ -275,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         likely = written(_prune(_with_both(written(pairs.distinct()), signatures, "signature"), steps))
         return _exact(_with_both(likely, sets, "members"), percent)
 
-    links, components = None, None
+    components = None
     current = active.withColumn("component", F.col("node"))
     for round_ in range(STAR_ROUNDS):
         # each node with the first, in this round's order, of the centres of its groups
@@ -284,22 +292,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         met = current.join(centres, "key").where("component != other")
         nearest = met.groupBy("node").agg(F.min(F.struct("rank", "centre"))["centre"].alias("centre"))
         found = written(judged(nearest.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))))
-        links = found if links is None else links.union(found)
+        # what is connected already goes on as stars
+        links = found if components is None else found.union(_stars(components))
         components = written(connected_components(links))
         # groups that are connected by now are done
         named = written(current.drop("component").join(components, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
         open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi").select("key", "n")
         open_ = written(open_)
-        current = written(named.join(small_side(open_.select("key")), "key"))
+        current = written(named.join(small_side(open_.select("key"), FEW), "key"))
         if not open_.take(1):
             break
     # then, in groups that are still in several components, everything across them
-    small, large = (written(current.join(small_side(open_.where(x).select("key")), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
+    small, large = (written(current.join(small_side(open_.where(x).select("key"), FEW), "key")) for x in (f"n <= {JOINED_GROUP}", f"n > {JOINED_GROUP}"))
     more = written(judged(_across_small(small)))
     if large.take(1):
         more = more.union(written(_across_large(large, open_, signatures, sets, steps, percent)))
     if more.take(1):
-        components = written(connected_components(links.union(more)))
+        components = written(connected_components(more.union(_stars(components))))
 
     rows_out = all_rows.select("row_id", "n_shingles", "node")
     rows_out = written(rows_out.join(components, "node", "left").withColumn("node", F.coalesce("component", "node")).drop("component"))
