@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table of narrow rows (under about 100 bytes) may be broadcast.
 BROADCAST_ROWS = 200_000
+#: Rows of an Arrow batch that holds texts.
+BATCH_ROWS = 1_000
 
 
 _tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
@@ -71,6 +73,13 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows in this session, as rows here are whole texts; fewer, if already set, stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def fresh(df: DataFrame, wanted: str) -> str:
     """A column name that no column of df has, in any case."""
     taken = {c.lower() for c in df.columns}

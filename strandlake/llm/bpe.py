@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandlake.llm._runtime import fresh
+from strandlake.llm._runtime import fresh, small_batches
 from strandlake.llm._text import IS_SPACE, blocks, column_bytes
 
 #: The vocabulary file is sent to the executors whole; a larger one is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Distinct words, and distinct token pairs, that a task remembers before it starts anew.
-MEMO = 200_000
+MEMO = 100_000
 BLOCK = 1 << 20
 
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -41,20 +41,26 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + _WHITE + r"\p{L}\p{N}]+|\n")
 
 
-def _unassigned() -> re.Pattern:
+def _uncertain() -> re.Pattern:
     """The code points on which Unicode versions differ: those this Python doesn't know, and younger ones that normalisation moves.
 
-    The library's data may be older or newer; what Unicode 3.2 knew of normalisation is the same in all.
+    The library's data may be older or newer; what Unicode 3.2 knew of normalisation is the same in
+    all. The planes from U+30000 on, nearly empty, count as unknown altogether.
     """
-    old = unicodedata.ucd_3_2_0
-    young = lambda c: (unicodedata.combining(c) or unicodedata.decomposition(c)) and old.category(c) == "Cn"
-    points = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Cn", "Co") or young(chr(c))]
-    ends = [i for i in range(len(points)) if i + 1 == len(points) or points[i + 1] != points[i] + 1]
-    starts = [0, *(i + 1 for i in ends[:-1])]
-    return re.compile("[" + "".join(f"{re.escape(chr(points[a]))}-{re.escape(chr(points[b]))}" for a, b in zip(starts, ends)) + "]")
+    old, ranges = unicodedata.ucd_3_2_0, []
+    for point in range(0x80, 0x30000):
+        c = chr(point)
+        kind = unicodedata.category(c)
+        if kind in ("Cn", "Co") or ((unicodedata.combining(c) or unicodedata.decomposition(c)) and old.category(c) == "Cn"):
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    ranges.append([0x30000, sys.maxunicode])
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges) + "]")
 
 
-_UNKNOWN = _unassigned()
+_UNCERTAIN = _uncertain()
 
 
 def byte_letters() -> list[str]:
@@ -219,7 +225,7 @@ class WordBpe:
     def _learn(self, chunks: list[bytes]) -> None:
         """Remember the ids of chunks that hold no special token."""
         # how such code points are split, folded and composed is left to the library itself
-        unknown = [c for c in chunks if not c.isascii() and _UNKNOWN.search(c.decode("utf-8", "replace"))]
+        unknown = [c for c in chunks if not c.isascii() and _UNCERTAIN.search(c.decode("utf-8", "replace"))]
         if unknown:
             hidden = set(unknown)
             chunks = [c for c in chunks if c not in hidden]
@@ -299,6 +305,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col
     none is added. Rows are kept as they are, repeated ones too. Where the table has a column of a
     new one's name (in any case), the new one's gets an underscore. An empty table stays empty.
     """
+    small_batches(docs.sparkSession)
     ids_col = fresh(docs, ids_col)
     decoded_col = decoded_col and fresh(docs, decoded_col)
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import BROADCAST_ROWS, small_side, written
+from strandlake.llm._runtime import BROADCAST_ROWS, small_batches, small_side, written
 from strandlake.llm._text import LOWER, blocks, column_bytes
 
 BINS = 1 << 13
@@ -54,7 +54,7 @@ def train_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "te
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
             langs = batch.column(0).to_pylist()
-            for first, last in blocks(offsets):
+            for first, last in blocks(offsets, 1 << 19):
                 gram, doc = _bins(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
                 names = sorted(set(langs[first:last]))
                 place = {n: i for i, n in enumerate(names)}
@@ -66,6 +66,7 @@ def train_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "te
             full = np.flatnonzero(row)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(row[full], pa.int64())], ["lang", "bin", "n"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null")
     summed = written(rows.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")))
     names = sorted(r[0] for r in summed.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
@@ -80,6 +81,7 @@ def train_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "te
 
 def text_evidence(docs: DataFrame, languages: list[str], model: np.ndarray, id_col: str, text_col: str, others: list[str]) -> DataFrame:
     """row_id, the columns `others`, grams (trigrams in the text), likelihoods (log, tempered, the largest 0)."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm._runtime import BROADCAST_ROWS, fresh, text_of, written
+from strandlake.llm._runtime import BROADCAST_ROWS, fresh, small_batches, text_of, written
 from strandlake.llm._text import BLOCK, IS_SPACE, blocks, column_bytes, span_hashes, word_spans
 
 #: A boundary's hash is the largest within so many bytes on either side: chunks of WINDOW + 1 bytes at least, about twice that on average.
@@ -239,6 +239,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     any length is read whole, with the boundaries it would have in one piece. A passage must
     hold one whole chunk: boundaries need WINDOW + MEMORY bytes of it before and WINDOW after.
     """
+    small_batches(docs.sparkSession)
     kind, shared = dict(docs.dtypes)[id_col], _shared_ids(docs, id_col, text_col)
     pieces = written(chunks(docs, id_col, text_col, shared))
     # half of the digest is enough to set most chunks aside
