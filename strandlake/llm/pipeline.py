@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +25,20 @@ from strandlake.llm.source_mix import mixed_documents
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a key for each row, written so that it stays the same; and the key's name."""
-    key = fresh(docs, "row_key")
-    return written(docs.withColumn(key, F.monotonically_increasing_id())), key
+    """docs with a key for each row that stays the same however often they are read; and the key's name.
+
+    A row of a file is told by the file's number and its place in it, so nothing is rewritten;
+    rows that are not read from files are written with a key.
+    """
+    key, path, place = (fresh(docs, c) for c in ("row_key", "file_path_", "row_index_"))
+    try:
+        rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    except AnalysisException:
+        return written(docs.withColumn(key, F.monotonically_increasing_id())), key
+    # one row a file, numbered in one task
+    files = written(written(rows.select(path).distinct()).coalesce(1).withColumn(key, F.monotonically_increasing_id()))
+    number = F.col(key) * F.lit(1 << 40) + F.col(place)
+    return rows.join(small_side(files), path).withColumn(key, number).select(*docs.columns, key), key
 
 
 def _without(keyed: DataFrame, key: str, out: DataFrame) -> DataFrame:
