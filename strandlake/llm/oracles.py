@@ -142,3 +142,48 @@ SELECT f.doc_id, t.lang, round(t.posterior, 6) AS posterior, CASE WHEN f.grams >
 """
 
 SQL |= {"op2_language_id": OP2}
+
+OP11 = r"""
+WITH w AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, md5(coalesce(text, '')) AS digest, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM w)),
+twice AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING count(*) > 1),
+places AS (SELECT g.doc_id, g.i FROM g JOIN twice USING (doc_id, g)),
+rep AS (SELECT doc_id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM places) GROUP BY doc_id),
+base AS (
+  SELECT w.doc_id, lang AS stratum, digest, len(w)::BIGINT AS n_words, len(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base),
+vals AS (
+  SELECT doc_id, unnest(['symbols', 'long', 'short', 'dup', 'rep']) AS measure, unnest([
+    least(1000 * n_symbols // n_words, 10000), least(100 * word_chars // n_words, 10000), 10000 - least(100 * word_chars // n_words, 10000),
+    1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // n_words]) AS v
+  FROM b WHERE NOT base_failed),
+good AS (
+  SELECT stratum, digest, min(b.doc_id) AS doc_id FROM b JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) l ON l.doc_id = b.doc_id
+  WHERE NOT base_failed GROUP BY stratum, digest),
+prop AS (SELECT g.stratum, v.measure, v.v, count(*) AS n FROM good g JOIN vals v USING (doc_id) WHERE substr(g.digest, 1, 1) < '8' GROUP BY g.stratum, v.measure, v.v),
+ranked AS (
+  SELECT stratum, measure, v, coalesce(sum(n) OVER (PARTITION BY stratum, measure ORDER BY v DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+         sum(n) OVER (PARTITION BY stratum, measure) AS total FROM prop),
+rungs AS (SELECT unnest([0, 1, 2, 3]) AS level, unnest([0, 1, 2, 5]) AS rung),
+cuts AS (SELECT stratum, measure, level, min(v) AS cut FROM ranked CROSS JOIN rungs WHERE 1000 * above <= rung * total GROUP BY stratum, measure, level),
+held AS (
+  SELECT g.stratum, g.digest, min(c.level) FILTER (v.v > c.cut) AS lost FROM good g JOIN vals v USING (doc_id) JOIN cuts c ON c.stratum IS NOT DISTINCT FROM g.stratum AND c.measure = v.measure
+  WHERE substr(g.digest, 1, 1) >= '8' GROUP BY g.stratum, g.digest),
+hits AS (SELECT stratum, level, count(*) AS n, count(*) FILTER (lost <= level) AS k FROM held CROSS JOIN rungs GROUP BY stratum, level),
+tails AS (
+  SELECT stratum, level, list_sum(list_transform(generate_series(0, k), lambda i: exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln(0.05) + (n - i) * ln(0.95)))) AS tail,
+         (SELECT count(*) FROM (SELECT DISTINCT stratum FROM hits)) AS strata FROM hits),
+best AS (
+  SELECT stratum, max(level) AS level FROM (SELECT *, max(CASE WHEN tail <= 0.1 / strata THEN 0 ELSE 1 END) OVER (PARTITION BY stratum ORDER BY level) AS failed FROM tails)
+  WHERE failed = 0 GROUP BY stratum),
+limits AS (SELECT c.stratum, c.measure, c.cut FROM cuts c JOIN best t ON t.stratum IS NOT DISTINCT FROM c.stratum AND t.level = c.level),
+bad AS (SELECT DISTINCT b.doc_id FROM b JOIN vals v USING (doc_id) JOIN limits l ON l.stratum IS NOT DISTINCT FROM b.stratum AND l.measure = v.measure WHERE v.v > l.cut)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b
+"""
+
+SQL |= {"op11_quality_rules": OP11}

@@ -16,6 +16,7 @@ from strandlake.llm.exact_dedup import exact_dedup
 from strandlake.llm.language_id import identify_languages, page_evidence, train_languages
 from strandlake.llm.minhash_dedup import near_duplicates
 from strandlake.llm.quality import score_quality
+from strandlake.llm.quality_rules import apply_quality_rules
 from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
 from strandlake.llm.substring_dedup import repeated_passages
@@ -121,6 +122,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and verdicts of all documents, by cutoffs certified for each language on the labelled ones."""
+    judged = apply_quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select(F.col("row_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     from strandlake.llm.pipeline import run
@@ -140,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_chat_format": op10_chat_format,
+        "op11_quality_rules": op11_quality_rules,
         "pipeline": pipeline,
     }
 
