@@ -17,6 +17,7 @@ from strandlake.llm.language_id import identify_languages, page_evidence, train_
 from strandlake.llm.minhash_dedup import near_duplicates
 from strandlake.llm.quality import score_quality
 from strandlake.llm.quality_rules import apply_quality_rules
+from strandlake.llm.run_detection import detect_runs, with_planted_runs
 from strandlake.llm.sharding import shard_documents
 from strandlake.llm.source_mix import mix_sources
 from strandlake.llm.substring_dedup import repeated_passages
@@ -128,6 +129,12 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("row_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of words of every document, with runs planted into a tenth of them."""
+    docs = with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return detect_runs(docs, with_text=False).withColumnRenamed("row_id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     from strandlake.llm.pipeline import run
@@ -148,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_substring_dedup": op9_substring_dedup,
         "op10_chat_format": op10_chat_format,
         "op11_quality_rules": op11_quality_rules,
+        "op12_run_detection": op12_run_detection,
         "pipeline": pipeline,
     }
 
