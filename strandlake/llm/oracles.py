@@ -187,3 +187,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 SQL |= {"op11_quality_rules": OP11}
+
+# crc32 of a decimal number: the table of 256 words from its polynomial, then one step a digit
+_CRC = """
+tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, generate_series(1, 8)), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i)))"""
+_CRC_OF = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all({x}::VARCHAR, '.'), lambda ch: ascii(ch)::BIGINT)), lambda a, ch: xor(a >> 8, tab[(xor(a, ch) & 255) + 1])), 4294967295)"
+_FIELD = "coalesce(octet_length(encode({x}::VARCHAR))::VARCHAR || ':' || {x}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(x=x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle(levels: int) -> str:
+    """The manifest for sources, and a number of sources, of at most 16**levels nodes."""
+    steps = ["""n0 AS (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, leaf AS node, doc_id FROM d)"""]
+    for tree, first in (("n", "n0"), ("s", "s0")):
+        if tree == "s":
+            steps.append(f"s0 AS (SELECT 0 AS grp, grp AS i, node FROM n{levels})")
+        for k in range(levels):
+            held = f"(SELECT *, count(*) OVER (PARTITION BY grp) AS size FROM {tree}{k})"
+            steps.append(
+                f"{tree}{k + 1} AS (SELECT grp, i // 16 AS i, CASE WHEN any_value(size) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE any_value(node) END AS node FROM {held} GROUP BY grp, i // 16)"
+            )
+            steps.append(
+                f"{tree}p{k} AS (SELECT a.grp, a.i, any_value(a.size) > 1 AS real, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS b, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS a"
+                f" FROM {held} a JOIN {tree}{k} b ON a.grp = b.grp AND a.i // 16 = b.i // 16 GROUP BY a.grp, a.i)"
+            )
+    joins, proof, folds = "", [], []
+    for tree in ("n", "s"):
+        for k in range(levels):
+            name = f"{tree}p{k}"
+            group, place = ("n0.grp", f"n0.i // {16**k}") if tree == "n" else ("0", f"n0.grp // {16**k}")
+            joins += f" JOIN {name} ON {name}.grp = {group} AND {name}.i = {place}"
+            proof.append(f"CASE WHEN {name}.real THEN {name}.b || {name}.a ELSE '' END")
+            folds.append(name)
+    columns = ", ".join(f"{n}.real AS r{j}, {n}.b AS b{j}, {n}.a AS a{j}" for j, n in enumerate(folds))
+    chain = ["f0 AS (SELECT *, coalesce(tampered, leaf) AS x FROM j)"]
+    for j in range(len(folds)):
+        chain.append(f"f{j + 1} AS (SELECT * EXCLUDE (x), CASE WHEN r{j} THEN sha256(b{j} || x || a{j}) ELSE x END AS x FROM f{j})")
+    return (
+        f"WITH {_CRC},\nd AS (SELECT doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC_OF.format(x='doc_id')} % 5 = 0 THEN {_leaf(_LOWER)} END AS tampered FROM documents CROSS JOIN tab),\n"
+        + ",\n".join(steps)
+        + f",\nj AS (SELECT d.doc_id, d.leaf, d.tampered, top.node AS subroot, (SELECT node FROM s{levels}) AS root, sha256({' || '.join(proof)}) AS proof_sha256, {columns}"
+        + f" FROM n0 JOIN d ON d.doc_id = n0.doc_id JOIN n{levels} top ON top.grp = n0.grp{joins}),\n"
+        + ",\n".join(chain)
+        + f"\nSELECT doc_id, leaf, subroot, root, proof_sha256, x AS folded_root, x = root AS verified FROM f{len(folds)}"
+    )
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL |= {"op13_merkle_manifest": _merkle(4)}

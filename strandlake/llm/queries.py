@@ -14,6 +14,7 @@ from strandlake.llm.chat_format import format_chats, read_back
 from strandlake.llm.embedding_dedup import link_embeddings
 from strandlake.llm.exact_dedup import exact_dedup
 from strandlake.llm.language_id import identify_languages, page_evidence, train_languages
+from strandlake.llm.merkle import folded, leaf_digest, merkle_manifest, proof_digest
 from strandlake.llm.minhash_dedup import near_duplicates
 from strandlake.llm.quality import score_quality
 from strandlake.llm.quality_rules import apply_quality_rules
@@ -135,6 +136,20 @@ def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_runs(docs, with_text=False).withColumnRenamed("row_id", "doc_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents by source, checked against documents of which a fifth may be tampered with."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(chosen, leaf_digest([lower if c == "text" else F.col(c) for c in columns]))
+    told = merkle_manifest(_table(spark, sf_dir, "documents"), columns, others={"tampered": tampered})
+    root = folded(F.coalesce("tampered", "leaf"), F.col("before"), F.col("after"))
+    return (
+        told.select(F.col("row_id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("before"), F.col("after")).alias("proof_sha256"), root.alias("folded_root"))
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     from strandlake.llm.pipeline import run
@@ -156,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_chat_format": op10_chat_format,
         "op11_quality_rules": op11_quality_rules,
         "op12_run_detection": op12_run_detection,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": pipeline,
     }
 
