@@ -108,21 +108,24 @@ def log_factorial(n: Column) -> Column:
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """The chance of k or fewer of n at probability p each.
 
-    Summed downwards from k; left out are terms 12 standard deviations and more below it,
-    which are under 1e-30 of the largest where k is under n * p (elsewhere the tail is no small number anyway).
+    Up to the mean the terms are summed from k downwards, beyond it those above k are
+    taken off 1; either way they fall from the first on. Left out are terms 12 standard deviations
+    and more further on, which are under 1e-30 of the first.
     """
     odds = p / (1 - p)
-    term = F.exp(log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * F.ln(F.lit(p)) + (n - k) * F.ln(F.lit(1 - p)))
-    reach = F.least(k, F.ceil(12 * F.sqrt(n * p * (1 - p))) + 20).cast("int")
-    start = F.struct(term.alias("t"), term.alias("sum"))
+    below = k <= n * p
+    first = F.when(below, k).otherwise(k + 1)
+    term = F.when(first > n, 0.0).otherwise(F.exp(log_factorial(n) - log_factorial(first) - log_factorial(F.greatest(n - first, F.lit(0))) + first * F.ln(F.lit(p)) + (n - first) * F.ln(F.lit(1 - p))))
+    reach = F.least(F.when(below, k).otherwise(F.greatest(n - first, F.lit(0))), F.ceil(12 * F.sqrt(n * p * (1 - p))) + 20).cast("int")
 
     def further(a: Column, j: Column) -> Column:
-        i = k - j + 1
-        t = a["t"] * i / ((n - i + 1) * odds)
+        down, up = first - j + 1, first + j  # the number of the term gone from, and gone to
+        t = a["t"] * F.when(below, down / ((n - down + 1) * odds)).otherwise((n - up + 1) * odds / up)
         return F.struct(t.alias("t"), (a["sum"] + t).alias("sum"))
 
     steps = F.when(reach > 0, F.sequence(F.lit(1), reach)).otherwise(F.array().cast("array<int>"))
-    return F.least(F.aggregate(steps, start, further)["sum"], F.lit(1.0))
+    total = F.aggregate(steps, F.struct(term.alias("t"), term.alias("sum")), further)["sum"]
+    return F.when(below, total).otherwise(1 - total)
 
 
 def _proposed(good: DataFrame, rungs: tuple[int, ...]) -> DataFrame:
