@@ -12,6 +12,7 @@ from strandlake.operators import align as A
 from strandlake.operators import counting as C
 from strandlake.operators import coverage as V
 from strandlake.operators import features as G
+from strandlake.operators import gapped as GA
 from strandlake.operators import intervals as I
 from strandlake.operators import preprocess as P
 from strandlake.operators import runs as Q
@@ -307,6 +308,48 @@ def contaminated_ids(spark, d):
     return A.contaminated_ids(named, views.sequences(spark).where("chrom = 'chr2'"))
 
 
+_AT = "p AS (SELECT p_partkey::VARCHAR AS id, p_partkey % 8 AS k, 'chr' || (p_partkey % 5) AS chrom, ((p_partkey * 37) % 19000 + 1)::BIGINT AS pos FROM part)"
+#: Longest intron, and distance of mates, on chromosomes of 20,200 bases.
+NEAR = 2_000
+
+
+def _letters(op: str):
+    """How many bases the operations of one kind have in a CIGAR string."""
+    return F.aggregate(F.regexp_extract_all("cigar", F.lit(rf"(\d+){op}"), F.lit(1)), F.lit(0), lambda a, x: a + x.cast("int"))
+
+
+@query("align_gapped", "mask", f""",
+{_AT}
+SELECT id, chrom, pos, pos + CASE k WHEN 1 THEN 82 WHEN 3 THEN 379 WHEN 4 THEN 59 ELSE 79 END AS "end", CASE k WHEN 5 THEN '-' ELSE '+' END AS strand, CASE k WHEN 1 THEN 3 WHEN 2 THEN 4 ELSE 0 END AS nm,
+  CASE k WHEN 2 THEN 4 ELSE 0 END AS inserted, CASE k WHEN 1 THEN 3 ELSE 0 END AS deleted, CASE k WHEN 3 THEN 300 ELSE 0 END AS skipped, CASE k WHEN 4 THEN 20 ELSE 0 END AS clipped, 1 AS hits, true AS sure FROM p WHERE k < 6""")
+def align_gapped(spark, d):
+    """Reads with gaps, introns and clips, at their best places; not those that lie on two places."""
+    placed = GA.placements(views.sequenced_reads(spark, d), views.sequences(spark), longest_intron=NEAR)
+    split = GA.split_placements(placed, NEAR).select("id")
+    best = GA.best_placements(placed.join(split, "id", "left_anti"))
+    return best.select("id", "chrom", "pos", "end", "strand", "nm", _letters("I").alias("inserted"), _letters("D").alias("deleted"), _letters("N").alias("skipped"), _letters("S").alias("clipped"), "hits", (F.col("mapq") >= 30).alias("sure"))
+
+
+@query("align_split", "mask", f""",
+{_AT}
+SELECT id, CASE k WHEN 6 THEN 'unpaired_transloc' WHEN 7 THEN 'unpaired_circular' ELSE 'unpaired_uniq' END AS category, chrom, pos + CASE k WHEN 7 THEN 500 ELSE 0 END AS pos, CASE k WHEN 5 THEN '-' ELSE '+' END AS strand FROM p""")
+def align_split(spark, d):
+    """Categories of single reads, and where their best place is, or that of the front of a split read."""
+    reads = views.sequenced_reads(spark, d)
+    kinds = GA.read_categories(GA.placements(reads, views.sequences(spark), longest_intron=NEAR), reads, NEAR)
+    return GA.single_categories(kinds).join(kinds.select("id", "chrom", "pos", "strand"), "id")
+
+
+@query("align_pair_categories", "mask", """ SELECT p_partkey::VARCHAR AS id, ['concordant_uniq', 'unpaired_uniq', 'paired_uniq_inv', 'paired_uniq_scr', 'paired_uniq_long', 'halfmapping_uniq', 'nomapping',
+  'concordant_transloc', 'halfmapping_transloc', 'paired_uniq_scr', 'concordant_circular', 'concordant_mult'][p_partkey % 12 + 1] AS category FROM part""")
+def align_pair_categories(spark, d):
+    """Categories of pairs, translocations and circles among them."""
+    pairs, references = views.sequenced_pairs(spark, d), views.with_repeat(spark)
+    mates = [pairs.select("id", F.col(f"seq{m}").alias("seq")) for m in (1, 2)]
+    kinds = [GA.read_categories(GA.placements(m, references, longest_intron=NEAR), m, NEAR) for m in mates]
+    return GA.pair_categories(*kinds, concordant=NEAR)
+
+
 # ----------------------------------------------------------------- counts
 
 _HITS = """hits AS (SELECT DISTINCT f.feature_set, f.name, b.groupid FROM features f JOIN blocks b ON f.chrom = b.chrom AND f.start <= b."end" AND b.start <= f."end")"""

@@ -89,6 +89,44 @@ def placed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("id", F.when(F.col("k") == 1, none).otherwise(F.substr("ref", F.col("at"), F.lit(40))).alias("seq1"), F.when(F.col("k") <= 1, none).otherwise(reverse_complement(F.substr("ref", F.col("at") + 200, F.lit(40)))).alias("seq2"))
 
 
+def with_repeat(spark: SparkSession) -> DataFrame:
+    """sequences, and 5000 bases more that are there twice, as rep1 and rep2."""
+    twice = sequences(spark).where("chrom = 'chr0'").select(F.explode(F.array(F.lit("rep1"), F.lit("rep2"))).alias("chrom"), F.substring(F.reverse("ref"), 1, 5000).alias("ref"))
+    return sequences(spark).unionByName(twice)
+
+
+def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, seq: a read of 80 bases or a little more for each part, by its key modulo 8.
+
+    As it is; with 3 bases of the reference missing; with 4 bases more; over an intron of
+    300; behind 20 unknown bases; from the other strand; half from the next chromosome; and with
+    its halves turned round.
+    """
+    key, at = F.col("p_partkey"), ((F.col("p_partkey") * 37) % 19_000 + 1).cast("int")
+    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), F.concat(F.lit("chr"), ((key + 1) % 5).cast("string")).alias("chrom2"), at.alias("at"), (key % 8).alias("k"))
+    met = parts.join(sequences(spark), "chrom").join(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2")), "chrom2")
+    cut = lambda off, n, ref="ref": F.substr(ref, F.col("at") + off, F.lit(n))
+    kinds = [cut(0, 80), F.concat(cut(0, 40), cut(43, 40)), F.concat(cut(0, 40), F.lit("ACGT"), cut(40, 40)), F.concat(cut(0, 40), cut(340, 40)), F.concat(F.lit("N" * 20), cut(0, 60)), reverse_complement(cut(0, 80)), F.concat(cut(0, 40), cut(0, 40, "ref2")), F.concat(cut(500, 40), cut(0, 40))]
+    return met.select("id", F.element_at(F.array(*kinds), (F.col("k") + 1).cast("int")).alias("seq"))
+
+
+def sequenced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, seq1, seq2: two mates of 60 bases for each part, related in one of twelve ways, by its key modulo 12."""
+    key = F.col("p_partkey")
+    at = F.when(key % 12 == 4, (key * 37) % 9_000 + 1).when(key % 12 == 11, (key * 37) % 4_000 + 1).otherwise((key * 37) % 19_000 + 1).cast("int")
+    named = lambda k: F.concat(F.lit("chr"), ((key + k) % 5).cast("string"))
+    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.when(key % 12 == 11, "rep1").otherwise(named(0)).alias("chrom"), named(1).alias("chrom2"), at.alias("at"), (key % 12).alias("k"))
+    met = parts.join(with_repeat(spark), "chrom").join(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2")), "chrom2")
+    cut = lambda off, n=60, ref="ref": F.substr(ref, F.col("at") + off, F.lit(n))
+    none, turned = F.lit("N" * 60), lambda *x: reverse_complement(cut(*x))
+    moved = F.concat(cut(0, 30), cut(0, 30, "ref2"))
+    kinds = [
+        (cut(0), turned(200)), (cut(0), turned(200, 60, "ref2")), (cut(0), cut(200)), (cut(200), turned(0)), (cut(0), turned(9_500)), (cut(0), none), (none, none),
+        (moved, turned(200)), (moved, none), (cut(0), turned(20)), (F.concat(cut(100, 30), cut(0, 30)), turned(400)), (cut(0), turned(200)),
+    ]
+    return met.select("id", *[F.element_at(F.array(*[p[m] for p in kinds]), (F.col("k") + 1).cast("int")).alias(f"seq{m + 1}") for m in (0, 1)])
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """feature_set, name, chrom, start, end, strand."""
     start = ((F.col("p_partkey") * 37) % 20000 + 1).cast("int")
