@@ -15,6 +15,7 @@ from strandlake.operators import features as G
 from strandlake.operators import gapped as GA
 from strandlake.operators import intervals as I
 from strandlake.operators import preprocess as P
+from strandlake.operators import realign as RA
 from strandlake.operators import runs as Q
 from strandlake.operators import stats as S
 from strandlake.plans import views
@@ -350,6 +351,24 @@ def align_pair_categories(spark, d):
     return GA.pair_categories(*kinds, concordant=NEAR)
 
 
+_INDELS = """
+p AS (SELECT p_partkey AS qname, 'chr' || (p_partkey % 5) AS chrom, (300 + (p_partkey // 5 % 61) * 320)::INT AS site, p_partkey % 4 AS k, CASE WHEN p_partkey % 4 < 2 THEN 40 WHEN p_partkey % 4 = 2 THEN 74 ELSE 6 END AS a FROM part),
+whole AS (SELECT chrom, string_agg(ref, '' ORDER BY pos) AS ref FROM reference GROUP BY chrom),
+q AS (SELECT p.*, substr(ref, site - a + 1, a) || substr(ref, site + 4, 80 - a) AS seq, site - a + 1 + CASE WHEN k = 3 THEN 3 ELSE 0 END AS pos, substr(ref, site - 100, 240) AS near FROM p JOIN whole USING (chrom)),
+s AS (SELECT *, CASE WHEN k < 2 THEN 0 ELSE len(list_filter(range(1, 81), lambda i: seq[i] <> near[pos + i + 100 - site])) END AS wrong,
+  len(list_filter(range(1, 40), lambda n: len(list_filter(range(1, n + 1), lambda j: near[102 - j] <> near[105 - j])) = 0)) AS left_by FROM q),
+t AS (SELECT *, sum(CASE WHEN k < 2 THEN 1 ELSE 0 END) OVER w >= 2 AND 40 * sum(wrong) OVER w >= 50 AND wrong > 0 AS moved FROM s WINDOW w AS (PARTITION BY chrom, site))
+"""
+
+
+@query("realign_indels", "alignments aligned", f""",{_INDELS}
+SELECT qname, chrom, (CASE WHEN moved THEN site - a + 1 ELSE pos END)::INT AS pos, CASE WHEN moved THEN (a - left_by) || 'M3D' || (80 - a + left_by) || 'M' WHEN k < 2 THEN '40M3D40M' ELSE '80M' END AS cigar, moved AS realigned FROM t""")
+def realign_indels(spark, d):
+    """Reads over missing bases, of which those that end soon after them are aligned anew."""
+    told = RA.realign_indels(views.indel_reads(spark, d), views.sequences(spark))
+    return told.select("qname", "chrom", F.col("pos").cast("int").alias("pos"), "cigar", "realigned")
+
+
 # ----------------------------------------------------------------- counts
 
 _HITS = """hits AS (SELECT DISTINCT f.feature_set, f.name, b.groupid FROM features f JOIN blocks b ON f.chrom = b.chrom AND f.start <= b."end" AND b.start <= f."end")"""

@@ -127,6 +127,20 @@ def sequenced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("id", *[F.element_at(F.array(*[p[m] for p in kinds]), (F.col("k") + 1).cast("int")).alias(f"seq{m + 1}") for m in (0, 1)])
 
 
+def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """qname, mate, flag, chrom, pos, cigar, seq, qual: for each part a read over one of 61 places on five chromosomes where 3 bases are missing.
+
+    Half of the reads show it; of the others the gap is 6 bases from an end, and they are aligned without it.
+    """
+    key = F.col("p_partkey")
+    site, k = 300 + (F.floor(key / 5) % 61) * 320, key % 4
+    parts = table(spark, sf_dir, "part").select(key.alias("qname"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), site.cast("int").alias("site"), F.when(k < 2, 40).when(k == 2, 74).otherwise(6).alias("a"), k.alias("k"))
+    met = parts.join(sequences(spark), "chrom")
+    seq = F.concat(F.substr("ref", F.col("site") - F.col("a") + 1, F.col("a")), F.substr("ref", F.col("site") + 4, 80 - F.col("a")))
+    pos = F.col("site") - F.col("a") + 1 + F.when(F.col("k") == 3, 3).otherwise(0)
+    return met.select("qname", F.lit(1).alias("mate"), F.lit(0).alias("flag"), "chrom", pos.alias("pos"), F.when(F.col("k") < 2, "40M3D40M").otherwise("80M").alias("cigar"), seq.alias("seq"), F.lit("I" * 80).alias("qual"))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """feature_set, name, chrom, start, end, strand."""
     start = ((F.col("p_partkey") * 37) % 20000 + 1).cast("int")
