@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandlake.sources.fastq import read_fastq, read_mates
+
+#: Lines of a FASTA file whose records are told apart together; of each so many lines one row is carried on.
+FASTA_LINES = 1 << 20
+
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """value, line: the lines of one text file with their numbers from 0.
@@ -25,25 +30,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return joined.select("value", (F.col("from") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("line"))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """record, id, seq, qual: four lines a record; a record that is not complete or well-formed fails the task."""
-    lines = numbered_lines(spark, path).select("value", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("k"))
-    part = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
-    rows = lines.groupBy("record").agg(part(0).alias("head"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
-    good = F.coalesce(F.col("head").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual")), F.lit(False))
-    head = F.when(good, F.substr("head", F.lit(2))).otherwise(F.raise_error(F.concat(F.lit("bad FASTQ record "), F.col("record").cast("string"))).cast("string"))
-    return rows.select("record", head.alias("id"), "seq", "qual")
-
-
 def read_fastq_pair(spark: SparkSession, path1: str, path2: str | None = None) -> DataFrame:
-    """id, seq1, qual1, seq2, qual2: mates side by side by record; files of different length fail the task."""
-    one = read_fastq(spark, path1).select("record", "id", F.col("seq").alias("seq1"), F.col("qual").alias("qual1"))
+    """id, seq1, qual1, seq2, qual2: mates side by side by record; files of different length are an error."""
     if path2 is None:
-        return one.select("id", "seq1", "qual1", F.lit(None).cast("string").alias("seq2"), F.lit(None).cast("string").alias("qual2"))
-    two = read_fastq(spark, path2).select("record", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
-    both = one.join(two, "record", "full")
-    ok = F.col("seq1").isNotNull() & F.col("seq2").isNotNull()
-    return both.select(F.when(ok, F.col("id")).otherwise(F.raise_error(F.lit("mate files differ in length")).cast("string")).alias("id"), "seq1", "qual1", "seq2", "qual2")
+        none = F.lit(None).cast("string")
+        return read_fastq(spark, path1, numbered=False).select("id", F.col("seq").alias("seq1"), F.col("qual").alias("qual1"), none.alias("seq2"), none.alias("qual2"))
+    return read_mates(spark, path1, path2).drop("record")
 
 
 def write_fastq(reads: DataFrame, path: str, mate: str = "1") -> None:
@@ -51,10 +43,20 @@ def write_fastq(reads: DataFrame, path: str, mate: str = "1") -> None:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """name, seq: records start at `>`; the lines of a sequence are joined."""
-    rows = spark.read.option("lineSep", ">").text(path).where("value != ''")
-    lines = F.split("value", "\n")
-    return rows.select(F.trim(lines[0]).alias("name"), F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.trim(x)), "").alias("seq"))
+    """name, seq: a record is a line that begins with `>` and the lines up to the next; blanks around lines are dropped.
+
+    Lines know their record from the last header before them: within a partition by a running
+    maximum, and from the partitions before by one row each.
+    """
+    lines = numbered_lines(spark, path).withColumn("head", F.when(F.col("value").startswith(">"), F.col("line")))
+    chunk = F.floor(F.col("line") / FASTA_LINES)
+    within = F.max("head").over(Window.partitionBy("chunk").orderBy("line"))
+    held = lines.withColumn("chunk", chunk).withColumn("here", within)
+    carried = held.groupBy("chunk").agg(F.max("head").alias("last"))
+    before = carried.select("chunk", F.max("last").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    told = held.join(before, "chunk").withColumn("record", F.coalesce("here", "before")).where("record is not null")
+    parts = told.groupBy("record").agg(F.max(F.when(F.col("head").isNotNull(), F.trim(F.substr("value", F.lit(2))))).alias("name"), F.sort_array(F.collect_list(F.when(F.col("head").isNull(), F.struct("line", F.trim("value").alias("s"))))).alias("lines"))
+    return parts.select("name", F.array_join(F.transform("lines", lambda x: x["s"]), "").alias("seq"))
 
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
@@ -128,7 +130,7 @@ def count_fastq(spark: SparkSession, path: str) -> int:
 
 def concatenate_fastq(spark: SparkSession, paths: list[str], path: str) -> None:
     """The records of several files, as pairs with one mate, written to one folder."""
-    parts = [read_fastq(spark, p).select("id", F.col("seq").alias("seq1"), F.col("qual").alias("qual1")) for p in paths]
+    parts = [read_fastq(spark, p, numbered=False).select("id", F.col("seq").alias("seq1"), F.col("qual").alias("qual1")) for p in paths]
     write_fastq(reduce(DataFrame.unionByName, parts), path)
 
 

@@ -1,10 +1,11 @@
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandlake.operators.align import best_hits, categories, contaminated_ids
-from strandlake.sources import config, files
+from strandlake.sources import config, fastq, files
 from strandlake.streaming.lanes import merged, summarise_arriving
 
 
@@ -145,3 +146,60 @@ def test_reads_find_their_place(spark):
     assert {(r.id, r.pos, r.nm) for r in placed.collect()} == {(str(p), p + 1, 0) for p in (0, 4070, 4090, 8180, 8950)}
     ids = spark.createDataFrame([(x,) for x in "pqr"], "id string")
     assert {r.id: r.category for r in categories(h1, h2, ids, 40).collect()} == {"p": "concordant_uniq", "q": "halfmapping_uniq", "r": "nomapping"}
+
+
+@pytest.fixture(scope="module")
+def tricky(tmp_path_factory):
+    """Two mate files whose qualities begin with `@` or `+`, with records of all lengths and an empty one."""
+    draw, folder = random.Random(7), tmp_path_factory.mktemp("fastq")
+    rows = []
+    for i in range(400):
+        n = draw.choice((0, 1, 5, 60))
+        quality = lambda: "".join(draw.choice("@+!I#") for _ in range(n))
+        rows.append((f"r{i} @x +y", "ACGT" * 15, quality(), "TTGA" * 15, quality(), n))
+    for mate in (1, 2):
+        text = "".join(f"@{r[0]}\n{r[2 * mate - 1][: r[5]]}\n+{r[0] if i % 3 else ''}\n{r[2 * mate]}\n" for i, r in enumerate(rows))
+        (folder / f"{mate}.fastq").write_text(text if mate == 1 else text[:-1])
+    return folder, [(i, r[0], r[1][: r[5]], r[2], r[3][: r[5]], r[4]) for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("split", [97, 1_000, 1 << 20])
+def test_any_split_gives_the_same_records(spark, tricky, split):
+    folder, want = tricky
+    one = fastq.read_fastq(spark, str(folder / "1.fastq"), split)
+    assert sorted(map(tuple, one.collect())) == [w[:4] for w in want]
+    both = fastq.read_mates(spark, str(folder / "1.fastq"), str(folder / "2.fastq"), split)
+    assert sorted(map(tuple, both.collect())) == want
+    assert sorted(r.id for r in fastq.read_fastq(spark, str(folder / "1.fastq"), split, numbered=False).collect()) == sorted(w[1] for w in want)
+    for frame in (one, both):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folders_packed_files_and_uris(spark, tricky, tmp_path):
+    folder, want = tricky
+    data = (folder / "1.fastq").read_bytes()
+    cut = data.index(b"@r200 ")
+    (tmp_path / "a.fastq").write_bytes(data[:cut])
+    (tmp_path / "b.fastq.gz").write_bytes(gzip.compress(data[cut:]))
+    (tmp_path / "_SUCCESS").write_text("")
+    assert sorted(map(tuple, fastq.read_fastq(spark, f"file://{tmp_path}", 5_000).collect())) == [w[:4] for w in want]
+    both = fastq.read_mates(spark, str(tmp_path), str(folder / "2.fastq"), 5_000)
+    assert sorted(map(tuple, both.collect())) == want
+    (tmp_path / "none").mkdir()
+    assert fastq.read_fastq(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception, match="nothing.fastq"):
+        fastq.read_fastq(spark, str(tmp_path / "nothing.fastq"))
+
+
+@pytest.mark.parametrize("broken", [b"@a\nAC\n+\nII\n\n@b\nAC\n+\nII\n", b"@a\nAC\n+\nI\n", b"@a\nAC\nII\n+\n", b"AC\n@a\nAC\n+\nII\n", b"@a\nAC\n+\nII\n@b\nAC\n"])
+@pytest.mark.parametrize("split", [3, 14, 1 << 20])
+def test_broken_files_fail(spark, tmp_path, broken, split):
+    (tmp_path / "x.fastq").write_bytes(broken)
+    with pytest.raises(Exception, match="bad FASTQ record"):
+        fastq.read_fastq(spark, str(tmp_path / "x.fastq"), split).collect()
+
+
+def test_fasta_headers_hold_marks(spark, tmp_path):
+    (tmp_path / "x.fa").write_text("ignored\n>one a>b desc\nACGT\n AC \n>two\n>three\nGG\n\nTT")
+    rows = {r.name: r.seq for r in files.read_fasta(spark, str(tmp_path / "x.fa")).collect()}
+    assert rows == {"one a>b desc": "ACGTAC", "two": "", "three": "GGTT"}
