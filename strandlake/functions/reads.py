@@ -119,6 +119,15 @@ def cigar_blocks(pos: Column, cigar: Column) -> Column:
     return F.aggregate(steps, begin, step, last)
 
 
+def five_prime(pos: Column, cigar: Column, strand: Column) -> Column:
+    """Where a record's read begins, clipped bases put back: its first base on the plus strand, its last on the minus strand."""
+    size = lambda pattern: F.coalesce(F.regexp_extract(cigar, pattern, 1).try_cast("int"), F.lit(0))
+    under = F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0), lambda a, x: a + x.cast("int"))
+    ahead = size(r"^(\d+)S") + size(r"^(\d+)H") + size(r"^\d+H(\d+)S")
+    behind = size(r"(\d+)S$") + size(r"(\d+)H$") + size(r"(\d+)S\d+H$")
+    return F.when(strand == "-", pos + under - 1 + behind).otherwise(pos - ahead)
+
+
 def cigar_steps(cigar: Column) -> Column:
     """The operations in order as (kind, size, read, ref): where each begins in the read's bases and on the reference, from 0."""
     steps = F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHPX=])"), F.lit(0))

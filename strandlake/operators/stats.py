@@ -60,10 +60,32 @@ def target_lengths(a: DataFrame, most: int = 600) -> DataFrame:
 
 
 def mark_duplicates(a: DataFrame) -> DataFrame:
-    """a with is_dup: of records with one 5' position, strand and mate all but the best mapped are duplicates."""
-    five = F.when(F.col("strand") == "-", F.col("pos") + F.col("width") - 1).otherwise(F.col("pos"))
-    same = Window.partitionBy("chrom", "_five", "strand", "mate").orderBy(F.col("mapq").desc(), "nm", "qname")
-    return a.withColumn("_five", five).withColumn("is_dup", F.row_number().over(same) > 1).drop("_five")
+    """a with is_dup, by fragments (qname, mate, chrom, pos, strand, cigar, mapq, nm).
+
+    The end of a fragment is the 5' end of its read with the clipped bases put back. Names with
+    one record of mate 1 and one of mate 2 are pairs: of pairs with the same two ends all but the best
+    mapped are duplicates, both mates. Any other record is one if an end of a pair lies
+    where its own does, on the same strand, or a better single record. Best is the highest mapping quality, then
+    the fewest differences, then the first name. Records without a place are none. A group's best is an aggregate that is
+    combined before the shuffle, so no window holds all records of one position.
+    """
+    named = ["qname", "mate", "chrom", "pos", "strand", "cigar"]
+    rows = a.where("chrom is not null and pos is not null and qname is not null").select(*named, "mapq", "nm", R.five_prime(F.col("pos"), F.col("cigar"), F.col("strand")).alias("five"))
+    end = F.struct("chrom", "five", "strand")
+    mates = rows.groupBy("qname").agg(
+        F.count_if(F.col("mate") == 1).alias("n1"), F.count_if(F.col("mate") == 2).alias("n2"), F.min(F.when(F.col("mate").isin(1, 2), end)).alias("low"), F.max(F.when(F.col("mate").isin(1, 2), end)).alias("high"),
+        F.sum(F.when(F.col("mate").isin(1, 2), F.col("mapq"))).alias("mapq"), F.sum(F.when(F.col("mate").isin(1, 2), F.col("nm"))).alias("nm"),
+    )
+    pairs = mates.where("n1 = 1 and n2 = 1").select("qname", "low", "high", F.struct(-F.col("mapq"), "nm", "qname").alias("rank"))
+    best = pairs.groupBy("low", "high").agg(F.min("rank").alias("best"))
+    paired = pairs.join(best, ["low", "high"]).select("qname", F.lit(True).alias("paired"), (F.col("rank") != F.col("best")).alias("worse"))
+    held = rows.join(paired, "qname", "left").withColumn("in_pair", F.coalesce("paired", F.lit(False)) & F.col("mate").isin(1, 2))
+    rank = F.struct(F.when(F.col("in_pair"), 0).otherwise(1).alias("single"), (-F.col("mapq")).alias("mapq"), "nm", "qname", "mate")
+    held = held.withColumn("rank", rank)
+    first = held.groupBy("chrom", "five", "strand").agg(F.min("rank").alias("best"))
+    told = held.join(first, ["chrom", "five", "strand"]).withColumn("dup", F.when(F.col("in_pair"), F.col("worse")).otherwise(F.col("rank") != F.col("best")))
+    dups = told.where("dup").select(*named).distinct().withColumn("_dup", F.lit(True))
+    return a.join(dups, named, "left").select(*[a[c] for c in a.columns], F.coalesce("_dup", F.lit(False)).alias("is_dup"))
 
 
 def variant_statistics(v: DataFrame) -> DataFrame:

@@ -273,8 +273,13 @@ def target_length_summary(spark, d):
 
 
 @query("mark_duplicates", "alignments", """,
-m AS (SELECT qname, mate, chrom, row_number() OVER (PARTITION BY chrom, CASE WHEN strand = '-' THEN pos + width - 1 ELSE pos END, strand, mate ORDER BY mapq DESC, nm, qname) > 1 AS is_dup FROM alignments)
-SELECT qname, mate, is_dup FROM m""")
+r AS (SELECT qname, mate, chrom, pos, strand, cigar, mapq, nm, CASE WHEN strand = '-' THEN pos + width + CASE WHEN cigar LIKE '%N%' THEN 100 ELSE 0 END - 1 ELSE pos - CASE WHEN cigar LIKE '2S%' THEN 2 ELSE 0 END END AS five FROM alignments),
+m AS (SELECT qname, min((chrom, five, strand)) AS low, max((chrom, five, strand)) AS high, sum(mapq) AS mapq, sum(nm) AS nm FROM r WHERE mate IN (1, 2) GROUP BY qname HAVING count(*) FILTER (mate = 1) = 1 AND count(*) FILTER (mate = 2) = 1),
+p AS (SELECT qname, row_number() OVER (PARTITION BY low, high ORDER BY mapq DESC, nm, qname) > 1 AS worse FROM m),
+h AS (SELECT r.*, p.worse, p.qname IS NOT NULL AND mate IN (1, 2) AS paired FROM r LEFT JOIN p USING (qname)),
+k AS (SELECT *, dense_rank() OVER (PARTITION BY chrom, five, strand ORDER BY CASE WHEN paired THEN 0 ELSE 1 END, mapq DESC, nm, qname, mate) > 1 AS later FROM h),
+d AS (SELECT DISTINCT qname, mate, chrom, pos, strand, cigar FROM k WHERE CASE WHEN paired THEN worse ELSE later END)
+SELECT a.qname, a.mate, d.qname IS NOT NULL AS is_dup FROM alignments a LEFT JOIN d ON a.qname = d.qname AND a.mate = d.mate AND a.chrom = d.chrom AND a.pos = d.pos AND a.strand = d.strand AND a.cigar = d.cigar""")
 def mark_duplicates(spark, d):
     return S.mark_duplicates(views.alignments(spark, d)).select("qname", "mate", "is_dup")
 

@@ -126,3 +126,19 @@ def test_reads_are_counted_once_for_each_feature(spark):
         want[kind, name] = want.get((kind, name), set()) | hit
     got = C.count_features(table(spark, ranges, "feature_set string, name string, chrom string, start int, end int"), table(spark, blocks, "groupid long, chrom string, start int, end int"))
     assert {(r.feature_set, r.name): r["count"] for r in got.collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_duplicates_are_fragments(spark):
+    """Clipped and unclipped copies of a fragment, pairs told apart by their other end, single records at an end of a pair."""
+    rows = [
+        ("p1", 1, "c", 10, "+", "20M", 40, 0), ("p1", 2, "c", 100, "-", "20M", 40, 0),
+        ("p2", 1, "c", 12, "+", "2S18M", 30, 0), ("p2", 2, "c", 100, "-", "17M3S", 40, 0),  # the same ends, once clipped
+        ("p3", 1, "c", 10, "+", "20M", 50, 0), ("p3", 2, "c", 130, "-", "20M", 50, 0),  # another second end
+        ("p4", 2, "c", 10, "+", "20M", 20, 0), ("p4", 1, "c", 90, "-", "10M10N10M", 20, 0),  # mates the other way round, over a gap
+        ("s1", 1, "c", 10, "+", "20M", 60, 0), ("s2", 1, "c", 10, "-", "20M", 60, 0), ("s3", 3, "c", 15, "-", "15M", 60, 1), ("s4", 3, "c", 15, "-", "1H2S12M2S1H", 60, 0),
+        ("u", 1, None, None, None, None, None, None), (None, 1, "c", 10, "+", "20M", 60, 0),
+    ]
+    a = spark.createDataFrame([(*r, "kept") for r in rows], "qname string, mate int, chrom string, pos int, strand string, cigar string, mapq int, nm int, five string")
+    told = S.mark_duplicates(a)
+    assert told.columns == [*a.columns, "is_dup"] and told.count() == len(rows)
+    assert sorted((r.qname, r.mate) for r in told.where("is_dup").collect()) == [("p2", 1), ("p2", 2), ("p4", 1), ("p4", 2), ("s1", 1), ("s3", 3), ("s4", 3)]
