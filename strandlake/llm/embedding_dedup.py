@@ -1,8 +1,12 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Reference points (pivots) are drawn from the vectors and thinned, so that a dense
-group doesn't hold many of them: among pivots that lie about equally near, noise
-would choose which are named. Each vector is described by its nearest pivots in
+The mean of a sample is taken off first, for vectors that all point much the same way
+would find every pivot equally near. Reference points (pivots) are drawn from what
+remains and thinned, so that a dense group doesn't hold many of them: among pivots that
+lie about equally near, noise would choose which are named. How many pivots a vector names is
+fitted on the sample: the fewest at which enough pairs made to lie just at the threshold
+share two. If no number is enough, vectors of that length are compared all with all, in
+blocks, which is exact. Each vector is described by its nearest pivots in
 order; near vectors have nearly the same description. Inverted lists hold, for each
 label and two pivots, the vectors that name both: who shares a list shares two pivots.
 There are more pivots the more vectors there are, so a list stays short.
@@ -17,7 +21,7 @@ blocks with their vectors give sums for each vector, never a row for each pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,14 +34,16 @@ from strandlake.llm._runtime import small_side, written
 
 #: Pivots for each vector length: PIVOT_SHARE times the root of the number of vectors, within these bounds.
 PIVOTS, PIVOT_SHARE = (256, 4096), 4.0
-#: No two pivots are closer than this cosine; so many vectors are drawn for each pivot wanted.
-APART, DRAWN = 0.7, 16
+#: No two pivots are closer than the first of these cosines that leaves half of those wanted; so many vectors are drawn for each.
+APART, DRAWN = (0.7, 0.8, 0.9), 16
 #: Numbers that the drawn vectors of one length hold at most: the sample that the driver fits the index on.
 SAMPLE_NUMBERS = 4_000_000
 #: Vector lengths that get pivots, the commonest first; vectors of other lengths are all in one list, which is exact.
 LENGTHS = 16
-#: Nearest pivots that describe a vector; a candidate pair shares two of them.
-NAMED = 6
+#: How many of its nearest pivots may describe a vector; a candidate pair shares two of them.
+NAMED = (6, 8, 12, 16)
+#: Share of the pairs at the threshold that must share two pivots, and how many pairs are made to measure it.
+RECALL, TRIALS = 0.97, 2_000
 #: Signs of a sketch, in two words. Signs differ with the chance angle / pi; a pair may differ in its mean and so many standard deviations more.
 SIGNS, SLACK = 128, 5.0
 #: Rows up to which a list is joined with itself; longer ones are dealt into blocks of about BLOCK_ROWS.
@@ -61,25 +67,74 @@ def _unit(vectors: list) -> np.ndarray:
     return v / np.sqrt((v**2).sum(axis=1, keepdims=True))
 
 
-def _thinned(points: np.ndarray, most: int) -> np.ndarray:
-    """The first `most` unit vectors, in order, of which no two are closer than APART."""
+@dataclass
+class Index:
+    """What describes the vectors of one length: the mean taken off them, pivots of length 1, how many a vector names (0: none will do), measured recall."""
+
+    mean: np.ndarray
+    pivots: np.ndarray
+    named: int
+    recall: float
+
+    def nearest(self, unit: np.ndarray, named: int) -> np.ndarray:
+        return np.argsort(-(_centred(unit, self.mean) @ self.pivots.T), axis=1, kind="stable")[:, :named]
+
+
+def _centred(unit: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Vectors without the mean, scaled to length 1 again; what is nothing then stays so."""
+    rest = (unit - mean).astype(np.float32)
+    return rest / np.maximum(np.sqrt((rest**2).sum(axis=1, keepdims=True)), 1e-12)
+
+
+def _at_threshold(unit: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """TRIALS pairs with a cosine of `least`: a sampled vector, and itself turned towards the difference of two others."""
+    draw = np.random.default_rng(len(unit))
+    u, a, b = (unit[draw.integers(0, len(unit), TRIALS)] for _ in range(3))
+    turn = a - b
+    turn = turn - np.einsum("ij,ij->i", turn, u)[:, None] * u
+    size = np.sqrt((turn**2).sum(axis=1, keepdims=True))
+    some = size[:, 0] > 1e-9
+    return u[some], (least * u + np.sqrt(max(0.0, 1 - least**2)) * turn / np.maximum(size, 1e-12))[some]
+
+
+def _fitted(unit: np.ndarray, wanted: int, least: float) -> Index:
+    """The index of a sample of unit vectors."""
+    mean = unit.mean(axis=0)
+    points = _centred(unit, mean)
+    for apart in APART:
+        pivots = _thinned(points, wanted, apart)
+        if 2 * len(pivots) >= wanted:
+            break
+    index, (one, two), recall = Index(mean, pivots, 0, 0.0), _at_threshold(unit, least), 0.0
+    for named in NAMED:
+        if named >= len(pivots) or not len(one):
+            break
+        x, y = index.nearest(one, named), index.nearest(two, named)
+        recall = float((((x[:, :, None] == y[:, None, :]).sum(axis=(1, 2))) >= 2).mean())
+        if recall >= RECALL:
+            return Index(mean, pivots, named, recall)
+    return Index(mean, pivots, 0, recall)
+
+
+def _thinned(points: np.ndarray, most: int, apart: float) -> np.ndarray:
+    """The first `most` unit vectors, in order, of which no two are closer than a cosine of `apart`."""
     out, free = [], np.ones(len(points), bool)
     while free.any() and len(out) < most:
         at = int(np.argmax(free))
         out.append(at)
-        free &= points @ points[at] <= APART
+        free &= points @ points[at] <= apart
         free[at] = False
     return points[out]
 
 
-def _draw_pivots(distinct: DataFrame) -> dict[int, np.ndarray]:
-    """Pivots for the LENGTHS commonest vector lengths, from a bounded sample: the vectors with the least hashes."""
+def _draw_pivots(distinct: DataFrame, least: float) -> dict[int, Index]:
+    """Indexes for the LENGTHS commonest vector lengths, from a bounded sample: the vectors with the least hashes."""
     points = {}
     for dim, n in distinct.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "dim").limit(LENGTHS).collect():
         wanted = int(np.clip(PIVOT_SHARE * n**0.5, *PIVOTS))
         most = max(wanted, min(wanted * DRAWN, SAMPLE_NUMBERS // dim))
         drawn = distinct.where(F.size("vector") == dim).select("vector", F.xxhash64("same").alias("h")).orderBy("h", "node").limit(most).collect()
-        points[dim] = _thinned(_unit([r.vector for r in drawn]).astype(np.float32), wanted)
+        points[dim] = _fitted(_unit([r.vector for r in drawn]), wanted, least)
     return points
 
 
@@ -89,8 +144,8 @@ def _sketches(unit: np.ndarray) -> np.ndarray:
     return np.packbits(unit.astype(np.float32) @ planes > 0, axis=1).view(np.int64)
 
 
-def _described(distinct: DataFrame, points: dict[int, np.ndarray], columns: list[str]) -> DataFrame:
-    """columns (vector last) with dim, pivots (the NAMED nearest, in order) and the sketch's words."""
+def _described(distinct: DataFrame, points: dict[int, Index], columns: list[str]) -> DataFrame:
+    """columns (vector last) with dim, pivots (the nearest, in order; none where all are compared with all) and the sketch's words."""
     sent = distinct.sparkSession.sparkContext.broadcast(points)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,9 +159,8 @@ def _described(distinct: DataFrame, points: dict[int, np.ndarray], columns: list
                     of = np.flatnonzero(size == dim)
                     unit = _unit([rows[i] for i in of])
                     words[of] = _sketches(unit)
-                    if dim in sent.value:
-                        order = np.argsort(-(unit.astype(np.float32) @ sent.value[dim].T), axis=1, kind="stable")[:, :NAMED]
-                        for i, row in zip(of, order.tolist()):
+                    if (index := sent.value.get(dim)) and index.named:
+                        for i, row in zip(of, index.nearest(unit, index.named).tolist()):
                             near[i] = row
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size), pa.array(near, pa.list_(pa.int32())), pa.array(words[:, 0].copy()), pa.array(words[:, 1].copy())], [*batch.schema.names, "dim", "pivots", "s1", "s2"])
 
@@ -115,18 +169,12 @@ def _described(distinct: DataFrame, points: dict[int, np.ndarray], columns: list
     return rows.mapInArrow(describe, f"{kinds}, dim int, pivots array<int>, s1 long, s2 long")
 
 
-def _alone(points: dict[int, np.ndarray], pivots: str) -> Column:
-    """Whether vectors of this length share one list: there are no more pivots than a vector names."""
-    few = [dim for dim, p in points.items() if len(p) <= NAMED]
-    return (F.size(pivots) < NAMED) | F.col("dim").isin(few or [-1])
-
-
-def _lists(points: dict[int, np.ndarray]) -> Column:
-    """The lists of a vector: two named pivots each, the smaller first."""
+def _lists() -> Column:
+    """The lists of a vector: two named pivots each, the smaller first; one list for all vectors of a length without an index."""
     pair = lambda a, b: F.struct(F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
-    every = F.array(*[pair(F.col("pivots")[i], F.col("pivots")[j]) for i, j in combinations(range(NAMED), 2)])
+    every = F.flatten(F.transform("pivots", lambda a, i: F.transform(F.slice("pivots", i + 2, F.size("pivots")), lambda b: pair(a, b))))
     one = F.array(F.struct(F.lit(-1).alias("p"), F.lit(-1).alias("q")))
-    return F.when(_alone(points, "pivots"), one).otherwise(every)
+    return F.when(F.size("pivots") == 0, one).otherwise(every)
 
 
 def _verify(pairs: DataFrame, least: float) -> DataFrame:
@@ -188,8 +236,11 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     component link with nothing, nor do rows with a null id. n_links counts the other rows linked
     directly, exact copies among them; component_id is the least id reachable. Rows that repeat an
     id are vectors of their own. Links found are exact; the index misses a pair only if its vectors
-    share fewer than two of their NAMED nearest pivots (or, with a chance of some 1e-6, differ in
-    too many signs). Columns beside the three named are ignored, whatever their names. An empty
+    share fewer than two of the nearest pivots that they name (at most a share of 1 - RECALL of the
+    pairs at the threshold, as measured on the sample, fewer above it; or, with a chance of some 1e-6,
+    differ in too many signs). Where no number of pivots is enough for that, as where most vectors are
+    nearly at the threshold with one another, all vectors of a label and length are compared, which is
+    quadratic in their number. Columns beside the three named are ignored, whatever their names. An empty
     table gives an empty result.
     """
     kind = dict(vectors.dtypes)[id_col]
@@ -197,8 +248,8 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     keyed = written(rows.withColumn("same", F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256)))
     grouped = keyed.groupBy("label", "same").agg(F.min("row_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))
     distinct = written(grouped.withColumn("node", F.monotonically_increasing_id()))
-    points = _draw_pivots(distinct)
-    described = written(_described(distinct, points, ["node", "label", "n", "vector"]).withColumn("lists", _lists(points)))
+    points = _draw_pivots(distinct, least)
+    described = written(_described(distinct, points, ["node", "label", "n", "vector"]).withColumn("lists", _lists()))
     held = described.select("node", "n", "vector", "pivots", "label", "dim")
     posted = described.select("node", "label", "dim", "s1", "s2", F.explode("lists").alias("l")).select("node", "label", "dim", "l.p", "l.q", "s1", "s2")
     key = ["label", "dim", "p", "q"]
@@ -216,7 +267,7 @@ def link_embeddings(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     left = held.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("vector").alias("va"), F.col("pivots").alias("pa"), "label", "dim")
     right = held.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("vector").alias("vb"), F.col("pivots").alias("pb"))
     shared = F.array_sort(F.array_intersect("pa", "pb"))
-    of = {c: F.when(_alone(points, "pa"), F.lit(-1)).otherwise(F.get(shared, F.lit(i))) for i, c in enumerate(("p", "q"))}
+    of = {c: F.when(F.size("pa") == 0, F.lit(-1)).otherwise(F.get(shared, F.lit(i))) for i, c in enumerate(("p", "q"))}
     # a pair belongs to the list of the two smallest pivots it shares, which may be a long one
     met = likely.join(left, "a").join(right, "b").withColumns(of).join(long, key, "left_anti")
     linked = written(_verify(met.select("a", "b", "na", "nb", "va", "vb"), least))
