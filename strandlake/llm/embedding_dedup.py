@@ -77,7 +77,11 @@ class Index:
     recall: float
 
     def nearest(self, unit: np.ndarray, named: int) -> np.ndarray:
-        return np.argsort(-(_centred(unit, self.mean) @ self.pivots.T), axis=1, kind="stable")[:, :named]
+        return _nearest(_centred(unit, self.mean), self.pivots, named)
+
+
+def _nearest(points: np.ndarray, pivots: np.ndarray, named: int) -> np.ndarray:
+    return np.argsort(-(points @ pivots.T), axis=1, kind="stable")[:, :named]
 
 
 def _centred(unit: np.ndarray, mean: np.ndarray) -> np.ndarray:
@@ -86,15 +90,20 @@ def _centred(unit: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return rest / np.maximum(np.sqrt((rest**2).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def _at_threshold(unit: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """TRIALS pairs with a cosine of `least`: a sampled vector, and itself turned towards the difference of two others."""
+def _at_threshold(unit: np.ndarray, mean: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """TRIALS pairs of centred vectors, as vectors with a cosine of `least` leave them.
+
+    One is a sampled vector, the other that vector turned towards the difference of two
+    others and as far from the mean as it was: by how much follows from the distance that the two have in any case.
+    """
     draw = np.random.default_rng(len(unit))
-    u, a, b = (unit[draw.integers(0, len(unit), TRIALS)] for _ in range(3))
-    turn = a - b
-    turn = turn - np.einsum("ij,ij->i", turn, u)[:, None] * u
+    u, a, b = (draw.integers(0, len(unit), TRIALS) for _ in range(3))
+    x, turn = _centred(unit[u], mean).astype(float), unit[a] - unit[b]
+    turn = turn - np.einsum("ij,ij->i", turn, x)[:, None] * x
     size = np.sqrt((turn**2).sum(axis=1, keepdims=True))
+    cosine = np.maximum(-1.0, 1 - (1 - least) / np.maximum(((unit[u] - mean) ** 2).sum(axis=1, keepdims=True), 1e-12))
     some = size[:, 0] > 1e-9
-    return u[some], (least * u + np.sqrt(max(0.0, 1 - least**2)) * turn / np.maximum(size, 1e-12))[some]
+    return x[some].astype(np.float32), (cosine * x + np.sqrt(1 - cosine**2) * turn / np.maximum(size, 1e-12))[some].astype(np.float32)
 
 
 def _fitted(unit: np.ndarray, wanted: int, least: float) -> Index:
@@ -105,12 +114,12 @@ def _fitted(unit: np.ndarray, wanted: int, least: float) -> Index:
         pivots = _thinned(points, wanted, apart)
         if 2 * len(pivots) >= wanted:
             break
-    index, (one, two), recall = Index(mean, pivots, 0, 0.0), _at_threshold(unit, least), 0.0
+    (one, two), recall = _at_threshold(unit, mean, least), 0.0
     for named in NAMED:
         if named >= len(pivots) or not len(one):
             break
-        x, y = index.nearest(one, named), index.nearest(two, named)
-        recall = float((((x[:, :, None] == y[:, None, :]).sum(axis=(1, 2))) >= 2).mean())
+        x, y = _nearest(one, pivots, named), _nearest(two, pivots, named)
+        recall = float(((x[:, :, None] == y[:, None, :]).sum(axis=(1, 2)) >= 2).mean())
         if recall >= RECALL:
             return Index(mean, pivots, named, recall)
     return Index(mean, pivots, 0, recall)

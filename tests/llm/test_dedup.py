@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandlake.llm import queries as Q
 from strandlake.llm._components import connected_components
 from strandlake.llm._text import column_bytes, span_hashes, word_hashes
+from strandlake.llm import embedding_dedup
 from strandlake.llm.embedding_dedup import link_embeddings
 from strandlake.llm.exact_dedup import FuseFilter, exact_dedup
 from strandlake.llm.minhash_dedup import least_matches, near_duplicates
@@ -312,6 +313,34 @@ def test_planted_pairs_at_the_threshold_are_found(spark, dim):
     assert found >= 950 and sum(n for n, _ in got.values()) == 2 * found
 
 
+@pytest.mark.parametrize(("dim", "mean"), [(64, 0.75), (256, 0.75)])
+def test_vectors_that_point_much_the_same_way(spark, dim, mean):
+    """A common direction must not leave a handful of pivots, nor cost links."""
+    rnd = np.random.default_rng(dim)
+    unit = lambda x: x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+    base = unit(np.sqrt(mean) * np.eye(dim)[0] + np.sqrt(1 - mean) * unit(rnd.normal(size=(2500, dim))))
+    ends = base[500:1000] - base[:500]
+    ends = unit(ends - (ends * base[:500]).sum(axis=1, keepdims=True) * base[:500])
+    cosine = rnd.uniform(0.9301, 0.95, (500, 1))
+    vectors = np.concatenate([base, cosine * base[:500] + np.sqrt(1 - cosine**2) * ends])
+    index = embedding_dedup._fitted(vectors, 256, 0.93)
+    assert index.named and len(index.pivots) == 256 and index.recall >= embedding_dedup.RECALL
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    want = (vectors @ vectors.T >= 0.93).sum(axis=1) - 1
+    got = {r.row_id: r.n_links for r in link_embeddings(table).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want)) and sum(got.values()) >= 0.95 * want.sum() >= 900
+
+
+def test_vectors_nearly_all_linked_are_compared_with_all(spark):
+    rnd = np.random.default_rng(3)
+    vectors = np.eye(16)[0] + 0.08 * rnd.normal(size=(600, 16))
+    vectors /= np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    assert not embedding_dedup._fitted(vectors, 256, 0.93).named
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    want = (vectors @ vectors.T >= 0.93).sum(axis=1) - 1
+    assert {r.row_id: r.n_links for r in link_embeddings(table).collect()} == dict(enumerate(want))
+
+
 def test_embedding_rows_with_shared_ids_and_odd_columns(spark):
     v, w = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
     rows = [(1, v, 1, "x", 2, 3), (1, w, 1, "x", 2, 3), (2, [2.0, 0.0, 0.4], 1, "x", 2, 3), (3, [0.0, 3.0, 0.3], 1, "x", 2, 3), (3, [-0.0, 3.0, 0.3], 1, "x", 2, 3), (None, v, 1, "x", 2, 3)]
