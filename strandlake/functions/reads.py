@@ -116,7 +116,10 @@ def cigar_blocks(pos: Column, cigar: Column) -> Column:
         return F.struct(at.alias("at"), F.when(gap, at).otherwise(s["from"]).alias("from"), F.when(gap & (s["at"] > s["from"]), F.concat(s["out"], block)).otherwise(s["out"]).alias("out"))
 
     last = lambda s: F.when(s["at"] > s["from"], F.concat(s["out"], F.array(F.struct(s["from"].alias("start"), (s["at"] - 1).alias("end"))))).otherwise(s["out"])
-    return F.aggregate(steps, begin, step, last)
+    # most records are one run of matches, perhaps clipped, and need no fold
+    only = F.regexp_extract(cigar, r"^(?:\d+[SH])*(\d+)[M=X](?:\d+[SH])*$", 1)
+    one = F.array(F.struct(pos.cast("int").alias("start"), (pos + only.try_cast("int") - 1).cast("int").alias("end")))
+    return F.when(only.try_cast("int") > 0, one).otherwise(F.aggregate(steps, begin, step, last))
 
 
 def five_prime(pos: Column, cigar: Column, strand: Column) -> Column:

@@ -57,6 +57,20 @@ def count_features(features: DataFrame, blocks: DataFrame) -> DataFrame:
     return feature_widths(features).join(counts, key, "left").select(*key, F.coalesce("count", F.lit(0)).cast("long").alias("count"), "width")
 
 
+def count_features_by(features: DataFrame, blocks: DataFrame, by: str = "run") -> DataFrame:
+    """by, feature_set, name, count, width: count_features for each value of a column of the blocks; a feature without reads there has 0.
+
+    The value becomes part of the chromosome's and the set's name, so the same running sums serve all of them.
+    """
+    values = blocks.where(F.col(by).isNotNull()).agg(F.collect_set(by).alias("_values"))
+    join = lambda c: F.concat_ws("\x01", by, c)
+    each = features.select("feature_set", "name", "chrom", "start", "end").join(F.broadcast(values)).withColumn(by, F.explode("_values")).drop("_values")
+    kind = blocks.schema[by].dataType
+    counts = count_features(each.withColumns({"feature_set": join("feature_set"), "chrom": join("chrom")}), blocks.withColumn("chrom", join("chrom")))
+    parts = F.split("feature_set", "\x01", 2)
+    return counts.select(parts[0].cast(kind).alias(by), parts[1].alias("feature_set"), "name", "count", "width")
+
+
 def reads_by_set(features: DataFrame, blocks: DataFrame) -> DataFrame:
     """feature_set, nbreads: distinct reads that hit any feature of the set."""
     return feature_hits(features, blocks).select("feature_set", "groupid").distinct().groupBy("feature_set").agg(F.count(F.lit(1)).alias("nbreads"))

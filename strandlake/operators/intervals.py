@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,9 +23,12 @@ def _events(ranges: DataFrame, keys: list[str], weights: dict[str, Column]) -> D
 def running(events: DataFrame, keys: list[str], names: list[str], tile: int = TILE) -> DataFrame:
     """events (one row a key and place `at`) with `next`, the key's next place, and each name's running sum `sum_name`.
 
-    Both are found within tiles, and carried over from tile to tile on one row a tile.
+    Both are found within tiles, and carried over from tile to tile on one row a tile. One
+    exchange by tile serves the sums within tiles and the tiles' totals.
     """
     dealt = events.withColumn("tile", F.floor(F.col("at") / tile))
+    # null keys meet nothing below; without them here both uses have the same filters, and so the same exchange
+    dealt = dealt.where(reduce(and_, [F.col(c).isNotNull() for c in (*keys, "tile")])).repartition(*keys, "tile")
     in_tile = Window.partitionBy(*keys, "tile").orderBy("at")
     over_tiles = Window.partitionBy(*keys).orderBy("tile")
     tiles = dealt.groupBy(*keys, "tile").agg(F.min("at").alias("first"), *[F.sum(n).alias(n) for n in names])

@@ -427,11 +427,7 @@ def survival_curve(spark, d):
 
 def _counts_by_run(spark, d):
     """Counts of every feature in every run, zero where a run has none."""
-    blocks, features = views.blocks(spark, d), views.features(spark, d)
-    pairs = I.overlap_join(I.left_side(features), I.right_side(blocks.select("groupid", "chrom", "start", "end", "run")))
-    hits = pairs.select("feature_set", "name", "run", "groupid").distinct().groupBy("feature_set", "name", "run").agg(F.count(F.lit(1)).alias("count"))
-    every = C.feature_widths(features).withColumn("run", F.explode(F.array(*[F.lit(f"lane{i}") for i in range(3)])))
-    return every.join(hits, ["feature_set", "name", "run"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    return C.count_features_by(views.features(spark, d), views.blocks(spark, d))
 
 
 @query("merge_counts", "alignments features", f""",\n{_COUNTS} SELECT feature_set, name, "count", width, round(1e9 * "count" / ((SELECT count(DISTINCT groupid) FROM blocks) * width), 6) AS rpkm FROM counts""")
