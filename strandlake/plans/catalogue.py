@@ -11,6 +11,7 @@ from strandlake.functions import reads as R
 from strandlake.operators import align as A
 from strandlake.operators import counting as C
 from strandlake.operators import coverage as V
+from strandlake.operators import dense as D
 from strandlake.operators import features as G
 from strandlake.operators import gapped as GA
 from strandlake.operators import intervals as I
@@ -522,6 +523,23 @@ def coverage_merge_lanes(spark, d):
     return V.merge_runs(I.sweep(blocks, ["run", "chrom"]).drop("run"))
 
 
+@query("coverage_merge_tiles", "alignments", f",\n{_runs_sql('blocks')} SELECT * FROM runs")
+def coverage_merge_tiles(spark, d):
+    """The lanes' depths, each by tiles in the form that suits it, added up and given as runs again."""
+    lanes = I.sweep(views.blocks(spark, d), ["run", "chrom"])
+    parts = [D.tiled(lanes.where(F.col("run") == f"lane{i}").drop("run")) for i in range(3)]
+    return D.tiles_to_runs(D.add_tiles(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+
+
+@query("coverage_tile_forms", "alignments", f""",\n{_runs_sql('blocks')},
+cut AS (SELECT chrom, unnest(generate_series((start - 1) // 4096, ("end" - 1) // 4096)) AS tile FROM runs)
+SELECT chrom, tile, count(*) >= 410 AS dense, CASE WHEN count(*) >= 410 THEN 4096 ELSE count(*) END AS entries FROM cut GROUP BY chrom, tile""")
+def coverage_tile_forms(spark, d):
+    """Which form each tile takes, and how many entries it has."""
+    tiles = D.tiled(V.coverage_runs(views.blocks(spark, d)))
+    return tiles.select("chrom", "tile", F.col("depths").isNotNull().alias("dense"), F.coalesce(F.size("depths"), F.size("runs")).cast("long").alias("entries"))
+
+
 @query("coverage_sparsity", "alignments", f""",\n{_runs_sql('blocks')} SELECT count(*) AS n_runs, {5 * views.LENGTH}::BIGINT AS length, count(*) / {5 * views.LENGTH}.0 < 0.1 AS sparse FROM runs""")
 def coverage_sparsity(spark, d):
     return V.sparsity(V.coverage_runs(views.blocks(spark, d)), _lengths(spark))
@@ -544,7 +562,7 @@ shift AS (SELECT p.chrom, m.at - p.at + 1 AS length, sum(p.k * m.k) AS pairs FRO
 best AS (SELECT chrom, length FROM shift QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY pairs DESC, length) = 1)
 SELECT b.chrom, count(*) AS n, any_value(best.length)::BIGINT AS length FROM blocks b JOIN best USING (chrom) GROUP BY b.chrom""")
 def fragment_length_estimate(spark, d):
-    return V.estimate_fragment_length(views.blocks(spark, d), 300)
+    return D.correlate_strands(views.blocks(spark, d), 300)
 
 
 # -------------------------------------------------------- interval algebra
