@@ -118,6 +118,16 @@ def is_within(inner: DataFrame, outer: DataFrame, keys: list[str]) -> bool:
     return not set_difference(inner, outer, keys).take(1)
 
 
+def disjoint_row(ranges: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One row with is_disjoint, to be had without an action."""
+    return sweep(ranges, keys).agg((F.coalesce(F.max("depth"), F.lit(0)) <= 1).alias(name))
+
+
+def within_row(inner: DataFrame, outer: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One row with is_within, to be had without an action."""
+    return set_difference(inner, outer, keys).agg((F.count("*") == 0).alias(name))
+
+
 def tiles(lengths: DataFrame, width: int) -> DataFrame:
     """chrom, start, end: each chromosome cut into tiles of a width, the last one shorter."""
     cut = lengths.select("chrom", "length", F.explode(F.sequence(F.lit(1).cast("long"), F.col("length").cast("long"), F.lit(width).cast("long"))).alias("start"))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,10 +167,40 @@ def per_cycle(df: DataFrame, offset: int = 33, mate: int = 1) -> DataFrame:
     return at.groupBy("cycle").agg(F.count(F.lit(1)).alias("n"), F.avg("q").alias("mean_quality"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGT"])
 
 
-def top_sequences(df: DataFrame, n: int = 20, mate: int = 1) -> DataFrame:
-    """seq, reads: the n commonest sequences of a mate, ties in order of the sequence."""
-    counted = df.where(F.length(f"seq{mate}") > 0).groupBy(F.col(f"seq{mate}").alias("seq")).agg(F.count(F.lit(1)).alias("reads"))
-    return counted.orderBy(F.col("reads").desc(), "seq").limit(n)
+def _frequent(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The sequences of one task that may be frequent, with 0, and null with how often any other may occur (Misra and Gries' counters)."""
+    held: Counter = Counter()
+    lost = 0
+    for batch in batches:
+        counts = pc.value_counts(batch.column(0))
+        held.update(dict(zip(counts.field("values").to_pylist(), counts.field("counts").to_pylist())))
+        if len(held) > 2 * size:  # take the size-th largest count off all; what is left of none goes
+            off = heapq.nlargest(size + 1, held.values())[-1]
+            held, lost = Counter({s: n - off for s, n in held.items() if n > off}), lost + off
+    kept = list(held)
+    yield pa.RecordBatch.from_arrays([pa.array([*kept, None], pa.string()), pa.array([0] * len(kept) + [lost], pa.int64())], names=["seq", "lost"])
+
+
+def top_sequences(df: DataFrame, n: int = 20, mate: int = 1, size: int = 10_000) -> DataFrame:
+    """seq, reads: the n commonest sequences of a mate, ties in order of the sequence.
+
+    Two passes. Each task keeps counters of at most twice `size` sequences, and knows how often one that
+    it dropped may have occurred at most; then only the candidates of all tasks are counted,
+    so few rows are shuffled. If the dropped ones, over all tasks, might reach the n-th
+    count, every sequence is counted. Null and empty sequences don't count. Whether
+    that is so takes two actions, of one row each.
+    """
+    seqs = df.where(F.length(f"seq{mate}") > 0).select(F.col(f"seq{mate}").alias("seq"))
+    told = seqs.mapInArrow(lambda batches: _frequent(batches, size), "seq string, lost long")
+    candidates = told.where("seq is not null").select("seq").distinct()
+    lost = told.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("lost")).first()[0]
+    every = seqs.groupBy("seq").agg(F.count(F.lit(1)).alias("reads"))
+    top = lambda counted: counted.orderBy(F.col("reads").desc(), "seq").limit(n)
+    if not lost:  # no task has more than twice `size` sequences
+        return top(every)
+    found = top(seqs.join(candidates, "seq", "left_semi").groupBy("seq").agg(F.count(F.lit(1)).alias("reads")))
+    least = found.agg(F.count("*").alias("n"), F.min("reads").alias("least")).first()
+    return found if least["n"] == n and least["least"] > lost else top(every)
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -16,11 +16,13 @@ from strandlake.operators import features as G
 from strandlake.operators import gapped as GA
 from strandlake.operators import intervals as I
 from strandlake.operators import preprocess as P
+from strandlake.operators import quantiles as QS
 from strandlake.operators import realign as RA
 from strandlake.operators import runs as Q
 from strandlake.operators import stats as S
 from strandlake.plans import views
 from strandlake.plans.views import with_views
+from strandlake.sources import files, regions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str]] = {}
@@ -273,6 +275,18 @@ def target_length_summary(spark, d):
     return S.target_lengths(views.alignments(spark, d))
 
 
+@query("insert_size_quantiles", "alignments", """,
+u AS (SELECT run, abs(isize)::DOUBLE AS x FROM alignments),
+e AS (SELECT run, x FROM u UNION ALL SELECT 'all', x FROM u)
+SELECT run, count(*) AS n, quantile_cont(x, 0.0) AS "min", quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3, quantile_cont(x, 1.0) AS "max" FROM e GROUP BY run""")
+def insert_size_quantiles(spark, d):
+    """Quantiles of each lane, and of all lanes from the lanes' own states."""
+    lanes = QS.quantile_state(views.alignments(spark, d).withColumn("x", F.abs("isize")), ["run"], "x")
+    whole = QS.merge_states(lanes.withColumn("run", F.lit("all")), ["run"])
+    told = QS.state_quantiles(lanes.unionByName(whole), ["run"])
+    return told.select("run", "n", *[F.col("quantiles")[i].alias(c) for i, c in enumerate(("min", "q1", "median", "q3", "max"))])
+
+
 @query("mark_duplicates", "alignments", """,
 r AS (SELECT qname, mate, chrom, pos, strand, cigar, mapq, nm, CASE WHEN strand = '-' THEN pos + width + CASE WHEN cigar LIKE '%N%' THEN 100 ELSE 0 END - 1 ELSE pos - CASE WHEN cigar LIKE '2S%' THEN 2 ELSE 0 END END AS five FROM alignments),
 m AS (SELECT qname, min((chrom, five, strand)) AS low, max((chrom, five, strand)) AS high, sum(mapq) AS mapq, sum(nm) AS nm FROM r WHERE mate IN (1, 2) GROUP BY qname HAVING count(*) FILTER (mate = 1) = 1 AND count(*) FILTER (mate = 2) = 1),
@@ -625,9 +639,12 @@ def iv_intersect(spark, d):
     return I.intersection(views.exons(spark, d), views.features(spark, d), ["chrom"])
 
 
-@query("iv_tiles", "mask", f",\n{LENGTHS_SQL} SELECT chrom, s AS start, least(s + 999, length) AS \"end\" FROM (SELECT chrom, length, unnest(generate_series(1::BIGINT, length, 1000)) AS s FROM lengths)")
+@query("iv_tiles", "features", """,
+longest AS (SELECT chrom, max("end")::BIGINT AS length FROM features GROUP BY chrom)
+SELECT chrom, s AS start, least(s + 999, length) AS "end" FROM (SELECT chrom, length, unnest(generate_series(1::BIGINT, length, 1000)) AS s FROM longest)""")
 def iv_tiles(spark, d):
-    return I.tiles(_lengths(spark), 1000)
+    """Tiles of the chromosomes as far as features reach."""
+    return I.tiles(views.features(spark, d).groupBy("chrom").agg(F.max("end").cast("long").alias("length")), 1000)
 
 
 @query("single_gene_pieces", "alignments", """,
@@ -695,8 +712,8 @@ SELECT (SELECT count(*) FROM r a JOIN r b ON a.chrom = b.chrom AND a.start < b.s
   NOT EXISTS (SELECT 1 FROM coding c WHERE NOT EXISTS (SELECT 1 FROM exons e WHERE e.gene = c.gene AND e.chrom = c.chrom AND e.strand = c.strand AND e.start <= c.start AND e."end" >= c."end")) AS coding_within""")
 def interval_checks(spark, d):
     f = views.features(spark, d)
-    found = (I.is_disjoint(I.merge_adjacent(f, ["chrom"]), ["chrom"]), I.is_disjoint(f, ["chrom"]), I.is_within(views.coding(spark, d), views.exons(spark, d), _KEYS))
-    return spark.createDataFrame([found], "merged_disjoint boolean, features_disjoint boolean, coding_within boolean")
+    checks = (I.disjoint_row(I.merge_adjacent(f, ["chrom"]), ["chrom"], "merged_disjoint"), I.disjoint_row(f, ["chrom"], "features_disjoint"), I.within_row(views.coding(spark, d), views.exons(spark, d), _KEYS, "coding_within"))
+    return checks[0].join(F.broadcast(checks[1])).join(F.broadcast(checks[2]))
 
 
 @query("region_restriction", "features mask", "SELECT feature_set, name FROM features f WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = f.chrom AND m.start <= f.\"end\" AND f.start <= m.\"end\")")
@@ -712,6 +729,14 @@ def variant_mask(spark, d):
     return S.outside(views.variants(spark, d), views.mask(spark, d)).select("chrom", "pos", "ref", "alt", "sample")
 
 
+@query("region_scan", "variants mask", """ SELECT chrom, pos, ref, alt, nref, nalt, sample FROM variants v WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m."end")""")
+def region_scan(spark, d):
+    """Variants laid out by place, and those of the mask's regions read back."""
+    path = files.shared_folder(spark)
+    regions.write_by_region(views.variants(spark, d), path, "pos", "pos")
+    return regions.read_regions(spark, path, views.mask(spark, d), "pos", "pos")
+
+
 @query("variant_restrict", "variants mask", "SELECT chrom, pos, ref, alt, sample FROM variants v WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = v.chrom AND v.pos BETWEEN m.start AND m.\"end\")")
 def variant_restrict(spark, d):
     return S.inside(views.variants(spark, d), views.mask(spark, d)).select("chrom", "pos", "ref", "alt", "sample")
@@ -972,7 +997,18 @@ def merge_lanes(spark, d):
     return _lane_summary(spark, d).groupBy("name").agg(F.sum("value").alias("value"))
 
 
-@query("config_merge", "mask", "SELECT * FROM (VALUES ('aligner', 'a'), ('num_cores', '<merged>2 4</merged>'), ('paired', 'TRUE')) t(key, value)")
+@query("config_merge", "mask", """,
+kept AS (SELECT DISTINCT 'nation.' || n_name AS key, n_regionkey::VARCHAR AS value FROM nation, orders WHERE o_custkey % 25 = n_nationkey),
+seen AS (SELECT 'orders.' || left(o_orderpriority, 1) AS key, count(*)::VARCHAR AS value FROM orders GROUP BY o_orderkey % 3, left(o_orderpriority, 1))
+SELECT key, value FROM kept UNION ALL
+SELECT key, CASE WHEN count(DISTINCT value) = 1 THEN min(value) ELSE '<merged>' || string_agg(DISTINCT value, ' ' ORDER BY value) || '</merged>' END FROM seen GROUP BY key""")
 def config_merge(spark, d):
-    rows = [("lane0", "aligner", "a"), ("lane1", "aligner", "a"), ("lane0", "num_cores", "4"), ("lane1", "num_cores", "2"), ("lane0", "paired", "TRUE"), ("lane1", "paired", "TRUE")]
-    return S.merge_settings(S.assert_same_keys(spark.createDataFrame(rows, "lane string, key string, value string")), ("num_cores",))
+    """Three lanes' settings: nations that their orders touch, the same in all lanes, and how many orders of each priority they have."""
+    orders = views.table(spark, d, "orders").withColumn("lane", F.concat(F.lit("lane"), F.col("o_orderkey") % 3))
+    nations = views.table(spark, d, "nation").select(F.concat(F.lit("nation."), "n_name").alias("key"), F.col("n_regionkey").cast("string").alias("value"), "n_nationkey")
+    touched = orders.join(nations, F.col("o_custkey") % 25 == F.col("n_nationkey"), "left_semi").select("lane").distinct()
+    met = nations.join(orders.select((F.col("o_custkey") % 25).alias("n_nationkey")).distinct(), "n_nationkey").select("key", "value")
+    same = met.join(F.broadcast(touched)).select("lane", "key", "value")
+    seen = orders.groupBy("lane", F.concat(F.lit("orders."), F.substring("o_orderpriority", 1, 1)).alias("key")).agg(F.count("*").cast("string").alias("value"))
+    settings = S.assert_same_keys(same.unionByName(seen.select("lane", "key", "value")))
+    return S.merge_settings(settings, tuple(f"orders.{i}" for i in range(1, 6)))

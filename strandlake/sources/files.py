@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -110,8 +112,8 @@ def write_runs(runs: DataFrame, path: str) -> None:
 
 
 def write_alignments(a: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Parquet with a folder for each category, sorted by place within files."""
-    a.repartition("category", "chrom").sortWithinPartitions("category", "chrom", "pos").write.mode(mode).partitionBy("category").parquet(path)
+    """Parquet with a folder for each category, sorted by place within files; a chromosome spreads over as many files as its records call for."""
+    a.repartitionByRange("category", "chrom", "pos").sortWithinPartitions("category", "chrom", "pos").write.mode(mode).partitionBy("category").parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -161,6 +163,16 @@ def merge_alignments(parts: list[DataFrame], sort: bool = True) -> DataFrame:
     return merged.orderBy("chrom", "pos") if sort else merged
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: in spark.checkpoint.dir; where that is unset, a temporary one if all runs in one process, else an error."""
+    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if found is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="strandlake-")
+    return f"{found.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def prepare_folder(spark: SparkSession, folder: str, policy: str = "never") -> str:
     """The save mode for writing into `folder`: `never` fails if it exists, `erase` deletes it first, `overwrite` writes over single tables."""
     modes = {"never": "errorifexists", "erase": "errorifexists", "overwrite": "overwrite"}
