@@ -26,11 +26,12 @@ _tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; where none is set, the warehouse, or a temporary folder if all runs in one process."""
+    """The checkpoint folder of the session; where none is set, a temporary folder if all runs in one process, else an error."""
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
-        local = spark.sparkContext.master.startswith("local")
-        found = tempfile.mkdtemp(prefix="strandlake-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/strandlake-scratch"
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="strandlake-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 

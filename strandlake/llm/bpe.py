@@ -336,7 +336,11 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col
 
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """Add text_col, the text that the ids of each row decode to; null ids decode to an empty text."""
+    """Add text_col, the text that the ids of each row decode to; null and empty ids decode to an empty text.
+
+    Every row keeps its place, repeated rows too, and an empty table has no rows. A column named
+    text_col already stays, and the new one's name gets an underscore. An id beyond the vocabulary fails the task.
+    """
     text_col = fresh(encoded, text_col)
     sent = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     schema = T.StructType([*encoded.schema.fields, T.StructField(text_col, T.StringType())])
@@ -356,6 +360,8 @@ def token_digests(encoded: DataFrame, ids_col: str, decoded_col: str) -> DataFra
     """Replace the ids and the decoded text by n_tokens, ids_sha256 and decoded_sha256.
 
     A column that has one of these names (in any case) stays; the new one's then gets an underscore.
+    Null ids have a null count and digest, null texts a null digest; rows are told from no
+    other row, so repeated ones stay.
     """
     joined = F.array_join(F.col(ids_col).cast("array<string>"), " ")
     made = {"n_tokens": F.size(ids_col).cast("long"), "ids_sha256": F.sha2(joined, 256), "decoded_sha256": F.sha2(F.col(decoded_col), 256)}

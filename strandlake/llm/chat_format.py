@@ -107,7 +107,8 @@ def format_chats(conversations: DataFrame, template: Template = turn_template, l
 def read_back(formatted: DataFrame) -> DataFrame:
     """conv_id, turns, loss_texts, formatted_chars, from the formatted text and the spans alone.
 
-    A conversation without a loss mask has no loss_texts (an empty list).
+    A conversation without a loss mask has no loss_texts (an empty list). One row for each row of
+    format_chats; an empty table has none. Null texts were formatted as empty ones and come back empty.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -172,7 +172,11 @@ def identify_languages(docs: DataFrame, languages: list[str], model: np.ndarray,
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """doc_id, declared, host, suffix: the markup and address of the first page with that document number in its path."""
+    """doc_id, declared, host, suffix: the markup and address of the first page with that document number in its path.
+
+    First is the page of the least page_id. A page with a null or unreadable url belongs to no
+    document and is left out; parts that a page lacks are null. Repeated rows count once; an empty table has no rows.
+    """
     host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#:]+)", 1)
     found = pages.select(
         F.try_to_number(F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]+/(?:[^?#]*/)?(\d{1,18})(?:\.[a-z]+)?/?(?:[?#]|$)", 1), F.lit("9" * 18)).cast("long").alias("doc_id"),

@@ -75,7 +75,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents with ids up to the middle of their range, and the rest (null ids too)."""
+    """The documents with ids up to the middle of their range, and the rest (null ids too). Rows of one id stay together; of an empty table both are empty."""
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
     old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(False))
     return docs.where(old), docs.where(~old)
