@@ -389,6 +389,16 @@ def realign_indels(spark, d):
     return told.select("qname", "chrom", F.col("pos").cast("int").alias("pos"), "cigar", "realigned")
 
 
+@query("pileup_indels", "alignments aligned", f""",{_INDELS},
+e AS (SELECT chrom, site + 1 AS pos FROM t WHERE k < 2 AND NOT moved UNION ALL SELECT chrom, site - left_by + 1 FROM t WHERE moved)
+SELECT chrom, pos::BIGINT AS pos, '-3' AS alt, count(*) AS alt_depth FROM e GROUP BY chrom, pos""")
+def pileup_indels(spark, d):
+    """Deletions in the pileup of realigned reads, with how many reads show each."""
+    realigned = RA.realign_indels(views.indel_reads(spark, d), views.sequences(spark))
+    piled = S.pileup(realigned, views.reference(spark), 23)
+    return piled.where(F.col("alt").rlike("^[-+]")).select("chrom", "pos", "alt", "alt_depth")
+
+
 # ----------------------------------------------------------------- counts
 
 _HITS = """hits AS (SELECT DISTINCT f.feature_set, f.name, b.groupid FROM features f JOIN blocks b ON f.chrom = b.chrom AND f.start <= b."end" AND b.start <= f."end")"""
