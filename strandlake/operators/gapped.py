@@ -31,6 +31,11 @@ TILE, REACH, PAD = 4096, 1024, 16
 LONGEST_INTRON, CONCORDANT = 200_000, 200_000
 #: Bases of a read that must be clipped for it to count as split, and that the part elsewhere must have; bases that both parts may miss.
 PIECE, SLACK = 16, 10
+#: The categories of pairs.
+CATEGORIES = (
+    "concordant_uniq", "concordant_mult", "concordant_transloc", "concordant_circular", "paired_uniq_inv", "paired_uniq_scr", "paired_uniq_long", "paired_uniq_circular", "paired_mult",
+    "halfmapping_uniq", "halfmapping_mult", "halfmapping_transloc", "halfmapping_circular", "unpaired_uniq", "unpaired_mult", "unpaired_transloc", "unpaired_circular", "nomapping",
+)
 #: Cells of the table of one call.
 CELLS = 24_000_000
 
@@ -240,3 +245,9 @@ def pair_categories(one: DataFrame, two: DataFrame, concordant: int = CONCORDANT
     mapped = F.when(~same, F.concat(F.lit("unpaired_"), worst)).when(~inverted & ahead & ~far, F.concat(F.lit("concordant_"), worst)).otherwise(apart)
     half = F.concat(F.lit("halfmapping_"), F.when(maps(x), x("kind")).otherwise(y("kind")))
     return both.select("id", F.when(maps(x) & maps(y), mapped).when(maps(x) | maps(y), half).otherwise("nomapping").alias("category"))
+
+
+def category_matrix(categories: DataFrame, by: str = "run") -> DataFrame:
+    """by, a count for each of CATEGORIES, and analyzed, the concordant reads with one place; from rows (by, category)."""
+    counts = [F.count_if(F.col("category") == c).cast("double").alias(c) for c in CATEGORIES]
+    return categories.groupBy(by).agg(*counts, F.count_if(F.col("category") == "concordant_uniq").cast("double").alias("analyzed"))

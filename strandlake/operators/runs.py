@@ -128,7 +128,7 @@ def read_funnel(preprocess: DataFrame, alignment: DataFrame, by: str = "run") ->
     kinds = {"Uniquely": "uniq", "Multiple": "mult", "Translocation": "transloc"}
     sums = [_sum(columns_like(alignment, k)).alias(f"_{name}") for name, k in kinds.items()]
     both = preprocess.join(alignment.select(by, "nomapping", "analyzed", *sums), by)
-    steps = {
+    steps = {  # fixed values: the names of the steps
         "Total": "total_reads", "High-Qual": "highqual_reads", "Adapter contam": "adapter_contam", "rRNA reads": "rRNA_contam_reads", "Post-preprocess": "processed_reads",
         "Mapped": None, "Uniquely": "_Uniquely", "Multiple": "_Multiple", "Translocation": "_Translocation", "Unmapped": "nomapping", "Analyzed": "analyzed",
     }

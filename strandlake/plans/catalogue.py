@@ -875,6 +875,26 @@ cat AS (SELECT run, count(*) FILTER (category = 'concordant_uniq') AS concordant
   count(*) FILTER (category = 'concordant_uniq') AS analyzed, count(*) FILTER (mapq < 36) AS nomapping FROM alignments GROUP BY run)"""
 
 
+@query("lane_funnel", "mask", """,
+p AS (SELECT 'lane' || (p_partkey % 3) AS run, p_partkey % 10 <> 3 AS high, p_partkey % 12 AS k FROM part),
+s AS (SELECT run, count(*) AS total, count(*) FILTER (high) AS high, count(*) FILTER (high AND k <> 6) AS mapped, count(*) FILTER (high AND k IN (0, 1, 2, 3, 4, 5, 9)) AS uniq,
+  count(*) FILTER (high AND k = 11) AS mult, count(*) FILTER (high AND k IN (7, 8)) AS transloc, count(*) FILTER (high AND k = 6) AS none, count(*) FILTER (high AND k = 0) AS analyzed FROM p GROUP BY run),
+u AS (SELECT run, total, unnest([1,2,3,4,5,6,7,8,9,10,11]) AS step, unnest(['Total','High-Qual','Adapter contam','rRNA reads','Post-preprocess','Mapped','Uniquely','Multiple','Translocation','Unmapped','Analyzed']) AS name,
+  unnest([total, high, 0, 0, high, mapped, uniq, mult, transloc, none, analyzed]) AS n FROM s)
+SELECT run, step::INT AS step, name, n::BIGINT AS n, round(n * 100.0 / total, 2)::DOUBLE AS percent FROM u""")
+def lane_funnel(spark, d):
+    """The funnel of three lanes from their reads on: preprocessed, and what stays placed on the reference and sorted into categories."""
+    key = F.col("id").cast("long")
+    quality = F.when(key % 10 == 3, F.repeat(F.lit("#"), F.lit(60))).otherwise(F.repeat(F.lit("I"), F.lit(60)))
+    reads = views.sequenced_pairs(spark, d).withColumns({"run": F.concat(F.lit("lane"), key % 3), "qual1": quality, "qual2": quality})
+    marked = P.preprocess(reads, "sanger", 23, 0.7)
+    kept, references = marked.where("processed").select("run", "id", "seq1", "seq2"), views.with_repeat(spark)
+    mates = [kept.select("id", F.col(f"seq{m}").alias("seq")) for m in (1, 2)]
+    kinds = [GA.read_categories(GA.placements(m, references, longest_intron=NEAR), m, NEAR) for m in mates]
+    matrix = GA.category_matrix(GA.pair_categories(*kinds, concordant=NEAR).join(kept.select("id", "run"), "id"))
+    return Q.read_funnel(P.summary(marked, ["run"]), matrix)
+
+
 @query("read_funnel", "alignments", f""",\n{_READS_SQL},
 b AS (SELECT * FROM pre JOIN cat USING (run)),
 u AS (SELECT run, total_reads AS t, unnest([1,2,3,4,5,6,7,8,9,10,11]) AS step, unnest(['Total','High-Qual','Adapter contam','rRNA reads','Post-preprocess','Mapped','Uniquely','Multiple','Translocation','Unmapped','Analyzed']) AS name,
