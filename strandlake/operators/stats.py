@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
 from strandlake.operators.intervals import TILE, left_side, merge_adjacent, overlap_join, right_side, sweep
+from strandlake.operators.quantiles import quantile_state, state_quantiles
 
 
 def unique_reads(alignments: DataFrame) -> DataFrame:
@@ -59,6 +60,15 @@ def target_lengths(a: DataFrame, most: int = 600) -> DataFrame:
     return out.select("trimmed", *[F.col("q")[i].alias(n) for i, n in enumerate(("min", "q1", "median", "q3", "max"))], "mean")
 
 
+def target_length_rows(a: DataFrame, by: str = "run", most: int = 600) -> DataFrame:
+    """by, and target_length_ with min, q1, median, mean, q3, max of the insert sizes of usable records under `most`, from mergeable states."""
+    rows = a.where(R.usable(F.col("flag")) & (F.abs("isize") < most)).select(by, F.abs("isize").alias("x"))
+    state = quantile_state(rows, [by], "x")
+    told = state_quantiles(state, [by]).select(by, *[F.col("quantiles")[i].alias(f"target_length_{n}") for i, n in enumerate(("min", "q1", "median", "q3", "max"))])
+    mean = state.groupBy(by).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("target_length_mean"))
+    return told.join(mean, by)
+
+
 def mark_duplicates(a: DataFrame) -> DataFrame:
     """a with is_dup, by fragments (qname, mate, chrom, pos, strand, cigar, mapq, nm).
 
@@ -88,11 +98,11 @@ def mark_duplicates(a: DataFrame) -> DataFrame:
     return a.join(dups, named, "left").select(*[a[c] for c in a.columns], F.coalesce("_dup", F.lit(False)).alias("is_dup"))
 
 
-def variant_statistics(v: DataFrame) -> DataFrame:
-    """variants, snvs and the counts of the twelve substitutions."""
+def variant_statistics(v: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """variants, snvs and the counts of the twelve substitutions, in one row or one for each value of `by`."""
     snv = (F.length("ref") == 1) & (F.length("alt") == 1)
     pairs = [(x, y) for x in "ACGT" for y in "ACGT" if x != y]
-    return v.agg(F.count(F.lit(1)).alias("variants"), F.count_if(snv).alias("snvs"), *[F.count_if(snv & (F.col("ref") == x) & (F.col("alt") == y)).alias(f"{x}_{y}") for x, y in pairs])
+    return v.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("variants"), F.count_if(snv).alias("snvs"), *[F.count_if(snv & (F.col("ref") == x) & (F.col("alt") == y)).alias(f"{x}_{y}") for x, y in pairs])
 
 
 def variant_quantiles(v: DataFrame) -> DataFrame:

@@ -981,6 +981,26 @@ def summary_matrix(spark, d):
 _NORMALISED = ", ".join(f'round({c} / {w} * 100, 6) AS "{c}/{k}"' for k, w in (("total", "total_reads"), ("processed", "processed_reads"), ("analyzed", "analyzed")) for c in _NAMES)
 
 
+@query("variant_matrix", "variants", """,
+v AS (SELECT sample AS run, count(*) AS variants, count(*) FILTER (ref = 'A' AND alt = 'G') AS ag, count(*) FILTER (ref = 'T' AND alt = 'C') AS tc FROM variants GROUP BY sample)
+SELECT run, variants::DOUBLE AS variants, ag::DOUBLE AS "A_G", tc::DOUBLE AS "T_C" FROM v""")
+def variant_matrix(spark, d):
+    """The matrix of variant summaries, a row a run."""
+    rows = Q.as_summary(S.variant_statistics(views.variants(spark, d), ["sample"]), by="sample")
+    return Q.summary_matrices({"variants": rows}, {"variants": ["variants", "A_G", "T_C"]})["variants"]
+
+
+@query("target_length_matrix", "alignments", """,
+u AS (SELECT run, abs(isize)::DOUBLE AS x FROM alignments WHERE flag & 512 = 0 AND flag & 1024 = 0 AND abs(isize) < 600)
+SELECT run, quantile_cont(x, 0.0) AS target_length_min, quantile_cont(x, 0.25) AS target_length_q1, quantile_cont(x, 0.5) AS target_length_median, quantile_cont(x, 0.75) AS target_length_q3,
+  quantile_cont(x, 1.0) AS target_length_max, round(avg(x), 6) AS target_length_mean FROM u GROUP BY run""")
+def target_length_matrix(spark, d):
+    """The matrix of target lengths, a row a run."""
+    rows = Q.as_summary(S.target_length_rows(views.alignments(spark, d)))
+    names = [f"target_length_{n}" for n in ("min", "q1", "median", "q3", "max", "mean")]
+    return Q.summary_matrices({"target_lengths": rows}, {"target_lengths": names})["target_lengths"].withColumn("target_length_mean", F.round("target_length_mean", 6))
+
+
 @query("normalised_matrix", "alignments features", f",\n{_READ_MATRIX} SELECT run, {_NORMALISED} FROM rm")
 def normalised_matrix(spark, d):
     out = Q.normalised(_read_matrix(spark, d))
