@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.operators.intervals import left_side, merge_adjacent, overlap_join, right_side, running
@@ -20,6 +20,10 @@ def feature_widths(features: DataFrame) -> DataFrame:
     return merged.groupBy("feature_set", "name").agg(F.sum(F.col("end") - F.col("start") + 1).cast("long").alias("width"))
 
 
+def _shift(way: str, value: Column, by: Column) -> Column:
+    return F.call_function(f"shift{way}", value, by)
+
+
 def _at_least_one(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
     """feature_set, name, count: reads that overlap each range, for features of one range; those without reads may be missing.
 
@@ -71,9 +75,23 @@ def count_features_by(features: DataFrame, blocks: DataFrame, by: str = "run") -
     return counts.select(parts[0].cast(kind).alias(by), parts[1].alias("feature_set"), "name", "count", "width")
 
 
-def reads_by_set(features: DataFrame, blocks: DataFrame) -> DataFrame:
-    """feature_set, nbreads: distinct reads that hit any feature of the set."""
-    return feature_hits(features, blocks).select("feature_set", "groupid").distinct().groupBy("feature_set").agg(F.count(F.lit(1)).alias("nbreads"))
+def reads_by_set(features: DataFrame, blocks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, feature_set, nbreads: distinct reads that hit any feature of the set, for each value of columns of the blocks.
+
+    A set's features are merged first, and the sets that a place hits are found once for all blocks
+    there, as bits of numbers of 63 sets each. So a read is grouped once for 63 sets, and no pair of a read and a feature is made.
+    """
+    names = features.select("feature_set").distinct().withColumn("_set", F.row_number().over(Window.orderBy("feature_set")) - 1)  # sets, not features
+    numbered = features.select("feature_set", "chrom", "start", "end").alias("f").join(F.broadcast(names.alias("n")), F.col("f.feature_set").eqNullSafe(F.col("n.feature_set"))).select("_set", "chrom", "start", "end")
+    place = ["chrom", "start", "end"]
+    met = overlap_join(left_side(merge_adjacent(numbered, ["_set", "chrom"])), right_side(blocks.select(*place).distinct()))
+    bit = _shift("left", F.lit(1).cast("long"), (F.col("_set") % 63).cast("int"))
+    hit = met.groupBy("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"), F.floor(F.col("_set") / 63).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    reads = blocks.select(*by, "groupid", *place).join(hit, place).groupBy(*by, "groupid", "_word").agg(F.bit_or("_bits").alias("_bits"))
+    alike = reads.groupBy(*by, "_word", "_bits").agg(F.count("groupid").alias("n"))
+    each = alike.withColumn("_bit", F.explode(F.sequence(F.lit(0), F.lit(62)))).where(_shift("right", F.col("_bits"), F.col("_bit")) % 2 != 0)
+    told = each.groupBy(*by, (F.col("_word") * 63 + F.col("_bit")).alias("_set")).agg(F.sum("n").alias("nbreads"))
+    return told.join(F.broadcast(names), "_set").select(*by, "feature_set", "nbreads")
 
 
 def add_rpkm(counts: DataFrame, analyzed: DataFrame) -> DataFrame:

@@ -941,8 +941,7 @@ def _gene_reads(spark, d, by):
     kinds = {"Brand#11": "gene", "Brand#12": "exon", "Brand#13": "gene_coding", "Brand#14": "gene_exonic", "Brand#15": "intergenic"}
     names = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
     features = views.features(spark, d).withColumn("feature_set", F.coalesce(names[F.col("feature_set")], F.col("feature_set")))
-    pairs = I.overlap_join(I.left_side(features.select("feature_set", "chrom", "start", "end")), I.right_side(views.blocks(spark, d).select("groupid", "chrom", "start", "end", "run")))
-    return pairs.groupBy(*by, "feature_set").agg(F.countDistinct("groupid").alias("nbreads"))
+    return C.reads_by_set(features, views.blocks(spark, d), tuple(by))
 
 
 _KINDS_SQL = """kinds AS (SELECT *, CASE feature_set WHEN 'Brand#11' THEN 'gene' WHEN 'Brand#12' THEN 'exon' WHEN 'Brand#13' THEN 'gene_coding' WHEN 'Brand#14' THEN 'gene_exonic' WHEN 'Brand#15' THEN 'intergenic' ELSE feature_set END AS kind FROM features),
