@@ -24,41 +24,60 @@ def _shift(way: str, value: Column, by: Column) -> Column:
     return F.call_function(f"shift{way}", value, by)
 
 
-def _at_least_one(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
-    """feature_set, name, count: reads that overlap each range, for features of one range; those without reads may be missing.
+def _at_least_one(shapes: DataFrame, blocks: DataFrame) -> DataFrame:
+    """chrom, start, end, count: reads that overlap each of the ranges (chrom, start, end; none twice), zero too.
 
     Blocks that overlap a range are those that start up to its end, less those that end before its
-    start: two running sums, looked up at the ends of ranges. Of a read's blocks, sorted and apart,
-    a range overlaps neighbours; so a read counts once if each neighbouring pair that the range
-    overlaps takes one away. Only such pairs meet ranges in a join.
+    start. A read's blocks, joined where they overlap, lie apart, and a range overlaps neighbours of them; so
+    a read counts once if each neighbouring pair that the range holds takes one away: the end of
+    the first lies from the range's start on, the start of the second up to its end. Starts of the
+    second are kept in blocks of 1, 2, 4, ... positions (levels 0, 1, 2, ...), of which each range takes at most two
+    a level; within a block, pairs are summed from the last end of a first down. Level -1 holds
+    starts, level -2 ends. So no pair of a read and a range is ever made.
     """
+    widest = shapes.agg(F.coalesce(F.max(F.col("end") - F.col("start")), F.lit(0)).cast("long").alias("_widest"))
+    widest = F.broadcast(widest.withColumn("_levels", F.sequence(F.lit(0), F.floor(F.log2(F.greatest("_widest", F.lit(1)))).cast("int"))))
     of_read = Window.partitionBy("groupid", "chrom").orderBy("start", "end")
+    long = lambda c: F.col(c).cast("long")
+    row = lambda level, block, at, sign: F.struct(level.cast("int").alias("level"), block.cast("long").alias("block"), at.cast("long").alias("at"), F.lit(sign).alias("sign"))
+    only = lambda test, rows: F.when(test, rows).otherwise(F.slice(rows, 1, 0))
+    one = lambda level, at, sign=1: F.array(row(F.lit(level), F.lit(0), at, sign))
+
     reach = F.max("end").over(of_read.rowsBetween(Window.unboundedPreceding, -1))
-    islands = blocks.select("groupid", "chrom", "start", "end", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int").alias("new")).withColumn("island", F.sum("new").over(of_read))
-    apart = islands.groupBy("groupid", "chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    apart = apart.withColumn("following", F.lead("start").over(Window.partitionBy("groupid", "chrom").orderBy("start")))
-    event = lambda df, at, s, e: df.select("chrom", F.col(at).cast("long").alias("at"), F.lit(s).alias("starts"), F.lit(e).alias("ends"))
-    ends = ranges.select("chrom", F.col("end").cast("long").alias("end"), (F.col("start") - 1).cast("long").alias("before"))
-    events = event(apart, "start", 1, 0).union(event(apart, "end", 0, 1)).union(event(ends, "end", 0, 0)).union(event(ends, "before", 0, 0))
-    sums = running(events.groupBy("chrom", "at").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends")), ["chrom"], ["starts", "ends"])
-    upto = sums.select("chrom", F.col("at").alias("_end"), F.col("sum_starts").alias("_started"))
-    past = sums.select("chrom", F.col("at").alias("_before"), F.col("sum_ends").alias("_ended"))
-    met = ranges.withColumns({"_end": F.col("end").cast("long"), "_before": (F.col("start") - 1).cast("long")}).join(upto, ["chrom", "_end"]).join(past, ["chrom", "_before"])
-    hit = met.select("feature_set", "name", (F.col("_started") - F.col("_ended")).alias("count"))
-    pairs = apart.where("following is not null").select("chrom", F.col("end").alias("l_start"), F.col("end").alias("l_end"), "following")
-    twice = overlap_join(pairs, right_side(ranges)).where(F.col("following") <= F.col("r_end")).groupBy("feature_set", "name").agg((-F.count(F.lit(1))).alias("count"))
-    return hit.unionByName(twice).groupBy("feature_set", "name").agg(F.sum("count").alias("count"))
+    apart = blocks.select("groupid", "chrom", long("start").alias("start"), long("end").alias("end")).withColumns({"reach": reach, "last": F.lead("start").over(of_read).isNull()}).join(widest)
+    first, later = F.col("reach").isNull(), F.col("start") > F.col("reach")
+    pair = F.transform("_levels", lambda k: row(k, _shift("right", F.col("start"), k), -F.col("reach"), 1))
+    edges = F.concat(only(first | later, one(-1, F.col("start"))), only(later, one(-2, F.col("reach"))), only(F.col("last"), one(-2, F.greatest("end", "reach"))), only(later & (F.col("start") - F.col("reach") <= F.col("_widest")), pair))
+    events = apart.select("chrom", F.inline(edges)).groupBy("chrom", "level", "block", "at").agg(F.count(F.lit(1)).alias("n"))
+
+    def taken(k: Column) -> Column:
+        low = _shift("right", F.col("start") + _shift("left", F.lit(1).cast("long"), k), k)  # the first block that begins past the range's start
+        high = _shift("right", F.col("end") + 1, k)
+        odd = lambda n: (low < high) & (n % 2 != 0)
+        return F.concat(only(odd(low), F.array(row(k, low, -F.col("start"), -1))), only(odd(high), F.array(row(k, high - 1, -F.col("start"), -1))))
+
+    asked = shapes.select("chrom", long("start").alias("start"), long("end").alias("end")).join(widest)
+    asked = asked.select("chrom", "start", "end", F.inline(F.concat(one(-1, F.col("end")), one(-2, F.col("start") - 1, -1), F.flatten(F.transform("_levels", taken)))))
+    key = ["chrom", "level", "block", "at"]
+    both = events.unionByName(asked.select(*key, F.lit(0).cast("long").alias("n"))).groupBy(*key).agg(F.sum("n").alias("n"))
+    sums = running(both, key[:3], ["n"]).select(*key, "sum_n")
+    return asked.join(sums, key).groupBy("chrom", "start", "end").agg(F.sum(F.col("sign") * F.col("sum_n")).alias("count"))
 
 
 def count_features(features: DataFrame, blocks: DataFrame) -> DataFrame:
     """feature_set, name, count, width: reads (groupid) that overlap each feature, strands ignored; features without reads have 0."""
-    rows = features.select("feature_set", "name", "chrom", "start", "end")
+    place = ["chrom", "start", "end"]
     key = ["feature_set", "name"]
-    shape = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("chrom").alias("chrom"), F.min("start").alias("start"), F.min("end").alias("end"))
-    one = _at_least_one(shape.where("_n = 1").drop("_n"), blocks)
-    several = feature_hits(rows.join(shape.where("_n > 1").select(*key), key, "left_semi"), blocks).groupBy(*key).agg(F.count(F.lit(1)).alias("count"))
-    counts = one.unionByName(several)
-    return feature_widths(features).join(counts, key, "left").select(*key, F.coalesce("count", F.lit(0)).cast("long").alias("count"), "width")
+    rows = features.select(*key, *place).where("feature_set is not null and name is not null and chrom is not null and end >= start")
+    shape = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in place])
+    single = shape.where("_n = 1").select(*key, "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    one = single.join(_at_least_one(single.select(*place).distinct(), blocks), place, "left").select(*key, "count", (F.col("end") - F.col("start") + 1).alias("width"))
+    several = rows.join(shape.where("_n > 1").select(*key), key, "left_semi")
+    reached = F.broadcast(several.groupBy("chrom").agg(F.min("start").alias("_low"), F.max("end").alias("_high")))
+    near = blocks.join(reached, "chrom").where("start <= _high and end >= _low").select("groupid", *place)
+    hit = feature_hits(several, near).groupBy(*key).agg(F.count(F.lit(1)).alias("count"))
+    counts = one.unionByName(feature_widths(several).join(hit, key, "left").select(*key, "count", "width"))
+    return counts.select(*key, F.coalesce("count", F.lit(0)).cast("long").alias("count"), "width")
 
 
 def count_features_by(features: DataFrame, blocks: DataFrame, by: str = "run") -> DataFrame:
