@@ -119,7 +119,7 @@ def chain_windows(found: DataFrame, reads: DataFrame, k: int = K, longest_intron
     return both.mapInArrow(work, "id string, chain int, chrom string, strand string, seq string, part int, start long, width long")
 
 
-_PLACED = "id string, chain int, chrom string, strand string, pos long, end long, cigar string, nm int, score int, length int, low int, high int"
+_PLACED = "id string, chain int, chrom string, strand string, pos long, end long, cigar string, nm int, score int, length int, low int, high int, piece boolean"
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,18 +143,20 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, a in zip(some, gapped.align([seqs[i] for i in some], [windows[i] for i in some])):
                 if a is not None:
                     n, plus = len(seqs[i]), table["strand"][i] == "+"
-                    span = (a.low, a.high) if plus else (n - a.high, n - a.low)
-                    rows.append((*(table[c][i] for c in ("id", "chain", "chrom", "strand")), a.pos + 1, a.end, a.cigar, a.nm, a.score, n, *span))
+                    for b in (a, *(x for x in gapped.pieces(seqs[i], windows[i], a) if x.high - x.low >= PIECE)):
+                        span = (b.low, b.high) if plus else (n - b.high, n - b.low)
+                        rows.append((*(table[c][i] for c in ("id", "chain", "chrom", "strand")), b.pos + 1, b.end, b.cigar, b.nm, b.score, n, *span, b is not a))
             first = last
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 12, kinds)], names=names)
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 13, kinds)], names=names)
 
 
 def placements(reads: DataFrame, references: DataFrame, longest_intron: int = LONGEST_INTRON, common: int = COMMON, k: int = K, w: int = W) -> DataFrame:
     """Every candidate placement of each read (id, seq; ids unique, as strings) on references (chrom, ref).
 
     id, chain, chrom, strand, pos and end (from 1, closed), cigar (M, I, D, N, S), nm, score, length,
-    low and high (the bases of the read as sequenced that it covers). Reads that are null, empty,
+    low and high (the bases of the read as sequenced that it covers); and, marked as piece, the parts
+    without gaps of placements with gaps or introns, for split reads. Reads that are null, empty,
     without seeds or without places have no row. A read longer than REACH - 2 * PAD bases fails the task.
     """
     tiles = cut_tiles(references)
@@ -170,7 +172,7 @@ def placements(reads: DataFrame, references: DataFrame, longest_intron: int = LO
 
 def best_placements(placed: DataFrame) -> DataFrame:
     """The best placements of each read, with hits (how many there are) and mapq. Chains that led to the same place count once."""
-    rows = placed.groupBy("id").agg(F.collect_set(F.struct("score", "chrom", "pos", "strand", "cigar", "end", "nm", "length", "low", "high")).alias("all"))
+    rows = placed.where("not piece").groupBy("id").agg(F.collect_set(F.struct("score", "chrom", "pos", "strand", "cigar", "end", "nm", "length", "low", "high")).alias("all"))
     top = F.array_max(F.transform("all", lambda x: x["score"]))
     best = F.filter("all", lambda x: x["score"] == top)
     other = F.array_max(F.transform(F.filter("all", lambda x: x["score"] < top), lambda x: x["score"]))
@@ -185,22 +187,24 @@ def split_placements(placed: DataFrame, longest_intron: int = LONGEST_INTRON) ->
     first is the placement of the read's front. kind is `circular` where both lie on one strand
     of one chromosome, within an intron's length but in the opposite order, else `transloc`.
     Bases that both parts cover count for one of them only. hits counts the equally good ways
-    to split the read; the first by place is given.
+    to split the read; the first by place is given. Parts of one chain are none of two places.
     """
-    one = F.struct("low", "high", "score", "chrom", "strand", "pos", "end", "cigar", "nm")
+    fields = ["low", "high", "score", "chrom", "strand", "pos", "end", "cigar", "nm"]
+    one = F.struct(*fields, "chain")
+    plain = lambda x: F.struct(*[x[c].alias(c) for c in fields])
     rows = placed.groupBy("id", "length").agg(F.collect_set(one).alias("all"))
     top = F.array_max(F.transform("all", lambda x: x["score"]))
     parts = F.filter("all", lambda x: (x["high"] - x["low"] >= PIECE) & (x["high"] - x["low"] <= F.col("length") - PIECE))
     fronts, backs = F.filter(parts, lambda x: x["low"] <= SLACK), F.filter(parts, lambda x: x["high"] >= F.col("length") - SLACK)
 
     def with_backs(x: Column) -> Column:
-        meet = lambda y: (y["low"] - x["high"] <= SLACK) & (y["low"] > x["low"]) & (y["high"] > x["high"])
+        meet = lambda y: (y["low"] - x["high"] <= SLACK) & (y["low"] > x["low"]) & (y["high"] > x["high"]) & (y["chain"] != x["chain"])
         both = lambda y: F.greatest(x["high"] - y["low"], F.lit(0)) * MATCH
-        return F.transform(F.filter("backs", meet), lambda y: F.struct((x["score"] + y["score"] - both(y)).alias("score"), x.alias("first"), y.alias("second")))
+        return F.transform(F.filter("backs", meet), lambda y: F.struct((x["score"] + y["score"] - both(y)).alias("score"), plain(x).alias("first"), plain(y).alias("second")))
 
     told = rows.withColumns({"fronts": fronts, "backs": backs, "top": top}).withColumn("pairs", F.flatten(F.transform("fronts", with_backs)))
     most = F.array_max(F.transform("pairs", lambda p: p["score"]))
-    best = told.withColumn("best", F.sort_array(F.filter("pairs", lambda p: p["score"] == most))).where((F.size("best") > 0) & (F.get("best", F.lit(0))["score"] >= F.col("top") + PIECE))
+    best = told.withColumn("best", F.sort_array(F.array_distinct(F.filter("pairs", lambda p: p["score"] == most)))).where((F.size("best") > 0) & (F.get("best", F.lit(0))["score"] >= F.col("top") + PIECE))
     chosen = best.select("id", F.size("best").alias("hits"), F.get("best", F.lit(0)).alias("p")).select("id", "hits", "p.first", "p.second")
     a, b = F.col("first"), F.col("second")
     near = (a["chrom"] == b["chrom"]) & (a["strand"] == b["strand"]) & (F.abs(a["pos"] - b["pos"]) <= longest_intron)

@@ -182,3 +182,27 @@ def test_pair_categories(spark):
     rows = lambda at: [(str(i), k, 1, c, int(a), int(b), s) for i, case in enumerate(cases) for k, c, a, b, s in [case[at].split()]]
     got = G.pair_categories(spark.createDataFrame(rows(0), fields), spark.createDataFrame(rows(1), fields), concordant=500)
     assert {r["id"]: r["category"] for r in got.collect()} == {str(i): c[2] for i, c in enumerate(cases)}
+
+
+def test_halves_that_go_on_by_chance_are_still_split(spark):
+    """Halves of reads of the catalogue's reference whose best placement goes on past the break, over an intron or gaps found by chance."""
+    from strandlake.plans import views
+
+    reads = [
+        ("a", "TCGATTAAGGCGCATCGCTTTAATCCTGTCTATTGAGGTTGGATCGCCCCAAAACTTCAA", "circular", "chr1", 503), ("b", "ATACTTAAGGCGGCGCTAGCGCGCGAGTATCCCCACTGGGAACATCGTTTCGCATTTGGC", "transloc", "chr3", 15192),
+        ("c", "TAAGGCGGCGCTAGCGCGCGAGTATGCCCACTGGGAACATCGTTTCGCATTTGGCACGGA", "transloc", "chr3", 15197), ("d", "CGGTGCGTTACTACTTGCACGAACCTCATCTTTCCATTAAATGCGGACGTGAGACCAGAG", "transloc", "chr3", 1877),
+    ]
+    df = spark.createDataFrame([r[:2] for r in reads], "id string, seq string")
+    kinds = G.read_categories(G.placements(df, views.sequences(spark), longest_intron=2_000), df, 2_000).collect()
+    assert sorted((k["id"], k["kind"], k["chrom"], k["pos"]) for k in kinds) == [(i, kind, c, p) for i, _, kind, c, p in reads]
+
+
+def test_pieces_reach_as_far_as_a_diagonal_goes():
+    read = REF[1000:1030] + REF[1340:1380]
+    windows = [(990, REF[990:1060]), (1320, REF[1320:1400])]
+    (whole,) = K.align([read], [windows])
+    found = K.pieces(read, windows, whole)
+    assert [(p.pos, p.end, p.low, p.high) for p in found if p.nm == 0][0][0] == 1000 and {p.pos + 70 - p.low for p in found} == {1070, 1380}
+    assert all(p.score <= whole.score + K.INTRON for p in found)
+    (plain,) = K.align([REF[1000:1080]], [[(990, REF[990:1100])]])
+    assert K.pieces(REF[1000:1080], [(990, REF[990:1100])], plain) == []
