@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
-from strandlake.operators.intervals import TILE, left_side, merge_adjacent, overlap_join, right_side, sweep
+from strandlake.functions.pileup import count_bases
+from strandlake.operators.intervals import BIN, TILE, merge_adjacent, sweep
 from strandlake.operators.quantiles import quantile_state, state_quantiles
 
 
@@ -112,18 +113,21 @@ def variant_quantiles(v: DataFrame) -> DataFrame:
     return q.select(F.posexplode(F.arrays_zip("n", "f")).alias("i", "x")).select((F.col("i") * 5).alias("percent"), F.col("x.n").alias("nalt"), F.col("x.f").alias("fraction"))
 
 
-def _hits(v: DataFrame, regions: DataFrame) -> DataFrame:
-    points = v.select("chrom", F.col("pos").alias("l_start"), F.col("pos").alias("l_end")).distinct()
-    return overlap_join(points, right_side(regions.select("chrom", "start", "end"))).select("chrom", F.col("l_start").alias("pos")).distinct()
+def _marked(v: DataFrame, regions: DataFrame) -> DataFrame:
+    """v with _hit: whether its position lies in a region. v is read once and stays one row a row; a bin holds its merged regions."""
+    merged = merge_adjacent(regions.select("chrom", "start", "end"), ["chrom"])
+    held = merged.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN)))).groupBy("chrom", "_bin").agg(F.collect_list(F.struct("start", "end")).alias("_held"))
+    met = v.withColumn("_bin", F.floor(F.col("pos") / BIN)).join(held, ["chrom", "_bin"], "left")
+    return met.select(*[v[c] for c in v.columns], F.coalesce(F.exists("_held", lambda r: F.col("pos").between(r["start"], r["end"])), F.lit(False)).alias("_hit"))
 
 
 def outside(v: DataFrame, regions: DataFrame) -> DataFrame:
     """Variants at no position of the regions, whatever their strand."""
-    return v.join(_hits(v, regions), ["chrom", "pos"], "left_anti")
+    return _marked(v, regions).where(~F.col("_hit")).drop("_hit")
 
 
 def inside(v: DataFrame, regions: DataFrame) -> DataFrame:
-    return v.join(_hits(v, regions), ["chrom", "pos"], "left_semi")
+    return _marked(v, regions).where("_hit").drop("_hit")
 
 
 def tally(v: DataFrame) -> DataFrame:
@@ -149,21 +153,33 @@ def bases(alignments: DataFrame, offset: int = 33, indels: bool = True) -> DataF
     return out.unionByName(ins).unionByName(gone)
 
 
+def base_counts(alignments: DataFrame, least_quality: int = 23, offset: int = 33, indels: bool = True) -> DataFrame:
+    """chrom, pos, base, n: how often each of `bases` is there with quality least_quality at least.
+
+    No base is a row: tasks count them in Arrow batches, and the counts are added up, dealt by position.
+    """
+    a = alignments.where(R.usable(F.col("flag"))).select("chrom", F.col("pos").cast("long").alias("pos"), "cigar", "seq", "qual").dropna(subset=["chrom", "pos", "cigar", "qual"])
+    counted = a.mapInArrow(count_bases(least_quality, offset, indels), "chrom string, pos long, base string, n long")
+    return counted.repartition("chrom", "pos").groupBy("chrom", "pos", "base").agg(F.sum("n").alias("n"))
+
+
 def pileup(alignments: DataFrame, reference: DataFrame, least_quality: int = 23, indels: bool = True, mask: DataFrame | None = None, which: DataFrame | None = None) -> DataFrame:
     """chrom, pos, ref, alt, alt_depth, ref_depth, records: other bases than the reference's (chrom, pos, ref), of quality least_quality at least.
 
     records is the depth of all bases of that quality. Positions in the mask are left out; with
-    `which` only positions in those regions count. Bases are added up before anything is joined.
+    `which` only positions in those regions count. Bases are added up before anything is joined,
+    and a position's bases stay together, so the alignments are read once.
     """
-    counted = bases(alignments, indels=indels).where(F.col("quality") >= least_quality).groupBy("chrom", "pos", "base").agg(F.count(F.lit(1)).alias("n"))
+    sites = base_counts(alignments, least_quality, indels=indels).groupBy("chrom", "pos").agg(F.collect_list(F.struct("base", "n")).alias("seen"))
     if mask is not None:
-        counted = outside(counted, mask)
+        sites = outside(sites, mask)
     if which is not None:
-        counted = inside(counted, which)
-    met = counted.join(reference.select("chrom", "pos", "ref"), ["chrom", "pos"])
-    plain = ~F.substr("base", F.lit(1), F.lit(1)).isin("+", "-")
-    depth = met.groupBy("chrom", "pos").agg(F.sum(F.when(F.col("base") == F.col("ref"), F.col("n")).otherwise(0)).alias("ref_depth"), F.sum(F.when(plain, F.col("n")).otherwise(0)).alias("records"))
-    return met.where(F.col("base") != F.col("ref")).join(depth, ["chrom", "pos"]).select("chrom", "pos", "ref", F.col("base").alias("alt"), F.col("n").alias("alt_depth"), "ref_depth", "records")
+        sites = inside(sites, which)
+    met = sites.join(reference.select("chrom", "pos", "ref"), ["chrom", "pos"])
+    total = lambda test: F.aggregate(F.filter("seen", test), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    plain = lambda x: ~F.substr(x["base"], F.lit(1), F.lit(1)).isin("+", "-")
+    told = met.select("chrom", "pos", "ref", F.explode(F.filter("seen", lambda x: x["base"] != F.col("ref"))).alias("s"), total(lambda x: x["base"] == F.col("ref")).alias("ref_depth"), total(plain).alias("records"))
+    return told.select("chrom", "pos", "ref", F.col("s.base").alias("alt"), F.col("s.n").alias("alt_depth"), "ref_depth", "records")
 
 
 def _likelihood_ratio() -> Column:

@@ -105,6 +105,37 @@ def test_pileup_with_indels_and_quality(spark):
     assert all(not a.startswith(("+", "-")) for _, a in ((r.pos, r.alt) for r in S.pileup(table(spark, rows, schema), reference, indels=False).collect()))
 
 
+def test_pileup_counts_what_the_bases_are_and_reads_once(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    from strandlake.functions import pileup as K
+
+    rnd = random.Random(3)
+    rows = []
+    for _ in range(300):
+        cigar = "".join(f"{rnd.randint(1, 9)}{rnd.choice('MMMIDNS=XH')}" for _ in range(rnd.randint(1, 6)))
+        size = 60 if rnd.random() < 0.8 else rnd.randint(0, 20)  # some are shorter than their CIGAR says
+        letters = lambda of: "".join(rnd.choice(of) for _ in range(size))  # noqa: E731, B023
+        rows.append((rnd.choice([0, 0, 512]), rnd.choice(["x", "y", None]), rnd.choice([None, *range(1, 90)]), rnd.choice([cigar, cigar, None]), letters("ACGTN"), rnd.choice([letters("#5I"), None])))
+    rows.append((0, "x", 1, "3M2D3M", None, "IIIIII"))
+    schema = "flag int, chrom string, pos int, cigar string, seq string, qual string"
+    a = table(spark, rows, schema)
+    want = Counter((r.chrom, r.pos, r.base) for r in S.bases(a).where("quality >= 20 and chrom is not null and pos is not null and base is not null").collect())
+    assert {(r.chrom, r.pos, r.base): r.n for r in S.base_counts(a, 20).collect()} == want and len(want) > 150
+    # small steps and a full tally change nothing
+    monkeypatch.setattr(K, "STEP", 16)
+    monkeypatch.setattr(K, "HELD", 64)
+    told = Counter()
+    for batch in K.count_bases(20, 33, True)(a.where("flag = 0").select("chrom", F.col("pos").cast("long"), "cigar", "seq", "qual").dropna(subset=["chrom", "pos", "cigar", "qual"]).toArrow().to_batches(50)):
+        for r in batch.to_pylist():
+            told[r["chrom"], r["pos"], r["base"]] += r["n"]
+    assert told == want
+    reference, mask = (table(spark, [("x", 1, 5)], f"chrom string, {c}").drop("n") for c in ("pos long, n int", "start int, end int"))
+    plan = S.pileup(a, reference.withColumn("ref", F.lit("A")), mask=mask)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("qual#") and plan.count("MapInArrow") == 1 and "Generate explode(sequence(0" not in plan
+
+
 def test_neighbours_across_tiles_and_known_sites(spark):
     edge = S.TILE
     calls = table(spark, [("x", p, "A", "G") for p in [*range(edge - 15, edge + 15), 5]], "chrom string, pos int, ref string, alt string")
