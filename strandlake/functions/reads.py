@@ -102,6 +102,11 @@ def usable(flag: Column) -> Column:
     return (flag.bitwiseAND(512) == 0) & (flag.bitwiseAND(1024) == 0)
 
 
+def _number(text: Column, pattern: str) -> Column:
+    """The digits that a pattern's group takes, 0 where it takes none: a cast of an empty text would cost an exception a row, even as try_cast."""
+    return F.concat(F.lit("0"), F.regexp_extract(text, pattern, 1)).try_cast("int")
+
+
 def cigar_blocks(pos: Column, cigar: Column) -> Column:
     """The aligned blocks (start, end, closed): N parts blocks, M, D, = and X move on, other operations do not."""
     steps = F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHPX=])"), F.lit(0))
@@ -117,14 +122,14 @@ def cigar_blocks(pos: Column, cigar: Column) -> Column:
 
     last = lambda s: F.when(s["at"] > s["from"], F.concat(s["out"], F.array(F.struct(s["from"].alias("start"), (s["at"] - 1).alias("end"))))).otherwise(s["out"])
     # most records are one run of matches, perhaps clipped, and need no fold
-    only = F.regexp_extract(cigar, r"^(?:\d+[SH])*(\d+)[M=X](?:\d+[SH])*$", 1)
-    one = F.array(F.struct(pos.cast("int").alias("start"), (pos + only.try_cast("int") - 1).cast("int").alias("end")))
-    return F.when(only.try_cast("int") > 0, one).otherwise(F.aggregate(steps, begin, step, last))
+    only = _number(cigar, r"^(?:\d+[SH])*(\d+)[M=X](?:\d+[SH])*$")
+    one = F.array(F.struct(pos.cast("int").alias("start"), (pos + only - 1).cast("int").alias("end")))
+    return F.when(only > 0, one).otherwise(F.aggregate(steps, begin, step, last))
 
 
 def five_prime(pos: Column, cigar: Column, strand: Column) -> Column:
     """Where a record's read begins, clipped bases put back: its first base on the plus strand, its last on the minus strand."""
-    size = lambda pattern: F.coalesce(F.regexp_extract(cigar, pattern, 1).try_cast("int"), F.lit(0))
+    size = lambda pattern: F.coalesce(_number(cigar, pattern), F.lit(0))
     under = F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0), lambda a, x: a + x.cast("int"))
     ahead = size(r"^(\d+)S") + size(r"^(\d+)H") + size(r"^\d+H(\d+)S")
     behind = size(r"(\d+)S$") + size(r"(\d+)H$") + size(r"(\d+)S\d+H$")

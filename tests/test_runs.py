@@ -159,6 +159,17 @@ def test_reads_are_counted_once_for_each_feature(spark):
     assert {(r.feature_set, r.name): r["count"] for r in got.collect()} == {k: len(v) for k, v in want.items()}
 
 
+def test_numbers_of_cigars_are_cast_without_exceptions(spark):
+    """An empty text under try_cast is an exception a row; the digits go behind a 0, so there is none."""
+    from strandlake.functions import reads as R
+
+    a = table(spark, [(5, "3S4M2S", "-"), (5, "4M", "+"), (5, "2M9N2M", "+"), (5, "99999999999S4M", "+"), (5, None, "+")], "pos int, cigar string, strand string")
+    told = a.select(R.five_prime(F.col("pos"), F.col("cigar"), F.col("strand")).alias("five"), R.cigar_blocks(F.col("pos"), F.col("cigar")).alias("blocks"))
+    assert [(r.five, r.blocks and [tuple(b) for b in r.blocks]) for r in told.collect()] == [(10, [(5, 8)]), (5, [(5, 8)]), (5, [(5, 6), (16, 17)]), (5, [(5, 8)]), (5, None)]
+    plan = told._jdf.queryExecution().analyzed().toString()
+    assert "try_cast(concat(0, regexp_extract(" in plan and "try_cast(regexp_extract(" not in plan
+
+
 def test_duplicates_are_fragments(spark):
     """Clipped and unclipped copies of a fragment, pairs told apart by their other end, single records at an end of a pair."""
     rows = [
