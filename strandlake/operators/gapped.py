@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,12 +77,10 @@ def read_seeds(reads: DataFrame, k: int = K, w: int = W) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = batch.column(0), []
-            for n, seq in enumerate(batch.column(1).to_pylist()):
-                seq = (seq or "").encode()
-                rows += [(n, len(seq), int(s), int(a), bool(f)) for s, a, f in zip(*gapped.minimizers(seq, k, w))]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([ids.take(columns[0]), *columns[1:]], names=["id", "length", "seed", "at", "read_flip"])
+            seqs = [(seq or "").encode() for seq in batch.column(1).to_pylist()]
+            row, seeds, at, flip = gapped.minimizers_of(seqs, k, w)
+            sizes = np.array([len(s) for s in seqs], np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sizes[row]), pa.array(seeds), pa.array(at.astype(np.int32)), pa.array(flip)], names=["id", "length", "seed", "at", "read_flip"])
 
     return reads.select(F.col("id").cast("string").alias("id"), "seq").mapInArrow(find, "id string, length int, seed long, at int, read_flip boolean")
 
@@ -170,53 +169,72 @@ def placements(reads: DataFrame, references: DataFrame, longest_intron: int = LO
     return whole.mapInArrow(_aligned, _PLACED)
 
 
-def best_placements(placed: DataFrame) -> DataFrame:
-    """The best placements of each read, with hits (how many there are) and mapq. Chains that led to the same place count once."""
-    rows = placed.where("not piece").groupBy("id").agg(F.collect_set(F.struct("score", "chrom", "pos", "strand", "cigar", "end", "nm", "length", "low", "high")).alias("all"))
-    top = F.array_max(F.transform("all", lambda x: x["score"]))
-    best = F.filter("all", lambda x: x["score"] == top)
-    other = F.array_max(F.transform(F.filter("all", lambda x: x["score"] < top), lambda x: x["score"]))
-    quality = F.when(F.size("best") > 1, 0).otherwise(F.floor(60 * (1 - F.coalesce(other, F.lit(0)) / top))).cast("int")
-    told = rows.withColumn("best", best).select("id", F.size("best").alias("hits"), quality.alias("mapq"), F.explode(F.sort_array("best")).alias("b"))
-    return told.select("id", *[F.col(f"b.{c}").alias(c) for c in ("chrom", "pos", "end", "strand", "cigar", "nm", "score", "length", "low", "high")], "mapq", "hits")
+_FIELDS = ["low", "high", "score", "chrom", "strand", "pos", "end", "cigar", "nm"]
 
 
-def split_placements(placed: DataFrame, longest_intron: int = LONGEST_INTRON) -> DataFrame:
-    """id, kind, hits, first, second: reads whose two parts lie on different places, better together than any place of the whole.
+def by_read(placed: DataFrame, longest_intron: int = LONGEST_INTRON) -> DataFrame:
+    """id; best, its best placements by place, with mapq; and split (kind, hits, first, second), null where the read is not split.
 
-    first is the placement of the read's front. kind is `circular` where both lie on one strand
-    of one chromosome, within an intron's length but in the opposite order, else `transloc`.
-    Bases that both parts cover count for one of them only. hits counts the equally good ways
-    to split the read; the first by place is given. Parts of one chain are none of two places.
+    Placements are grouped once for both, so reads are aligned once. Chains that led to the same
+    place count once. A read without whole placements has none in best.
     """
-    fields = ["low", "high", "score", "chrom", "strand", "pos", "end", "cigar", "nm"]
-    one = F.struct(*fields, "chain")
-    plain = lambda x: F.struct(*[x[c].alias(c) for c in fields])
-    rows = placed.groupBy("id", "length").agg(F.collect_set(one).alias("all"))
-    top = F.array_max(F.transform("all", lambda x: x["score"]))
+    rows = placed.groupBy("id", "length").agg(F.collect_set(F.struct(*_FIELDS, "chain", "piece")).alias("all"))
+    plain = lambda x, *more: F.struct(*[x[c].alias(c) for c in (*_FIELDS, *more)])
+    whole = F.transform(F.filter("all", lambda x: ~x["piece"]), lambda x: F.struct(x["score"].alias("score"), *[x[c].alias(c) for c in ("chrom", "pos", "strand", "cigar", "end", "nm")], F.col("length"), x["low"].alias("low"), x["high"].alias("high")))
+    rows = rows.select("id", "length", F.array_distinct(whole).alias("whole"), F.array_distinct(F.transform("all", lambda x: plain(x, "chain"))).alias("all"))
+    rows = rows.withColumns({"whole_top": F.array_max(F.transform("whole", lambda x: x["score"])), "top": F.array_max(F.transform("all", lambda x: x["score"]))})
+
+    best = F.filter("whole", lambda x: x["score"] == F.col("whole_top"))
+    other = F.array_max(F.transform(F.filter("whole", lambda x: x["score"] < F.col("whole_top")), lambda x: x["score"]))
+
     parts = F.filter("all", lambda x: (x["high"] - x["low"] >= PIECE) & (x["high"] - x["low"] <= F.col("length") - PIECE))
-    fronts, backs = F.filter(parts, lambda x: x["low"] <= SLACK), F.filter(parts, lambda x: x["high"] >= F.col("length") - SLACK)
+    fronts, backs = F.filter("parts", lambda x: x["low"] <= SLACK), F.filter("parts", lambda x: x["high"] >= F.col("length") - SLACK)
 
     def with_backs(x: Column) -> Column:
         meet = lambda y: (y["low"] - x["high"] <= SLACK) & (y["low"] > x["low"]) & (y["high"] > x["high"]) & (y["chain"] != x["chain"])
         both = lambda y: F.greatest(x["high"] - y["low"], F.lit(0)) * MATCH
         return F.transform(F.filter("backs", meet), lambda y: F.struct((x["score"] + y["score"] - both(y)).alias("score"), plain(x).alias("first"), plain(y).alias("second")))
 
-    told = rows.withColumns({"fronts": fronts, "backs": backs, "top": top}).withColumn("pairs", F.flatten(F.transform("fronts", with_backs)))
+    told = rows.withColumns({"best": F.sort_array(best), "other": other, "parts": parts}).withColumns({"fronts": fronts, "backs": backs}).withColumn("pairs", F.flatten(F.transform("fronts", with_backs)))
     most = F.array_max(F.transform("pairs", lambda p: p["score"]))
-    best = told.withColumn("best", F.sort_array(F.array_distinct(F.filter("pairs", lambda p: p["score"] == most)))).where((F.size("best") > 0) & (F.get("best", F.lit(0))["score"] >= F.col("top") + PIECE))
-    chosen = best.select("id", F.size("best").alias("hits"), F.get("best", F.lit(0)).alias("p")).select("id", "hits", "p.first", "p.second")
-    a, b = F.col("first"), F.col("second")
+    told = told.withColumn("most", most).withColumn("ways", F.sort_array(F.array_distinct(F.filter("pairs", lambda p: p["score"] == F.col("most")))))
+    quality = F.when(F.size("best") > 1, 0).otherwise(F.floor(60 * (1 - F.coalesce("other", F.lit(0)) / F.col("whole_top")))).cast("int")
+    p = F.get("ways", F.lit(0))
+    a, b = p["first"], p["second"]
     near = (a["chrom"] == b["chrom"]) & (a["strand"] == b["strand"]) & (F.abs(a["pos"] - b["pos"]) <= longest_intron)
     turned = F.when(a["strand"] == "+", b["end"] < a["end"]).otherwise(b["end"] > a["end"])
-    return chosen.select("id", F.when(near & turned, "circular").otherwise("transloc").alias("kind"), "hits", "first", "second")
+    split = F.when((F.size("ways") > 0) & (F.col("most") >= F.col("top") + PIECE), F.struct(F.when(near & turned, "circular").otherwise("transloc").alias("kind"), F.size("ways").alias("hits"), a.alias("first"), b.alias("second")))
+    return told.select("id", "best", quality.alias("mapq"), split.alias("split"))
+
+
+def best_of(told: DataFrame) -> DataFrame:
+    """A row for each best placement of the reads of `by_read`."""
+    rows = told.select("id", F.size("best").alias("hits"), "mapq", F.explode("best").alias("b"))
+    return rows.select("id", *[F.col(f"b.{c}").alias(c) for c in ("chrom", "pos", "end", "strand", "cigar", "nm", "score", "length", "low", "high")], "mapq", "hits")
+
+
+def best_placements(placed: DataFrame) -> DataFrame:
+    """The best placements of each read, with hits (how many there are) and mapq. Chains that led to the same place count once."""
+    return best_of(by_read(placed))
+
+
+def split_placements(placed: DataFrame, longest_intron: int = LONGEST_INTRON) -> DataFrame:
+    """id, kind, hits, first, second: reads whose two parts lie on different places, better together than any place of the whole.
+
+    first is the placement of the read's front. kind is `circular` where both lie on one strand
+    of one chromosome, within an intron's length but in the opposite order, else `transloc`.
+    Bases that both parts cover count for one of them only. hits counts the equally good ways
+    to split the read; the first by place is given. Parts of one chain are none of two places.
+    """
+    return by_read(placed, longest_intron).where("split is not null").select("id", "split.*")
 
 
 def read_categories(placed: DataFrame, ids: DataFrame, longest_intron: int = LONGEST_INTRON) -> DataFrame:
     """id, kind, hits, and the best place (chrom, pos, end, strand) of each id: uniq, mult, transloc, circular, or none."""
-    whole = best_placements(placed).groupBy("id").agg(F.max("hits").alias("n"), F.min(F.struct("chrom", "pos", "end", "strand")).alias("p"))
-    split = split_placements(placed, longest_intron).select("id", F.col("kind").alias("split"), F.col("first.chrom").alias("c"), F.col("first.pos").alias("s"), F.col("first.end").alias("e"), F.col("first.strand").alias("d"))
-    told = ids.select(F.col("id").cast("string").alias("id")).join(whole, "id", "left").join(split, "id", "left")
+    least = F.array_min(F.transform("best", lambda x: F.struct(*[x[c].alias(c) for c in ("chrom", "pos", "end", "strand")])))
+    first = F.col("split.first")
+    found = by_read(placed, longest_intron).select("id", F.nullif(F.size("best"), F.lit(0)).alias("n"), least.alias("p"), F.col("split.kind").alias("split"), *[first[c].alias(d) for c, d in zip(("chrom", "pos", "end", "strand"), "csed")])
+    told = ids.select(F.col("id").cast("string").alias("id")).join(found, "id", "left")
     kind = F.coalesce("split", F.when(F.col("n") > 1, "mult").when(F.col("n") == 1, "uniq").otherwise("none"))
     place = lambda name, other: F.when(F.col("split").isNotNull(), F.col(other)).otherwise(F.col("p")[name]).alias(name)
     return told.select("id", kind.alias("kind"), F.coalesce("n", F.lit(0)).alias("hits"), place("chrom", "c"), place("pos", "s"), place("end", "e"), place("strand", "d"))

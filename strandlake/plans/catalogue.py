@@ -346,8 +346,7 @@ SELECT id, chrom, pos, pos + CASE k WHEN 1 THEN 82 WHEN 3 THEN 379 WHEN 4 THEN 5
 def align_gapped(spark, d):
     """Reads with gaps, introns and clips, at their best places; not those that lie on two places."""
     placed = GA.placements(views.sequenced_reads(spark, d), views.sequences(spark), longest_intron=NEAR)
-    split = GA.split_placements(placed, NEAR).select("id")
-    best = GA.best_placements(placed.join(split, "id", "left_anti"))
+    best = GA.best_of(GA.by_read(placed, NEAR).where("split is null"))
     return best.select("id", "chrom", "pos", "end", "strand", "nm", _letters("I").alias("inserted"), _letters("D").alias("deleted"), _letters("N").alias("skipped"), _letters("S").alias("clipped"), "hits", (F.col("mapq") >= 30).alias("sure"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions.reads import reverse_complement
@@ -80,13 +80,27 @@ def sequences(spark: SparkSession) -> DataFrame:
     return rows.select("chrom", F.array_join(F.col("b.ref"), "").alias("ref"))
 
 
+def _spread_parts(spark: SparkSession, sf_dir: str, *columns) -> DataFrame:
+    """Columns of the parts, dealt over the session's cores: the table is small and often one split, the reads made from it are not."""
+    return table(spark, sf_dir, "part").select(*columns).repartition(spark.sparkContext.defaultParallelism * 3)
+
+
 def placed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, seq1, seq2: for each part two mates of 40 bases from its place on the reference and from 200 bases on, some of them blank."""
     at, key = (F.col("p_partkey") * 37) % 19_000 + 1, F.col("p_partkey")
-    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), at.cast("int").alias("at"), (key % 10).alias("k"))
-    met = parts.join(sequences(spark), "chrom")
+    parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), at.cast("int").alias("at"), (key % 10).alias("k"))
+    # a stretch is cut out once: a place in a chromosome's text is found by counting from its start
+    met = parts.join(F.broadcast(sequences(spark)), "chrom").withColumn("near", F.substr("ref", F.col("at"), F.lit(240)))
     none = F.repeat(F.lit("N"), F.lit(40))
-    return met.select("id", F.when(F.col("k") == 1, none).otherwise(F.substr("ref", F.col("at"), F.lit(40))).alias("seq1"), F.when(F.col("k") <= 1, none).otherwise(reverse_complement(F.substr("ref", F.col("at") + 200, F.lit(40)))).alias("seq2"))
+    return met.select("id", F.when(F.col("k") == 1, none).otherwise(F.substring("near", 1, 40)).alias("seq1"), F.when(F.col("k") <= 1, none).otherwise(reverse_complement(F.substring("near", 201, 40))).alias("seq2"))
+
+
+def _by_kind(values: list) -> Column:
+    """The value of the row's kind k; the others are not made."""
+    out = F.when(F.col("k") == 0, values[0])
+    for k, value in enumerate(values[1:], 1):
+        out = out.when(F.col("k") == k, value)
+    return out
 
 
 def with_repeat(spark: SparkSession) -> DataFrame:
@@ -103,11 +117,12 @@ def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     its halves turned round.
     """
     key, at = F.col("p_partkey"), ((F.col("p_partkey") * 37) % 19_000 + 1).cast("int")
-    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), F.concat(F.lit("chr"), ((key + 1) % 5).cast("string")).alias("chrom2"), at.alias("at"), (key % 8).alias("k"))
-    met = parts.join(sequences(spark), "chrom").join(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2")), "chrom2")
-    cut = lambda off, n, ref="ref": F.substr(ref, F.col("at") + off, F.lit(n))
-    kinds = [cut(0, 80), F.concat(cut(0, 40), cut(43, 40)), F.concat(cut(0, 40), F.lit("ACGT"), cut(40, 40)), F.concat(cut(0, 40), cut(340, 40)), F.concat(F.lit("N" * 20), cut(0, 60)), reverse_complement(cut(0, 80)), F.concat(cut(0, 40), cut(0, 40, "ref2")), F.concat(cut(500, 40), cut(0, 40))]
-    return met.select("id", F.element_at(F.array(*kinds), (F.col("k") + 1).cast("int")).alias("seq"))
+    parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), F.concat(F.lit("chr"), ((key + 1) % 5).cast("string")).alias("chrom2"), at.alias("at"), (key % 8).alias("k"))
+    met = parts.join(F.broadcast(sequences(spark)), "chrom").join(F.broadcast(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2"))), "chrom2")
+    met = met.select("id", "k", F.substr("ref", F.col("at"), F.lit(600)).alias("near"), F.substr("ref2", F.col("at"), F.lit(40)).alias("near2"))
+    cut = lambda off, n, ref="near": F.substring(ref, off + 1, n)
+    kinds = [cut(0, 80), F.concat(cut(0, 40), cut(43, 40)), F.concat(cut(0, 40), F.lit("ACGT"), cut(40, 40)), F.concat(cut(0, 40), cut(340, 40)), F.concat(F.lit("N" * 20), cut(0, 60)), reverse_complement(cut(0, 80)), F.concat(cut(0, 40), cut(0, 40, "near2")), F.concat(cut(500, 40), cut(0, 40))]
+    return met.select("id", _by_kind(kinds).alias("seq"))
 
 
 def sequenced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,16 +130,18 @@ def sequenced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     at = F.when(key % 12 == 4, (key * 37) % 9_000 + 1).when(key % 12 == 11, (key * 37) % 4_000 + 1).otherwise((key * 37) % 19_000 + 1).cast("int")
     named = lambda k: F.concat(F.lit("chr"), ((key + k) % 5).cast("string"))
-    parts = table(spark, sf_dir, "part").select(key.cast("string").alias("id"), F.when(key % 12 == 11, "rep1").otherwise(named(0)).alias("chrom"), named(1).alias("chrom2"), at.alias("at"), (key % 12).alias("k"))
-    met = parts.join(with_repeat(spark), "chrom").join(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2")), "chrom2")
-    cut = lambda off, n=60, ref="ref": F.substr(ref, F.col("at") + off, F.lit(n))
+    parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.when(key % 12 == 11, "rep1").otherwise(named(0)).alias("chrom"), named(1).alias("chrom2"), at.alias("at"), (key % 12).alias("k"))
+    met = parts.join(F.broadcast(with_repeat(spark)), "chrom").join(F.broadcast(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2"))), "chrom2")
+    stretch = lambda ref, off: F.substr(ref, F.col("at") + off, F.lit(500))
+    met = met.select("id", "k", stretch("ref", 0).alias("near"), stretch("ref2", 0).alias("near2"), F.when(F.col("k") == 4, stretch("ref", 9_500)).alias("far"), F.when(F.col("k") == 1, stretch("ref2", 200)).alias("far2"))
+    cut = lambda off, n=60, ref="near": F.substring(ref, off + 1, n)
     none, turned = F.lit("N" * 60), lambda *x: reverse_complement(cut(*x))
-    moved = F.concat(cut(0, 30), cut(0, 30, "ref2"))
+    moved = F.concat(cut(0, 30), cut(0, 30, "near2"))
     kinds = [
-        (cut(0), turned(200)), (cut(0), turned(200, 60, "ref2")), (cut(0), cut(200)), (cut(200), turned(0)), (cut(0), turned(9_500)), (cut(0), none), (none, none),
+        (cut(0), turned(200)), (cut(0), turned(0, 60, "far2")), (cut(0), cut(200)), (cut(200), turned(0)), (cut(0), turned(0, 60, "far")), (cut(0), none), (none, none),
         (moved, turned(200)), (moved, none), (cut(0), turned(20)), (F.concat(cut(100, 30), cut(0, 30)), turned(400)), (cut(0), turned(200)),
     ]
-    return met.select("id", *[F.element_at(F.array(*[p[m] for p in kinds]), (F.col("k") + 1).cast("int")).alias(f"seq{m + 1}") for m in (0, 1)])
+    return met.select("id", *[_by_kind([p[m] for p in kinds]).alias(f"seq{m + 1}") for m in (0, 1)])
 
 
 def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +151,9 @@ def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = F.col("p_partkey")
     site, k = 300 + (F.floor(key / 5) % 61) * 320, key % 4
-    parts = table(spark, sf_dir, "part").select(key.alias("qname"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), site.cast("int").alias("site"), F.when(k < 2, 40).when(k == 2, 74).otherwise(6).alias("a"), k.alias("k"))
-    met = parts.join(sequences(spark), "chrom")
-    seq = F.concat(F.substr("ref", F.col("site") - F.col("a") + 1, F.col("a")), F.substr("ref", F.col("site") + 4, 80 - F.col("a")))
+    parts = _spread_parts(spark, sf_dir, key.alias("qname"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), site.cast("int").alias("site"), F.when(k < 2, 40).when(k == 2, 74).otherwise(6).alias("a"), k.alias("k"))
+    met = parts.join(F.broadcast(sequences(spark)), "chrom").withColumn("near", F.substr("ref", F.col("site") - 79, F.lit(240)))
+    seq = F.concat(F.substr("near", 81 - F.col("a"), F.col("a")), F.substr("near", F.lit(84), 80 - F.col("a")))
     pos = F.col("site") - F.col("a") + 1 + F.when(F.col("k") == 3, 3).otherwise(0)
     return met.select("qname", F.lit(1).alias("mate"), F.lit(0).alias("flag"), "chrom", pos.alias("pos"), F.when(F.col("k") < 2, "40M3D40M").otherwise("80M").alias("cigar"), seq.alias("seq"), F.lit("I" * 80).alias("qual"))
 

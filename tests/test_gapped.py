@@ -7,6 +7,7 @@ import pytest
 
 from strandlake.functions import gapped as K
 from strandlake.operators import gapped as G
+from strandlake.plans import views
 
 draw = random.Random(2)
 REF = bytes(draw.choice(b"ACGT") for _ in range(20_000))
@@ -206,3 +207,30 @@ def test_pieces_reach_as_far_as_a_diagonal_goes():
     assert all(p.score <= whole.score + K.INTRON for p in found)
     (plain,) = K.align([REF[1000:1080]], [[(990, REF[990:1100])]])
     assert K.pieces(REF[1000:1080], [(990, REF[990:1100])], plain) == []
+
+
+def test_batches_give_what_single_reads_do(monkeypatch):
+    rnd = random.Random(8)
+    reads = [b"", b"ACGT", b"A" * 40, b"N" * 30, b"ACGTTGCAAC" * 6]
+    for _ in range(150):
+        at = rnd.randrange(19_000)
+        part = bytes(rnd.choice(b"ACGTNa") if rnd.random() < 0.03 else b for b in REF[at : at + rnd.randrange(100)])
+        reads.append(part[:40] + part[43:] if rnd.random() < 0.3 else part)
+    row, *told = K.minimizers_of(reads, 12, 5)
+    for i, read in enumerate(reads):
+        assert [x[row == i].tolist() for x in told] == [x.tolist() for x in K.minimizers(read, 12, 5)]
+    windows = [[(7, REF[max(0, i := REF.find(r[:12]) - 10) : i + 130])] if len(r) > 12 and r[:12] in REF else [(0, b"")] for r in reads]
+    assert K.align(reads, windows) == [K.table_align([r], [w])[0] for r, w in zip(reads, windows)]
+    assert K.exact(REF[50:90], [(0, REF[:30]), (40, REF[40:100])]).cigar == "40M" and K.exact(b"ANA", [(0, b"ANA")]) is None
+    marks = [("x", "+", rnd.randrange(60), 500 + rnd.randrange(400)) for _ in range(50)] + [("x", "+", a, 100 + a) for a in range(0, 40, 5)]
+    few = K.chains(marks, 80, 12, 16, 2_000)
+    monkeypatch.setattr(K, "MANY", 0)
+    assert few == K.chains(marks, 80, 12, 16, 2_000)
+
+
+def test_reads_are_aligned_once_and_on_all_cores(spark):
+    reads, references = spark.createDataFrame([("a", REF[:80].decode())], "id string, seq string"), spark.createDataFrame([("x", REF.decode())], "chrom string, ref string")
+    plan = G.read_categories(G.placements(reads, references), reads)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow _aligned(") == 1
+    for view in (views.placed_pairs, views.sequenced_reads, views.sequenced_pairs, views.indel_reads):
+        assert view(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
