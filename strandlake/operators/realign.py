@@ -63,21 +63,23 @@ def indel_events(alignments: DataFrame, tiles: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for chrom, pos, cigar, seq, first, window in zip(*(batch.column(c).to_pylist() for c in ("chrom", "pos", "cigar", "seq", "first", "window"))):
+            for chrom, pos, cigar, seq, first, window, many in zip(*(batch.column(c).to_pylist() for c in ("chrom", "pos", "cigar", "seq", "first", "window", "many"))):
                 read, at = 0, pos - 1
                 for n, op in _OPS.findall(cigar):
                     n = int(n)
                     if op in "ID":
                         place, added = shifted_left(at, n if op == "D" else 0, seq[read : read + n] if op == "I" else "", window, first)
-                        rows.append((chrom, place, n if op == "D" else 0, added))
+                        rows.append((chrom, place, n if op == "D" else 0, added, many))
                     read += n * (op in "MIS=X")
                     at += n * (op in "MD=X")
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)], names=["chrom", "at", "gone", "added"])
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, kinds)], names=["chrom", "at", "gone", "added", "many"])
 
-    gapped = alignments.where(F.col("cigar").rlike("[ID]")).select("chrom", "pos", "end", "cigar", "seq")
-    found = _with_windows(gapped, tiles).select("chrom", "pos", "cigar", "seq", "first", "window").mapInArrow(find, "chrom string, at long, gone int, added string")
-    return found.groupBy("chrom", "at", "gone", "added").agg(F.count("*").alias("reads"))
+    # records that show an indel alike are counted before their windows are fetched; bases matter to insertions only
+    alike = ["chrom", "pos", "end", "cigar", F.when(F.col("cigar").contains("I"), F.col("seq")).otherwise("").alias("seq")]
+    gapped = alignments.where(F.col("cigar").rlike("[ID]")).groupBy(*alike).agg(F.count("*").alias("many"))
+    found = _with_windows(gapped, tiles).select("chrom", "pos", "cigar", "seq", "first", "window", "many").mapInArrow(find, "chrom string, at long, gone int, added string, many long")
+    return found.groupBy("chrom", "at", "gone", "added").agg(F.sum("many").alias("reads"))
 
 
 def _core(cigar: str, seq: str, qual: str) -> tuple[str, str, str, str]:
@@ -95,6 +97,9 @@ def mismatch_sum(pos: int, cigar: str, seq: str, qual: np.ndarray, window: str,
         n = int(n)
         if op in "M=X":
             under = window[at : at + n]
+            if under == seq[read : read + n] and len(under) == n:
+                read, at = read + n, at + n
+                continue
             total += sum(int(qual[read + i]) for i in range(n) if i >= len(under) or seq[read + i] != under[i])
         read += n * (op in "MIS=X")
         at += n * (op in "MD=X")

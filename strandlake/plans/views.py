@@ -85,12 +85,22 @@ def _spread_parts(spark: SparkSession, sf_dir: str, *columns) -> DataFrame:
     return table(spark, sf_dir, "part").select(*columns).repartition(spark.sparkContext.defaultParallelism * 3)
 
 
+def _with_stretch(rows: DataFrame, references: DataFrame, chrom: str, at: Column, size: int, name: str) -> DataFrame:
+    """rows with the `size` bases of the chromosome from `at` on, or null beyond its end.
+
+    A place in a text is found by counting from its start, so it is looked for in a block of 1000 bases and what follows.
+    """
+    numbers = F.sequence(F.lit(0), F.floor((F.length("ref") - 1) / 1000).cast("int"))
+    blocks_ = references.select(F.col("chrom").alias(chrom), "ref", F.explode(numbers).alias("block")).select(chrom, "block", F.substr("ref", F.col("block") * 1000 + 1, F.lit(1000 + size)).alias("part"))
+    met = rows.withColumn("block", F.floor((at - 1) / 1000).cast("int")).join(F.broadcast(blocks_), [chrom, "block"], "left")
+    return met.withColumn(name, F.substr("part", (at - F.col("block") * 1000).cast("int"), F.lit(size))).drop("block", "part")
+
+
 def placed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, seq1, seq2: for each part two mates of 40 bases from its place on the reference and from 200 bases on, some of them blank."""
     at, key = (F.col("p_partkey") * 37) % 19_000 + 1, F.col("p_partkey")
     parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), at.cast("int").alias("at"), (key % 10).alias("k"))
-    # a stretch is cut out once: a place in a chromosome's text is found by counting from its start
-    met = parts.join(F.broadcast(sequences(spark)), "chrom").withColumn("near", F.substr("ref", F.col("at"), F.lit(240)))
+    met = _with_stretch(parts, sequences(spark), "chrom", F.col("at"), 240, "near")
     none = F.repeat(F.lit("N"), F.lit(40))
     return met.select("id", F.when(F.col("k") == 1, none).otherwise(F.substring("near", 1, 40)).alias("seq1"), F.when(F.col("k") <= 1, none).otherwise(reverse_complement(F.substring("near", 201, 40))).alias("seq2"))
 
@@ -118,8 +128,7 @@ def sequenced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key, at = F.col("p_partkey"), ((F.col("p_partkey") * 37) % 19_000 + 1).cast("int")
     parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), F.concat(F.lit("chr"), ((key + 1) % 5).cast("string")).alias("chrom2"), at.alias("at"), (key % 8).alias("k"))
-    met = parts.join(F.broadcast(sequences(spark)), "chrom").join(F.broadcast(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2"))), "chrom2")
-    met = met.select("id", "k", F.substr("ref", F.col("at"), F.lit(600)).alias("near"), F.substr("ref2", F.col("at"), F.lit(40)).alias("near2"))
+    met = _with_stretch(_with_stretch(parts, sequences(spark), "chrom", F.col("at"), 600, "near"), sequences(spark), "chrom2", F.col("at"), 40, "near2")
     cut = lambda off, n, ref="near": F.substring(ref, off + 1, n)
     kinds = [cut(0, 80), F.concat(cut(0, 40), cut(43, 40)), F.concat(cut(0, 40), F.lit("ACGT"), cut(40, 40)), F.concat(cut(0, 40), cut(340, 40)), F.concat(F.lit("N" * 20), cut(0, 60)), reverse_complement(cut(0, 80)), F.concat(cut(0, 40), cut(0, 40, "near2")), F.concat(cut(500, 40), cut(0, 40))]
     return met.select("id", _by_kind(kinds).alias("seq"))
@@ -131,9 +140,9 @@ def sequenced_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.when(key % 12 == 4, (key * 37) % 9_000 + 1).when(key % 12 == 11, (key * 37) % 4_000 + 1).otherwise((key * 37) % 19_000 + 1).cast("int")
     named = lambda k: F.concat(F.lit("chr"), ((key + k) % 5).cast("string"))
     parts = _spread_parts(spark, sf_dir, key.cast("string").alias("id"), F.when(key % 12 == 11, "rep1").otherwise(named(0)).alias("chrom"), named(1).alias("chrom2"), at.alias("at"), (key % 12).alias("k"))
-    met = parts.join(F.broadcast(with_repeat(spark)), "chrom").join(F.broadcast(sequences(spark).select(F.col("chrom").alias("chrom2"), F.col("ref").alias("ref2"))), "chrom2")
-    stretch = lambda ref, off: F.substr(ref, F.col("at") + off, F.lit(500))
-    met = met.select("id", "k", stretch("ref", 0).alias("near"), stretch("ref2", 0).alias("near2"), F.when(F.col("k") == 4, stretch("ref", 9_500)).alias("far"), F.when(F.col("k") == 1, stretch("ref2", 200)).alias("far2"))
+    met = parts
+    for chrom, off, name in (("chrom", 0, "near"), ("chrom", 9_500, "far"), ("chrom2", 0, "near2"), ("chrom2", 200, "far2")):
+        met = _with_stretch(met, with_repeat(spark) if chrom == "chrom" else sequences(spark), chrom, F.col("at") + off, 500, name)
     cut = lambda off, n=60, ref="near": F.substring(ref, off + 1, n)
     none, turned = F.lit("N" * 60), lambda *x: reverse_complement(cut(*x))
     moved = F.concat(cut(0, 30), cut(0, 30, "near2"))
@@ -152,7 +161,7 @@ def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     site, k = 300 + (F.floor(key / 5) % 61) * 320, key % 4
     parts = _spread_parts(spark, sf_dir, key.alias("qname"), F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), site.cast("int").alias("site"), F.when(k < 2, 40).when(k == 2, 74).otherwise(6).alias("a"), k.alias("k"))
-    met = parts.join(F.broadcast(sequences(spark)), "chrom").withColumn("near", F.substr("ref", F.col("site") - 79, F.lit(240)))
+    met = _with_stretch(parts, sequences(spark), "chrom", F.col("site") - 79, 240, "near")
     seq = F.concat(F.substr("near", 81 - F.col("a"), F.col("a")), F.substr("near", F.lit(84), 80 - F.col("a")))
     pos = F.col("site") - F.col("a") + 1 + F.when(F.col("k") == 3, 3).otherwise(0)
     return met.select("qname", F.lit(1).alias("mate"), F.lit(0).alias("flag"), "chrom", pos.alias("pos"), F.when(F.col("k") < 2, "40M3D40M").otherwise("80M").alias("cigar"), seq.alias("seq"), F.lit("I" * 80).alias("qual"))

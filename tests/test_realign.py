@@ -127,3 +127,15 @@ def test_nothing_to_realign(spark):
     _, ref = world()
     none = spark.createDataFrame([], FIELDS)
     assert R.realign_indels(none, spark.createDataFrame([("c", ref)], "chrom string, ref string")).count() == 0
+
+
+def test_indels_shown_alike_are_counted_before_their_windows(spark):
+    from strandlake.operators.gapped import cut_tiles
+    from strandlake.operators.realign import indel_events
+
+    ref = "ACGGTCATTTTTGCAGTCCATGACGTAACCGT" * 4
+    rows = [("x", 3, 30, "9M2D17M", "A" * 26)] * 5 + [("x", 5, 30, "7M2D17M", "C" * 24)] * 2 + [("x", 3, 30, "5M1I23M", "GGTCAT" + "A" * 23)] * 3
+    found = indel_events(spark.createDataFrame(rows, "chrom string, pos long, end long, cigar string, seq string"), cut_tiles(spark.createDataFrame([("x", ref)], "chrom string, ref string")))
+    assert sorted(r.reads for r in found.collect()) == [3, 7]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow find(") < plan.index("count(1)")  # counted below the windows' join
