@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import queries as Q
 from strandlake.llm._components import connected_components
+from strandlake.llm._runtime import few_tasks
 from strandlake.llm._text import column_bytes, span_hashes, word_hashes
 from strandlake.llm import embedding_dedup
 from strandlake.llm.embedding_dedup import link_embeddings
@@ -355,3 +356,26 @@ def test_queries_on_the_smallest_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in Q.op8_minhash_dedup(spark, data).collect()}
     assert got == brute([(r.doc_id, r.text) for r in docs], 2, 80)
+
+
+def test_few_links_are_written_by_few_tasks(spark):
+    """Small tables of many steps take as long as there are shuffle partitions, unless few tasks write them."""
+    sc, names = spark.sparkContext, ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(x) for x in names]
+    links = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 2 == 0], "a long, b long")
+    got, ran = {}, {}
+    try:
+        spark.conf.set(names[0], "24")
+        spark.conf.set(names[1], "false")
+        for tasks in (None, few_tasks(links, 20), few_tasks(links, 19)):
+            sc.setJobGroup(f"links-{tasks}", "")
+            got[tasks] = {r.node: r.component for r in connected_components(links, tasks=tasks).collect()}
+            stages = {s for j in sc.statusTracker().getJobIdsForGroup(f"links-{tasks}") for s in sc.statusTracker().getJobInfo(j).stageIds}
+            ran[tasks] = sum(i.numCompletedTasks for s in stages if (i := sc.statusTracker().getStageInfo(s)))
+    finally:
+        sc._jsc.sc().clearJobGroup()
+        for x, value in zip(names, before):
+            spark.conf.set(x, value)
+    few = 2 * sc.defaultParallelism
+    assert set(got) == {None, few} and got[few] == got[None] == {i: i // 2 * 2 for i in range(40)}
+    assert ran[few] < 0.7 * ran[None], ran
