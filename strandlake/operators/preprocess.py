@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions import reads as R
+from strandlake.sources.files import shared_folder
 
 
 def _mates(df: DataFrame) -> list[str]:
@@ -187,11 +188,13 @@ def top_sequences(df: DataFrame, n: int = 20, mate: int = 1, size: int = 10_000)
     Two passes. Each task keeps counters of at most twice `size` sequences, and knows how often one that
     it dropped may have occurred at most; then only the candidates of all tasks are counted,
     so few rows are shuffled. If the dropped ones, over all tasks, might reach the n-th
-    count, every sequence is counted. Null and empty sequences don't count. Whether
-    that is so takes two actions, of one row each.
+    count, every sequence is counted. Null and empty sequences don't count. Each pass reads df
+    once: the counters go to the shared folder, and the n rows found are the result.
     """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
     seqs = df.where(F.length(f"seq{mate}") > 0).select(F.col(f"seq{mate}").alias("seq"))
-    told = seqs.mapInArrow(lambda batches: _frequent(batches, size), "seq string, lost long")
+    seqs.mapInArrow(lambda batches: _frequent(batches, size), "seq string, lost long").write.mode("overwrite").parquet(path)
+    told = spark.read.schema("seq string, lost long").parquet(path)
     candidates = told.where("seq is not null").select("seq").distinct()
     lost = told.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("lost")).first()[0]
     every = seqs.groupBy("seq").agg(F.count(F.lit(1)).alias("reads"))
@@ -199,8 +202,8 @@ def top_sequences(df: DataFrame, n: int = 20, mate: int = 1, size: int = 10_000)
     if not lost:  # no task has more than twice `size` sequences
         return top(every)
     found = top(seqs.join(candidates, "seq", "left_semi").groupBy("seq").agg(F.count(F.lit(1)).alias("reads")))
-    least = found.agg(F.count("*").alias("n"), F.min("reads").alias("least")).first()
-    return found if least["n"] == n and least["least"] > lost else top(every)
+    rows = found.collect()
+    return spark.createDataFrame(rows, found.schema).coalesce(1) if len(rows) == n and rows[-1]["reads"] > lost else top(every)
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -38,6 +38,21 @@ def test_few_counters_give_the_commonest_sequences(spark):
     assert P.top_sequences(reads.limit(0), 5).count() == 0
 
 
+def test_commonest_sequences_read_their_input_twice(spark, tmp_path):
+    draw = random.Random(5)
+    seqs = ["ACGT"] * 300 + ["CCGT"] * 200 + ["".join(draw.choice("ACGT") for _ in range(20)) for _ in range(1_000)]
+    reads = spark.createDataFrame([(s,) for s in seqs], "seq1 string").coalesce(1)
+
+    def told(batches):
+        with open(tmp_path / "reads", "a") as out:
+            out.write("x")
+        yield from batches
+
+    got = P.top_sequences(reads.mapInArrow(told, "seq1 string"), 2, size=100)
+    assert [tuple(r) for r in got.collect()] == [("ACGT", 300), ("CCGT", 200)]
+    assert len((tmp_path / "reads").read_text()) == 2
+
+
 def test_counters_know_what_they_may_have_lost():
     import pyarrow as pa
 
