@@ -33,7 +33,7 @@ from strandlake.llm._text import IS_SPACE, blocks, column_bytes
 #: The vocabulary file is sent to the executors whole; a larger one is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Distinct words, and distinct token pairs, that a task remembers before it starts anew.
-MEMO = 100_000
+MEMO = 40_000
 BLOCK = 1 << 20
 
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -211,3 +211,11 @@ def test_stages_decide_row_by_row(spark, data):
     text = lambda name, end: " ".join([*(f"{name}{j}" for j in range(60)), end])
     rows = [(None, text("a", "y")), (None, text("a", "x")), (7, text("a", "x")), (8, text("b", "x")), (8, text("c", "x")), (9, text("b", "y")), (8, text("b", "x")), (None, text("d", "x")), (None, text("d", "x"))]
     assert left(corpus_pipeline.drop_near_copies, rows) == sorted([(7, text("a", "x")), (8, text("b", "x")), (8, text("c", "x")), (None, text("d", "x"))], key=str)
+
+
+@needs_vocabulary
+def test_a_bpe_worker_remembers_a_bounded_number_of_words():
+    own, letters = WordBpe(read_vocabulary(Q.vocabulary_path())), "bcdfghjklmnpqrst"
+    for k in range(40):
+        own.encode([" ".join("".join(letters[n >> s & 15] for s in (0, 4, 8, 12, 16)) for n in range(5000 * k, 5000 * k + 5000)).encode()])
+    assert sum(map(len, (own.chunks, own.old_chunks, own.words, own.old_words))) <= 200_000
