@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm._components import connected_components
-from strandlake.llm._runtime import few_tasks, small_batches, small_side, written
+from strandlake.llm._runtime import few_tasks, small_batches, small_side, text_of, written
 from strandlake.llm._text import LOWER, U64, blocks, column_bytes, mix, shingles, word_hashes
 
 #: 28 bands of 6 rows: a pair of similarity 0.8 shares none with probability 2e-4, one of 0.9 with 5e-10.
@@ -40,6 +40,8 @@ JOINED_GROUP = 48
 FEW = 20_000
 #: Rows of bands with candidates up to which the tables made from them are written by few tasks.
 FEW_BANDED = 300_000
+#: Bitmaps of 64 hashes each that keep texts without candidates from being moved.
+WORDS = 200_000
 BLOCK_NODES = 256
 
 _seeds = np.random.default_rng(77).integers(1, 1 << 63, (2, 1024), dtype=U64)
@@ -67,11 +69,11 @@ def _nodes(value: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """row_id, n_shingles, node (16 bytes, null without shingles), keys (a 64-bit key a band), signature."""
+    """row_id, raw (a hash of the text), n_shingles, node (16 bytes, null without shingles), keys (a 64-bit key a band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
+            data, offsets = column_bytes(batch.column(2))
             for first, last in blocks(offsets):
                 local = offsets[first : last + 1] - offsets[first]
                 value, owner = _block_shingles(data[offsets[first] : offsets[last]], local, words)
@@ -86,30 +88,40 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
                         key = mix(key * U64(0x9E3779B97F4A7C15) + signature[:, b * rows + r].astype(U64))
                     keys[:, b] = key
                 keys_list = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel()))
-                width = bands * rows * 4
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), keys_list, pa.array([signature[i].tobytes() for i in range(n)] if width else [], pa.binary())],
-                    ["row_id", "n_shingles", "node", "keys", "signature"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), keys_list], ["row_id", "raw", "n_shingles", "node", "keys"])
 
-    return docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).mapInArrow(run, f"row_id {dict(docs.dtypes)[id_col]}, n_shingles long, node binary, keys array<long>, signature binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, f"row_id {dict(docs.dtypes)[id_col]}, raw long, n_shingles long, node binary, keys array<long>")
 
 
-def _full_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """row_id, node, members: the sorted shingles of each document as bytes, and their digest."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text_of(F.col(text_col))).alias("raw"), F.col(text_col).alias("text"))
+
+
+def _full_sets(texts: DataFrame, words: int, size: int) -> DataFrame:
+    """node, signature (size minimum hashes), members (the sorted shingles as bytes) of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
+            data, offsets = column_bytes(batch.column(0))
             for first, last in blocks(offsets):
                 local = offsets[first : last + 1] - offsets[first]
                 value, owner = _block_shingles(data[offsets[first] : offsets[last]], local, words)
                 sizes = np.bincount(owner, minlength=last - first)
+                signature = _signatures(value, owner, last - first, size)
                 ends = np.cumsum(sizes)
                 sets = [value[s:e].tobytes() for s, e in zip([0, *ends[:-1]], ends)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(_nodes(value, sizes), pa.binary()), pa.array(sets, pa.binary())], ["row_id", "node", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array(_nodes(value, sizes), pa.binary()), pa.array([x.tobytes() for x in signature], pa.binary()), pa.array(sets, pa.binary())], ["node", "signature", "members"])
+
+    return texts.select("text").mapInArrow(run, "node binary, signature binary, members binary")
 
-    return docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).mapInArrow(run, f"row_id {dict(docs.dtypes)[id_col]}, node binary, members binary")
+
+def _maybe_among(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows whose (row_id, raw) are in held (held_id, held_raw), and a few others: WORDS bitmaps of 64 hashes are broadcast, so no text is moved."""
+    place = lambda i, raw: F.pmod(F.xxhash64(i, raw), F.lit(WORDS * 64))
+    bit = lambda at: F.expr(f"shiftleft(1L, cast(pmod({at}, 64) as int))")
+    words = held.select(place("held_id", "held_raw").alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(bit("at")).alias("bits"))
+    at = rows.withColumn("at", place("row_id", "raw")).withColumn("word", F.expr("at div 64"))
+    return at.join(F.broadcast(written(words)), "word").where(F.col("bits").bitwiseAND(bit("at")) != 0).select(*rows.columns)
 
 
 def least_matches(total: int, batch: int, threshold: float, miss: float) -> list[tuple[int, int]]:
@@ -168,8 +180,14 @@ def _exact(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def _with_both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """pairs with the value of a and of b; either join may be split where one node has many pairs."""
+def _with_both(pairs: DataFrame, table: DataFrame, value: str, tasks: int | None = None) -> DataFrame:
+    """pairs with the value of a and of b; either join may be split where one node has many pairs.
+
+    pairs is read more than once. Where it names few nodes, only their values are shuffled.
+    """
+    names = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), tasks)
+    if names.limit(FEW + 1).count() <= FEW:
+        table = table.join(F.broadcast(names), "node", "left_semi")
     one = table.select(F.col("node").alias("a"), F.col(value).alias("left_value"))
     two = table.select(F.col("node").alias("b"), F.col(value).alias("right_value"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left_value", "right_value")
@@ -264,27 +282,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = dict(docs.dtypes)[id_col]
     all_rows = written(sketch(docs, id_col, text_col, shingle_words, bands, rows))
     banded = all_rows.where("node is not null").select("node", F.explode("keys").alias("key"))
-    ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
+    # hashes of nodes tell whether a key has several, and are summed without a sort
+    ends = banded.select("key", F.xxhash64("node").alias("h")).groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo != hi")
     shared = small_side(ends.select("key"), FEW)
     active = written(banded.join(shared, "key").select("key", "node").distinct())
     tasks = few_tasks(active, FEW_BANDED)
 
-    # what is compared later: signatures and texts of the nodes that have candidates, one document each
+    # what is compared later: signatures and sets of the nodes that have candidates, from one document each
     involved = small_side(active.select("node").distinct(), FEW, tasks)
-    held = all_rows.join(involved, "node").groupBy("node").agg(F.min("row_id").alias("held_id")).withColumnRenamed("node", "held_node")
-    held = small_side(held, FEW, tasks)
-    # ids may be null or stand for several texts, so the node decides which of an id's rows is meant
-    is_held = (F.col("node") == F.col("held_node")) & F.col("row_id").eqNullSafe(F.col("held_id"))
-    signatures = written(all_rows.join(held, is_held, "left_semi").select("node", "signature").dropDuplicates(["node"]), tasks)
-    texts = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text")).join(held.select("held_id"), F.col("row_id").eqNullSafe(F.col("held_id")), "left_semi")
-    sets = _full_sets(texts, "row_id", "text", shingle_words).join(held, is_held, "left_semi")
-    sets = written(sets.select("node", "members").dropDuplicates(["node"]), tasks)
+    first = F.min(F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "raw"))
+    held = all_rows.select("node", "row_id", "raw").join(involved, "node").groupBy("node").agg(first.alias("first"))
+    held = small_side(held.select(F.col("first.row_id").alias("held_id"), F.col("first.raw").alias("held_raw")), FEW, tasks)
+    # the few other texts that pass do no harm; an exact join here would be planned first and move all texts
+    sets = written(_full_sets(_maybe_among(_texts(docs, id_col, text_col), held), shingle_words, bands * rows), tasks)
+    if sets.count() > sets.select("node").distinct().count():  # rows that repeat id and text
+        sets = written(sets.dropDuplicates(["node"]), tasks)
+    signatures, sets = sets.select("node", "signature"), sets.select("node", "members")
 
     steps = least_matches(bands * rows, BATCH, percent / 100, miss)
 
     def judged(pairs: DataFrame) -> DataFrame:
-        likely = written(_prune(_with_both(written(pairs, tasks), signatures, "signature"), steps), tasks)
-        return _exact(_with_both(likely, sets, "members"), percent)
+        likely = written(_prune(_with_both(written(pairs, tasks), signatures, "signature", tasks), steps), tasks)
+        return _exact(_with_both(likely, sets, "members", tasks), percent)
 
     components = None
     current = active.withColumn("component", F.col("node"))

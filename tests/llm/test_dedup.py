@@ -132,6 +132,19 @@ def test_large_group_stays_in_one_component_and_blocks_agree(spark, monkeypatch)
     assert {c for i, c in joined if i >= 1000} == {1000}
 
 
+def test_only_texts_with_candidates_are_moved(spark):
+    import strandlake.llm.minhash_dedup as M
+
+    rows = [*((i, f"text number {i}") for i in range(2000)), (None, "text number 7"), (8, None)]
+    texts = M._texts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    held = texts.where("row_id % 200 = 8 or row_id is null").selectExpr("row_id as held_id", "raw as held_raw")
+    got = M._maybe_among(texts, held)
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()  # of the texts; held is a table of its own
+    found = sorted((r.row_id is None, r.row_id or 0, r.text or "") for r in got.collect())
+    want = sorted([(False, i, t or "") for i, t in rows if i is not None and i % 200 == 8] + [(True, 0, "text number 7")])
+    assert [x for x in want if x not in found] == [] and len(found) < len(want) + 20
+
+
 def test_odd_rows_near(odd):
     got = near_duplicates(odd).collect()
     assert len(got) == odd.count()
